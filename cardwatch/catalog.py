@@ -59,11 +59,13 @@ def meta_before(tt: adapters.TestTables) -> DataFrame:
 def staged(tt, name: str) -> DataFrame:
     if name == "terminals":
         return tt.snapshot("terminals")
-    return staging.stage_snapshot(name, tt.snapshot(name), check_lengths=False)[0]
+    return tt._memo(("staged", name), lambda: staging.stage_snapshot(
+        name, tt.snapshot(name), check_lengths=False)[0])
 
 
 def merged(tt, name: str) -> DataFrame:
-    return scd2.merge(scd2.open_rows(tt.dim_before(name)), staged(tt, name), DIMS[name], _clock())
+    return tt._memo(("merged", name), lambda: scd2.merge(
+        scd2.open_rows(tt.dim_before(name)), staged(tt, name), DIMS[name], _clock()))
 
 
 def open_after(tt, name: str) -> DataFrame:
@@ -158,6 +160,16 @@ def _report_inputs(tt):
                 accounts=staged(tt, "accounts"), clients=staged(tt, "clients"))
 
 
+def q_report_client_info(spark, sf):
+    tt = _tt(spark, sf)
+    return reports.client_info(staged(tt, "accounts"), staged(tt, "clients"))
+
+
+def q_report_trans_info(spark, sf):
+    tt = _tt(spark, sf)
+    return reports.trans_info(tt.transactions(), staged(tt, "cards"), REPORT_DT)
+
+
 def q_report_passport(spark, sf, mode=reports.INTENDED):
     tt = _tt(spark, sf)
     return reports.passport_report(**_report_inputs(tt), blacklist=tt.blacklist(),
@@ -342,10 +354,8 @@ def queries() -> dict[str, Query]:
             q[f"scd2_{step}_{name}"] = _scd2_query(name, step)
         q[f"scd2_merge_{name}"] = _scd2_query(name, None)
     q.update({
-        "report_client_info": lambda s, sf: reports.client_info(
-            staged(_tt(s, sf), "accounts"), staged(_tt(s, sf), "clients")),
-        "report_trans_info": lambda s, sf: reports.trans_info(
-            _tt(s, sf).transactions(), staged(_tt(s, sf), "cards"), REPORT_DT),
+        "report_client_info": q_report_client_info,
+        "report_trans_info": q_report_trans_info,
         "report_passport": q_report_passport,
         "report_contract": q_report_contract,
         "report_hop_pairs": q_report_hop_pairs,

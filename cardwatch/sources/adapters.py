@@ -10,7 +10,7 @@ with ``nation``), so they scale with the input.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +49,20 @@ def _days(base: str, n: Column) -> Column:
 class TestTables:
     spark: SparkSession
     sf_dir: str
+    _tables: dict = field(default_factory=dict, repr=False)
+    _derived: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        """Each driver table is opened once per instance (one listing and one
+        schema read); the DataFrame itself stays lazy."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self._tables[name]
+
+    def _memo(self, key, build):
+        if key not in self._derived:
+            self._derived[key] = build()
+        return self._derived[key]
 
     # ---- per-key attribute rules (current, prior and oldest versions) ----
     def _base(self, dim: str) -> DataFrame:
@@ -109,6 +120,9 @@ class TestTables:
     # ---- logical inputs ----
     def snapshot(self, dim: str) -> DataFrame:
         """Today's full source snapshot (staging input) of one dimension."""
+        return self._memo(("snapshot", dim), lambda: self._snapshot(dim))
+
+    def _snapshot(self, dim: str) -> DataFrame:
         spec = DIMS[dim]
         base = self._base(dim).where(_k("k") % 17 != 0)
         if spec.feed_clock:
@@ -122,6 +136,9 @@ class TestTables:
     def dim_before(self, dim: str) -> DataFrame:
         """History as it stood before the run: one open row per key (some of
         them tombstones) plus an older closed version for some keys."""
+        return self._memo(("dim_before", dim), lambda: self._dim_before(dim))
+
+    def _dim_before(self, dim: str) -> DataFrame:
         spec = DIMS[dim]
         base = self._base(dim).where(_k("k") % 11 != 0)
         k = _k("k")
@@ -143,6 +160,9 @@ class TestTables:
 
     def transactions(self) -> DataFrame:
         """Transactions of the whole feed history (the fact before reports)."""
+        return self._memo("transactions", self._transactions)
+
+    def _transactions(self) -> DataFrame:
         e = self.table("events")
         n_terminals = self.table("supplier").select(F.count(F.lit(1))).scalar()
         return e.select(
