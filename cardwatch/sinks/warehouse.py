@@ -33,6 +33,9 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("run_ts", T.TimestampNTZType()),
     T.StructField("transactions_dt", T.DateType()), T.StructField("blacklist_dt", T.DateType()),
     T.StructField("terminals_dt", T.DateType()),
+    T.StructField("cards_run", T.StringType()), T.StructField("accounts_run", T.StringType()),
+    T.StructField("clients_run", T.StringType()), T.StructField("terminals_run", T.StringType()),
+    T.StructField("blacklist_run", T.StringType()),
 ])
 
 
@@ -71,7 +74,8 @@ def read_transactions(spark: SparkSession, root: str, max_feed_dt: dt.date | Non
                       path: str | None = None) -> DataFrame:
     """The fact, ignoring partitions newer than the committed watermark
     (left behind by a failed run)."""
-    df = spark.read.parquet(path or _p(root, "fact_transactions"))
+    schema = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType())])
+    df = spark.read.schema(schema).parquet(path or _p(root, "fact_transactions"))
     if max_feed_dt is not None:
         df = df.where(F.col("feed_dt") <= date_lit(max_feed_dt))
     return df
@@ -106,8 +110,8 @@ def write_history(history: DataFrame, root: str, name: str, run_id: str) -> None
 
 def _dim_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
     spec = DIMS[name]
-    schema = spec.dim_schema()
-    schema = schema.add("run", T.StringType()).add("state", T.StringType())
+    schema = T.StructType([*spec.dim_schema().fields, T.StructField("run", T.StringType()),
+                           T.StructField("state", T.StringType())])
     return (spark.read.schema(schema).option("basePath", _p(root, f"dim_{name}"))
             .parquet(_p(root, f"dim_{name}")))
 
@@ -118,16 +122,30 @@ def read_open(spark: SparkSession, root: str, name: str, run_id: str) -> DataFra
             .select(*DIMS[name].dim_columns))
 
 
-def read_history(spark: SparkSession, root: str, name: str, runs: list[str]) -> DataFrame:
-    """Whole history as of the last of ``runs`` (committed run ids, ascending):
-    that run's open set plus the closed rows of every committed run."""
+def read_history(spark: SparkSession, root: str, name: str, runs: list[str],
+                 open_run: str | None = None) -> DataFrame:
+    """Whole history: the open set written by ``open_run`` (default: the last
+    of ``runs``) plus the closed rows of every committed run in ``runs``.
+    Folder names are partition values, so both filters prune whole folders."""
     df = _dim_frame(spark, root, name)
-    last = runs[-1]
+    last = open_run or runs[-1]
     keep = (((F.col("run") == last) & (F.col("state") == "open"))
             | (F.col("run").isin(runs) & (F.col("state") == "closed")))
     return df.where(keep).select(*DIMS[name].dim_columns)
 
 
+def current_history(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A dimension's whole history as of the newest committed run."""
+    meta = committed_runs(spark, root).select("run_id", f"{name}_run").orderBy("run_id").collect()
+    runs = [r[0] for r in meta]
+    return read_history(spark, root, name, runs, open_run=meta[-1][1])
+
+
+def current_open(spark: SparkSession, root: str, name: str) -> DataFrame:
+    meta = committed_runs(spark, root).select("run_id", f"{name}_run").orderBy("run_id").collect()
+    return read_open(spark, root, name, meta[-1][1])
+
+
 # ------------------------------------------------------------------ reports, meta, rejects
 def write_reports(rows: DataFrame, root: str) -> None:
     (rows.select(*[f.name for f in REP_FRAUD.fields]).write.mode("overwrite")
@@ -137,7 +155,7 @@ def write_reports(rows: DataFrame, root: str) -> None:
 
 def read_reports(spark: SparkSession, root: str, max_report_dt: dt.date | None = None) -> DataFrame:
     path = _p(root, "rep_fraud")
-    df = spark.read.parquet(path)
+    df = spark.read.schema(REP_FRAUD).parquet(path)  # partition columns keep their types
     if max_report_dt is not None:
         df = df.where(F.col("report_dt") <= date_lit(max_report_dt))
     return df.select(*[f.name for f in REP_FRAUD.fields])
@@ -158,9 +176,14 @@ def write_rejects(rejects: DataFrame, root: str, run_id: str, feed: str) -> None
 
 # ------------------------------------------------------------------ commit log
 def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
-           transactions_dt=None, blacklist_dt=None, terminals_dt=None) -> None:
-    """K7: publish the run.  Written last; one tiny file per run."""
-    row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt)]
+           transactions_dt=None, blacklist_dt=None, terminals_dt=None,
+           dim_runs: dict | None = None, blacklist_run: str | None = None) -> None:
+    """K7: publish the run.  Written last; one tiny file per run.  The row
+    also names, per dimension and for the blacklist, the run whose output is
+    current (a run without a terminals file leaves that dimension as it was)."""
+    d = dim_runs or {}
+    row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt, d.get("cards"),
+            d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run)]
     (spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("overwrite")
      .parquet(_p(root, "runs", f"commit={run_id}")))
 
@@ -169,7 +192,7 @@ def committed_runs(spark: SparkSession, root: str) -> DataFrame:
     path = _p(root, "runs")
     if not _exists(spark, path):
         return spark.createDataFrame([], RUNS_SCHEMA)
-    return spark.read.parquet(path).select(*RUNS_SCHEMA.fieldNames())
+    return spark.read.schema(RUNS_SCHEMA).parquet(path)
 
 
 def committed_run_ids(spark: SparkSession, root: str) -> list[str]:
