@@ -19,7 +19,9 @@ def rows(df, *cols):
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Formatted physical plan (what ``df.explain("formatted")`` prints)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
 def no_row(df):
