@@ -1,8 +1,9 @@
 """Staging transforms (T1-T6): raw feed text and snapshots -> typed staging rows.
 
-Each ``stage_*`` returns ``(good, rejects)``; a reject row carries the raw
-values and a ``reason``.  Keys are trimmed once here so that later joins are
-plain equi-joins.
+Each ``stage_*`` returns a ``Staged``: one typed frame with a ``reason``
+column (NULL for good rows).  It unpacks as ``(good, rejects)``; the daily
+run writes ``tagged`` once, so the source is scanned once.  Keys are trimmed
+here so that later joins are plain equi-joins.
 """
 
 from __future__ import annotations
@@ -18,11 +19,20 @@ from cardwatch.schemas import (DIMS, LENGTH_LIMITS, STG_ACCOUNTS, STG_BLACKLIST,
                                STG_CLIENTS, STG_TERMINALS, STG_TRANSACTIONS)
 
 
-def _split(df: DataFrame, reason: Column, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    tagged = df.withColumn("_reason", reason)
-    good = tagged.where(F.col("_reason").isNull()).select(*columns)
-    bad = tagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
-    return good, bad
+class Staged(tuple):
+    """``(good, rejects)`` plus ``tagged``: every row with its ``reason``."""
+
+    def __new__(cls, tagged: DataFrame, columns: list[str]):
+        good = tagged.where(F.col("reason").isNull()).select(*columns)
+        bad = tagged.where(F.col("reason").isNotNull())
+        obj = super().__new__(cls, (good, bad))
+        obj.tagged, obj.columns = tagged, columns
+        return obj
+
+
+def _split(df: DataFrame, reason: Column, columns: list[str]) -> Staged:
+    keep = [c for c in df.columns if c != "reason"]
+    return Staged(df.select(*keep, reason.alias("reason")), columns)
 
 
 def _first_reason(checks: list[tuple[Column, str]]) -> Column:
@@ -33,15 +43,16 @@ def _first_reason(checks: list[tuple[Column, str]]) -> Column:
 
 
 def decimal_comma(c: Column) -> Column:
-    """T1: '10,50' -> 10.50 as decimal(10,2)."""
-    return F.translate(c, ",", ".").cast("decimal(10,2)")
+    """T1: '10,50' -> 10.50 as decimal(10,2); NULL (a reject) when the text is
+    not a number or does not fit, instead of failing the whole job."""
+    return F.translate(c, ",", ".").try_cast("decimal(10,2)")
 
 
-def stage_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_transactions(raw: DataFrame) -> Staged:
     """T1 + T2: rename, trim the card number, type every field."""
     typed = raw.select(
         F.col("transaction_id").alias("trans_id"),
-        F.to_timestamp_ntz(F.col("transaction_date")).alias("trans_date"),
+        F.col("transaction_date").try_cast("timestamp_ntz").alias("trans_date"),
         decimal_comma(F.col("amount")).alias("amt"),
         trimmed(F.col("card_num")).alias("card_num"),
         F.col("oper_type"), F.col("oper_result"), F.col("terminal"),
@@ -55,7 +66,7 @@ def stage_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _split(typed, reason, [f.name for f in STG_TRANSACTIONS.fields])
 
 
-def stage_terminals(raw: DataFrame, feed_dt: dt.date) -> tuple[DataFrame, DataFrame]:
+def stage_terminals(raw: DataFrame, feed_dt: dt.date) -> Staged:
     """T3 + T4: trim the id, add ``update_dt`` = feed file date."""
     typed = raw.select(trimmed(F.col("terminal_id")).alias("terminal_id"), "terminal_type",
                        "terminal_city", "terminal_address",
@@ -67,9 +78,9 @@ def stage_terminals(raw: DataFrame, feed_dt: dt.date) -> tuple[DataFrame, DataFr
     return _split(typed, reason, [f.name for f in STG_TERMINALS.fields])
 
 
-def stage_blacklist(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stage_blacklist(raw: DataFrame) -> Staged:
     """T5: entry date as date, passport trimmed."""
-    typed = raw.select(F.to_date(F.col("enty_dt")).alias("enty_dt"),
+    typed = raw.select(F.col("enty_dt").try_cast("date").alias("enty_dt"),
                        trimmed(F.col("passport_num")).alias("passport_num"),
                        F.col("enty_dt").alias("_raw_date"))
     reason = _first_reason([
@@ -84,7 +95,7 @@ _SNAPSHOT_SCHEMAS = {"cards": STG_CARDS, "accounts": STG_ACCOUNTS, "clients": ST
 
 
 def stage_snapshot(name: str, snapshot: DataFrame, check_lengths: bool = True
-                   ) -> tuple[DataFrame, DataFrame]:
+                   ) -> Staged:
     """S1-S3: select the snapshot's columns by name, cast, trim the key."""
     schema = _SNAPSHOT_SCHEMAS[name]
     key = DIMS[name].key

@@ -61,15 +61,13 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _stage_to(spark, root, run_id, name, good, bad) -> tuple[DataFrame, DataFrame]:
-    """Write staged rows (with their reject reason) once; read both parts back."""
+def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame, DataFrame]:
+    """K1: write the staged rows with their reject reason in one pass over the
+    source; read good rows and rejects back from that copy."""
     path = f"{root}/stg_{name}/run={run_id}"
-    cols = good.columns
-    allrows = good.withColumn("reason", F.lit(None).cast("string")).unionByName(
-        bad.select(*cols, "reason"))
-    allrows.write.mode("overwrite").parquet(path)
+    st.tagged.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
-    return (back.where(F.col("reason").isNull()).select(*cols),
+    return (back.where(F.col("reason").isNull()).select(*st.columns),
             back.where(F.col("reason").isNotNull()))
 
 
@@ -94,25 +92,25 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     # ---- staging: every source is scanned once, then read back from Parquet
     staged = {}
     for name in SNAPSHOT_DIMS:
-        good, bad = staging.stage_snapshot(name, sources.snapshots[name])
-        good, bad = _stage_to(spark, root, run_id, name, good, bad)
+        st = staging.stage_snapshot(name, sources.snapshots[name])
+        good, bad = _stage_to(spark, root, run_id, name, st)
         if not allow_empty_snapshots and good.isEmpty():
             raise EmptySnapshot(f"{name}: empty snapshot; refusing to tombstone every key")
         staged[name] = good
         res.rejects[name] = bad.count()
     if "transactions" in res.picked:
-        good, bad = staging.stage_transactions(feeds.read_transactions(spark, path_of["transactions"]))
-        staged["transactions"], bad = _stage_to(spark, root, run_id, "transactions", good, bad)
+        st = staging.stage_transactions(feeds.read_transactions(spark, path_of["transactions"]))
+        staged["transactions"], bad = _stage_to(spark, root, run_id, "transactions", st)
         res.rejects["transactions"] = bad.count()
     if "blacklist" in res.picked:
         raw = feeds.read_blacklist(spark, path_of["blacklist"], sources.blacklist_format)
-        good, bad = staging.stage_blacklist(raw)
-        staged["blacklist"], bad = _stage_to(spark, root, run_id, "blacklist", good, bad)
+        st = staging.stage_blacklist(raw)
+        staged["blacklist"], bad = _stage_to(spark, root, run_id, "blacklist", st)
         res.rejects["blacklist"] = bad.count()
     if "terminals" in res.picked:
         raw = feeds.read_terminals(spark, path_of["terminals"], sources.terminals_format)
-        good, bad = staging.stage_terminals(raw, res.picked["terminals"][1])
-        staged["terminals"], bad = _stage_to(spark, root, run_id, "terminals", good, bad)
+        st = staging.stage_terminals(raw, res.picked["terminals"][1])
+        staged["terminals"], bad = _stage_to(spark, root, run_id, "terminals", st)
         res.rejects["terminals"] = bad.count()
 
     # ---- type-2 history: O(open + staged) per dimension

@@ -84,3 +84,15 @@ def test_parquet_blacklist_is_positional(spark, tmp_path):
     assert rows(feeds.read_blacklist(spark, p)) == [("2021-02-01", "PP1")]
     assert os.path.isdir(p)
     assert F  # noqa
+
+
+def test_malformed_values_are_rejected_not_fatal(spark, tmp_path):
+    path = _write(tmp_path, "transactions_03032021.txt", HEADER
+                  + "1;not a date;1,00;C1;PAY;SUCCESS;T1\n"
+                  + "2;2021-03-01 10:00:00;12,3,4;C1;PAY;SUCCESS;T1\n"
+                  + "3;2021-03-01 10:00:00;123456789,00;C1;PAY;SUCCESS;T1\n"
+                  + "4;2021-03-01 10:00:00;1,00;C1;PAY;SUCCESS;T1\n")
+    good, bad = staging.stage_transactions(feeds.read_transactions(spark, path))
+    assert rows(good, "trans_id") == [("4",)]
+    assert rows(bad, "trans_id", "reason") == [("1", "bad transaction date"), ("2", "bad amount"),
+                                               ("3", "bad amount")]
