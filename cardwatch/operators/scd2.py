@@ -30,9 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import (inf_ts, minus_one_second, ntz_lit,
-                                      null_safe_differs)
-from cardwatch.schemas import FLAG_DELETED, FLAG_LIVE, DimSpec
+from cardwatch.functions.expr import inf_ts, ntz_lit
+from cardwatch.schemas import FLAG_DELETED, FLAG_LIVE, INF, DimSpec
 
 NEW, SAME, CHANGED, DELETED, RETURNED, STILL_DELETED = (
     "NEW", "SAME", "CHANGED", "DELETED", "RETURNED", "STILL_DELETED")
@@ -78,54 +77,63 @@ def _keyed(df: DataFrame, key: str, prefix: str) -> DataFrame:
             .select(key, *cols, F.count(F.lit(1)).over(w).alias(prefix + "_n")))
 
 
+def _ts(v: dt.datetime | dt.date) -> str:
+    """SQL literal of a timestamp without zone (a date means its midnight)."""
+    if not isinstance(v, dt.datetime):
+        v = dt.datetime(v.year, v.month, v.day)
+    return f"TIMESTAMP_NTZ'{v:%Y-%m-%d %H:%M:%S}'"
+
+
+def _fail(spec: DimSpec, text: str) -> str:
+    return f"raise_error(concat('{spec.name}: {text} ', cast({spec.key} AS STRING)))"
+
+
 def classify(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock) -> DataFrame:
-    """One row per key: class, effective timestamps, open (``o_*``) and staged (``s_*``) values."""
+    """One row per key: class, effective timestamps, open (``o_*``) and staged (``s_*``) values.
+
+    The expressions are plain SQL text, so each is handed to the JVM in one
+    call rather than assembled node by node."""
     k = spec.key
     o = _keyed(history_open.select(*spec.dim_columns), k, "o_")
     stg_cols = [k, *spec.attrs] + ([] if spec.feed_clock else ["create_dt", "update_dt"])
     s = _keyed(staged.select(*stg_cols), k, "s_")
     j = o.join(s, on=k, how="full_outer")
 
-    run_ts = ntz_lit(clock.run_ts)
-    del_ts = clock.deletion(spec)
-    has_o = F.col("o__n").isNotNull()
-    has_s = F.col("s__n").isNotNull()
-    o_live = F.col("o_deleted_flg") == F.lit(FLAG_LIVE)
-    differs = null_safe_differs([(F.col("o_" + a), F.col("s_" + a)) for a in spec.attrs])
-    cls = (F.when(~has_o, F.lit(NEW))
-           .when(~has_s & o_live, F.lit(DELETED))
-           .when(~has_s, F.lit(STILL_DELETED))
-           .when(~o_live, F.lit(RETURNED))
-           .when(differs, F.lit(CHANGED))
-           .otherwise(F.lit(SAME)))
-    dup = F.coalesce(F.col("o__n"), F.lit(1)) + F.coalesce(F.col("s__n"), F.lit(1)) > 2
-    cls = F.when(dup, F.raise_error(F.concat(
-        F.lit(f"{spec.name}: key is not unique in staging or open history: "),
-        F.col(k).cast("string")))).otherwise(cls)
-
+    run = _ts(clock.run_ts)
     if spec.feed_clock:
-        eff_raw = del_ts
-        start_new = del_ts
+        if clock.feed_dt is None:
+            raise ValueError(f"{spec.name}: a feed date is required")
+        dl = _ts(clock.feed_dt)
+        eff_raw, start_new = dl, dl
     else:
-        eff_raw = F.col("s_update_dt")
-        start_new = F.when(F.col("s_create_dt").isNull() | (F.col("s_create_dt") > run_ts), run_ts) \
-                     .otherwise(F.col("s_create_dt"))
-    eff = F.when(eff_raw.isNull() | (eff_raw <= F.col("o_start_dt")) | (eff_raw > run_ts), run_ts) \
-           .otherwise(eff_raw)
-    return j.select(k, *[c for c in j.columns if c != k],
-                    cls.alias("class"), eff.alias("eff"), start_new.alias("start_new"),
-                    del_ts.alias("del_ts"))
-
-
-def _row(spec: DimSpec, src: str, start: Column, end: Column, flag: Column,
-         processed: Column | None, step: str, state: str) -> Column:
-    fields = [F.col(spec.key).alias(spec.key)]
-    fields += [F.col(src + a).alias(a) for a in spec.attrs]
-    fields += [start.alias("start_dt"), end.alias("end_dt"), flag.alias("deleted_flg")]
+        dl = run
+        eff_raw = "s_update_dt"
+        start_new = (f"CASE WHEN s_create_dt IS NULL OR s_create_dt > {run} THEN {run} "
+                     f"ELSE s_create_dt END")
+    differs = " OR ".join(f"NOT (o_{a} <=> s_{a})" for a in spec.attrs)
+    cls = f"""CASE
+        WHEN coalesce(o__n, 1) + coalesce(s__n, 1) > 2
+             THEN {_fail(spec, 'key is not unique in staging or open history:')}
+        WHEN o__n IS NULL THEN '{NEW}'
+        WHEN s__n IS NULL AND o_deleted_flg = '{FLAG_LIVE}' THEN '{DELETED}'
+        WHEN s__n IS NULL THEN '{STILL_DELETED}'
+        WHEN o_deleted_flg <> '{FLAG_LIVE}' THEN '{RETURNED}'
+        WHEN {differs} THEN '{CHANGED}'
+        ELSE '{SAME}' END"""
+    eff = (f"CASE WHEN {eff_raw} IS NULL OR {eff_raw} <= o_start_dt OR {eff_raw} > {run} "
+           f"THEN {run} ELSE {eff_raw} END")
+    return j.selectExpr("*", f"{cls} AS class", f"{eff} AS eff", f"{start_new} AS start_new",
+                        f"{dl} AS del_ts")
+
+
+def _row(spec: DimSpec, src: str, start: str, end: str, flag: str, processed: str,
+         step: str, state: str) -> str:
+    fields = [(spec.key, spec.key)] + [(a, src + a) for a in spec.attrs]
+    fields += [("start_dt", start), ("end_dt", end), ("deleted_flg", flag)]
     if spec.has_processed_dt:
-        fields.append(processed.alias("processed_dt"))
-    fields += [F.lit(step).alias("step"), F.lit(state).alias("state")]
-    return F.struct(*fields)
+        fields.append(("processed_dt", processed))
+    fields += [("step", step), ("state", f"'{state}'")]
+    return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + ")"
 
 
 def merge(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock) -> DataFrame:
@@ -133,37 +141,27 @@ def merge(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Cloc
     and ``state`` ('open' / 'closed').  Older closed history is untouched and
     not part of the result."""
     c = classify(history_open, staged, spec, clock)
-    run_ts = ntz_lit(clock.run_ts)
-    cls = F.col("class")
-    o_start, o_flag = F.col("o_start_dt"), F.col("o_deleted_flg")
-    o_proc = F.col("o_processed_dt") if spec.has_processed_dt else None
-    proc = run_ts if spec.has_processed_dt else None
-    live, dead, inf = F.lit(FLAG_LIVE), F.lit(FLAG_DELETED), inf_ts()
-
-    close_at = F.when(cls == CHANGED, minus_one_second(F.col("eff"))) \
-                .otherwise(minus_one_second(F.col("del_ts")))
-    close_step = F.when(cls == DELETED, F.lit(STEP_CLOSE_DELETED)).otherwise(F.lit(STEP_CLOSE_CHANGED))
-    closed = _row(spec, "o_", o_start, close_at, o_flag, proc, "", "closed")
-    closed = closed.withField("step", close_step)
-    closed = closed.withField("end_dt", F.when(
-        close_at < o_start,
-        F.raise_error(F.concat(F.lit(f"{spec.name}: run clock is not after the open version of key "),
-                               F.col(spec.key).cast("string")))).otherwise(close_at))
-
-    opened_staged = _row(spec, "s_", F.when(cls == NEW, F.col("start_new"))
-                         .when(cls == CHANGED, F.col("eff")).otherwise(F.col("del_ts")),
-                         inf, live, proc, "", "open")
-    opened_staged = opened_staged.withField(
-        "step", F.when(cls == CHANGED, F.lit(STEP_VERSION)).otherwise(F.lit(STEP_INSERT)))
-    tombstone = _row(spec, "o_", F.col("del_ts"), inf, dead, proc, STEP_TOMBSTONE, "open")
-    kept = _row(spec, "o_", o_start, F.col("o_end_dt"), o_flag, o_proc, STEP_KEEP, "open")
-
-    null_row = F.lit(None)
-    first = F.when(cls.isin(CHANGED, DELETED, RETURNED), closed).otherwise(null_row)
-    second = (F.when(cls.isin(NEW, CHANGED, RETURNED), opened_staged)
-              .when(cls == DELETED, tombstone)
-              .otherwise(kept))
-    out = c.select(F.inline(F.filter(F.array(first, second), lambda x: x.isNotNull())))
+    run, inf = _ts(clock.run_ts), _ts(INF)
+    close_at = f"(CASE WHEN class = '{CHANGED}' THEN eff ELSE del_ts END - INTERVAL 1 SECOND)"
+    close_checked = (f"CASE WHEN {close_at} < o_start_dt "
+                     f"THEN {_fail(spec, 'run clock is not after the open version of key')} "
+                     f"ELSE {close_at} END")
+    closed = _row(spec, "o_", "o_start_dt", close_checked, "o_deleted_flg", run,
+                  f"CASE WHEN class = '{DELETED}' THEN '{STEP_CLOSE_DELETED}' "
+                  f"ELSE '{STEP_CLOSE_CHANGED}' END", "closed")
+    opened = _row(spec, "s_",
+                  f"CASE WHEN class = '{NEW}' THEN start_new WHEN class = '{CHANGED}' THEN eff "
+                  f"ELSE del_ts END", inf, f"'{FLAG_LIVE}'", run,
+                  f"CASE WHEN class = '{CHANGED}' THEN '{STEP_VERSION}' ELSE '{STEP_INSERT}' END",
+                  "open")
+    tombstone = _row(spec, "o_", "del_ts", inf, f"'{FLAG_DELETED}'", run,
+                     f"'{STEP_TOMBSTONE}'", "open")
+    kept = _row(spec, "o_", "o_start_dt", "o_end_dt", "o_deleted_flg", "o_processed_dt",
+                f"'{STEP_KEEP}'", "open")
+    first = f"CASE WHEN class IN ('{CHANGED}', '{DELETED}', '{RETURNED}') THEN {closed} END"
+    second = (f"CASE WHEN class IN ('{NEW}', '{CHANGED}', '{RETURNED}') THEN {opened} "
+              f"WHEN class = '{DELETED}' THEN {tombstone} ELSE {kept} END")
+    out = c.selectExpr(f"inline(filter(array({first}, {second}), x -> x IS NOT NULL))")
     return out.select(*spec.dim_columns, "step", "state")
 
 
