@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, fio, ntz, ntz_lit, trimmed
+from cardwatch.operators.lookup import attach_owners, materialize
 from cardwatch.schemas import (EVENT_CITY_HOP, EVENT_CONTRACT, EVENT_PASSPORT,
                                REP_FRAUD, SUCCESS)
 
@@ -83,9 +84,10 @@ def trans_info(fact: DataFrame, cards: DataFrame, report_dt: dt.date,
 
 
 def _base(fact, cards, accounts, clients, report_dt, mode, report) -> DataFrame:
+    """Scoped SUCCESS transactions with their card's owner (inner joins)."""
     t = scoped_transactions(fact, report_dt, mode, report).select(
         "trans_date", trimmed(F.col("card_num")).alias("card_key"))
-    return t.join(card_owner(cards, accounts, clients), "card_key", "inner")
+    return attach_owners(t, cards, accounts, clients, outer=False)
 
 
 def _rep(event_dt: Column, event_type: str, report_dt: dt.date) -> list[Column]:
@@ -197,14 +199,9 @@ def city_hop_report(fact, terminals, cards_open, accounts_open, clients_open,
 
     Pairs are found first and only then joined to the single open version of
     card, account and client (left joins, as in the original statement)."""
-    p = hop_pairs(fact, terminals, report_dt, mode).select("trans_date", "card_num")
-    cards = cards_open.select(trimmed(F.col("card_num")).alias("card_num"), "account_num")
-    accts = accounts_open.select("account_num", "client")
-    cl = clients_open.select("client_id", "passport_num", "phone", fio(
-        F.col("last_name"), F.col("first_name"), F.col("patronymic")).alias("fio"))
-    j = (p.join(cards, "card_num", "left")
-         .join(accts, "account_num", "left")
-         .join(cl, F.col("client") == F.col("client_id"), "left"))
+    p = materialize(hop_pairs(fact, terminals, report_dt, mode)
+                    .select("trans_date", F.col("card_num").alias("card_key")))
+    j = attach_owners(p, cards_open, accounts_open, clients_open, outer=True)
     return (j.groupBy("passport_num", "fio", "phone")
             .agg(F.max("trans_date").alias("event_dt"))
             .select(*_rep(F.col("event_dt"), EVENT_CITY_HOP, report_dt)))

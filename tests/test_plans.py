@@ -59,3 +59,25 @@ def test_column_pruning_at_scan(spark):
     schemas = [ln for ln in p.splitlines() if ln.startswith("ReadSchema")]
     assert schemas and all("props" not in ln and "value" not in ln for ln in schemas)
     assert tt
+
+
+def test_owner_lookup_small_key_set_filters_dimensions_by_broadcast(spark):
+    p = _plan(catalog.q_report_contract(spark, SF0001))
+    assert "BroadcastHashJoin LeftSemi" in p
+    assert not re.search(r"Arguments: hashpartitioning\(card_key", p)
+
+
+def test_owner_lookup_large_key_set_falls_back_to_shuffles(spark):
+    import __spark_entry__ as entry
+    from tools.oracle_check import duck, rows_of
+    spark.conf.set("cardwatch.lookup.maxBroadcastKeys", "0")
+    try:
+        con = duck(SF0001)
+        for key in ("report_fraud_all", "report_city_hop"):
+            df = entry.queries()[key](spark, SF0001)
+            assert "LeftSemi" not in _plan(df)
+            got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+            cur = con.execute(entry.oracle_sql()[key])
+            assert got == rows_of([c[0] for c in cur.description], cur.fetchall())
+    finally:
+        spark.conf.unset("cardwatch.lookup.maxBroadcastKeys")
