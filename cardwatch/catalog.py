@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, ntz_lit, null_safe_differs
-from cardwatch.operators import scd2, staging
+from cardwatch.operators import literal, scd2, staging
 from cardwatch.plans import reports, watermark
 from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINALS,
                                FEED_PREFIX_TRANSACTIONS, META, META_SCHEMA)
@@ -322,6 +322,14 @@ def _scd2_query(name: str, step: str | None) -> Query:
     return q
 
 
+def _scd2_literal_query(name: str) -> Query:
+    def q(spark, sf):
+        tt = _tt(spark, sf)
+        return literal.step(tt.dim_before(name), staged(tt, name), DIMS[name], _clock())
+    q.__name__ = f"scd2_merge_{name}_literal"
+    return q
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "snapshot_cards": lambda s, sf: staged(_tt(s, sf), "cards"),
@@ -353,6 +361,7 @@ def queries() -> dict[str, Query]:
         for step in scd2.STEPS:
             q[f"scd2_{step}_{name}"] = _scd2_query(name, step)
         q[f"scd2_merge_{name}"] = _scd2_query(name, None)
+        q[f"scd2_merge_{name}_literal"] = _scd2_literal_query(name)
     q.update({
         "report_client_info": q_report_client_info,
         "report_trans_info": q_report_trans_info,

@@ -345,6 +345,72 @@ def watermark_snapshots(intended: bool = True) -> str:
     return _with(_snapshot_max(), w1, w2, w3) + "SELECT * FROM w3"
 
 
+def scd2_literal(name: str) -> str:
+    """The original five statements as a chain of CTEs over the whole history."""
+    key, attrs, feed = DIMS[name]
+    cols = _dim_cols(name)
+    att = ", ".join(attrs)
+    s_att = ", ".join(f"s.{a}" for a in attrs)
+    diff = lambda x, y, at=attrs: " OR ".join(f"{x}.{a} IS DISTINCT FROM {y}.{a}" for a in at)
+    fd = f"CAST({FEED} AS TIMESTAMP)"
+    live_open = f"end_dt = {INF} AND deleted_flg = 'N'"
+    p_run = f", {RUN}" if feed else ""
+    if feed:
+        ins1 = f"""ins1 AS (SELECT DISTINCT s.{key}, {s_att}, {fd}, {INF}, 'N'{p_run} FROM stg_{name} s
+  WHERE NOT EXISTS (SELECT 1 FROM h0 d WHERE d.{key} = s.{key}))"""
+    else:
+        cond = live_open if name in ("cards", "clients") else "deleted_flg = 'N'"
+        ins1 = f"""ins1 AS (SELECT s.{key}, {s_att}, s.create_dt, {INF}, 'N' FROM stg_{name} s
+  WHERE NOT EXISTS (SELECT 1 FROM h0 d WHERE d.{key} = s.{key} AND {cond}))"""
+    if name == "cards":
+        u1 = f"""tmp2 AS (SELECT s.update_dt AS u FROM stg_cards s
+  LEFT JOIN (SELECT * FROM h1 WHERE {live_open}) d ON s.card_num = d.card_num
+  WHERE {diff('s', 'd')}),
+h2 AS (SELECT card_num, account_num, start_dt,
+  CASE WHEN (SELECT count(*) FROM tmp2) > 0 THEN (SELECT max(u) FROM tmp2) - INTERVAL 1 SECOND
+       ELSE end_dt END AS end_dt, deleted_flg FROM h1)"""
+    elif not feed:
+        u1 = f"""tmp2 AS (SELECT s.{key}, max(s.update_dt) AS u FROM stg_{name} s
+  JOIN (SELECT * FROM h1 WHERE {live_open}) d ON s.{key} = d.{key}
+  WHERE {diff('s', 'd')} GROUP BY s.{key}),
+h2 AS (SELECT h1.{key}, {", ".join(f"h1.{a}" for a in attrs)}, h1.start_dt,
+  CASE WHEN t.{key} IS NOT NULL THEN t.u - INTERVAL 1 SECOND ELSE h1.end_dt END AS end_dt,
+  h1.deleted_flg FROM h1 LEFT JOIN tmp2 t ON h1.{key} = t.{key})"""
+    else:
+        hit = ("EXISTS (SELECT 1 FROM tmp2 t WHERE t.terminal_id = h1.terminal_id "
+               "AND t.terminal_type = h1.terminal_type AND t.terminal_city = h1.terminal_city)")
+        u1 = f"""tmp2 AS (SELECT DISTINCT s.terminal_id, s.terminal_type, s.terminal_city
+  FROM stg_terminals s LEFT JOIN (SELECT * FROM h1 WHERE {live_open}) d
+    ON s.terminal_type = d.terminal_type AND s.terminal_city = d.terminal_city
+   AND s.terminal_address = d.terminal_address
+  WHERE {diff('s', 'd', [key, *attrs])}),
+h2 AS (SELECT terminal_id, {att}, start_dt,
+  CASE WHEN {hit} THEN {fd} - INTERVAL 1 SECOND ELSE end_dt END AS end_dt, deleted_flg,
+  CASE WHEN {hit} THEN {RUN} ELSE processed_dt END AS processed_dt FROM h1)"""
+    if feed:
+        v1 = f"""ins3 AS (SELECT DISTINCT d.{key}, {s_att}, {fd}, {INF}, 'N'{p_run}
+  FROM stg_{name} s JOIN h2 d ON s.{key} = d.{key} WHERE {diff('s', 'd')})"""
+    else:
+        v1 = f"""ins3 AS (SELECT DISTINCT s.{key}, {s_att}, s.update_dt, {INF}, 'N'
+  FROM stg_{name} s LEFT JOIN (SELECT * FROM h2 WHERE deleted_flg = 'N') d ON s.{key} = d.{key}
+  WHERE {diff('s', 'd')})"""
+    dl = fd if feed else RUN
+    distinct = "DISTINCT " if feed else ""
+    gone = f"""gone AS (SELECT DISTINCT d.{key} FROM h3 d WHERE d.end_dt = {INF} AND d.deleted_flg = 'N'
+  AND NOT EXISTS (SELECT 1 FROM stg_{name} s WHERE s.{key} = d.{key}))"""
+    ins4 = f"""ins4 AS (SELECT {distinct}{key}, {att}, {dl}, {INF}, 'Y'{p_run} FROM h3
+  WHERE {live_open} AND {key} IN (SELECT {key} FROM gone))"""
+    closing = f"{live_open} AND {key} IN (SELECT {key} FROM gone)"
+    h4 = f"""h4 AS (SELECT {key}, {att}, start_dt,
+  CASE WHEN {closing} THEN {dl} - INTERVAL 1 SECOND ELSE end_dt END AS end_dt, deleted_flg
+  {f", CASE WHEN {closing} THEN {RUN} ELSE processed_dt END AS processed_dt" if feed else ""}
+  FROM h3)"""
+    return _with(f"h0 AS (SELECT {cols} FROM hist_{name})", ins1,
+                 "h1 AS (SELECT * FROM h0 UNION ALL SELECT * FROM ins1)", u1, v1,
+                 "h3 AS (SELECT * FROM h2 UNION ALL SELECT * FROM ins3)", gone, ins4, h4) + \
+        "SELECT * FROM h4 UNION ALL SELECT * FROM ins4"
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "snapshot_cards": _with() + "SELECT * FROM stg_cards",
@@ -378,6 +444,7 @@ FROM fact""",
         for step in ("insert", "close_changed", "version", "tombstone", "close_deleted"):
             q[f"scd2_{step}_{name}"] = scd2_step(name, step)
         q[f"scd2_merge_{name}"] = scd2_merge(name)
+        q[f"scd2_merge_{name}_literal"] = scd2_literal(name)
     q.update({
         "report_client_info": _with(CLIENT_INFO) + "SELECT * FROM client_info",
         "report_trans_info": _with(_trans_info(DAY_BOUND)) + "SELECT * FROM trans_info",
