@@ -162,16 +162,3 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                      terminals_dt=dates.get("terminals"), dim_runs=dim_run,
                      blacklist_run=blacklist_run)
     return res
-
-
-def run_until_caught_up(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
-                        mode: str = "intended", max_runs: int = 366, **kw) -> list[RunResult]:
-    """Work off a backlog of feed files, one file per feed per run, in date
-    order; successive runs are one second apart so history stays ordered."""
-    out = []
-    for i in range(max_runs):
-        r = run(spark, sources, root, run_ts + dt.timedelta(seconds=i), mode, **kw)
-        out.append(r)
-        if not r.picked:
-            break
-    return out

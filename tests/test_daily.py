@@ -106,3 +106,18 @@ def test_run_must_move_forward(spark, tmp_path, feeds_dir):
     with pytest.raises(ValueError):
         daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds_dir), root, ts("2021-03-01 05:00:00"))
     assert dt  # noqa
+
+
+def test_catch_up_takes_backlog_in_date_order(spark, tmp_path):
+    from cardwatch.streaming import run_until_caught_up
+    f = tmp_path / "feeds"
+    f.mkdir()
+    for day in ("28022021", "01032021"):          # name order differs from date order
+        (f / f"transactions_{day}.txt").write_text(
+            HEADER + f"{day};{day[4:]}-{day[2:4]}-{day[:2]} 10:00:00;1,00;C1;PAY;SUCCESS;T1\n")
+    root = str(tmp_path / "wh")
+    done = run_until_caught_up(spark, daily.Sources(_snapshots(spark, 1), str(f)), root,
+                               ts("2021-03-02 06:00:00"))
+    assert [r.picked.get("transactions", (None, None))[1] for r in done] == \
+        [d("2021-02-28"), d("2021-03-01"), None]
+    assert warehouse.read_transactions(spark, root).count() == 2
