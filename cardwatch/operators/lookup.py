@@ -27,6 +27,22 @@ OWNER_COLUMNS = ["card_key", "account_num", "valid_to", "client", "fio", "passpo
                  "passport_valid_to", "phone"]
 
 
+def _flag_listed(owners: DataFrame, blacklist: DataFrame, small: bool) -> DataFrame:
+    """Add ``listed``: the owner's passport is on the blacklist.  Evaluated
+    once per card rather than once per transaction; when the owners are a
+    counted small set, the blacklist is first cut down to their passports so
+    the side that gets broadcast is bounded by that count."""
+    bl = blacklist.select("passport_num").where(F.col("passport_num").isNotNull())
+    if small:
+        bl = bl.join(F.broadcast(owners.select("passport_num").distinct()), "passport_num",
+                     "left_semi")
+    bl = bl.distinct().withColumn("listed", F.lit(True))
+    if small:
+        bl = F.broadcast(bl)
+    return (owners.join(bl, "passport_num", "left")
+            .withColumn("listed", F.coalesce(F.col("listed"), F.lit(False))))
+
+
 def max_keys(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(MAX_KEYS_CONF, str(DEFAULT_MAX_KEYS)))
 
@@ -39,7 +55,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame, outer: bool,
-                keys: DataFrame | None = None) -> DataFrame:
+                keys: DataFrame | None = None, blacklist: DataFrame | None = None) -> DataFrame:
     """One row per card: its account and client details.
 
     ``keys`` (column ``card_key``), when given, is a small counted key set:
@@ -56,16 +72,22 @@ def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame, outer
         a = a.join(F.broadcast(k.select("account_num").distinct()), "account_num", "left_semi")
         c = c.join(F.broadcast(a.select("client").distinct()), "client", "left_semi")
         a, c = F.broadcast(a), F.broadcast(c)
-    return k.join(a, "account_num", how).join(c, "client", how).select(*OWNER_COLUMNS)
+    owners = k.join(a, "account_num", how).join(c, "client", how).select(*OWNER_COLUMNS)
+    if blacklist is not None:
+        owners = _flag_listed(owners, blacklist, keys is not None)
+    return owners
 
 
 def attach_owners(rows: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                  outer: bool, limit: int | None = None) -> DataFrame:
-    """``rows`` (with ``card_key``) joined to their owners; inner or left."""
+                  outer: bool, limit: int | None = None,
+                  blacklist: DataFrame | None = None) -> DataFrame:
+    """``rows`` (with ``card_key``) joined to their owners; inner or left.
+    With ``blacklist``, owners carry the boolean ``listed``."""
     keys = materialize(rows.select("card_key").where(F.col("card_key").isNotNull()).distinct())
     limit = max_keys(rows) if limit is None else limit
     how = "left" if outer else "inner"
     if keys.count() <= limit:
-        owners = card_owners(cards, accounts, clients, outer, keys)
+        owners = card_owners(cards, accounts, clients, outer, keys, blacklist)
         return rows.join(F.broadcast(owners), "card_key", how)
-    return rows.join(card_owners(cards, accounts, clients, outer), "card_key", how)
+    return rows.join(card_owners(cards, accounts, clients, outer, blacklist=blacklist),
+                     "card_key", how)

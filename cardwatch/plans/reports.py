@@ -51,15 +51,6 @@ def client_info(accounts: DataFrame, clients: DataFrame) -> DataFrame:
                     "passport_num", "passport_valid_to", "phone"))
 
 
-def card_owner(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
-    """Card (trimmed number) -> account and client details.
-
-    The dimensions are joined with each other first, so the much larger
-    transaction side is shuffled exactly once, by card number."""
-    k = cards.select(trimmed(F.col("card_num")).alias("card_key"), "account_num")
-    return k.join(client_info(accounts, clients), "account_num", "inner")
-
-
 def scoped_transactions(fact: DataFrame, report_dt: dt.date, mode: str, report: str) -> DataFrame:
     """SUCCESS transactions in the time scope of R1 or R2; the bounds are
     literals on ``trans_date`` and reach the Parquet scan."""
@@ -83,11 +74,12 @@ def trans_info(fact: DataFrame, cards: DataFrame, report_dt: dt.date,
             .select("trans_id", "trans_date", F.col("card_key").alias("card_num"), "account_num"))
 
 
-def _base(fact, cards, accounts, clients, report_dt, mode, report) -> DataFrame:
-    """Scoped SUCCESS transactions with their card's owner (inner joins)."""
+def _base(fact, cards, accounts, clients, report_dt, mode, report, blacklist=None) -> DataFrame:
+    """Scoped SUCCESS transactions with their card's owner (inner joins);
+    with ``blacklist``, each owner carries ``listed``."""
     t = scoped_transactions(fact, report_dt, mode, report).select(
         "trans_date", trimmed(F.col("card_num")).alias("card_key"))
-    return attach_owners(t, cards, accounts, clients, outer=False)
+    return attach_owners(t, cards, accounts, clients, outer=False, blacklist=blacklist)
 
 
 def _rep(event_dt: Column, event_type: str, report_dt: dt.date) -> list[Column]:
@@ -96,11 +88,10 @@ def _rep(event_dt: Column, event_type: str, report_dt: dt.date) -> list[Column]:
             date_lit(report_dt).alias("report_dt")]
 
 
-def _passport_bad(blacklist: DataFrame) -> Column:
-    # IN (subquery) inside an OR: planned as an ExistenceJoin, which keeps
-    # duplicate blacklist entries from multiplying rows.
-    return (F.col("passport_num").isin(blacklist.select("passport_num"))
-            | (ntz(F.col("passport_valid_to")) < F.col("trans_date")))
+def _passport_bad() -> Column:
+    # ``listed`` comes from the owner lookup: the blacklist is checked once per
+    # card (duplicate entries collapse), not once per transaction.
+    return F.col("listed") | (ntz(F.col("passport_valid_to")) < F.col("trans_date"))
 
 
 def _contract_bad() -> Column:
@@ -110,8 +101,8 @@ def _contract_bad() -> Column:
 # ---------------------------------------------------------------------- R1
 def passport_report(fact, cards, accounts, clients, blacklist, report_dt: dt.date,
                     mode: str = INTENDED) -> DataFrame:
-    b = _base(fact, cards, accounts, clients, report_dt, mode, "passport")
-    return (b.where(_passport_bad(blacklist))
+    b = _base(fact, cards, accounts, clients, report_dt, mode, "passport", blacklist)
+    return (b.where(_passport_bad())
             .select(*_rep(F.col("trans_date"), EVENT_PASSPORT, report_dt)).distinct())
 
 
@@ -126,18 +117,11 @@ def contract_report(fact, cards, accounts, clients, report_dt: dt.date,
 def passport_and_contract(fact, cards, accounts, clients, blacklist, report_dt: dt.date) -> DataFrame:
     """R1 and R2 from one join pass (intended mode: both use the same scope).
 
-    Each joined transaction yields zero, one or two report rows.  The
-    blacklist becomes a flag through a left join with its distinct passports
-    (a subquery cannot sit inside the row generator)."""
-    b = _base(fact, cards, accounts, clients, report_dt, INTENDED, "passport")
-    bl = (blacklist.select("passport_num").where(F.col("passport_num").isNotNull()).distinct()
-          .withColumn("_listed", F.lit(True)))
-    b = b.join(bl, "passport_num", "left")
-    bad1 = (F.col("_listed").isNotNull()
-            | (ntz(F.col("passport_valid_to")) < F.col("trans_date")))
+    Each joined transaction yields zero, one or two report rows."""
+    b = _base(fact, cards, accounts, clients, report_dt, INTENDED, "passport", blacklist)
     r1 = F.struct(*_rep(F.col("trans_date"), EVENT_PASSPORT, report_dt))
     r2 = F.struct(*_rep(F.col("trans_date"), EVENT_CONTRACT, report_dt))
-    rows = F.array(F.when(bad1, r1), F.when(_contract_bad(), r2))
+    rows = F.array(F.when(_passport_bad(), r1), F.when(_contract_bad(), r2))
     return b.select(F.inline(F.filter(rows, lambda x: x.isNotNull()))).distinct()
 
 

@@ -18,11 +18,19 @@ def test_anti_join_is_left_anti(spark):
     assert "LeftAnti" in p
 
 
-def test_blacklist_check_is_an_existence_join(spark):
-    p = _plan(catalog.q_report_passport(spark, SF0001))
+def test_in_subquery_inside_or_is_an_existence_join(spark):
+    p = _plan(catalog.queries()["join_existence"](spark, SF0001))
     assert "ExistenceJoin" in p
 
 
+def test_blacklist_is_checked_per_owner_not_per_transaction(spark):
+    p = _plan(catalog.q_report_passport(spark, SF0001))
+    assert "ExistenceJoin" not in p and "listed" in p
+    # only small sides are deduplicated by passport (the owners' passports and
+    # the blacklist cut down to them); the transaction rows never are
+    assert len(re.findall(r"Arguments: hashpartitioning\(passport_num", p)) <= 2
+
+
 def test_scd2_merge_shuffles_each_side_once(spark):
     tt = catalog._tt(spark, SF0001)
     p = _plan(catalog.merged(tt, "clients"))
