@@ -201,6 +201,42 @@ def committed_run_ids(spark: SparkSession, root: str) -> list[str]:
     return [r.run_id for r in rows]
 
 
+def _fs_delete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath) and fs.delete(hpath, True))
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete copies no reader needs: open sets of a dimension older than the
+    ``keep`` newest committed ones that hold it, and staging copies of runs
+    older than the ``keep`` newest committed runs.  Closed rows, facts,
+    reports, watermarks and the commit log are never touched.  Metadata-only
+    work on the driver (one folder delete per obsolete run)."""
+    log = committed_runs(spark, root).orderBy("run_id").collect()  # one row per run
+    if not log:
+        return []
+    removed = []
+    for name in DIMS:
+        holders = []
+        for r in log:
+            h = r[f"{name}_run"]
+            if h and h not in holders:
+                holders.append(h)
+        for old in holders[:-keep] if keep > 0 else holders:
+            path = _p(root, f"dim_{name}", f"run={old}", "state=open")
+            if _fs_delete(spark, path):
+                removed.append(path)
+    runs = [r.run_id for r in log]
+    for old in runs[:-keep] if keep > 0 else runs:
+        for src in ("cards", "accounts", "clients", "transactions", "blacklist", "terminals"):
+            path = _p(root, f"stg_{src}", f"run={old}")
+            if _fs_delete(spark, path):
+                removed.append(path)
+    return removed
+
+
 def local_path(root: str) -> str:
     return root[len("file:"):] if root.startswith("file:") else root
 

@@ -121,3 +121,15 @@ def test_catch_up_takes_backlog_in_date_order(spark, tmp_path):
     assert [r.picked.get("transactions", (None, None))[1] for r in done] == \
         [d("2021-02-28"), d("2021-03-01"), None]
     assert warehouse.read_transactions(spark, root).count() == 2
+
+
+def test_vacuum_keeps_the_current_state(spark, tmp_path, feeds_dir):
+    root = str(tmp_path / "wh")
+    for day, t in ((1, "2021-03-01 06:00:00"), (2, "2021-03-02 06:00:00"), (2, "2021-03-03 06:00:00")):
+        daily.run(spark, daily.Sources(_snapshots(spark, day), feeds_dir), root, ts(t))
+    before = rows(warehouse.current_history(spark, root, "cards"))
+    removed = warehouse.vacuum(spark, root, keep=1)
+    assert any("dim_cards/run=20210301T060000/state=open" in p for p in removed)
+    assert not any("dim_terminals" in p for p in removed)   # its only open set is current
+    assert rows(warehouse.current_history(spark, root, "cards")) == before
+    assert warehouse.current_open(spark, root, "terminals").count() == 2

@@ -96,3 +96,21 @@ def test_malformed_values_are_rejected_not_fatal(spark, tmp_path):
     assert rows(good, "trans_id") == [("4",)]
     assert rows(bad, "trans_id", "reason") == [("1", "bad transaction date"), ("2", "bad amount"),
                                                ("3", "bad amount")]
+
+
+def test_jdbc_snapshot_options_split_on_a_date_column():
+    from cardwatch.sources.snapshots import jdbc_options
+    o = jdbc_options("jdbc:postgresql://db/x", "info.cards", {"user": "u"}, partition_column="create_dt",
+                     lower_bound="2000-01-01", upper_bound="2030-01-01", num_partitions=64)
+    assert o["partitionColumn"] == "create_dt" and o["numPartitions"] == "64" and o["user"] == "u"
+    with pytest.raises(ValueError):
+        jdbc_options("u", "t", partition_column="create_dt")
+
+
+def test_snapshot_binds_by_name(spark):
+    from cardwatch.sources.snapshots import select_snapshot
+    df = spark.createDataFrame([("2021-01-01 00:00:00", "A1", "C1", None)],
+                               "create_dt string, account_num string, card_num string, update_dt string")
+    r = select_snapshot(df, "cards").collect()[0]
+    assert (r.card_num, r.account_num) == ("C1", "A1")
+    assert r.create_dt == dt.datetime(2021, 1, 1)
