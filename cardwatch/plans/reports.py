@@ -138,6 +138,11 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
     kept when the cities differ, the next one is close enough and the first
     one succeeded (R3a).
 
+    The window carries the next transaction's *terminal*; a terminal has one
+    city, so a pair at the same terminal can never qualify and is dropped
+    before any city is looked up.  The day's transactions are shuffled once
+    (for the window) and the terminal lookups run on the few candidates.
+
     Intended mode needs the next transaction only when it is under an hour
     away, so the window runs per (card, hour) over that hour's rows plus a
     copy of the following hour's: a busy card is split into hourly groups
@@ -146,14 +151,10 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
     t = fact.select("trans_id", "trans_date", trimmed(F.col("card_num")).alias("card_num"),
                     "terminal", "oper_result")
     start, end = _day(report_dt)
+    order = [F.col("trans_date"), F.col("trans_id")]
     if mode == INTENDED:
         t = t.where((F.col("trans_date") >= start - F.expr("INTERVAL 1 HOUR"))
                     & (F.col("trans_date") < end))
-    term = terminals.select("terminal_id", "terminal_city")
-    t = t.join(term, t.terminal == term.terminal_id, "left").drop("terminal_id")
-
-    order = [F.col("trans_date"), F.col("trans_id")]
-    if mode == INTENDED:
         h = _hour_index(F.col("trans_date"))
         t = t.select("*", F.inline(F.array(
             F.struct(h.alias("hour"), F.lit(True).alias("own")),
@@ -161,20 +162,24 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
         w = Window.partitionBy("card_num", "hour").orderBy(*order)
     else:
         w = Window.partitionBy("card_num").orderBy(*order)
-    t = t.select("trans_id", "trans_date", "card_num", "terminal", "terminal_city",
-                 "oper_result", *(["own"] if mode == INTENDED else []),
+    t = t.select("trans_id", "trans_date", "card_num", "terminal", "oper_result",
+                 *(["own"] if mode == INTENDED else []),
                  F.lead("trans_id").over(w).alias("lead_tran"),
-                 F.lead("terminal_city").over(w).alias("lead_city"),
+                 F.lead("terminal").over(w).alias("lead_terminal"),
                  F.lead("trans_date").over(w).alias("lead_date"))
-    keep = (F.col("terminal_city") != F.col("lead_city")) & (F.col("oper_result") == SUCCESS)
+    keep = (F.col("oper_result") == SUCCESS) & (F.col("terminal") != F.col("lead_terminal"))
     if mode == INTENDED:
         keep = (keep & F.col("own")
                 & (F.col("lead_date") < F.col("trans_date") + F.expr("INTERVAL 1 HOUR"))
                 & (F.col("lead_date") >= start) & (F.col("lead_date") < end))
-    else:
-        keep = keep & F.col("lead_date").isNotNull()
-    return t.where(keep).select("trans_id", "trans_date", "card_num", "terminal_city",
-                                "lead_tran", "lead_city", "lead_date")
+    cand = t.where(keep)
+    here = terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
+    there = terminals.select(F.col("terminal_id").alias("lead_terminal"),
+                             F.col("terminal_city").alias("lead_city"))
+    return (cand.join(here, "terminal", "inner").join(there, "lead_terminal", "inner")
+            .where(F.col("terminal_city") != F.col("lead_city"))
+            .select("trans_id", "trans_date", "card_num", "terminal_city", "lead_tran",
+                    "lead_city", "lead_date"))
 
 
 def city_hop_report(fact, terminals, cards_open, accounts_open, clients_open,
