@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import date_lit, inf_ts, ntz_lit
+from cardwatch.functions.expr import date_lit
 from cardwatch.schemas import DIMS, FLAG_DELETED, FLAG_LIVE
 
 # Fixed values of the test scenario: one run on 2024-01-15 at 06:00, the
@@ -31,20 +31,51 @@ OLD_START = "2022-01-01 00:00:00"
 OLD_END = "2022-12-31 23:59:59"
 SEED_PROCESSED = "2023-01-01 06:00:00"
 BLACKLIST_ENTRY = "2024-01-01"
-
-
-def _k(name: str) -> Column:
-    return F.col(name)
+INF_TEXT = "9999-12-31 00:00:00"
+
+# Fixed derivation rules as SQL over the driver tables:
+# dimension -> (key column of the source table, [(column, expression)]).
+BASE_RULES = {
+    "cards": ("c_custkey", [
+        ("card_num", "concat('C', CAST(c_custkey AS STRING))"),
+        ("account_num", "concat('A', CAST(c_custkey AS STRING))")]),
+    "accounts": ("c_custkey", [
+        ("account_num", "concat('A', CAST(c_custkey AS STRING))"),
+        ("valid_to", "date_add(DATE'2024-01-01', CAST((c_custkey * 7) % 45 AS INT))"),
+        ("client", "CAST(c_custkey AS STRING)")]),
+    "clients": ("c_custkey", [
+        ("client_id", "CAST(c_custkey AS STRING)"),
+        ("last_name", "c_name"),
+        ("first_name", "c_mktsegment"),
+        ("patronymic", "CASE WHEN c_custkey % 13 = 0 THEN NULL "
+                       "ELSE concat('P', CAST(c_nationkey AS STRING)) END"),
+        ("date_of_birth", "date_add(DATE'1960-01-01', CAST(c_custkey % 9000 AS INT))"),
+        ("passport_num", "concat('PP', CAST(c_custkey AS STRING))"),
+        ("passport_valid_to", "date_add(DATE'2024-01-01', CAST(c_custkey % 60 AS INT))"),
+        ("phone", "concat('+', CAST(c_custkey + 70000 AS STRING))")]),
+    "terminals": ("s_suppkey", [
+        ("terminal_id", "concat('T', CAST(s_suppkey AS STRING))"),
+        ("terminal_type", "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END"),
+        ("terminal_city", "n_name"),
+        ("terminal_address", "s_name")]),
+}
+# dimension -> (altered attribute, its value in the prior open version (keys
+# with k % 5 = 0), its value in the oldest closed version (k % 7 = 0)).
+PRIOR_RULES = {
+    "cards": ("account_num", "concat('B', CAST(k AS STRING))", "concat('Z', CAST(k AS STRING))"),
+    "accounts": ("valid_to", "date_add(DATE'2023-12-01', CAST((k * 7) % 45 AS INT))",
+                 "DATE'2022-06-30'"),
+    "clients": ("phone", "concat('+', CAST(k + 60000 AS STRING))",
+                "concat('+', CAST(k + 50000 AS STRING))"),
+    "terminals": ("terminal_address", "concat(terminal_address, ' old')",
+                  "concat(terminal_address, ' older')"),
+}
 
 
 def _txt(c: Column) -> Column:
     return c.cast("string")
 
 
-def _days(base: str, n: Column) -> Column:
-    return F.date_add(date_lit(base), n.cast("int"))
-
-
 @dataclass
 class TestTables:
     spark: SparkSession
@@ -70,68 +101,26 @@ class TestTables:
         if dim == "terminals":
             s = self.table("supplier").select("s_suppkey", "s_name", "s_nationkey")
             n = self.table("nation").select("n_nationkey", "n_name")
-            k = _k("s_suppkey")
-            return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
-                    .select(k.alias("k"),
-                            F.concat(F.lit("T"), _txt(k)).alias("terminal_id"),
-                            F.when(k % 2 == 0, F.lit("ATM")).otherwise(F.lit("POS"))
-                            .alias("terminal_type"),
-                            F.col("n_name").alias("terminal_city"),
-                            F.col("s_name").alias("terminal_address")))
-        c = self.table("customer")
-        k = _k("c_custkey")
-        if dim == "cards":
-            return c.select(k.alias("k"), F.concat(F.lit("C"), _txt(k)).alias("card_num"),
-                            F.concat(F.lit("A"), _txt(k)).alias("account_num"))
-        if dim == "accounts":
-            return c.select(k.alias("k"), F.concat(F.lit("A"), _txt(k)).alias("account_num"),
-                            _days("2024-01-01", (k * 7) % 45).alias("valid_to"),
-                            _txt(k).alias("client"))
-        if dim == "clients":
-            return c.select(
-                k.alias("k"), _txt(k).alias("client_id"), F.col("c_name").alias("last_name"),
-                F.col("c_mktsegment").alias("first_name"),
-                F.when(k % 13 == 0, F.lit(None).cast("string"))
-                .otherwise(F.concat(F.lit("P"), _txt(F.col("c_nationkey")))).alias("patronymic"),
-                _days("1960-01-01", k % 9000).alias("date_of_birth"),
-                F.concat(F.lit("PP"), _txt(k)).alias("passport_num"),
-                _days("2024-01-01", k % 60).alias("passport_valid_to"),
-                F.concat(F.lit("+"), _txt(k + 70000)).alias("phone"))
-        raise KeyError(dim)
-
-    @staticmethod
-    def _altered(dim: str, df: DataFrame, older: bool) -> DataFrame:
-        """Replace one tracked attribute by an earlier value."""
-        k = _k("k")
-        if dim == "cards":
-            return df.withColumn("account_num",
-                                 F.concat(F.lit("Z" if older else "B"), _txt(k)))
-        if dim == "accounts":
-            return df.withColumn("valid_to", date_lit("2022-06-30") if older
-                                 else _days("2023-12-01", (k * 7) % 45))
-        if dim == "clients":
-            return df.withColumn("phone",
-                                 F.concat(F.lit("+"), _txt(k + (50000 if older else 60000))))
-        if dim == "terminals":
-            return df.withColumn("terminal_address", F.concat(
-                F.col("terminal_address"), F.lit(" older" if older else " old")))
-        raise KeyError(dim)
-
-    # ---- logical inputs ----
-    def snapshot(self, dim: str) -> DataFrame:
-        """Today's full source snapshot (staging input) of one dimension."""
-        return self._memo(("snapshot", dim), lambda: self._snapshot(dim))
+            src = s.join(n, s.s_nationkey == n.n_nationkey, "left")
+        else:
+            src = self.table("customer")
+        key_col, rules = BASE_RULES[dim]
+        return src.selectExpr(f"{key_col} AS k", *[f"{e} AS {c}" for c, e in rules])
 
     def _snapshot(self, dim: str) -> DataFrame:
         spec = DIMS[dim]
-        base = self._base(dim).where(_k("k") % 17 != 0)
+        cols = [spec.key, *spec.attrs]
         if spec.feed_clock:
-            base = base.withColumn("update_dt", date_lit(FEED_DT))
+            dates = [f"DATE'{FEED_DT.isoformat()}' AS update_dt"]
         else:
-            base = (base.withColumn("create_dt", ntz_lit(CREATE_DT))
-                    .withColumn("update_dt", F.when(_k("k") % 5 == 0, ntz_lit(UPDATE_DT))
-                                .otherwise(F.lit(None).cast("timestamp_ntz"))))
-        return base.select(*[f.name for f in spec.staged_schema.fields])
+            dates = [f"TIMESTAMP_NTZ'{CREATE_DT}' AS create_dt",
+                     f"CASE WHEN k % 5 = 0 THEN TIMESTAMP_NTZ'{UPDATE_DT}' END AS update_dt"]
+        return self._base(dim).where("k % 17 <> 0").selectExpr(*cols, *dates)
+
+    # ---- logical inputs ----
+    def snapshot(self, dim: str) -> DataFrame:
+        """Today's full source snapshot (staging input) of one dimension."""
+        return self._memo(("snapshot", dim), lambda: self._snapshot(dim))
 
     def dim_before(self, dim: str) -> DataFrame:
         """History as it stood before the run: one open row per key (some of
@@ -140,23 +129,22 @@ class TestTables:
 
     def _dim_before(self, dim: str) -> DataFrame:
         spec = DIMS[dim]
-        base = self._base(dim).where(_k("k") % 11 != 0)
-        k = _k("k")
-        cur = base.select("k", *[F.col(a) for a in (spec.key, *spec.attrs)])
-        changed = self._altered(dim, cur, older=False)
-        open_rows = (cur.where(k % 5 != 0).unionByName(changed.where(k % 5 == 0))
-                     .withColumn("start_dt", ntz_lit(OPEN_START))
-                     .withColumn("end_dt", inf_ts())
-                     .withColumn("deleted_flg", F.when(k % 19 == 0, F.lit(FLAG_DELETED))
-                                 .otherwise(F.lit(FLAG_LIVE))))
-        old_rows = (self._altered(dim, cur.where(k % 7 == 0), older=True)
-                    .withColumn("start_dt", ntz_lit(OLD_START))
-                    .withColumn("end_dt", ntz_lit(OLD_END))
-                    .withColumn("deleted_flg", F.lit(FLAG_LIVE)))
-        rows = open_rows.unionByName(old_rows)
-        if spec.has_processed_dt:
-            rows = rows.withColumn("processed_dt", ntz_lit(SEED_PROCESSED))
-        return rows.select(*spec.dim_columns)
+        attr, prior, oldest = PRIOR_RULES[dim]
+        base = self._base(dim).where("k % 11 <> 0")
+        proc = [f"TIMESTAMP_NTZ'{SEED_PROCESSED}' AS processed_dt"] if spec.has_processed_dt else []
+
+        def attrs(replacement: str | None) -> list[str]:
+            return [f"{replacement} AS {a}" if a == attr and replacement else a for a in spec.attrs]
+
+        open_rows = base.selectExpr(
+            spec.key, *attrs(f"CASE WHEN k % 5 = 0 THEN {prior} ELSE {attr} END"),
+            f"TIMESTAMP_NTZ'{OPEN_START}' AS start_dt", f"TIMESTAMP_NTZ'{INF_TEXT}' AS end_dt",
+            f"CASE WHEN k % 19 = 0 THEN '{FLAG_DELETED}' ELSE '{FLAG_LIVE}' END AS deleted_flg",
+            *proc)
+        old_rows = base.where("k % 7 = 0").selectExpr(
+            spec.key, *attrs(oldest), f"TIMESTAMP_NTZ'{OLD_START}' AS start_dt",
+            f"TIMESTAMP_NTZ'{OLD_END}' AS end_dt", f"'{FLAG_LIVE}' AS deleted_flg", *proc)
+        return open_rows.unionByName(old_rows).select(*spec.dim_columns)
 
     def transactions(self) -> DataFrame:
         """Transactions of the whole feed history (the fact before reports)."""
