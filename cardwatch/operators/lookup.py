@@ -82,10 +82,15 @@ def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame, outer
 
 def attach_owners(rows: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
                   outer: bool, limit: int | None = None,
-                  blacklist: DataFrame | None = None) -> DataFrame:
+                  blacklist: DataFrame | None = None,
+                  rows_materialized: bool = False) -> DataFrame:
     """``rows`` (with ``card_key``) joined to their owners; inner or left.
-    With ``blacklist``, owners carry the boolean ``listed``."""
-    keys = materialize(rows.select("card_key").where(F.col("card_key").isNotNull()).distinct())
+    With ``blacklist``, owners carry the boolean ``listed``.  ``rows_materialized``
+    says ``rows`` already starts from a checkpoint, so its key set is cheap to
+    recompute and is not written again."""
+    keys = rows.select("card_key").where(F.col("card_key").isNotNull()).distinct()
+    if not rows_materialized:
+        keys = materialize(keys)
     limit = max_keys(rows) if limit is None else limit
     how = "left" if outer else "inner"
     if keys.count() <= limit:

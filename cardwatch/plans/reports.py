@@ -190,7 +190,8 @@ def city_hop_report(fact, terminals, cards_open, accounts_open, clients_open,
     card, account and client (left joins, as in the original statement)."""
     p = materialize(hop_pairs(fact, terminals, report_dt, mode)
                     .select("trans_date", F.col("card_num").alias("card_key")))
-    j = attach_owners(p, cards_open, accounts_open, clients_open, outer=True)
+    j = attach_owners(p, cards_open, accounts_open, clients_open, outer=True,
+                      rows_materialized=True)
     return (j.groupBy("passport_num", "fio", "phone")
             .agg(F.max("trans_date").alias("event_dt"))
             .select(*_rep(F.col("event_dt"), EVENT_CITY_HOP, report_dt)))
