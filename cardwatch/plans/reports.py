@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, fio, ntz, ntz_lit, trimmed
 from cardwatch.operators.lookup import attach_owners, materialize
+from cardwatch.operators.sequence import with_next
 from cardwatch.schemas import (EVENT_CITY_HOP, EVENT_CONTRACT, EVENT_PASSPORT,
                                REP_FRAUD, SUCCESS)
 
@@ -126,51 +127,33 @@ def passport_and_contract(fact, cards, accounts, clients, blacklist, report_dt:
 
 
 # ---------------------------------------------------------------------- R3
-def _hour_index(ts: Column) -> Column:
-    """Whole hours since 1970-01-01 from the fields of a timestamp without zone."""
-    return (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 24
-            + F.hour(ts).cast("long"))
-
-
 def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
               mode: str = INTENDED) -> DataFrame:
     """Each transaction with the next one on the same card and both cities,
     kept when the cities differ, the next one is close enough and the first
     one succeeded (R3a).
 
-    The window carries the next transaction's *terminal*; a terminal has one
-    city, so a pair at the same terminal can never qualify and is dropped
-    before any city is looked up.  The day's transactions are shuffled once
-    (for the window) and the terminal lookups run on the few candidates.
-
-    Intended mode needs the next transaction only when it is under an hour
-    away, so the window runs per (card, hour) over that hour's rows plus a
-    copy of the following hour's: a busy card is split into hourly groups
-    instead of landing whole in one task, and the result is exact."""
+    The successor comes from ``sequence.with_next``: rows are range-partitioned
+    on (card, time, id), so a card holding a third of the day's transactions
+    is spread over many tasks, and the result is still exact.  The successor
+    carries its *terminal*; a terminal has one city, so pairs at the same
+    terminal are dropped before any city is looked up, and the lookups run on
+    the few candidates.  Intended mode reads the report day plus the hour
+    before it; literal mode reads the whole fact."""
     _check_mode(mode)
     t = fact.select("trans_id", "trans_date", trimmed(F.col("card_num")).alias("card_num"),
                     "terminal", "oper_result")
     start, end = _day(report_dt)
-    order = [F.col("trans_date"), F.col("trans_id")]
     if mode == INTENDED:
         t = t.where((F.col("trans_date") >= start - F.expr("INTERVAL 1 HOUR"))
                     & (F.col("trans_date") < end))
-        h = _hour_index(F.col("trans_date"))
-        t = t.select("*", F.inline(F.array(
-            F.struct(h.alias("hour"), F.lit(True).alias("own")),
-            F.struct((h - 1).alias("hour"), F.lit(False).alias("own")))))
-        w = Window.partitionBy("card_num", "hour").orderBy(*order)
-    else:
-        w = Window.partitionBy("card_num").orderBy(*order)
-    t = t.select("trans_id", "trans_date", "card_num", "terminal", "oper_result",
-                 *(["own"] if mode == INTENDED else []),
-                 F.lead("trans_id").over(w).alias("lead_tran"),
-                 F.lead("terminal").over(w).alias("lead_terminal"),
-                 F.lead("trans_date").over(w).alias("lead_date"))
+    t = with_next(t.where(F.col("card_num").isNotNull()), "card_num",
+                  ["trans_date", "trans_id"], ["trans_id", "terminal", "trans_date"])
+    t = t.select("*", F.col("lead_trans_id").alias("lead_tran"),
+                 F.col("lead_trans_date").alias("lead_date"))
     keep = (F.col("oper_result") == SUCCESS) & (F.col("terminal") != F.col("lead_terminal"))
     if mode == INTENDED:
-        keep = (keep & F.col("own")
-                & (F.col("lead_date") < F.col("trans_date") + F.expr("INTERVAL 1 HOUR"))
+        keep = (keep & (F.col("lead_date") < F.col("trans_date") + F.expr("INTERVAL 1 HOUR"))
                 & (F.col("lead_date") >= start) & (F.col("lead_date") < end))
     cand = t.where(keep)
     here = terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
