@@ -108,6 +108,22 @@ def stage_snapshot(name: str, snapshot: DataFrame, check_lengths: bool = True
     return _split(typed, _first_reason(checks), [f.name for f in schema.fields])
 
 
+class DuplicateKey(ValueError):
+    pass
+
+
+def assert_unique_keys(staged: DataFrame, name: str) -> None:
+    """Fail on a key that occurs twice (B17).  ``count`` per key aggregates
+    partially on the map side, so even a key repeated in a third of all rows
+    is reduced before the shuffle and never gathered into one task; only one
+    offending key travels to the driver."""
+    key = DIMS[name].key
+    dup = (staged.where(F.col(key).isNotNull()).groupBy(key).count()
+           .where(F.col("count") > 1).limit(1).collect())
+    if dup:
+        raise DuplicateKey(f"{name}: key {dup[0][0]!r} occurs {dup[0][1]} times in staging")
+
+
 def key_snapshot(staged: DataFrame, name: str) -> DataFrame:
     """T6: the keys seen in this run's staging."""
     return staged.select(DIMS[name].key)

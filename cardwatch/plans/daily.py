@@ -119,6 +119,7 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         if name not in staged:
             continue  # a missing feed is not an empty snapshot: history unchanged
         spec = DIMS[name]
+        staging.assert_unique_keys(staged[name], name)
         open_now = (warehouse.read_open(spark, root, name, dim_run[name]) if dim_run[name]
                     else _empty(spark, spec.dim_schema()))
         clock = scd2.Clock(run_ts, res.picked.get("terminals", (None, None))[1])

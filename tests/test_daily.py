@@ -133,3 +133,13 @@ def test_vacuum_keeps_the_current_state(spark, tmp_path, feeds_dir):
     assert not any("dim_terminals" in p for p in removed)   # its only open set is current
     assert rows(warehouse.current_history(spark, root, "cards")) == before
     assert warehouse.current_open(spark, root, "terminals").count() == 2
+
+
+def test_duplicate_snapshot_key_fails_the_run(spark, tmp_path, feeds_dir):
+    from cardwatch.operators.staging import DuplicateKey
+    root = str(tmp_path / "wh")
+    snaps = _snapshots(spark, 1)
+    snaps["cards"] = snaps["cards"].unionByName(snaps["cards"].limit(1))
+    with pytest.raises(DuplicateKey, match="cards: key 'C1' occurs 2 times"):
+        daily.run(spark, daily.Sources(snaps, feeds_dir), root, ts("2021-03-01 06:00:00"))
+    assert warehouse.committed_run_ids(spark, root) == []
