@@ -14,7 +14,6 @@ changed versions, insert tombstones, close deleted versions.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,13 +140,3 @@ def step(history: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock) ->
     h = _set_end(h, spec, F.col("_hit") & _is_open_live(h), minus_one_second(when_del),
                  now if spec.has_processed_dt else None)
     return h.unionByName(tomb.select(*cols))
-
-
-def run_days(history: DataFrame, days: list[tuple[DataFrame, Clock]], spec: DimSpec) -> DataFrame:
-    for staged, clock in days:
-        history = step(history, staged, spec, clock)
-    return history
-
-
-def now_for(d: dt.date) -> dt.datetime:
-    return dt.datetime(d.year, d.month, d.day, 6, 0, 0)

@@ -9,7 +9,6 @@ here so that later joins are plain equi-joins.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,11 +126,3 @@ def assert_unique_keys(staged: DataFrame, name: str) -> None:
 def key_snapshot(staged: DataFrame, name: str) -> DataFrame:
     """T6: the keys seen in this run's staging."""
     return staged.select(DIMS[name].key)
-
-
-def with_reject_count(rejects: DataFrame) -> int:
-    return rejects.count()
-
-
-def all_of(*conds: Column) -> Column:
-    return reduce(lambda a, b: a & b, conds)

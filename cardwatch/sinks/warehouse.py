@@ -20,7 +20,6 @@ a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,12 +234,3 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
             if _fs_delete(spark, path):
                 removed.append(path)
     return removed
-
-
-def local_path(root: str) -> str:
-    return root[len("file:"):] if root.startswith("file:") else root
-
-
-def ensure_dir(root: str) -> None:
-    if "://" not in root:
-        os.makedirs(local_path(root), exist_ok=True)
