@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.operators import scd2, staging
+from cardwatch.operators import literal, scd2, staging
 from cardwatch.plans import reports, watermark
 from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINALS,
                                FEED_PREFIX_TRANSACTIONS, STG_BLACKLIST)
@@ -71,6 +71,16 @@ def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame,
             back.where(F.col("reason").isNotNull()))
 
 
+def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
+    """The single open version per key that reports join.
+    Intended history has exactly one; literal history may repeat a key, and
+    then its latest version is taken, which also keeps the owner lookup's
+    broadcast bound (one row per counted key)."""
+    spec = DIMS[name]
+    latest = F.max_by(F.struct(*spec.dim_columns), F.struct("start_dt", *spec.attrs))
+    return (open_rows.groupBy(spec.key).agg(latest.alias("v")).select("v.*"))
+
+
 def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         mode: str = "intended", allow_empty_snapshots: bool = False) -> RunResult:
     run_ts = _seconds(run_ts)
@@ -113,18 +123,28 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         staged["terminals"], bad = _stage_to(spark, root, run_id, "terminals", st)
         res.rejects["terminals"] = bad.count()
 
-    # ---- type-2 history: O(open + staged) per dimension
+    # ---- type-2 history: O(open + staged) per dimension (literal: O(history))
     dim_run = {n: (prev or {}).get(f"{n}_run") for n in DIMS}
+    dim_mode = {}
     for name in DIMS:
         if name not in staged:
             continue  # a missing feed is not an empty snapshot: history unchanged
         spec = DIMS[name]
         staging.assert_unique_keys(staged[name], name)
-        open_now = (warehouse.read_open(spark, root, name, dim_run[name]) if dim_run[name]
-                    else _empty(spark, spec.dim_schema()))
+        writers = warehouse.holders(spark, root, name) if dim_run[name] else []
         clock = scd2.Clock(run_ts, res.picked.get("terminals", (None, None))[1])
-        warehouse.write_dimension(scd2.merge(open_now, staged[name], spec, clock), root, name, run_id)
+        if mode == "literal":
+            hist = (warehouse.history_of(spark, root, name, writers) if writers
+                    else _empty(spark, spec.dim_schema()))
+            warehouse.write_full_history(literal.step(hist, staged[name], spec, clock), root,
+                                         name, run_id)
+        else:
+            open_now = (warehouse.open_of(spark, root, name, *writers[-1]) if writers
+                        else _empty(spark, spec.dim_schema()))
+            warehouse.write_dimension(scd2.merge(open_now, staged[name], spec, clock), root,
+                                      name, run_id)
         dim_run[name] = run_id
+        dim_mode[name] = mode
 
     # ---- facts
     if "transactions" in staged:
@@ -148,8 +168,13 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         fact = warehouse.read_transactions(spark, root, max_feed_dt=report_dt)
         blacklist = (warehouse.read_blacklist(spark, root, blacklist_run) if blacklist_run
                      else _empty(spark, STG_BLACKLIST))
-        opened = {n: warehouse.read_open(spark, root, n, dim_run[n]) if dim_run[n]
-                  else _empty(spark, DIMS[n].dim_schema()) for n in DIMS}
+        opened = {}
+        for n in DIMS:
+            if not dim_run[n]:
+                opened[n] = _empty(spark, DIMS[n].dim_schema())
+                continue
+            run_mode = dim_mode.get(n) or warehouse.holders(spark, root, n)[-1][1]
+            opened[n] = _one_per_key(warehouse.open_of(spark, root, n, dim_run[n], run_mode), n)
         terminals = staged.get("terminals", opened["terminals"])
         mart = reports.fraud_mart(fact, staged["cards"],
                                   staged["accounts"], staged["clients"], blacklist, terminals,
@@ -161,5 +186,5 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     warehouse.commit(spark, root, run_id, run_ts,
                      transactions_dt=dates.get("transactions"), blacklist_dt=dates.get("blacklist"),
                      terminals_dt=dates.get("terminals"), dim_runs=dim_run,
-                     blacklist_run=blacklist_run)
+                     blacklist_run=blacklist_run, mode=mode)
     return res

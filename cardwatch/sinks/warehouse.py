@@ -34,7 +34,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("terminals_dt", T.DateType()),
     T.StructField("cards_run", T.StringType()), T.StructField("accounts_run", T.StringType()),
     T.StructField("clients_run", T.StringType()), T.StructField("terminals_run", T.StringType()),
-    T.StructField("blacklist_run", T.StringType()),
+    T.StructField("blacklist_run", T.StringType()), T.StructField("mode", T.StringType()),
 ])
 
 
@@ -115,34 +115,65 @@ def _dim_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
             .parquet(_p(root, f"dim_{name}")))
 
 
-def read_open(spark: SparkSession, root: str, name: str, run_id: str) -> DataFrame:
-    df = _dim_frame(spark, root, name)
-    return (df.where((F.col("run") == run_id) & (F.col("state") == "open"))
-            .select(*DIMS[name].dim_columns))
 
 
-def read_history(spark: SparkSession, root: str, name: str, runs: list[str],
-                 open_run: str | None = None) -> DataFrame:
-    """Whole history: the open set written by ``open_run`` (default: the last
-    of ``runs``) plus the closed rows of every committed run in ``runs``.
-    Folder names are partition values, so both filters prune whole folders."""
+
+
+def write_full_history(history: DataFrame, root: str, name: str, run_id: str) -> None:
+    """Literal runs rewrite closed versions too, so they store the dimension's
+    whole history (``state=history``)."""
+    (history.select(*DIMS[name].dim_columns).withColumn("state", F.lit("history"))
+     .write.mode("overwrite").partitionBy("state")
+     .parquet(_p(root, f"dim_{name}", f"run={run_id}")))
+
+
+def holders(spark: SparkSession, root: str, name: str) -> list[tuple[str, str]]:
+    """(run_id, mode) of the committed runs that wrote ``name``, ascending
+    (one row per daily run: metadata)."""
+    log = committed_runs(spark, root).orderBy("run_id").collect()
+    return [(r.run_id, r.mode or "intended") for r in log if r[f"{name}_run"] == r.run_id]
+
+
+def history_of(spark: SparkSession, root: str, name: str,
+               writers: list[tuple[str, str]]) -> DataFrame:
+    """History after the last of ``writers``: the newest literal run's whole
+    history, plus the closed rows of intended runs after it, plus the open set
+    of the last run when that one is intended."""
     df = _dim_frame(spark, root, name)
-    last = open_run or runs[-1]
-    keep = (((F.col("run") == last) & (F.col("state") == "open"))
-            | (F.col("run").isin(runs) & (F.col("state") == "closed")))
+    lit = [i for i, (_, m) in enumerate(writers) if m == "literal"]
+    conds = []
+    later = writers
+    if lit:
+        conds.append((F.col("run") == writers[lit[-1]][0]) & (F.col("state") == "history"))
+        later = writers[lit[-1] + 1:]
+    if later:
+        conds.append(F.col("run").isin([r for r, _ in later]) & (F.col("state") == "closed"))
+        conds.append((F.col("run") == later[-1][0]) & (F.col("state") == "open"))
+    keep = conds[0]
+    for c in conds[1:]:
+        keep = keep | c
     return df.where(keep).select(*DIMS[name].dim_columns)
 
 
+def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str) -> DataFrame:
+    """The open versions (``end_dt = INF``) written by one run."""
+    df = _dim_frame(spark, root, name).where(F.col("run") == run_id)
+    if mode == "literal":
+        df = df.where((F.col("state") == "history")
+                      & (F.col("end_dt") == F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")))
+    else:
+        df = df.where(F.col("state") == "open")
+    return df.select(*DIMS[name].dim_columns)
+
+
 def current_history(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A dimension's whole history as of the newest committed run."""
-    meta = committed_runs(spark, root).select("run_id", f"{name}_run").orderBy("run_id").collect()
-    runs = [r[0] for r in meta]
-    return read_history(spark, root, name, runs, open_run=meta[-1][1])
+    return history_of(spark, root, name, holders(spark, root, name))
 
 
 def current_open(spark: SparkSession, root: str, name: str) -> DataFrame:
-    meta = committed_runs(spark, root).select("run_id", f"{name}_run").orderBy("run_id").collect()
-    return read_open(spark, root, name, meta[-1][1])
+    run_id, mode = holders(spark, root, name)[-1]
+    return open_of(spark, root, name, run_id, mode)
 
 
 # ------------------------------------------------------------------ reports, meta, rejects
@@ -176,13 +207,14 @@ def write_rejects(rejects: DataFrame, root: str, run_id: str, feed: str) -> None
 # ------------------------------------------------------------------ commit log
 def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
            transactions_dt=None, blacklist_dt=None, terminals_dt=None,
-           dim_runs: dict | None = None, blacklist_run: str | None = None) -> None:
+           dim_runs: dict | None = None, blacklist_run: str | None = None,
+           mode: str = "intended") -> None:
     """K7: publish the run.  Written last; one tiny file per run.  The row
     also names, per dimension and for the blacklist, the run whose output is
     current (a run without a terminals file leaves that dimension as it was)."""
     d = dim_runs or {}
     row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt, d.get("cards"),
-            d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run)]
+            d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run, mode)]
     (spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("overwrite")
      .parquet(_p(root, "runs", f"commit={run_id}")))
 
@@ -208,9 +240,10 @@ def _fs_delete(spark: SparkSession, path: str) -> bool:
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete copies no reader needs: open sets of a dimension older than the
-    ``keep`` newest committed ones that hold it, and staging copies of runs
-    older than the ``keep`` newest committed runs.  Closed rows, facts,
+    """Delete copies no reader needs: open sets (and superseded literal
+    histories) of a dimension older than the ``keep`` newest committed runs
+    that wrote it, and staging copies of runs older than the ``keep`` newest
+    committed runs.  Closed rows, facts,
     reports, watermarks and the commit log are never touched.  Metadata-only
     work on the driver (one folder delete per obsolete run)."""
     log = committed_runs(spark, root).orderBy("run_id").collect()  # one row per run
@@ -218,15 +251,17 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
         return []
     removed = []
     for name in DIMS:
-        holders = []
-        for r in log:
-            h = r[f"{name}_run"]
-            if h and h not in holders:
-                holders.append(h)
-        for old in holders[:-keep] if keep > 0 else holders:
-            path = _p(root, f"dim_{name}", f"run={old}", "state=open")
-            if _fs_delete(spark, path):
-                removed.append(path)
+        writers = [(r.run_id, r.mode or "intended") for r in log if r[f"{name}_run"] == r.run_id]
+        old_ones = writers[:-keep] if keep > 0 else writers
+        literal_runs = [r for r, m in writers if m == "literal"]
+        for run_id, mode in old_ones:
+            states = ["state=open"]
+            if literal_runs and run_id != literal_runs[-1]:
+                states.append("state=history")  # superseded by the newest literal history
+            for state in states:
+                path = _p(root, f"dim_{name}", f"run={run_id}", state)
+                if _fs_delete(spark, path):
+                    removed.append(path)
     runs = [r.run_id for r in log]
     for old in runs[:-keep] if keep > 0 else runs:
         for src in ("cards", "accounts", "clients", "transactions", "blacklist", "terminals"):

@@ -143,3 +143,27 @@ def test_duplicate_snapshot_key_fails_the_run(spark, tmp_path, feeds_dir):
     with pytest.raises(DuplicateKey, match="cards: key 'C1' occurs 2 times"):
         daily.run(spark, daily.Sources(snaps, feeds_dir), root, ts("2021-03-01 06:00:00"))
     assert warehouse.committed_run_ids(spark, root) == []
+
+
+def test_literal_daily_runs_reproduce_the_original_history(spark, tmp_path):
+    from tests.test_scd2_scenario import DAYS
+    feeds = tmp_path / "nofeeds"
+    feeds.mkdir()
+    (feeds / "readme.txt").write_text("no feed files\n")
+    root = str(tmp_path / "wh")
+    base = _snapshots(spark, 1)
+    for i, day in enumerate(DAYS):
+        cards = [(k, v, C0, ts(u + " 00:00:00") if u else None) for k, v, u in day]
+        snaps = dict(base, cards=spark.createDataFrame(cards, STG_CARDS))
+        daily.run(spark, daily.Sources(snaps, str(feeds)), root,
+                  dt.datetime(2021, 3, 1 + i, 6), mode="literal")
+    e3, inf = ts("2021-03-03 23:59:59"), INF
+    want = sorted([("a", "1", C0, e3), ("a", "2", ts("2021-03-02 00:00:00"), e3),
+                   ("a", "2", ts("2021-03-02 00:00:00"), e3), ("a", "3", ts("2021-03-04 00:00:00"), inf),
+                   ("b", "1", C0, e3), ("b", "1", C0, e3), ("c", "1", C0, e3), ("c", "1", C0, e3)],
+                  key=lambda t: tuple(str(x) for x in t))
+    got = rows(warehouse.current_history(spark, root, "cards"), "card_num", "account_num",
+               "start_dt", "end_dt")
+    assert got == want
+    # an intended run may follow: it starts from the literal history's open rows
+    assert warehouse.current_open(spark, root, "cards").count() == 1
