@@ -97,3 +97,29 @@ def test_terminals_literal(spark):
         ("T3", "Z", "a3", ts("2021-03-01 00:00:00"), ts("2021-03-02 23:59:59"), "N"),
         ("T3", "Z", "a3", ts("2021-03-02 00:00:00"), ts("2021-03-02 23:59:59"), "Y"),
     ])
+
+
+def _one(spark, spec, hist_rows, staged_rows, run_ts):
+    schema = {CARDS: STG_CARDS, ACCOUNTS: STG_ACCOUNTS}[spec]
+    h = spark.createDataFrame(hist_rows, spec.dim_schema())
+    return h, spark.createDataFrame(staged_rows, schema), Clock(run_ts)
+
+
+def test_b1_ambiguous_cards_close_fails_in_literal_mode(spark):
+    import pytest
+    hist = [("a", "1", CREATE, INF, "N"), ("b", "1", CREATE, INF, "N")]
+    staged = [("a", "2", CREATE, ts("2021-03-02 00:00:00")), ("b", "2", CREATE, ts("2021-03-03 00:00:00"))]
+    h, s, clock = _one(spark, CARDS, hist, staged, ts("2021-03-04 06:00:00"))
+    with pytest.raises(Exception, match="not deterministic"):
+        literal.step(h, s, CARDS, clock).collect()
+
+
+def test_b18_null_update_dt_literal_vs_intended(spark):
+    from cardwatch.operators import scd2
+    hist = [("a", d("2030-01-01"), "1", CREATE, INF, "N")]
+    staged = [("a", d("2030-01-01"), "2", CREATE, None)]          # changed, no update_dt
+    h, s, clock = _one(spark, ACCOUNTS, hist, staged, ts("2021-03-04 06:00:00"))
+    lit = rows(literal.step(h, s, ACCOUNTS, clock), "client", "start_dt", "end_dt")
+    assert lit == [("1", CREATE, None), ("2", None, INF)]          # NULL end and NULL start
+    got = rows(scd2.next_state(h, s, ACCOUNTS, clock), "client", "start_dt", "end_dt")
+    assert got == [("1", CREATE, ts("2021-03-04 05:59:59")), ("2", ts("2021-03-04 06:00:00"), INF)]
