@@ -165,7 +165,11 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     # ---- reports, only for a newly loaded transactions file
     if "transactions" in res.picked:
         report_dt = res.picked["transactions"][1]
-        fact = warehouse.read_transactions(spark, root, max_feed_dt=report_dt)
+        # intended scope: transactions of the report day and the hour before it,
+        # delivered by that day's file or the one before (partition pruning);
+        # literal mode rescans the whole fact, as the original statements do
+        lower = report_dt - dt.timedelta(days=1) if mode == "intended" else None
+        fact = warehouse.read_transactions(spark, root, max_feed_dt=report_dt, min_feed_dt=lower)
         blacklist = (warehouse.read_blacklist(spark, root, blacklist_run) if blacklist_run
                      else _empty(spark, STG_BLACKLIST))
         opened = {}

@@ -70,13 +70,17 @@ def append_transactions(rows: DataFrame, root: str, feed_dt: dt.date | None = No
 
 
 def read_transactions(spark: SparkSession, root: str, max_feed_dt: dt.date | None = None,
-                      path: str | None = None) -> DataFrame:
+                      path: str | None = None, min_feed_dt: dt.date | None = None) -> DataFrame:
     """The fact, ignoring partitions newer than the committed watermark
-    (left behind by a failed run)."""
+    (left behind by a failed run).  ``min_feed_dt`` bounds the scan from
+    below; both bounds are partition filters, so only those folders are
+    listed and read."""
     schema = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType())])
     df = spark.read.schema(schema).parquet(path or _p(root, "fact_transactions"))
     if max_feed_dt is not None:
         df = df.where(F.col("feed_dt") <= date_lit(max_feed_dt))
+    if min_feed_dt is not None:
+        df = df.where(F.col("feed_dt") >= date_lit(min_feed_dt))
     return df
 
 

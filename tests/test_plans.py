@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from cardwatch import catalog
 from cardwatch.plans import reports
 from cardwatch.sources.adapters import REPORT_DT
@@ -93,3 +95,17 @@ def test_owner_lookup_large_key_set_falls_back_to_shuffles(spark):
             assert got == rows_of([c[0] for c in cur.description], cur.fetchall())
     finally:
         spark.conf.unset("cardwatch.lookup.maxBroadcastKeys")
+
+
+def test_daily_report_scan_prunes_fact_partitions(spark, tmp_path):
+    import datetime as dt
+    from cardwatch.sinks import warehouse
+    tt = catalog._tt(spark, SF0001)
+    root = str(tmp_path)
+    warehouse.append_transactions(tt.transactions(), root, feed_dt_col=F.to_date("trans_date"))
+    fact = warehouse.read_transactions(spark, root, max_feed_dt=REPORT_DT,
+                                       min_feed_dt=REPORT_DT - dt.timedelta(days=1))
+    p = _plan(fact.select("trans_id"))
+    assert re.search(r"PartitionFilters: \[.*feed_dt.*>=.*feed_dt.*<=|PartitionFilters: \[.*feed_dt.*<=.*feed_dt.*>=", p)
+    assert {r.feed_dt for r in fact.select("feed_dt").distinct().collect()} == \
+        {REPORT_DT, REPORT_DT - dt.timedelta(days=1)}
