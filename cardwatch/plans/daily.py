@@ -190,5 +190,6 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     warehouse.commit(spark, root, run_id, run_ts,
                      transactions_dt=dates.get("transactions"), blacklist_dt=dates.get("blacklist"),
                      terminals_dt=dates.get("terminals"), dim_runs=dim_run,
-                     blacklist_run=blacklist_run, mode=mode)
+                     blacklist_run=blacklist_run, mode=mode,
+                     expect_previous=prev["run_id"] if prev else None)
     return res

@@ -209,13 +209,29 @@ def write_rejects(rejects: DataFrame, root: str, run_id: str, feed: str) -> None
 
 
 # ------------------------------------------------------------------ commit log
+class ConcurrentRun(RuntimeError):
+    pass
+
+
+def last_run_id(spark: SparkSession, root: str) -> str | None:
+    row = committed_runs(spark, root).agg(F.max("run_id").alias("m")).collect()[0]
+    return row.m
+
+
 def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
            transactions_dt=None, blacklist_dt=None, terminals_dt=None,
            dim_runs: dict | None = None, blacklist_run: str | None = None,
-           mode: str = "intended") -> None:
+           mode: str = "intended", expect_previous: str | None = "") -> None:
     """K7: publish the run.  Written last; one tiny file per run.  The row
     also names, per dimension and for the blacklist, the run whose output is
     current (a run without a terminals file leaves that dimension as it was)."""
+    if expect_previous != "":
+        # optimistic check: another run must not have committed since this one
+        # read the state it built on
+        now = last_run_id(spark, root)
+        if now != expect_previous:
+            raise ConcurrentRun(f"run {run_id} built on {expect_previous}, but {now} "
+                                f"committed meanwhile; rerun")
     d = dim_runs or {}
     row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt, d.get("cards"),
             d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run, mode)]

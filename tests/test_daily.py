@@ -167,3 +167,14 @@ def test_literal_daily_runs_reproduce_the_original_history(spark, tmp_path):
     assert got == want
     # an intended run may follow: it starts from the literal history's open rows
     assert warehouse.current_open(spark, root, "cards").count() == 1
+
+
+def test_commit_refuses_a_run_built_on_a_stale_state(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    warehouse.commit(spark, root, "20210301T060000", ts("2021-03-01 06:00:00"), expect_previous=None)
+    warehouse.commit(spark, root, "20210302T060000", ts("2021-03-02 06:00:00"),
+                     expect_previous="20210301T060000")
+    with pytest.raises(warehouse.ConcurrentRun):
+        warehouse.commit(spark, root, "20210302T070000", ts("2021-03-02 07:00:00"),
+                         expect_previous="20210301T060000")
+    assert warehouse.committed_run_ids(spark, root) == ["20210301T060000", "20210302T060000"]
