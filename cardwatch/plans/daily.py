@@ -179,7 +179,8 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                 continue
             run_mode = dim_mode.get(n) or warehouse.holders(spark, root, n)[-1][1]
             opened[n] = _one_per_key(warehouse.open_of(spark, root, n, dim_run[n], run_mode), n)
-        terminals = staged.get("terminals", opened["terminals"])
+        # without a terminals file today, the live versions are the last file's rows
+        terminals = staged.get("terminals", opened["terminals"].where(F.col("deleted_flg") == "N"))
         mart = reports.fraud_mart(fact, staged["cards"],
                                   staged["accounts"], staged["clients"], blacklist, terminals,
                                   opened["cards"], opened["accounts"], opened["clients"],

@@ -1,13 +1,14 @@
 """Plain-Parquet warehouse layout with publish-last commits (K1-K7).
 
+    <root>/stg_<source>/run=<id>/                   staged rows + reject reason (K1)
     <root>/dim_<name>/run=<id>/state=open|closed/   open set rewritten per run,
                                                     closed rows of that run only
+    <root>/dim_<name>/run=<id>/state=history/       literal runs: whole history
     <root>/fact_transactions/feed_dt=<date>/        append, dynamic overwrite
     <root>/fact_blacklist/run=<id>/                 full refresh per loaded file
     <root>/rep_fraud/report_dt=<d>/event_type=<t>/  dynamic overwrite
     <root>/meta/run=<id>/                           watermarks after the run
-    <root>/rejects/run=<id>/feed=<name>/            rows refused by staging
-    <root>/runs/                                    one row per committed run
+    <root>/runs/commit=<id>/                        one row per committed run
 
 A run writes only under its own ``run=<id>`` folders and under the fact /
 report partitions of its own dates, so it never overwrites a path it reads.
@@ -204,8 +205,6 @@ def read_meta(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     return spark.read.schema(META).parquet(_p(root, "meta", f"run={run_id}"))
 
 
-def write_rejects(rejects: DataFrame, root: str, run_id: str, feed: str) -> None:
-    rejects.write.mode("overwrite").parquet(_p(root, "rejects", f"run={run_id}", f"feed={feed}"))
 
 
 # ------------------------------------------------------------------ commit log
