@@ -171,6 +171,26 @@ def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str) -
     return df.select(*DIMS[name].dim_columns)
 
 
+def committed_watermark(spark: SparkSession, root: str, source: str = "transactions"):
+    """The newest committed run's watermark of one source (a date or None)."""
+    last = last_run_id(spark, root)
+    if last is None:
+        return None
+    row = (read_meta(spark, root, last).where(F.col("source_name") == source)
+           .select("max_update_dt").collect())
+    return row[0][0] if row else None
+
+
+def current_transactions(spark: SparkSession, root: str) -> DataFrame:
+    """The fact as committed: partitions a failed run left behind are ignored."""
+    return read_transactions(spark, root, max_feed_dt=committed_watermark(spark, root))
+
+
+def current_reports(spark: SparkSession, root: str) -> DataFrame:
+    """The mart as committed: report dates a failed run left behind are ignored."""
+    return read_reports(spark, root, max_report_dt=committed_watermark(spark, root))
+
+
 def current_history(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A dimension's whole history as of the newest committed run."""
     return history_of(spark, root, name, holders(spark, root, name))

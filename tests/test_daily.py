@@ -178,3 +178,22 @@ def test_commit_refuses_a_run_built_on_a_stale_state(spark, tmp_path):
         warehouse.commit(spark, root, "20210302T070000", ts("2021-03-02 07:00:00"),
                          expect_previous="20210301T060000")
     assert warehouse.committed_run_ids(spark, root) == ["20210301T060000", "20210302T060000"]
+
+
+def test_debris_of_a_run_failing_at_commit_is_invisible(spark, tmp_path, feeds_dir, monkeypatch):
+    root = str(tmp_path / "wh")
+    daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds_dir), root, ts("2021-03-01 06:00:00"))
+
+    def boom(*a, **k):
+        raise RuntimeError("lost the driver just before publishing")
+    monkeypatch.setattr(warehouse, "commit", boom)
+    with pytest.raises(RuntimeError):
+        daily.run(spark, daily.Sources(_snapshots(spark, 2), feeds_dir), root, ts("2021-03-02 06:00:00"))
+    monkeypatch.undo()
+    # the failed run wrote fact and report partitions for 2021-03-02 ...
+    assert {r.feed_dt for r in warehouse.read_transactions(spark, root).collect()} == \
+        {d("2021-03-01"), d("2021-03-02")}
+    # ... which committed readers do not see
+    assert {r.feed_dt for r in warehouse.current_transactions(spark, root).collect()} == {d("2021-03-01")}
+    assert {r.report_dt for r in warehouse.current_reports(spark, root).collect()} == {d("2021-03-01")}
+    assert warehouse.current_history(spark, root, "cards").count() == 2
