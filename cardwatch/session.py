@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # checkpoints (owner-lookup key sets, R3 slices) are removed from the shared
+    # checkpoint folder once no DataFrame references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
