@@ -49,6 +49,15 @@ def fio(last: Column, first: Column, middle: Column) -> Column:
     return F.concat(last, F.lit(" "), first, F.lit(" "), middle)
 
 
+def round_to_seconds(c: Column) -> Column:
+    """Half-up rounding to whole seconds, as a ``timestamp(0)`` column stores
+    it.  Zone-free: NTZ arithmetic plus ``make_timestamp_ntz`` from the
+    fields (no detour through zoned timestamps)."""
+    t = c + F.expr("INTERVAL '0.5' SECOND")
+    return F.when(c.isNotNull(), F.make_timestamp_ntz(
+        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t)))
+
+
 def trimmed(c: Column) -> Column:
     """Blank-only trim on both sides (tabs stay)."""
     return F.trim(c)

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import date_lit, length_violations, trimmed
+from cardwatch.functions.expr import date_lit, length_violations, round_to_seconds, trimmed
 from cardwatch.schemas import (DIMS, LENGTH_LIMITS, STG_ACCOUNTS, STG_BLACKLIST, STG_CARDS,
                                STG_CLIENTS, STG_TERMINALS, STG_TRANSACTIONS)
 
@@ -51,7 +51,7 @@ def stage_transactions(raw: DataFrame) -> Staged:
     """T1 + T2: rename, trim the card number, type every field."""
     typed = raw.select(
         F.col("transaction_id").alias("trans_id"),
-        F.col("transaction_date").try_cast("timestamp_ntz").alias("trans_date"),
+        round_to_seconds(F.col("transaction_date").try_cast("timestamp_ntz")).alias("trans_date"),
         decimal_comma(F.col("amount")).alias("amt"),
         trimmed(F.col("card_num")).alias("card_num"),
         F.col("oper_type"), F.col("oper_result"), F.col("terminal"),
@@ -98,8 +98,11 @@ def stage_snapshot(name: str, snapshot: DataFrame, check_lengths: bool = True
     """S1-S3: select the snapshot's columns by name, cast, trim the key."""
     schema = _SNAPSHOT_SCHEMAS[name]
     key = DIMS[name].key
-    cols = [(trimmed(F.col(f.name)) if f.name == key else F.col(f.name)).cast(f.dataType)
-            .alias(f.name) for f in schema.fields]
+    def typed_col(f):
+        c = (trimmed(F.col(f.name)) if f.name == key else F.col(f.name)).cast(f.dataType)
+        return (round_to_seconds(c) if f.dataType.typeName() == "timestamp_ntz" else c).alias(f.name)
+
+    cols = [typed_col(f) for f in schema.fields]
     typed = snapshot.select(*cols)
     checks = [(F.col(key).isNull(), "missing key")]
     if check_lengths:

@@ -425,7 +425,7 @@ FROM fact""",
         "watermark_read": _with() + "SELECT max_update_dt FROM meta_before WHERE schema_name = 'dwh' AND source_name = 'transactions'",
         "feed_select": feed_select(True),
         "feed_select_literal": feed_select(False),
-        "stage_transactions": _with() + "SELECT trans_id, trans_date, amt, trim(card_num) AS card_num, oper_type, oper_result, terminal FROM fact",
+        "stage_transactions": _with() + "SELECT trans_id, date_trunc('second', trans_date + INTERVAL 500000 MICROSECOND) AS trans_date, amt, trim(card_num) AS card_num, oper_type, oper_result, terminal FROM fact",
         "stage_terminals": _with() + "SELECT * FROM stg_terminals",
         "stage_blacklist": _with() + "SELECT * FROM blacklist_f",
         "keys_cards": _with() + "SELECT card_num FROM stg_cards",

@@ -114,3 +114,14 @@ def test_snapshot_binds_by_name(spark):
     r = select_snapshot(df, "cards").collect()[0]
     assert (r.card_num, r.account_num) == ("C1", "A1")
     assert r.create_dt == dt.datetime(2021, 1, 1)
+
+
+def test_timestamps_round_half_up_to_whole_seconds(spark, tmp_path):
+    path = _write(tmp_path, "transactions_04032021.txt", HEADER
+                  + "1;2021-03-01 10:00:00.499999;1,00;C1;PAY;SUCCESS;T1\n"
+                  + "2;2021-03-01 10:00:00.5;1,00;C1;PAY;SUCCESS;T1\n"
+                  + "3;2021-12-31 23:59:59.7;1,00;C1;PAY;SUCCESS;T1\n")
+    good, _ = staging.stage_transactions(feeds.read_transactions(spark, path))
+    assert rows(good, "trans_id", "trans_date") == [
+        ("1", dt.datetime(2021, 3, 1, 10, 0, 0)), ("2", dt.datetime(2021, 3, 1, 10, 0, 1)),
+        ("3", dt.datetime(2022, 1, 1, 0, 0, 0))]
