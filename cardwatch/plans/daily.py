@@ -54,7 +54,8 @@ class EmptySnapshot(RuntimeError):
 
 
 def _seconds(ts: dt.datetime) -> dt.datetime:
-    return ts.replace(microsecond=0)
+    """One run timestamp for the whole run, rounded half-up to whole seconds."""
+    return (ts + dt.timedelta(microseconds=500_000)).replace(microsecond=0)
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
