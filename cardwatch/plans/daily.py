@@ -11,6 +11,7 @@ lineage is cut at the staging boundary.  Nothing is visible to readers until
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,17 @@ def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame,
             back.where(F.col("reason").isNotNull()))
 
 
+def _side_by_side(fn, names: list[str]) -> list[tuple[str, object]]:
+    """Run ``fn`` for each name from a few driver threads, so that independent
+    Spark jobs are scheduled together; results in input order, and the first
+    failure is raised."""
+    if len(names) <= 1:
+        return [(n, fn(n)) for n in names]
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        futures = [(n, pool.submit(fn, n)) for n in names]
+        return [(n, f.result()) for n, f in futures]
+
+
 def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
     """The single open version per key that reports join.
     Intended history has exactly one; literal history may repeat a key, and
@@ -100,36 +112,36 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         res.picked[row.feed] = (row.name, row.file_dt)
     path_of = {f: f"{sources.feed_dir.rstrip('/')}/{n}" for f, (n, _) in res.picked.items()}
 
-    # ---- staging: every source is scanned once, then read back from Parquet
-    staged = {}
-    for name in SNAPSHOT_DIMS:
-        st = staging.stage_snapshot(name, sources.snapshots[name])
+    # ---- staging: every source is scanned once, then read back from Parquet;
+    # the sources are independent, so their jobs are submitted side by side
+    def stage(name: str):
+        if name in SNAPSHOT_DIMS:
+            st = staging.stage_snapshot(name, sources.snapshots[name])
+        elif name == "transactions":
+            st = staging.stage_transactions(feeds.read_transactions(spark, path_of[name]))
+        elif name == "blacklist":
+            st = staging.stage_blacklist(
+                feeds.read_blacklist(spark, path_of[name], sources.blacklist_format))
+        else:
+            st = staging.stage_terminals(
+                feeds.read_terminals(spark, path_of[name], sources.terminals_format),
+                res.picked[name][1])
         good, bad = _stage_to(spark, root, run_id, name, st)
-        if not allow_empty_snapshots and good.isEmpty():
+        if name in SNAPSHOT_DIMS and not allow_empty_snapshots and good.isEmpty():
             raise EmptySnapshot(f"{name}: empty snapshot; refusing to tombstone every key")
+        return good, bad.count()
+
+    staged = {}
+    for name, (good, n_bad) in _side_by_side(stage, [*SNAPSHOT_DIMS, *res.picked]):
         staged[name] = good
-        res.rejects[name] = bad.count()
-    if "transactions" in res.picked:
-        st = staging.stage_transactions(feeds.read_transactions(spark, path_of["transactions"]))
-        staged["transactions"], bad = _stage_to(spark, root, run_id, "transactions", st)
-        res.rejects["transactions"] = bad.count()
-    if "blacklist" in res.picked:
-        raw = feeds.read_blacklist(spark, path_of["blacklist"], sources.blacklist_format)
-        st = staging.stage_blacklist(raw)
-        staged["blacklist"], bad = _stage_to(spark, root, run_id, "blacklist", st)
-        res.rejects["blacklist"] = bad.count()
-    if "terminals" in res.picked:
-        raw = feeds.read_terminals(spark, path_of["terminals"], sources.terminals_format)
-        st = staging.stage_terminals(raw, res.picked["terminals"][1])
-        staged["terminals"], bad = _stage_to(spark, root, run_id, "terminals", st)
-        res.rejects["terminals"] = bad.count()
-
-    # ---- type-2 history: O(open + staged) per dimension (literal: O(history))
+        res.rejects[name] = n_bad
+
+    # ---- type-2 history: O(open + staged) per dimension (literal: O(history));
+    # the dimensions are independent, so their merges run side by side
     dim_run = {n: (prev or {}).get(f"{n}_run") for n in DIMS}
     dim_mode = {}
-    for name in DIMS:
-        if name not in staged:
-            continue  # a missing feed is not an empty snapshot: history unchanged
+
+    def merge_one(name: str) -> str:
         spec = DIMS[name]
         staging.assert_unique_keys(staged[name], name)
         writers = warehouse.holders(spark, root, name) if dim_run[name] else []
@@ -144,8 +156,12 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                         else _empty(spark, spec.dim_schema()))
             warehouse.write_dimension(scd2.merge(open_now, staged[name], spec, clock), root,
                                       name, run_id)
+        return mode
+
+    # a missing feed is not an empty snapshot: that dimension stays as it is
+    for name, written_mode in _side_by_side(merge_one, [n for n in DIMS if n in staged]):
         dim_run[name] = run_id
-        dim_mode[name] = mode
+        dim_mode[name] = written_mode
 
     # ---- facts
     if "transactions" in staged:
