@@ -158,26 +158,30 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                                       name, run_id)
         return mode
 
-    # a missing feed is not an empty snapshot: that dimension stays as it is
-    for name, written_mode in _side_by_side(merge_one, [n for n in DIMS if n in staged]):
-        dim_run[name] = run_id
-        dim_mode[name] = written_mode
-
-    # ---- facts
-    if "transactions" in staged:
-        warehouse.append_transactions(staged["transactions"], root,
-                                      feed_dt=res.picked["transactions"][1])
+    # ---- facts and watermarks
     blacklist_run = (prev or {}).get("blacklist_run")
     if "blacklist" in staged:
-        warehouse.refresh_blacklist(staged["blacklist"], root, run_id)
         blacklist_run = run_id
-
-    # ---- watermarks
     dates = {f: d for f, (_, d) in res.picked.items()}
-    meta = watermark.advance_feeds(meta, dates)
-    maxima = watermark.snapshot_maxima({n: staged[n] for n in SNAPSHOT_DIMS})
-    meta = watermark.advance_snapshots(meta, maxima, mode)
-    warehouse.write_meta(meta, root, run_id)
+
+    def load_facts_and_meta() -> None:
+        if "transactions" in staged:
+            warehouse.append_transactions(staged["transactions"], root,
+                                          feed_dt=res.picked["transactions"][1])
+        if "blacklist" in staged:
+            warehouse.refresh_blacklist(staged["blacklist"], root, run_id)
+        m = watermark.advance_feeds(meta, dates)
+        maxima = watermark.snapshot_maxima({n: staged[n] for n in SNAPSHOT_DIMS})
+        warehouse.write_meta(watermark.advance_snapshots(m, maxima, mode), root, run_id)
+
+    # a missing feed is not an empty snapshot: that dimension stays as it is;
+    # the merges, the fact loads and the watermarks write disjoint paths
+    steps = [n for n in DIMS if n in staged] + ["facts"]
+    done = _side_by_side(lambda n: load_facts_and_meta() if n == "facts" else merge_one(n), steps)
+    for name, written_mode in done:
+        if name != "facts":
+            dim_run[name] = run_id
+            dim_mode[name] = written_mode
 
     # ---- reports, only for a newly loaded transactions file
     if "transactions" in res.picked:
