@@ -73,6 +73,18 @@ def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame,
             back.where(F.col("reason").isNotNull()))
 
 
+def _described(spark: SparkSession, run_id: str, what: str, fn):
+    """Run ``fn`` with the Spark job description ``cardwatch <run> <what>``
+    (a thread-local property), so event logs name the step of every job."""
+    def wrapped(*args):
+        spark.sparkContext.setJobDescription(f"cardwatch {run_id} {what}")
+        try:
+            return fn(*args)
+        finally:
+            spark.sparkContext.setJobDescription(None)
+    return wrapped
+
+
 def _side_by_side(fn, names: list[str]) -> list[tuple[str, object]]:
     """Run ``fn`` for each name from a few driver threads, so that independent
     Spark jobs are scheduled together; results in input order, and the first
@@ -96,6 +108,15 @@ def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
 
 def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         mode: str = "intended", allow_empty_snapshots: bool = False) -> RunResult:
+    """One daily run, published as a whole (see the module docstring)."""
+    try:
+        return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots)
+    finally:
+        spark.sparkContext.setJobDescription(None)
+
+
+def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
+         mode: str, allow_empty_snapshots: bool) -> RunResult:
     run_ts = _seconds(run_ts)
     run_id = warehouse.run_id_for(run_ts)
     res = RunResult(run_id, run_ts)
@@ -132,7 +153,10 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         return good, bad.count()
 
     staged = {}
-    for name, (good, n_bad) in _side_by_side(stage, [*SNAPSHOT_DIMS, *res.picked]):
+    def stage_described(name: str):
+        return _described(spark, run_id, f"stage {name}", stage)(name)
+
+    for name, (good, n_bad) in _side_by_side(stage_described, [*SNAPSHOT_DIMS, *res.picked]):
         staged[name] = good
         res.rejects[name] = n_bad
 
@@ -177,7 +201,12 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     # a missing feed is not an empty snapshot: that dimension stays as it is;
     # the merges, the fact loads and the watermarks write disjoint paths
     steps = [n for n in DIMS if n in staged] + ["facts"]
-    done = _side_by_side(lambda n: load_facts_and_meta() if n == "facts" else merge_one(n), steps)
+    def step(n: str):
+        if n == "facts":
+            return _described(spark, run_id, "facts and watermarks", load_facts_and_meta)()
+        return _described(spark, run_id, f"merge {n}", merge_one)(n)
+
+    done = _side_by_side(step, steps)
     for name, written_mode in done:
         if name != "facts":
             dim_run[name] = run_id
@@ -185,6 +214,7 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
 
     # ---- reports, only for a newly loaded transactions file
     if "transactions" in res.picked:
+        spark.sparkContext.setJobDescription(f"cardwatch {run_id} reports")
         report_dt = res.picked["transactions"][1]
         # intended scope: transactions of the report day and the hour before it,
         # delivered by that day's file or the one before (partition pruning);
@@ -209,6 +239,7 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         warehouse.write_reports(mart, root)
         res.reported = True
 
+    spark.sparkContext.setJobDescription(f"cardwatch {run_id} commit")
     warehouse.commit(spark, root, run_id, run_ts,
                      transactions_dt=dates.get("transactions"), blacklist_dt=dates.get("blacklist"),
                      terminals_dt=dates.get("terminals"), dim_runs=dim_run,
