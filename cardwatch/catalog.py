@@ -8,7 +8,6 @@ then read it back through the real feed reader.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from cardwatch.functions.expr import date_lit, ntz_lit, null_safe_differs
 from cardwatch.operators import literal, scd2, staging
 from cardwatch.plans import reports, watermark
 from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINALS,
-                               FEED_PREFIX_TRANSACTIONS, META, META_SCHEMA)
+                               FEED_PREFIX_TRANSACTIONS, META_SCHEMA)
 from cardwatch.session import scratch_dir
 from cardwatch.sinks import warehouse
 from cardwatch.sources import adapters, feeds
