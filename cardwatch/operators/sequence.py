@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 from cardwatch.operators.lookup import materialize
 
 PARTITIONS_CONF = "cardwatch.sequence.partitions"
+MAX_GROUP_CONF = "cardwatch.sequence.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, group: str) -> int:
+    """Rows in the biggest group: a count per group that combines on the map
+    side (so a hot group never gathers in one task), then one row to the driver."""
+    row = df.groupBy(group).count().agg(F.max("count").alias("m")).collect()[0]
+    return row.m or 0
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -36,11 +45,27 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def with_next(df: DataFrame, group: str, order: list[str], carry: list[str],
-              prefix: str = "lead_", partitions: int | None = None) -> DataFrame:
+              prefix: str = "lead_", partitions: int | None = None,
+              max_group_rows: int | None = None) -> DataFrame:
     """``df`` plus ``prefix + c`` for each ``c`` in ``carry``: the value in the
-    next row of the same ``group`` by ``order`` (NULL for the group's last row)."""
+    next row of the same ``group`` by ``order`` (NULL for the group's last row).
+
+    When no group exceeds ``max_group_rows`` (``cardwatch.sequence.maxGroupRows``,
+    default five million), a plain per-group window is used: one shuffle, and
+    every task holds groups of bounded size.  Otherwise the range slices below."""
     keys = [group, *order]
     fields = list(dict.fromkeys([*keys, *carry]))
+    conf = df.sparkSession.conf
+    limit = max_group_rows if max_group_rows is not None else \
+        int(conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if largest_group(df, group) <= limit:
+        w = Window.partitionBy(group).orderBy(*order)
+        succ = F.lead(F.struct(*fields)).over(w)
+        return df.select("*", *[succ[c].alias(prefix + c) for c in carry])
+    return _sliced_next(df, group, keys, fields, carry, prefix, partitions)
+
+
+def _sliced_next(df, group, keys, fields, carry, prefix, partitions) -> DataFrame:
     n = _partitions(df, partitions)
     sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
     w = Window.partitionBy("_slice").orderBy(*keys)

@@ -43,8 +43,13 @@ def test_scd2_merge_shuffles_each_side_once(spark):
 
 
 def test_city_hop_successor_is_range_sliced_not_per_card(spark):
+    # force the sliced path (a card larger than the per-task group limit)
+    spark.conf.set("cardwatch.sequence.maxGroupRows", "1")
     tt = catalog._tt(spark, SF0001)
-    df = reports.hop_pairs(tt.transactions(), tt.snapshot("terminals"), REPORT_DT)
+    try:
+        df = reports.hop_pairs(tt.transactions(), tt.snapshot("terminals"), REPORT_DT)
+    finally:
+        spark.conf.unset("cardwatch.sequence.maxGroupRows")
     lineage = df._jdf.queryExecution().optimizedPlan().toString()
     # the window runs on a checkpoint of range slices (card, time, id), never
     # on a per-card hash partitioning

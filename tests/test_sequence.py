@@ -19,7 +19,8 @@ def _rows(spark):
 
 def test_matches_plain_window_and_splits_the_hot_group(spark):
     df = _rows(spark)
-    got = with_next(df, "card", ["ts", "id"], ["id", "term"], partitions=16)
+    got = with_next(df, "card", ["ts", "id"], ["id", "term"], partitions=16, max_group_rows=100)
+    assert "_slice" in got._jdf.queryExecution().executedPlan().toString()  # sliced path
     w = Window.partitionBy("card").orderBy("ts", "id")
     ref = df.select("id", F.lead("id").over(w).alias("r_id"), F.lead("term").over(w).alias("r_term"))
     j = got.join(ref, "id")
@@ -35,5 +36,16 @@ def test_matches_plain_window_and_splits_the_hot_group(spark):
 
 def test_more_slices_than_rows(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "g string, o int, v string")
-    got = {r.v: r.lead_v for r in with_next(df, "g", ["o"], ["v"], partitions=64).collect()}
+    got = {r.v: r.lead_v for r in with_next(df, "g", ["o"], ["v"], partitions=64,
+                                              max_group_rows=1).collect()}
     assert got == {"x": "y", "y": None, "z": None}
+
+
+def test_small_groups_use_one_plain_window(spark):
+    df = _rows(spark)
+    got = with_next(df, "card", ["ts", "id"], ["id"])           # largest group: 3000 rows
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_slice" not in plan and "rangepartitioning" not in plan
+    w = Window.partitionBy("card").orderBy("ts", "id")
+    ref = df.select("id", F.lead("id").over(w).alias("r"))
+    assert got.join(ref, "id").where(~F.col("lead_id").eqNullSafe(F.col("r"))).count() == 0
