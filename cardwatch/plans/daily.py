@@ -107,16 +107,21 @@ def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
-        mode: str = "intended", allow_empty_snapshots: bool = False) -> RunResult:
-    """One daily run, published as a whole (see the module docstring)."""
+        mode: str = "intended", allow_empty_snapshots: bool = False,
+        open_buckets: int = 0) -> RunResult:
+    """One daily run, published as a whole (see the module docstring).
+
+    ``open_buckets`` > 0 writes the dimensions bucketed by key; set it to
+    ``spark.sql.shuffle.partitions`` so the next run's merges read the open
+    sets without shuffling them."""
     try:
-        return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots)
+        return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots, open_buckets)
     finally:
         spark.sparkContext.setJobDescription(None)
 
 
 def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
-         mode: str, allow_empty_snapshots: bool) -> RunResult:
+         mode: str, allow_empty_snapshots: bool, open_buckets: int) -> RunResult:
     run_ts = _seconds(run_ts)
     run_id = warehouse.run_id_for(run_ts)
     res = RunResult(run_id, run_ts)
@@ -176,10 +181,14 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
             warehouse.write_full_history(literal.step(hist, staged[name], spec, clock), root,
                                          name, run_id)
         else:
-            open_now = (warehouse.open_of(spark, root, name, *writers[-1]) if writers
-                        else _empty(spark, spec.dim_schema()))
+            if writers:
+                last_run, last_mode = writers[-1]
+                open_now = warehouse.open_of(spark, root, name, last_run, last_mode,
+                                             warehouse.buckets_of(spark, root, last_run))
+            else:
+                open_now = _empty(spark, spec.dim_schema())
             warehouse.write_dimension(scd2.merge(open_now, staged[name], spec, clock), root,
-                                      name, run_id)
+                                      name, run_id, buckets=open_buckets)
         return mode
 
     # ---- facts and watermarks
@@ -244,5 +253,6 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                      transactions_dt=dates.get("transactions"), blacklist_dt=dates.get("blacklist"),
                      terminals_dt=dates.get("terminals"), dim_runs=dim_run,
                      blacklist_run=blacklist_run, mode=mode,
-                     expect_previous=prev["run_id"] if prev else None)
+                     expect_previous=prev["run_id"] if prev else None,
+                     buckets=open_buckets if mode != "literal" else 0)
     return res

@@ -21,6 +21,7 @@ a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("cards_run", T.StringType()), T.StructField("accounts_run", T.StringType()),
     T.StructField("clients_run", T.StringType()), T.StructField("terminals_run", T.StringType()),
     T.StructField("blacklist_run", T.StringType()), T.StructField("mode", T.StringType()),
+    T.StructField("buckets", T.IntegerType()),
 ])
 
 
@@ -96,11 +98,24 @@ def read_blacklist(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ dimensions
-def write_dimension(merged: DataFrame, root: str, name: str, run_id: str) -> None:
-    """Open set and this run's closed rows in one job, split by ``state``."""
+def write_dimension(merged: DataFrame, root: str, name: str, run_id: str,
+                    buckets: int = 0) -> None:
+    """Open set and this run's closed rows in one job, split by ``state``.
+
+    With ``buckets`` the files are also bucketed and sorted by key (through a
+    catalog table whose definition is dropped right away; the files stay).
+    The next run reads the open set as a bucketed table, so its merge needs
+    no shuffle of that side when ``buckets`` equals the shuffle partitions."""
     spec = DIMS[name]
-    (merged.select(*spec.dim_columns, "state").write.mode("overwrite").partitionBy("state")
-     .parquet(_p(root, f"dim_{name}", f"run={run_id}")))
+    out = merged.select(*spec.dim_columns, "state").write.mode("overwrite").partitionBy("state")
+    path = _p(root, f"dim_{name}", f"run={run_id}")
+    if not buckets:
+        out.parquet(path)
+        return
+    spark = merged.sparkSession
+    table = f"cardwatch_w_{name}_{run_id.lower()}_{uuid.uuid4().hex[:8]}"
+    out.bucketBy(buckets, spec.key).sortBy(spec.key).option("path", path).saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external table: only the definition goes
 
 
 def write_history(history: DataFrame, root: str, name: str, run_id: str) -> None:
@@ -139,6 +154,13 @@ def holders(spark: SparkSession, root: str, name: str) -> list[tuple[str, str]]:
     return [(r.run_id, r.mode or "intended") for r in log if r[f"{name}_run"] == r.run_id]
 
 
+def buckets_of(spark: SparkSession, root: str, run_id: str) -> int:
+    """Bucket count a committed run wrote its open sets with (0: none)."""
+    row = (committed_runs(spark, root).where(F.col("run_id") == run_id)
+           .select("buckets").collect())
+    return (row[0][0] or 0) if row else 0
+
+
 def history_of(spark: SparkSession, root: str, name: str,
                writers: list[tuple[str, str]]) -> DataFrame:
     """History after the last of ``writers``: the newest literal run's whole
@@ -160,8 +182,21 @@ def history_of(spark: SparkSession, root: str, name: str,
     return df.where(keep).select(*DIMS[name].dim_columns)
 
 
-def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str) -> DataFrame:
-    """The open versions (``end_dt = INF``) written by one run."""
+def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str,
+            buckets: int = 0) -> DataFrame:
+    """The open versions (``end_dt = INF``) written by one run.  A bucketed
+    open set is read through a bucketed table over the same folder."""
+    if buckets and mode != "literal":
+        spec = DIMS[name]
+        location = _p(root, f"dim_{name}", f"run={run_id}", "state=open")
+        # one table per folder and bucket count: the name is derived from both
+        table = f"cardwatch_open_{uuid.uuid5(uuid.NAMESPACE_URL, f'{location}#{buckets}').hex}"
+        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.dim_schema().fields)
+        location = location.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+                  f"CLUSTERED BY ({spec.key}) SORTED BY ({spec.key}) INTO {buckets} BUCKETS "
+                  f"LOCATION '{location}'")
+        return spark.table(table).select(*spec.dim_columns)
     df = _dim_frame(spark, root, name).where(F.col("run") == run_id)
     if mode == "literal":
         df = df.where((F.col("state") == "history")
@@ -240,7 +275,8 @@ def last_run_id(spark: SparkSession, root: str) -> str | None:
 def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
            transactions_dt=None, blacklist_dt=None, terminals_dt=None,
            dim_runs: dict | None = None, blacklist_run: str | None = None,
-           mode: str = "intended", expect_previous: str | None = "") -> None:
+           mode: str = "intended", expect_previous: str | None = "",
+           buckets: int = 0) -> None:
     """K7: publish the run.  Written last; one tiny file per run.  The row
     also names, per dimension and for the blacklist, the run whose output is
     current (a run without a terminals file leaves that dimension as it was)."""
@@ -253,7 +289,8 @@ def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
                                 f"committed meanwhile; rerun")
     d = dim_runs or {}
     row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt, d.get("cards"),
-            d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run, mode)]
+            d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run, mode,
+            buckets)]
     (spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("overwrite")
      .parquet(_p(root, "runs", f"commit={run_id}")))
 

@@ -197,3 +197,25 @@ def test_debris_of_a_run_failing_at_commit_is_invisible(spark, tmp_path, feeds_d
     assert {r.feed_dt for r in warehouse.current_transactions(spark, root).collect()} == {d("2021-03-01")}
     assert {r.report_dt for r in warehouse.current_reports(spark, root).collect()} == {d("2021-03-01")}
     assert warehouse.current_history(spark, root, "cards").count() == 2
+
+
+def test_bucketed_open_sets_give_the_same_history_and_skip_a_shuffle(spark, tmp_path, feeds_dir):
+    import re
+
+    from cardwatch.operators import scd2
+    from cardwatch.schemas import DIMS
+    from tests.helpers import plan_text
+    root = str(tmp_path / "wh")
+    for day, t in ((1, "2021-03-01 06:00:00"), (2, "2021-03-02 06:00:00")):
+        daily.run(spark, daily.Sources(_snapshots(spark, day), feeds_dir), root, ts(t),
+                  open_buckets=8)
+    cards = warehouse.current_history(spark, root, "cards")
+    assert rows(cards, "card_num", "start_dt", "end_dt", "deleted_flg") == sorted([
+        ("C1", C0, INF, "N"), ("C2", C0, ts("2021-03-02 05:59:59"), "N"),
+        ("C2", ts("2021-03-02 06:00:00"), INF, "Y")], key=lambda t: tuple(str(x) for x in t))
+    last = warehouse.holders(spark, root, "cards")[-1]
+    assert warehouse.buckets_of(spark, root, last[0]) == 8
+    opened = warehouse.open_of(spark, root, "cards", *last, buckets=8)
+    staged = _snapshots(spark, 2)["cards"]
+    plan = plan_text(scd2.merge(opened, staged, DIMS["cards"], scd2.Clock(ts("2021-03-03 06:00:00"))))
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1   # only the staged side
