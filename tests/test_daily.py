@@ -219,3 +219,14 @@ def test_bucketed_open_sets_give_the_same_history_and_skip_a_shuffle(spark, tmp_
     staged = _snapshots(spark, 2)["cards"]
     plan = plan_text(scd2.merge(opened, staged, DIMS["cards"], scd2.Clock(ts("2021-03-03 06:00:00"))))
     assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1   # only the staged side
+
+
+def test_vacuum_after_literal_runs_keeps_the_newest_history(spark, tmp_path, feeds_dir):
+    root = str(tmp_path / "wh")
+    for day, t in ((1, "2021-03-01 06:00:00"), (2, "2021-03-02 06:00:00")):
+        daily.run(spark, daily.Sources(_snapshots(spark, day), feeds_dir), root, ts(t), mode="literal")
+    before = rows(warehouse.current_history(spark, root, "cards"))
+    removed = warehouse.vacuum(spark, root, keep=1)
+    assert any("dim_cards/run=20210301T060000/state=history" in p for p in removed)
+    assert not any("run=20210302T060000/state=history" in p for p in removed)
+    assert rows(warehouse.current_history(spark, root, "cards")) == before
