@@ -125,3 +125,14 @@ def test_timestamps_round_half_up_to_whole_seconds(spark, tmp_path):
     assert rows(good, "trans_id", "trans_date") == [
         ("1", dt.datetime(2021, 3, 1, 10, 0, 0)), ("2", dt.datetime(2021, 3, 1, 10, 0, 1)),
         ("3", dt.datetime(2022, 1, 1, 0, 0, 0))]
+
+
+def test_spark_written_feed_folder_is_one_entry(spark, tmp_path):
+    root = tmp_path / "feeds"
+    df = spark.range(20).selectExpr("CAST(id AS STRING) AS transaction_id").repartition(3)
+    feeds.write_text_feed(df, str(root / "transactions_05032021.txt"))
+    (root / "terminals_05032021.csv").write_text("x\n")
+    got = rows(feeds.list_entries(spark, str(root)))
+    assert got == [("terminals_05032021.csv",), ("transactions_05032021.txt",)]
+    picked = feeds.pick_feed(feeds.list_entries(spark, str(root)), "transactions_", d("2021-03-01"))
+    assert rows(picked, "name", "file_dt") == [("transactions_05032021.txt", d("2021-03-05"))]
