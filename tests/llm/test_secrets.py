@@ -1,0 +1,76 @@
+import base64
+import gzip
+import hashlib
+import re
+from urllib.parse import quote
+
+from pyspark.sql import functions as F
+
+from cardwatch.llm import queries
+from cardwatch.llm import secret_scan as s
+
+SF0001 = "/root/testdata/sf0.001"
+SECRET = 'password = "hunter2hunter2"'
+
+
+def _kinds(text):
+    return [(k, a, b) for k, a, b, _ in s.spans_of(text)]
+
+
+def test_base_kinds():
+    text = "é Token: abcdef, api_key='x1' APIKEY=abc/def== AKIA" + "A" * 16 + " AKIASHORT " + "0123456789abcdef" * 2 + " abc"
+    want = [("assign", m.start(), m.end()) for m in re.finditer(r"Token: abcdef|APIKEY=abc/def==", text)]
+    want += [("access", text.index("AKIA"), text.index("AKIA") + 20), ("hex", text.index("0123"), text.index("0123") + 32)]
+    assert _kinds(text) == sorted(want, key=lambda x: x[1])
+    assert _kinds("paſſword=abcdefgh to\u212Aen=abcdefgh") == []
+
+
+def test_layers_map_to_the_original_span():
+    enc = base64.b64encode(SECRET.encode()).decode()
+    for how, blob in (("base64", enc), ("base64-base64", base64.b64encode(enc.encode()).decode()),
+                      ("zlib", base64.b64encode(gzip.compress(SECRET.encode(), mtime=0)).decode())):
+        text = f"é before {blob} after"
+        assert (f"{how}-assign", 9, 9 + len(blob)) in _kinds(text), how
+    text = "go to x?q=" + quote(SECRET, safe="") + "&r"
+    assert any(k == "url-assign" and text[a:b].startswith("password%20") for k, a, b in _kinds(text))
+    esc = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert ("unicode-assign", 2, 2 + len(esc) - 6) in _kinds("x " + esc)
+    nested = quote(quote(SECRET, safe=""), safe="")
+    assert ("url-url-assign", 0, nested.index("%2522", 30)) in _kinds(nested)
+
+
+def test_no_doubles_and_an_end():
+    plain = "see %41 and " + SECRET
+    assert _kinds(plain) == [("assign", 12, 12 + len(SECRET) - 1)]
+    for odd in ("%", "%zz", "%ff%fe", "\\u", "\\ud800", "&#99999999;", "&#x110000;", "A" * 100, "=" * 50, "%25" * 50, "QUFB" * 400):
+        s.spans_of(odd)
+    loop = "%2525252525252525252541"
+    assert _kinds(loop) == []
+
+
+def test_edge_rows(spark):
+    rows = [(1, None), (2, ""), (3, SECRET), (3, SECRET), (None, SECRET), (4, "w " * 100000 + SECRET)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
+    got = s.scan(docs).collect()
+    assert sorted(((r["doc_id"], len(r["spans"])) for r in got), key=str) == sorted(
+        [(1, 0), (2, 0), (3, 1), (3, 1), (None, 1), (4, 1)], key=str)
+    assert s.scan(docs.where("false")).collect() == []
+
+
+def test_query_base_by_plain_regular_expressions(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").collect()
+    got = {r["doc_id"]: r for r in queries.op10_secret_scan(spark, SF0001).collect()}
+    key = "".join
+    either = lambda w: key(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+    assign = re.compile("(" + "|".join(map(either, ("password", "passwd", "secret", "token"))) + "|" + either("api") + "_?" + either("key")
+                        + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    for r in docs:
+        t = r["text"]
+        spans = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(t) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        text = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
+        g = got[r["doc_id"]]
+        assert g["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert (g["n_assign"], g["n_access"], g["n_hex"]) == tuple(sum(x[1] == i for x in spans) for i in range(3))
+        assert set(text.split(",")) - {""} <= set(g["spans"].split(","))

@@ -1,0 +1,106 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cardwatch.llm import golay, queries, simhash
+from cardwatch.llm.components import components
+
+from . import brute
+
+SF0001 = "/root/testdata/sf0.001"
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_index_is_the_nearest_codeword():
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 4096, 300)
+    codeword = np.array([int(d) << 11 | int(golay.syndrome(np.array([int(d) << 11]))[0]) for d in data])
+    assert not golay.syndrome(codeword).any()
+    for errors in range(4):
+        bits = np.array([sum(1 << int(i) for i in rng.choice(23, errors, replace=False)) for _ in data])
+        assert (golay.index_of(codeword ^ bits) == data).all()
+
+
+def test_fingerprints_within_four_bits_share_a_key_either_way():
+    rng = random.Random(7)
+    a = [rng.getrandbits(64) for _ in range(2000)]
+    b = [x ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 4))) for x in a]
+    for x, y in ((a, b), (b, a)):
+        probe, home = {}, {}
+        for found, keys, fps in ((probe, golay.probe_keys, x), (home, golay.home_keys, y)):
+            for r, k in zip(*(v.tolist() for v in keys(np.array([_signed(f) for f in fps], np.int64)))):
+                found.setdefault(r, set()).add(k)
+        assert all(probe[i] & home[i] for i in range(len(a)))
+
+
+def test_fingerprint_by_definition():
+    for t in (None, "", "  \t", "One", "a b c", "a b c d", "The the THE the the", "Ärger ÀB c d e\x0bf\x0cg", "x " * 9000):
+        assert simhash.fingerprint(t) & (1 << 64) - 1 == brute.fingerprint(t), t
+
+
+def _edges(spark, pairs):
+    return spark.createDataFrame(pairs, "a long, b long")
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    got = {r["node"]: r["component"] for r in components(_edges(
+        spark, [*chain, (5, 1), (5, 2), (2, 9), (7, 7), (None, 3), (50, 40), (40, 50)]), "a", "b").collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, 1: 1, 5: 1, 2: 1, 9: 1, 40: 40, 50: 40}
+    assert components(_edges(spark, []), "a", "b").collect() == []
+
+
+def test_links_connect_what_all_pairs_connect(spark):
+    """Random clusters, among them one large one of near copies, against all pairs."""
+    rng = random.Random(3)
+    fps = [0]
+    for size in (120, 30, 3, 3, 2, 1, 1, 1):
+        x = rng.getrandbits(64)
+        for _ in range(size):
+            fps.append(x ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 4))))
+            if rng.random() < 0.2:
+                x = fps[-1]  # the cluster drifts: chains of links
+    fps = sorted(set(fps))
+    df = spark.createDataFrame([(_signed(f),) for f in fps], "fp long")
+    got = {r["node"]: r["component"] for r in components(simhash.links(df), "a", "b").collect()}
+    want = brute.components(fps)
+    group = lambda of: sorted(sorted(m) for m in _classes(of))
+    assert group({f: got.get(_signed(f), _signed(f)) for f in fps}) == group(want)
+
+
+def _classes(of):
+    out = {}
+    for k, v in of.items():
+        out.setdefault(v, []).append(k)
+    return out.values()
+
+
+def test_edge_rows(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(3, text), (3, text), (2, text), (None, text), (7, None), (8, ""), (None, "lone words here"), (9, "x " * 30000),
+            (4, "other words that stand alone in here"), (4, "the same id but with another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("clash")).withColumn("_row", F.lit(1))
+    got = [(r["doc_id"], f"{r['fp'] & (1 << 64) - 1:016x}", r["component_id"]) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(got, key=str) == sorted(brute.near_duplicates(rows), key=str)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    want = sorted([(2, text), (7, None), (None, "lone words here"), (9, "x " * 30000), *rows[-2:]], key=str)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == want
+    empty = docs.where("false")
+    assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_first(empty).collect() == []
+
+
+def test_more_than_four_bits_is_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 5)
+
+
+def test_query_against_all_pairs(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    got = [tuple(r) for r in queries.op1_simhash(spark, SF0001).collect()]
+    assert sorted(got) == sorted(brute.near_duplicates(docs))
