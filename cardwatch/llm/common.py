@@ -40,12 +40,12 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("_row.*")
 
 
-def stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (cuts lineage and
     survives the loss of executors)."""
     ensure_checkpoint_dir(spark)
     path = scratch_dir(spark, f"llm-{purpose}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,7 +57,7 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str,
-           most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+           most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``most_bytes`` in each
     (one row at least), which bounds a worker's memory."""
     for batch in batches:

@@ -1,37 +1,38 @@
 """Corpus-wide line deduplication by an exact set-similarity join.
 
-A line is the set of its words (split at ASCII white space, A-Z lower-cased).  A line
-is removed if an earlier one, by document id, then text hash, then line number, has a
-Jaccard similarity of at least 0.8 with it; equal sets have 1.  Lines without words
-stay.
+A line is the set of its words (split at ASCII white space, A-Z lower-cased, compared
+by 64-bit hash).  A line is removed if an earlier one, by document id, then line
+number, has a Jaccard similarity of at least 0.8 with it; equal sets have 1.  Lines
+without words stay.
 
 1. Rarity.  Tasks count all words into a fixed table of ``SKETCH`` counters, Spark adds
    the tables up.  A word's rank is its counter's logarithm, then its hash: one global
    order, about from rare to frequent.  Any such order gives the exact result; a good
    one gives few candidates.
-2. Lines.  Each line becomes its word hashes in that order, a 128-bit hash of the set,
-   and its prefix: similarity 0.8 needs a common word among the first
-   ``n - ceil(0.8 n) + 1``.  Equal lines of one slice of text are reduced to the first
-   there, then Spark finds the first of each set.  Later ones are removed, the first
-   ones (representatives) go on.  A set copied a million times thus meets in few rows.
-3. Join.  Representatives are dealt by prefix word and sorted by it and by document
-   order; tasks stream over the words' groups and pair their members in numpy under the
-   length filter, the positional filter (words left after the shared one) and a 32-bit
-   parity filter (differing bits can't exceed differing words).  A group of more than
-   ``GROUP`` members is not paired at once: its members meet its ``STARS`` earliest,
-   and are set aside.
-4. Verify.  The words of the paired lines alone are read again (found through a bitmap),
-   joined to the pairs, and Jaccard is computed on them.  A representative with an
-   earlier match is removed.
+2. Lines.  Each line becomes a 128-bit hash of its set and its prefix in that order.
+   Similarity 0.8 needs a shared word among the first ``n - ceil(0.8 n) + 1``; with one
+   more, lines of different sets share two.  Equal lines of one slice of text are reduced
+   to the first there, then Spark finds the first of each set, so that a set copied a
+   million times meets in few rows.  Later ones are removed, the first ones
+   (representatives) go on.
+3. Join.  Representatives are dealt by prefix word and sorted by it and by size; tasks
+   stream over the words' groups and pair their members in numpy under the length
+   filter, the positional filter (words left after the shared one) and a parity filter
+   (bits of a 42-bit parity that differ can't exceed the words that differ).  Pairs met
+   under two words go on.  A group of more than ``GROUP`` members, or with more than
+   ``PAIRS`` pairs for each, is not paired at once: its members meet its ``STARS``
+   earliest, and are set aside.
+4. Verify.  The words of the paired lines alone are read again (found through a bitmap)
+   and Jaccard is computed on them.
 5. Set-aside groups: those members that are still undecided are joined with all of
    their group under the same filters, and verified.  In a large group of near copies
    most are decided by then, so that its pairs are never written out; no pair that could
    decide a line is left out.
 
 Null texts count as empty; repeated rows (same id and text) are one document and lose
-the same lines; rows that share an id but not the text are ordered by the text's hash;
-a null id comes first.  An empty table gives an empty result.  Extra columns are kept by
-``remove_lines``; ``n_chars``, if there, is brought up to date.
+the same lines; of rows that share an id but not the text, lines are ordered by number,
+then by a hash; a null id comes first.  An empty table gives an empty result.  Extra
+columns are kept by ``dedup``; ``n_chars``, if there, is brought up to date.
 """
 
 from __future__ import annotations
@@ -39,83 +40,156 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, slices, stored, text_hash, text_or_empty, unpacked
+from .common import BROADCAST_ROWS, if_small, packed, slices, stored, text_hash, text_or_empty, unpacked
 
-#: Counters of the rarity table (a fixed 4 MB for each task, 1 MB once ranked).
+#: Counters of the rarity table (fixed: 8 MB for each task, 1 MB once ranked).
 SKETCH = 1 << 20
 _CHUNK = 1 << 13
-GROUP = 128
+#: Words that two similar lines of different sets share at least in their prefixes.
+SHARED = 2
+#: A word's group is set aside beyond so many members, or so many pairs for each of them.
+GROUP = 4096
+PAIRS = 16
 STARS = 4
+_GATHER = 1 << 17
+PARITY_BITS = 42
 #: Bits of the bitmaps through which lines are found again: 16 for a line, within these bounds.
 _BITS = (1 << 16, 1 << 28)
-_SATURATED = 0xFFFF
+#: Sizes and places are packed into 12 and 10 bits; the largest values stand for "that or more".
+_SIZE_MAX, _PLACE_MAX = (1 << 12) - 1, (1 << 10) - 1
+_U = np.uint64
 
 
-# ------------------------------------------------------------------ lines of a batch
-def _needed(n):
-    """Words that a set of ``n`` shares at least with one of similarity 0.8."""
-    return (4 * n + 4) // 5
+# ------------------------------------------------------------------ words of a batch
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+_BASE = 0x9E3779B97F4A7C15
 
 
-class Lines:
-    """The lines with words of a batch of texts; words are numbers into ``hash``."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def _hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, eight bytes a round; a round takes the words that have some left."""
+    padded = np.zeros(len(low) + 8, np.uint8)
+    padded[:len(low)] = low
+    eight = np.ndarray((len(low) + 1,), "<u8", padded, 0, (1,))
+    left = end - start
+    h = _mix(left.astype(np.uint64) + _U(_BASE))
+    at, todo = start, None  # None: all words
+    while True:
+        some = np.minimum(left if todo is None else left[todo], 8)
+        v = eight[at] & (_U(0xFFFFFFFFFFFFFFFF) >> ((8 - some) * 8).astype(np.uint64))
+        if todo is None:
+            h = _mix(h ^ v)
+            todo = np.flatnonzero(left > 8)
+        else:
+            h[todo] = _mix(h[todo] * _U(3) ^ v)
+            todo = todo[left[todo] > 8]
+        if not len(todo):
+            return h
+        left[todo] -= 8
+        at = start[todo] + (end[todo] - start[todo] - left[todo])
+
+
+class Words:
+    """All words of a batch of texts: ``h`` (hash) and, after ``lines()``, ``line`` (running number of the
+    line with words); for each such line ``row`` (of the batch) and ``number`` (in its text, from 0)."""
 
     def __init__(self, texts: pa.Array):
-        lines = pc.split_pattern(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")), "\n")
-        starts = np.asarray(lines.offsets)[:len(lines)]
-        row = np.asarray(pc.list_parent_indices(lines))
-        words = pc.ascii_split_whitespace(lines.flatten())
-        of = np.asarray(pc.list_parent_indices(words))
-        flat = words.flatten()
-        real = np.asarray(pc.not_equal(pc.binary_length(flat), 0))
-        if not real.all():
-            flat, of = flat.filter(pa.array(real)), of[real]
-        coded = flat.dictionary_encode()
-        self.words = np.asarray(coded.indices).astype(np.int64)
-        self.hash = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
-        self.first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
-        at = of[self.first] if len(of) else of
-        self.row = row[at].astype(np.int64)
-        self.number = (at - (starts - starts[0] if len(starts) else starts)[self.row]).astype(np.int64)
-        self.line_of_word = np.repeat(np.arange(len(self.first)), np.diff(np.r_[self.first, len(of)])) if len(of) else of
-
-    def sets(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each line's distinct words by ``rank`` (a number for each word): their word numbers,
-        and where each line begins (with the end)."""
-        by_rank = np.argsort(rank, kind="stable")
-        keys = np.sort(self.line_of_word << 32 | rank[self.words])
-        keys = keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
-        line = keys >> 32
-        begin = np.searchsorted(line, np.arange(len(self.first) + 1))
-        return by_rank[keys & 0xFFFFFFFF], begin
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        # a word begins or ends where white space and other bytes meet, and at the ends of a text
+        edge = np.zeros(len(raw) + 1, bool)
+        word = _IS_WORD[raw]
+        if len(raw):
+            np.not_equal(word[1:], word[:-1], out=edge[1:-1])
+            edge[0], edge[-1] = word[0], word[-1]
+        edges = np.flatnonzero(edge)
+        start, end = edges[::2], edges[1::2]
+        full = np.flatnonzero(np.diff(offsets))
+        joint = offsets[full[1:]]
+        joint = joint[(word[joint] & word[joint - 1])] if len(joint) else joint
+        if len(joint):  # texts that touch each other
+            start, end = (np.sort(np.r_[x, joint]) for x in (start, end))
+        self.h = _hashes(_LOWER[raw], start, end)
+        self._raw, self._offsets, self._full, self._start = raw, offsets, full, start
+
+    def lines(self) -> Words:
+        raw, offsets, full, start = self._raw, self._offsets, self._full, self._start
+        ends = np.flatnonzero(raw == 10)
+        # the first word of each line with words, among all first words after a line end or a text's start
+        at = np.unique(np.searchsorted(start, np.r_[offsets[full], ends]))
+        at = at[at < len(start)]
+        first = start[at]
+        self.row = full[np.searchsorted(offsets[full], first, "right") - 1] if len(first) else first
+        self.number = np.searchsorted(ends, first) - np.searchsorted(ends, offsets[self.row])
+        new = np.zeros(len(start), np.int64)
+        new[at] = 1
+        self.line = np.cumsum(new) - 1
+        return self
+
+    def sets(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of each line's distinct words by level and hash, and where each line begins (with
+        the end)."""
+        n = len(self.row)
+        order = None
+        if n < 1 << 23:
+            key = self.line << 40 | level.astype(np.int64) << 32 | (self.h >> _U(32)).astype(np.int64)
+            order = np.argsort(key)
+            h, k = self.h[order], key[order]
+            same = k[1:] == k[:-1]
+            if (same & (h[1:] != h[:-1])).any():  # half a hash decides the order but for this case
+                order = None
+        if order is None:
+            order = np.lexsort((self.h, level, self.line))
+            h, line = self.h[order], self.line[order]
+            same = (line[1:] == line[:-1]) & (h[1:] == h[:-1])
+        keep = np.r_[True, ~same] if len(h) else np.zeros(0, bool)
+        return h[keep], np.searchsorted(self.line[order][keep], np.arange(n + 1))
+
+
+def _parity(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    bit = (h & _U(0xFFFFFF)) * _U(PARITY_BITS) >> _U(24)
+    return np.bitwise_xor.reduceat(_U(1) << bit, begin[:-1]).view(np.int64)
+
+
+def _spans(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Indices begin[i], ..., begin[i] + count[i] - 1 for all i."""
+    return np.repeat(begin - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
 
 
 def _place(d: np.ndarray, f: np.ndarray) -> np.ndarray:
-    return _mix(_mix(d.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) ^ f.view(np.uint64))
+    return _mix(_mix(d.view(np.uint64) + _U(_BASE)) ^ f.view(np.uint64))
 
 
 # ------------------------------------------------------------------ rarity
 def word_levels(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """A level (0 to 255, about eight times the logarithm of its count) for each of the
-    ``SKETCH`` counters that words fall into; all words of ``docs`` are counted."""
+    """A level (0 to 255, eight times the logarithm of its count) for each of the ``SKETCH`` counters
+    that words fall into; all words of ``docs`` are counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(SKETCH, np.int64)
+        table, some = np.zeros(SKETCH, np.int64), []
         for b in slices(batches, "text"):
-            x = Lines(b.column("text"))
-            table += np.bincount((x.hash % np.uint64(SKETCH)).astype(np.int64),
-                                 np.bincount(x.words, minlength=len(x.hash)), SKETCH).astype(np.int64)
+            some.append((Words(b.column("text")).h % _U(SKETCH)).astype(np.int32))
+            if sum(map(len, some)) > 2 * SKETCH:
+                table += np.bincount(np.concatenate(some), minlength=SKETCH)
+                some = []
+        if some:
+            table += np.bincount(np.concatenate(some), minlength=SKETCH)
         yield from _chunks(table)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +203,7 @@ def word_levels(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     schema = "i int, counts binary"
     parts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, schema)
-    added = parts.repartition(SKETCH // _CHUNK, "i").mapInArrow(add, schema)
+    added = parts.repartition(8, "i").mapInArrow(add, schema)
     table = np.zeros(SKETCH, np.int64)  # at most SKETCH counters come to the driver
     for i, raw in zip(*added.toArrow().to_pydict().values()):
         table[i * _CHUNK:(i + 1) * _CHUNK] += np.frombuffer(raw, np.int64)
@@ -143,187 +217,207 @@ def _chunks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
                                      names=["i", "counts"])
 
 
-def _rank(x: Lines, levels: np.ndarray) -> np.ndarray:
-    level = levels[(x.hash % np.uint64(SKETCH)).astype(np.int64)]
-    order = np.lexsort((x.hash, level))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return rank
-
-
 # ------------------------------------------------------------------ sets and representatives
-_LINE = "d long, th long, line int, c1 long, c2 long, n int, parity int, prefix array<int>"
+_LINE = "d long, th long, line int, c1 long, c2 long, n int, parity long, prefix array<int>"
 
 
 def _doc_key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
 
 
+def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    return docs.select(_doc_key(id_col).alias("d"), text_hash(text).alias("th"), F.col(text).cast("string").alias("text"))
+
+
 def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each line with words: document, line, hash of the set, its size, parity and
     prefix; ``n`` is -1 for a line that repeats an earlier one of the same slice."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    rows = docs.select(_doc_key(id_col).alias("d"), text_hash(text).alias("th"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            x = Lines(b.column("text"))
-            if not len(x.first):
+            x = Words(b.column("text")).lines()
+            if not len(x.row):
                 continue
-            words, begin = x.sets(_rank(x, shared.value))
-            h, lo = x.hash[words], begin[:-1]
-            n = np.diff(begin)
+            h, begin = x.sets(shared.value[(x.h % _U(SKETCH)).astype(np.int64)])
+            lo, n = begin[:-1], np.diff(begin)
             c1 = np.add.reduceat(_mix(h), lo).view(np.int64)
-            c2 = np.add.reduceat(_mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), lo).view(np.int64)
-            parity = np.bitwise_xor.reduceat(np.left_shift(np.uint32(1), (h >> np.uint64(59)).astype(np.uint32)), lo).view(np.int32)
+            c2 = np.add.reduceat(_mix(h ^ _U(0xA5A5A5A5A5A5A5A5)), lo).view(np.int64)
+            parity = _parity(h, begin)
             d, th = (np.asarray(b.column(i))[x.row] for i in (0, 1))
-            order = np.lexsort((x.number, th, d, c2, c1))
+            order = np.lexsort((th, x.number, d, c2, c1))
             same = np.r_[False, (c1[order][1:] == c1[order][:-1]) & (c2[order][1:] == c2[order][:-1])]
-            run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-            first = order[run_start]
-            dup = same
-            here = (d[order] == d[first]) & (th[order] == th[first]) & (x.number[order] == x.number[first])
-            keep, gone = order[~dup], order[dup & ~here]
+            first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+            # a line at the very place of the first one is a repeated row, no later line
+            here = (d[order] == d[first]) & (x.number[order] == x.number[first])
+            keep, gone = order[~same], order[same & ~here]
             size = n[keep]
-            long = size - _needed(size) + 1
-            at = np.repeat(lo[keep], long) + np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
-            prefix = (h[at] >> np.uint64(16)).astype(np.uint32).view(np.int32)
-            offsets = np.r_[0, np.cumsum(long)].astype(np.int32)
+            length = np.where(size < 4, 0, np.minimum(size, size - (4 * size + 4) // 5 + SHARED))
+            prefix = (h[_spans(lo[keep], length)] >> _U(16)).astype(np.uint32).view(np.int32)
+            prefixes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(prefix))
             both = np.r_[keep, gone]
-            spread = _place(d[gone], (th[gone].view(np.uint64) + x.number[gone].view(np.uint64)).view(np.int64)).view(np.int64)
-            prefixes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix))
-            empty = pa.nulls(len(gone), pa.list_(pa.int32()))
+            alone = _place(d[gone], th[gone] + x.number[gone]).view(np.int64)  # spreads them over the tasks
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d[both]), pa.array(th[both]), pa.array(x.number[both].astype(np.int32)),
-                 pa.array(np.r_[c1[keep], spread]), pa.array(np.r_[c2[keep], spread]),
+                 pa.array(np.r_[c1[keep], alone]), pa.array(np.r_[c2[keep], alone]),
                  pa.array(np.r_[size, np.full(len(gone), -1)].astype(np.int32)),
-                 pa.array(np.r_[parity[keep], np.zeros(len(gone), np.int32)].astype(np.int32)),
-                 pa.concat_arrays([prefixes, empty])],
+                 pa.array(np.r_[parity[keep], np.zeros(len(gone), np.int64)]),
+                 pa.concat_arrays([prefixes, pa.nulls(len(gone), pa.list_(pa.int32()))])],
                 names=["d", "th", "line", "c1", "c2", "n", "parity", "prefix"])
 
-    return rows.mapInArrow(run, _LINE)
+    return _rows(docs, id_col, text).mapInArrow(run, _LINE)
 
 
-def _pack_line() -> Column:
-    return F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("th").bitwiseAND(F.lit(0xFFFFFFFF)))
+def _line_id() -> Column:
+    """Line number and half of the parity in one number; with ``d`` it names a representative."""
+    return F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("parity").bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 # ------------------------------------------------------------------ candidates
-def _admits(ma: np.ndarray, mb: np.ndarray) -> np.ndarray:
-    """Length, positional and parity filter on packed (size, place, parity)."""
-    sa, sb = ma >> 48 & 0xFFFF, mb >> 48 & 0xFFFF
-    left_a = np.where(sa == _SATURATED, 1 << 40, sa - (ma >> 32 & 0xFFFF))
-    left_b = np.where(sb == _SATURATED, 1 << 40, sb - (mb >> 32 & 0xFFFF))
+def _admits(ma: np.ndarray, fa: np.ndarray, mb: np.ndarray, fb: np.ndarray) -> np.ndarray:
+    """Length, positional and parity filter on packed (key, size, place, parity) and line ids."""
+    sa, sb = ma >> 20 & _SIZE_MAX, mb >> 20 & _SIZE_MAX
+    pa_, pb = ma >> 10 & _PLACE_MAX, mb >> 10 & _PLACE_MAX
+    large = (sa == _SIZE_MAX) | (sb == _SIZE_MAX)
+    left = np.minimum(np.where(sa == _SIZE_MAX, 1 << 40, sa - pa_), np.where(sb == _SIZE_MAX, 1 << 40, sb - pb))
     total = sa + sb
     need = (4 * total + 8) // 9
-    ok = (5 * np.minimum(sa, sb) >= 4 * np.maximum(sa, sb)) & (np.minimum(left_a, left_b) >= need)
-    differ = np.bitwise_count(((ma ^ mb) & 0xFFFFFFFF).astype(np.uint64))
-    return ok & ((differ <= total - 2 * need) | (np.maximum(sa, sb) == _SATURATED))
+    differ = (np.bitwise_count((ma ^ mb) & 0x3FF).astype(np.int64) + np.bitwise_count((fa ^ fb) & 0xFFFFFFFF))
+    # sizes beyond the packed range only bound the other one from below
+    return ((5 * np.minimum(sa, sb) >= 4 * np.maximum(sa, sb)) & (left + SHARED - 1 >= need)
+            & ((differ <= total - 2 * need) | large))
 
 
 def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, then document order -> pairs (later, earlier), and the rows of
-    groups of more than ``GROUP`` members (no earlier line; their key and ``m``)."""
+    """Rows sorted by packed (key, size, ...) -> pairs (later, earlier), and the rows of groups that
+    are set aside (with ``m``, without an earlier line)."""
     held: list[np.ndarray] | None = None  # rows of the last key so far
-    stars: list[np.ndarray] | None = None  # of a large group that goes on
-
-    def rows_out(key, m, d, f, ed, ef, pair):
-        n = len(d)
-        fill = np.zeros(n, np.int64)
-        null = np.zeros(n, bool) if pair else np.ones(n, bool)
-        cols = [key if key is not None else fill, m if m is not None else fill, d, f, ed if pair else fill, ef if pair else fill]
-        arrays = [pa.array(c) for c in cols[:4]] + [pa.array(c, mask=null) for c in cols[4:]]
-        return pa.RecordBatch.from_arrays(arrays, names=["key", "m", "d", "f", "ed", "ef"])
-
-    def large(cols, stars):
-        key, m, d, f = cols
-        yield rows_out(key, m, d, f, None, None, False)
-        for j in range(len(stars[0])):
-            ok = _admits(np.full(len(m), stars[1][j]), m) & ((d > stars[2][j]) | (d == stars[2][j]) & (f > stars[3][j]))
-            at = np.flatnonzero(ok)
+    stars: list[np.ndarray] | None = None  # of a group that goes on beyond ``GROUP`` members
+
+    def pairs(d, f, d2, f2):
+        swap = (d < d2) | ((d == d2) & (f < f2))
+        other = (d != d2) | (f != f2)
+        cols = [np.where(swap, a, b)[other] for a, b in ((d2, d), (f2, f), (d, d2), (f, f2))]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(cols[0]), pa.int64()), *map(pa.array, cols)], names=["m", "d", "f", "ed", "ef"])
+
+    def earliest(cols):
+        order = np.lexsort((cols[2], cols[1]))[:STARS]
+        return [c[order] for c in cols]
+
+    def aside(cols, stars):
+        m, d, f = cols
+        none = pa.nulls(len(m), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(d), pa.array(f), none, none], names=["m", "d", "f", "ed", "ef"])
+        for sm, sd, sf in zip(*stars):
+            at = np.flatnonzero(_admits(np.full(len(m), sm), np.full(len(m), sf), m, f))
             if len(at):
-                yield rows_out(None, None, d[at], f[at], np.full(len(at), stars[2][j]), np.full(len(at), stars[3][j]), True)
-
-    def small(cols):
-        key, m, d, f = cols
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        end = np.repeat(np.r_[start[1:], len(key)], np.diff(np.r_[start, len(key)]))
-        alive = np.arange(len(key))
-        for step in range(1, GROUP):
-            alive = alive[alive + step < end[alive]]
-            if not len(alive):
-                break
-            at = alive[_admits(m[alive], m[alive + step])]
-            if len(at):
-                yield rows_out(None, None, d[at + step], f[at + step], d[at], f[at], True)
+                yield pairs(d[at], f[at], np.full(len(at), sd), np.full(len(at), sf))
 
     def closed(cols):
         """Groups that are complete."""
-        key = cols[0]
+        m, d, f = cols
+        key, size = m >> 32, m >> 20 & _SIZE_MAX
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        for s, n in zip(start[size > GROUP].tolist(), size[size > GROUP].tolist()):
-            group = [c[s:s + n] for c in cols]
-            yield from large(group, [c[:STARS] for c in group])
-        few = np.repeat(size <= GROUP, size)
-        if few.any():
-            yield from small([c[few] for c in cols])
-
-    for b in batches:
-        for at in range(0, b.num_rows, 1 << 18):
-            part = b.slice(at, 1 << 18)
-            cols = [np.asarray(part.column(i)) for i in range(4)]
-            if stars is not None:
-                more = int(np.searchsorted(cols[0] != stars[0][0], True))
-                if more:
-                    yield from large([c[:more] for c in cols], stars)
-                cols = [c[more:] for c in cols]
-                if not len(cols[0]):
-                    continue
-                stars = None
-            if held is not None:
-                cols = [np.concatenate([a, c]) for a, c in zip(held, cols)]
-            last = int(np.searchsorted(cols[0] == cols[0][-1], True))
-            if last:
-                yield from closed([c[:last] for c in cols])
-            held = [c[last:] for c in cols]
-            if len(held[0]) > GROUP:
-                stars = [c[:STARS] for c in held]
-                yield from large(held, stars)
-                held = None
+        count = np.diff(np.r_[start, len(key)])
+        group = np.repeat(np.arange(len(start)), count)
+        end = np.repeat(start + count, count)
+        put_off = count > GROUP
+        met = np.zeros(len(start), np.int64)
+        left, right = [], []
+        alive = np.flatnonzero(~put_off[group])
+        step = 0
+        while len(alive):
+            step += 1
+            alive = alive[alive + step < end[alive]]
+            # sorted by size: once the other line is too long, so are all after it
+            alive = alive[5 * size[alive] >= 4 * size[alive + step]]
+            at = alive[_admits(m[alive], f[alive], m[alive + step], f[alive + step])]
+            if len(at):
+                left.append(at)
+                right.append(at + step)
+                met += np.bincount(group[at], minlength=len(start))
+                over = met > PAIRS * count
+                if (over & ~put_off).any():
+                    put_off |= over
+                    alive = alive[~put_off[group[alive]]]
+        if left:
+            i, j = np.concatenate(left), np.concatenate(right)
+            fine = ~put_off[group[i]]
+            yield pairs(d[i[fine]], f[i[fine]], d[j[fine]], f[j[fine]])
+        for g in np.flatnonzero(put_off).tolist():
+            rows = [c[start[g]:start[g] + count[g]] for c in cols]
+            yield from aside(rows, earliest(rows))
+
+    def gathered():
+        """Batches of some size, so that numpy works on many groups at once."""
+        parts, n = [], 0
+        for b in batches:
+            parts.append([np.asarray(b.column(i)) for i in range(3)])
+            n += b.num_rows
+            if n >= _GATHER:
+                yield [np.concatenate(c) for c in zip(*parts)]
+                parts, n = [], 0
+        if n:
+            yield [np.concatenate(c) for c in zip(*parts)]
+
+    for cols in gathered():
+        if stars is not None:
+            more = int(np.searchsorted(cols[0] >> 32 != stars[0][0] >> 32, True))
+            if more:
+                yield from aside([c[:more] for c in cols], stars)
+            cols = [c[more:] for c in cols]
+            if not len(cols[0]):
+                continue
+            stars = None
+        if held is not None:
+            cols = [np.concatenate([a, c]) for a, c in zip(held, cols)]
+        last = int(np.searchsorted(cols[0] >> 32 == cols[0][-1] >> 32, True))
+        if last:
+            yield from closed([c[:last] for c in cols])
+        held = [c[last:] for c in cols]
+        if len(held[0]) > GROUP:
+            stars = earliest(held)
+            yield from aside(held, stars)
+            held = None
     if held is not None and len(held[0]):
         yield from closed(held)
 
 
+def keyed(reps: DataFrame) -> DataFrame:
+    """``m`` (prefix word, size, place and part of the parity in one number), ``d``, ``f``: a row for each
+    prefix word of each representative, dealt by the word and sorted by ``m``."""
+    rows = reps.select("d", _line_id().alias("f"), "n", "parity", F.posexplode("prefix").alias("p", "key"))
+    m = F.shiftleft(F.col("key").cast("long"), 32)
+    m = m.bitwiseOR(F.shiftleft(F.least(F.col("n"), F.lit(_SIZE_MAX)).cast("long"), 20))
+    m = m.bitwiseOR(F.shiftleft(F.least(F.col("p"), F.lit(_PLACE_MAX)).cast("long"), 10))
+    m = m.bitwiseOR(F.shiftright("parity", 32))
+    rows = rows.select(m.alias("m"), "d", "f")
+    return rows.repartition(F.shiftright("m", 32)).sortWithinPartitions("m")
+
+
 def candidates(reps: DataFrame) -> DataFrame:
-    """``d``, ``f`` (a representative), ``ed``, ``ef`` (an earlier one that it may match); rows without
-    the latter are members of large groups, with ``key`` and packed ``m``."""
-    size = F.least(F.col("n"), F.lit(_SATURATED)).cast("long")
-    place = F.least(F.col("p"), F.lit(_SATURATED)).cast("long")
-    m = F.shiftleft(size, 48).bitwiseOR(F.shiftleft(place, 32)).bitwiseOR(
-        F.col("parity").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    rows = reps.select("d", _pack_line().alias("f"), "n", "parity", F.posexplode("prefix").alias("p", "key"))
-    rows = rows.select(F.col("key").cast("long").alias("key"), m.alias("m"), "d", "f")
-    rows = rows.repartition("key").sortWithinPartitions("key", "d", "f")
-    return rows.mapInArrow(_pair_groups, "key long, m long, d long, f long, ed long, ef long")
-
-
-def _admits_column(a: str, b: str) -> Column:
+    """``d``, ``f`` (a representative), ``ed``, ``ef`` (an earlier one that it may match), once for each
+    shared prefix word; rows without the latter are members of large groups, with packed ``m``."""
+    return keyed(reps).mapInArrow(_pair_groups, "m long, d long, f long, ed long, ef long")
+
+
+def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
     """``_admits`` as a join condition."""
-    size = lambda c: F.shiftrightunsigned(c, 48)
-    left = lambda c: F.when(size(c) == _SATURATED, F.lit(1 << 40)).otherwise(
-        size(c) - F.shiftrightunsigned(c, 32).bitwiseAND(F.lit(0xFFFF)))
+    size = lambda c: F.shiftright(c, 20).bitwiseAND(F.lit(_SIZE_MAX))
+    left = lambda c: F.when(size(c) == _SIZE_MAX, F.lit(1 << 40)).otherwise(
+        size(c) - F.shiftright(c, 10).bitwiseAND(F.lit(_PLACE_MAX)))
     total = size(a) + size(b)
     need = F.floor((4 * total + 8) / 9)
-    differ = F.bit_count(F.col(a).bitwiseXOR(F.col(b)).bitwiseAND(F.lit(0xFFFFFFFF)))
-    large, little = F.greatest(size(a), size(b)), F.least(size(a), size(b))
-    return ((5 * little >= 4 * large) & (F.least(left(a), left(b)) >= need)
-            & ((differ <= total - 2 * need) | (large == _SATURATED)))
+    differ = (F.bit_count(F.col(a).bitwiseXOR(F.col(b)).bitwiseAND(F.lit(0x3FF)))
+              + F.bit_count(F.col(fa).bitwiseXOR(F.col(fb)).bitwiseAND(F.lit(0xFFFFFFFF))))
+    most, least = F.greatest(size(a), size(b)), F.least(size(a), size(b))
+    return ((5 * least >= 4 * most) & (F.least(left(a), left(b)) + SHARED - 1 >= need)
+            & ((differ <= total - 2 * need) | (most == _SIZE_MAX)))
 
 
 # ------------------------------------------------------------------ verification
 def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits at the places of ``ids`` (d, f), and of their documents (d, text hash)."""
+    """Bits at the places of ``ids`` (d, f), and of their documents."""
     n = ids.count()
     bits = _BITS[0]
     while bits < min(16 * n, _BITS[1]):
@@ -333,10 +427,10 @@ def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d, f = (np.asarray(b.column(i)) for i in (0, 1))
-            at = np.unique(np.r_[_place(d, f), _place(d, f | np.int64(-1 << 32))] >> np.uint64(shift))
-            word = at >> np.uint64(6)
+            at = np.unique(np.r_[_place(d, f), _place(d, np.full_like(d, -1))] >> _U(shift))
+            word = at >> _U(6)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
-            value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(word) else word
+            value = np.bitwise_or.reduceat(_U(1) << (at & _U(63)), first) if len(word) else word
             yield pa.RecordBatch.from_arrays([pa.array(word[first].view(np.int64)), pa.array(value.view(np.int64))], names=["i", "b"])
 
     table = ids.mapInArrow(places, "i long, b long").groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
@@ -345,103 +439,120 @@ def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
     return bitmap.view(np.uint64), shift
 
 
-def _words_of(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``d``, ``f``, ``words`` (sorted hashes) of the lines ``ids``, and of a few others."""
+def _there(bits: np.ndarray, shift: int, d: np.ndarray, f: np.ndarray) -> np.ndarray:
+    at = _place(d, f) >> _U(shift)
+    return (bits[at >> _U(6)] >> (at & _U(63))) & _U(1) > 0
+
+
+def words_of(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``d``, ``f``, ``words`` (hashes) of the lines ``ids``, and of a few others."""
+    spark = docs.sparkSession
     bitmap, shift = _bitmap(ids)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    rows = docs.select(_doc_key(id_col).alias("d"), text_hash(text).alias("th"), F.col(text).cast("string").alias("text"))
+    shared = spark.sparkContext.broadcast(bitmap)
+    of = stored(spark, ids.select("d").distinct(), "line-documents")
+    rows = _rows(docs, id_col, text)
+    if of.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else the bitmap alone tells them apart
+        rows = rows.join(F.broadcast(of), "d", "left_semi").select("d", "th", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-
-        def there(d, f):
-            at = _place(d, f) >> np.uint64(shift)
-            return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-
         for b in slices(batches, "text"):
-            low = np.asarray(b.column(1)) & 0xFFFFFFFF
-            b = b.filter(pa.array(there(np.asarray(b.column(0)), low | np.int64(-1 << 32))))
-            if not b.num_rows:
-                continue
-            x = Lines(b.column("text"))
-            if not len(x.first):
+            d = np.asarray(b.column(0))
+            b = b.filter(pa.array(_there(bits, shift, d, np.full_like(d, -1))))
+            x = Words(b.column("text")).lines() if b.num_rows else None
+            if x is None or not len(x.row):
                 continue
+            h, begin = x.sets(np.zeros(len(x.h), np.uint8))
             d = np.asarray(b.column(0))[x.row]
-            f = x.number << 32 | (np.asarray(b.column(1)) & 0xFFFFFFFF)[x.row]
-            wanted = np.flatnonzero(there(d, f))
-            order = np.argsort(x.hash, kind="stable")
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            words, begin = x.sets(rank)
-            h = x.hash[words].view(np.int64)
+            f = x.number << 32 | _parity(h, begin) & 0xFFFFFFFF
+            wanted = np.flatnonzero(_there(bits, shift, d, f))
             n = np.diff(begin)[wanted]
-            at = np.repeat(begin[:-1][wanted], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(d[wanted]), pa.array(f[wanted]),
-                                              pa.ListArray.from_arrays(offsets, pa.array(h[at]))], names=["d", "f", "words"])
+            words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)),
+                                             pa.array(h[_spans(begin[wanted], n)].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(d[wanted]), pa.array(f[wanted]), words], names=["d", "f", "words"])
 
     return rows.mapInArrow(run, "d long, f long, words array<long>")
 
 
 def matched(docs: DataFrame, pairs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``d``, ``f`` of the lines of ``pairs`` that have an earlier line of similarity 0.8 or more."""
+    """``d``, ``f`` of the lines of ``pairs`` (d, f, ed, ef, once for each shared prefix word) that have an
+    earlier line of similarity 0.8 or more."""
     spark = docs.sparkSession
-    pairs = stored(spark, pairs.select("d", "f", "ed", "ef").distinct(), "line-pairs")
+    pairs = pairs.groupBy("d", "f", "ed", "ef").agg(F.count("*").alias("shared")).where(F.col("shared") >= SHARED)
+    pairs = stored(spark, pairs, "line-pairs")
     ids = pairs.select("d", "f").unionByName(pairs.select(F.col("ed").alias("d"), F.col("ef").alias("f"))).distinct()
-    words = stored(spark, _words_of(docs, stored(spark, ids, "line-ids"), id_col, text).dropDuplicates(["d", "f"]), "line-words")
+    words = words_of(docs, stored(spark, ids, "line-ids"), id_col, text).dropDuplicates(["d", "f"])
     a = words.select("d", "f", F.col("words").alias("a"))
     b = words.select(F.col("d").alias("ed"), F.col("f").alias("ef"), F.col("words").alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    joined = pairs.join(a, ["d", "f"]).join(b, ["ed", "ef"])
-    similar = joined.where(5 * shared >= 4 * (F.size("a") + F.size("b") - shared))
-    return similar.select("d", "f").distinct()
+    joined = pairs.select("d", "f", "ed", "ef").join(a, ["d", "f"]).join(b, ["ed", "ef"])
+    both = F.size(F.array_intersect("a", "b"))
+    return joined.where(5 * both >= 4 * (F.size("a") + F.size("b") - both)).select("d", "f").distinct()
 
 
 # ------------------------------------------------------------------ operator
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``d``, ``t32`` (low half of the text hash), ``lines`` (their numbers, from 0) of each document
-    that loses lines."""
+    """``d``, ``th`` (text hash), ``lines`` (their numbers, from 0) of each document that loses lines."""
     spark = docs.sparkSession
     lines = line_sets(docs, word_levels(docs, text), id_col, text)
-    w = Window.partitionBy("c1", "c2", "n").orderBy("d", "th", "line")
-    lines = lines.withColumns({"rank": F.rank().over(w), "row": F.row_number().over(w)})
-    gone = (F.col("n") < 0) | (F.col("rank") > 1)
-    lines = lines.where(gone | (F.col("row") == 1)).select(
-        "d", "th", "line", "n", "parity", F.when(~gone, F.col("prefix")).alias("prefix"), gone.alias("gone"))
+    w = Window.partitionBy("c1", "c2", "n").orderBy("d", "line", "th")
+    lines = lines.withColumns({"row": F.row_number().over(w), "fd": F.first("d").over(w), "fl": F.first("line").over(w)})
+    gone = (F.col("n") < 0) | (F.col("d") != F.col("fd")) | (F.col("line") != F.col("fl"))
+    # rows of one place and set (texts that share an id) stand or fall with the first of them
+    lines = lines.select("d", "th", "line", "n", "parity", F.when(~gone & (F.col("row") == 1), F.col("prefix")).alias("prefix"),
+                         gone.alias("gone"))
     lines = stored(spark, lines, "line-sets")
-    reps = lines.where("not gone")
+    reps = lines.where("prefix is not null")
 
     found = stored(spark, candidates(reps), "line-candidates")
-    decided = stored(spark, matched(docs, found.where("ed is not null"), id_col, text), "line-matches")
-    aside = found.where("ed is null").select("key", "m", "d", "f")
+    pairs, aside = found.where("m is null").drop("m"), found.where("m is not null").select("m", "d", "f")
+    decided = stored(spark, matched(docs, pairs, id_col, text), "line-decided")
     if aside.limit(1).count():
-        later = aside.join(decided, ["d", "f"], "left_anti")
-        earlier = aside.select("key", F.col("m").alias("em"), F.col("d").alias("ed"), F.col("f").alias("ef"))
+        later = aside.join(if_small(decided), ["d", "f"], "left_anti").withColumn("key", F.shiftright("m", 32))
+        earlier = aside.select(F.shiftright("m", 32).alias("ekey"), F.col("m").alias("em"), F.col("d").alias("ed"), F.col("f").alias("ef"))
         order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
-        pairs = later.alias("l").join(earlier.alias("e"), (F.col("l.key") == F.col("e.key")) & order & _admits_column("m", "em"))
-        decided = decided.unionByName(matched(docs, pairs, id_col, text))
-    low = F.lit(0xFFFFFFFF)
-    out = lines.where("gone").select("d", F.col("th").bitwiseAND(low).alias("t32"), "line").unionByName(
-        decided.select("d", F.col("f").bitwiseAND(low).alias("t32"), F.shiftright("f", 32).cast("int").alias("line")))
-    return out.groupBy("d", "t32").agg(F.collect_set("line").alias("lines"))
+        met = later.join(earlier, (F.col("key") == F.col("ekey")) & order & _admits_column("m", "f", "em", "ef"))
+        # a pair may share one word of a large group and another of a small one
+        open_ = if_small(stored(spark, later.select("d", "f").distinct(), "line-open"))
+        met = met.select("d", "f", "ed", "ef").unionByName(pairs.join(open_, ["d", "f"], "left_semi"))
+        decided = decided.unionByName(matched(docs, met, id_col, text))
+    decided = if_small(stored(spark, decided.distinct(), "line-removed"))
+    more = lines.where("not gone").withColumn("f", _line_id()).join(decided, ["d", "f"], "left_semi")
+    out = lines.where("gone").select("d", "th", "line").unionByName(more.select("d", "th", "line"))
+    return out.groupBy("d", "th").agg(F.collect_set("line").alias("lines"))
 
 
 def remove_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the removed lines cut out of their texts, as struct ``_row`` of all columns, with
     ``_lines`` (numbers of the removed ones, or null)."""
-    found = removed_lines(docs, id_col, text)
-    rows = packed(docs, d=_doc_key(id_col), t32=text_hash(text).bitwiseAND(F.lit(0xFFFFFFFF)))
-    rows = rows.join(found, ["d", "t32"], "left")
-    cut = F.split(F.col("_row")[text], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("lines"))
-    new = F.when(F.col("lines").isNull(), F.col("_row")[text]).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(cut, i)), "\n"))
-    rows = rows.select("_row", F.col("lines").alias("_lines"), new.alias("_text"))
+    spark = docs.sparkSession
+    found = stored(spark, removed_lines(docs, id_col, text), "removed-lines")
+    bitmap, shift = _bitmap(found.select("d", F.col("th").alias("f")))
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def touched(d: pd.Series, th: pd.Series) -> pd.Series:
+        return pd.Series(_there(shared.value, shift, d.to_numpy(np.int64), th.to_numpy(np.int64)))
+
+    rows = packed(docs, d=_doc_key(id_col), th=text_hash(text)).withColumn("touched", touched("d", "th"))
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, lines: pd.Series) -> pd.Series:
+        def one(t, gone):
+            if gone is None or t is None:
+                return t
+            gone = set(gone)
+            return "\n".join([x for i, x in enumerate(t.split("\n")) if i not in gone])
+
+        return pd.Series([one(t, g) for t, g in zip(texts, lines)], dtype=object)
+
+    # Only documents that lose lines (and a few others) are shuffled.
+    hit = rows.where("touched").drop("touched").join(found, ["d", "th"], "left")
+    hit = hit.select("_row", F.col("lines").alias("_lines"), cut(F.col("_row")[text], "lines").alias("_text"))
     fields = {c: F.col("_row")[c] for c in docs.columns} | {text: F.col("_text")}
     if "n_chars" in fields and text != "n_chars":
         fields["n_chars"] = F.when(F.col("_lines").isNull(), F.col("_row")["n_chars"]).otherwise(
             F.char_length("_text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(F.struct(*[v.alias(c) for c, v in fields.items()]).alias("_row"), "_lines")
+    hit = hit.select(F.struct(*[v.alias(c) for c, v in fields.items()]).alias("_row"), "_lines")
+    return hit.unionByName(rows.where("not touched").select("_row", F.lit(None).cast("array<int>").alias("_lines")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -45,5 +45,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = stored(spark, docs, f"stage-{name}")
+            docs = stored(spark, docs, f"stage-{name}", "zstd")
     return docs

@@ -97,19 +97,20 @@ def quality_kept(text, limits, most_line_chars, most_symbols):
     return line_chars <= most_line_chars * chars and symbols <= most_symbols * n
 
 
-def removed_lines(docs, xxhash64):
-    """[(doc_id, text)] -> {(doc_id, text): sorted numbers of the lines removed}.  ``xxhash64`` orders
-    texts that share an id."""
+def removed_lines(docs):
+    """[(doc_id, text)] -> {(doc_id, text): sorted numbers of the lines removed}.  Lines of the same number
+    in texts that share an id are no earlier or later than each other here."""
     lines = []
-    for d, t in sorted({(d, t or "") for d, t in docs}, key=lambda x: (x[0] is not None, x[0] or 0, xxhash64(x[1]))):
+    for d, t in {(d, t or "") for d, t in docs}:
         for i, line in enumerate(lower(t).split("\n")):
             if words(line):
-                lines.append(((d, t), i, frozenset(words(line))))
+                lines.append(((d is not None, d or 0, i), (d, t), i, frozenset(words(line))))
+    lines.sort(key=lambda x: x[0])
     out = {}
-    for k, (doc, i, s) in enumerate(lines):
-        for _, _, e in lines[:k]:
+    for k, (place, doc, i, s) in enumerate(lines):
+        for earlier, _, _, e in lines[:k]:
             both = len(s & e)
-            if 5 * both >= 4 * (len(s) + len(e) - both):
+            if earlier < place and 5 * both >= 4 * (len(s) + len(e) - both):
                 out.setdefault(doc, []).append(i)
                 break
     return out

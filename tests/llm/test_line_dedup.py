@@ -11,14 +11,8 @@ from . import brute
 SF0001 = "/root/testdata/sf0.001"
 
 
-def _order(spark, texts):
-    texts = sorted({t or "" for t in texts})
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h"))
-    return {r["t"]: r["h"] for r in df.collect()}.__getitem__
-
-
 def _check(spark, docs, rows):
-    want = brute.removed_lines(rows, _order(spark, [t for _, t in rows]))
+    want = brute.removed_lines(rows)
     got = ld.report(docs).collect()
     assert len(got) == len(rows)
     expect = [(d, brute.cut(t, want.get((d, t or ""), [])), len(want.get((d, t or ""), [])), ",".join(map(str, sorted(want.get((d, t or ""), [])))))
@@ -50,10 +44,11 @@ def test_random_lines_against_all_pairs(spark):
         _check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
 
 
-@pytest.mark.parametrize("group", [4, 12])
-def test_large_groups_against_all_pairs(spark, monkeypatch, group):
-    """Groups beyond ``GROUP`` members meet their earliest members, then what is undecided."""
-    rng = random.Random(group)
+@pytest.mark.parametrize("group", [(4, 10**6), (12, 10**6), (10**6, 0), (10**6, 2)])
+def test_large_groups_against_all_pairs(spark, group):
+    """Groups beyond ``GROUP`` members or ``PAIRS`` pairs for each of them meet their earliest members, then
+    what is undecided meets the rest."""
+    rng = random.Random(group[0] + group[1])
     base = [f"b{i}" for i in range(20)]
     rows = []
     for i in range(120):
@@ -61,26 +56,26 @@ def test_large_groups_against_all_pairs(spark, monkeypatch, group):
         for _ in range(rng.randint(0, 4)):
             w[rng.randrange(20)] = f"x{rng.randrange(60)}"
         rows.append((i, " ".join(w)))
-    rows += [(200 + i, t) for i, (_, t) in enumerate(_texts(group, 40, [f"w{i}" for i in range(60)]))]
+    rows += [(200 + i, t) for i, (_, t) in enumerate(_texts(5, 40, [f"w{i}" for i in range(60)]))]
     rng.shuffle(rows)
     pairs = list(_run_groups(spark, rows, group))
     assert any(p is None for p in pairs)
-    want = brute.removed_lines(rows, _order(spark, [t for _, t in rows]))
-    # the workers import the module anew: the group size is set by the environment of this test alone
+    want = brute.removed_lines(rows)
     got = {(r["d"], r["line"]) for r in _decide(spark, rows, group)}
     assert got == {(d, i) for (d, _), lines in want.items() for i in lines}
 
 
 def _shrunk(group):
-    """The module's streaming step with another group size, as a function that carries it."""
+    """The module's streaming step with other limits and small batches, as a function that carries them."""
     def run(batches):
         from cardwatch.llm import line_dedup
 
-        old, line_dedup.GROUP = line_dedup.GROUP, group
+        old = line_dedup.GROUP, line_dedup.PAIRS, line_dedup._GATHER
+        line_dedup.GROUP, line_dedup.PAIRS, line_dedup._GATHER = *group, 50
         try:
-            yield from line_dedup._pair_groups(batches)
+            yield from line_dedup._pair_groups(p for b in batches for p in (b.slice(i, 7) for i in range(0, b.num_rows, 7)))
         finally:
-            line_dedup.GROUP = old
+            line_dedup.GROUP, line_dedup.PAIRS, line_dedup._GATHER = old
 
     return run
 
@@ -88,20 +83,7 @@ def _shrunk(group):
 def _run_groups(spark, rows, group):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     sets = ld.line_sets(docs, ld.word_levels(docs)).where("n > 0")
-    keyed = _keyed(sets)
-    return [r["ed"] for r in keyed.mapInArrow(_shrunk(group), "key long, m long, d long, f long, ed long, ef long").collect()]
-
-
-def _keyed(reps):
-    seen = {}
-    real, DataFrame = ld._pair_groups, type(reps)
-    old = DataFrame.mapInArrow
-    try:  # the sorted rows that ``candidates`` hands to its tasks
-        DataFrame.mapInArrow = lambda self, f, *a, **k: seen.setdefault("df", self) if f is real else old(self, f, *a, **k)
-        ld.candidates(reps)
-    finally:
-        DataFrame.mapInArrow = old
-    return seen["df"]
+    return [r["ed"] for r in ld.keyed(sets).mapInArrow(_shrunk(group), "m long, d long, f long, ed long, ef long").collect()]
 
 
 def _decide(spark, rows, group):
@@ -131,9 +113,19 @@ def test_edge_rows(spark):
 
 def test_query_against_all_pairs(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
-    want = brute.removed_lines(rows, _order(spark, [t for _, t in rows]))
+    want = brute.removed_lines(rows)
     got = {r["doc_id"]: r for r in queries.op8_line_dedup(spark, SF0001).collect()}
     assert got.keys() == {d for d, _ in rows}
     for d, t in rows:
         assert got[d]["removed"] == ",".join(map(str, sorted(want.get((d, t), [])))), d
         assert got[d]["text"] == brute.cut(t, want.get((d, t), []))
+
+
+def test_words_of_touching_texts():
+    import pyarrow as pa
+
+    texts = ["ab", "cd", None, "", " x\ny\n\nAB cd", "\n", "z"]
+    w = ld.Words(pa.array(["skip", *texts]).slice(1)).lines()
+    assert list(zip(w.row.tolist(), w.number.tolist())) == [(0, 0), (1, 0), (4, 0), (4, 1), (4, 3), (6, 0)]
+    assert w.line.tolist() == [0, 1, 2, 3, 4, 4, 5]
+    assert w.h[0] == w.h[4] and w.h[1] == w.h[5] and len(set(w.h.tolist())) == 5

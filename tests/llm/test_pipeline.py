@@ -8,7 +8,6 @@ from tokenizers import Tokenizer
 from cardwatch.llm import packing, quality_rules, queries
 
 from . import brute
-from .test_line_dedup import _order
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -18,7 +17,7 @@ def test_pipeline_by_definition(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs]
     rows = [(d, t) for d, t in rows if brute.quality_kept(
         t, quality_rules.NGRAM_LIMITS, quality_rules.MAX_DUP_LINE_CHARS, quality_rules.MAX_SYMBOLS_PER_WORD)]
-    removed = brute.removed_lines(rows, _order(spark, [t for _, t in rows]))
+    removed = brute.removed_lines(rows)
     rows = [(d, brute.cut(t, removed.get((d, t), []))) for d, t in rows]
     rows = [(d, t) for (d, t), (_, _, c) in zip(rows, brute.near_duplicates(rows)) if d == c]
     items = [" ".join(r["text"].split()) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
