@@ -415,6 +415,27 @@ def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
             & ((differ <= total - 2 * need) | (most == _SIZE_MAX)))
 
 
+def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
+    """``d``, ``f``, ``ed``, ``ef``: the members of set-aside groups that are still undecided, with all earlier
+    members that they may match.  A pair is met under each shared word of such a group and
+    kept under the least.  The words that the prefixes share, and those beyond the prefix
+    that ends first, bound the overlap."""
+    spark = reps.sparkSession
+    aside = aside.withColumn("key", F.shiftright("m", 32))
+    keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
+    some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"])
+    members = stored(spark, aside.join(some, ["d", "f"]), "line-members")
+    later = members.join(if_small(decided), ["d", "f"], "left_anti")
+    earlier = members.select(*[F.col(c).alias(f"e{c}") for c in members.columns])
+    order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
+    both = F.size(F.array_intersect("prefix", "eprefix"))
+    beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
+    met = later.join(earlier, (F.col("key") == F.col("ekey")) & order & _admits_column("m", "f", "em", "ef")
+                     & (both >= SHARED) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
+                     & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key")))
+    return met.select("d", "f", "ed", "ef")
+
+
 # ------------------------------------------------------------------ verification
 def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
     """Bits at the places of ``ids`` (d, f), and of their documents."""
@@ -475,10 +496,9 @@ def words_of(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFra
 
 
 def matched(docs: DataFrame, pairs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``d``, ``f`` of the lines of ``pairs`` (d, f, ed, ef, once for each shared prefix word) that have an
-    earlier line of similarity 0.8 or more."""
+    """``d``, ``f`` of the lines of ``pairs`` (d, f, ed, ef) that have an earlier line of similarity 0.8
+    or more."""
     spark = docs.sparkSession
-    pairs = pairs.groupBy("d", "f", "ed", "ef").agg(F.count("*").alias("shared")).where(F.col("shared") >= SHARED)
     pairs = stored(spark, pairs, "line-pairs")
     ids = pairs.select("d", "f").unionByName(pairs.select(F.col("ed").alias("d"), F.col("ef").alias("f"))).distinct()
     words = words_of(docs, stored(spark, ids, "line-ids"), id_col, text).dropDuplicates(["d", "f"])
@@ -505,16 +525,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
     found = stored(spark, candidates(reps), "line-candidates")
     pairs, aside = found.where("m is null").drop("m"), found.where("m is not null").select("m", "d", "f")
+    pairs = pairs.groupBy("d", "f", "ed", "ef").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED).drop("n")
     decided = stored(spark, matched(docs, pairs, id_col, text), "line-decided")
     if aside.limit(1).count():
-        later = aside.join(if_small(decided), ["d", "f"], "left_anti").withColumn("key", F.shiftright("m", 32))
-        earlier = aside.select(F.shiftright("m", 32).alias("ekey"), F.col("m").alias("em"), F.col("d").alias("ed"), F.col("f").alias("ef"))
-        order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
-        met = later.join(earlier, (F.col("key") == F.col("ekey")) & order & _admits_column("m", "f", "em", "ef"))
-        # a pair may share one word of a large group and another of a small one
-        open_ = if_small(stored(spark, later.select("d", "f").distinct(), "line-open"))
-        met = met.select("d", "f", "ed", "ef").unionByName(pairs.join(open_, ["d", "f"], "left_semi"))
-        decided = decided.unionByName(matched(docs, met, id_col, text))
+        decided = decided.unionByName(matched(docs, open_pairs(aside, reps, decided), id_col, text))
     decided = if_small(stored(spark, decided.distinct(), "line-removed"))
     more = lines.where("not gone").withColumn("f", _line_id()).join(decided, ["d", "f"], "left_semi")
     out = lines.where("gone").select("d", "th", "line").unionByName(more.select("d", "th", "line"))
