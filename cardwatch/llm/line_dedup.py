@@ -40,7 +40,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -67,10 +66,8 @@ _U = np.uint64
 
 
 # ------------------------------------------------------------------ words of a batch
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+_LOWER = bytes(range(256)).lower()
+_IS_WORD = bytes(0 if i in (9, 10, 11, 12, 13, 32) else 1 for i in range(256))
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -111,11 +108,11 @@ class Words:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
         data = texts.buffers()[2]
-        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0]
+        text = data[offsets[0]:offsets[-1]].to_pybytes() if data is not None else b""
+        raw, offsets = np.frombuffer(text, np.uint8), offsets - offsets[0]
         # a word begins or ends where white space and other bytes meet, and at the ends of a text
         edge = np.zeros(len(raw) + 1, bool)
-        word = _IS_WORD[raw]
+        word = np.frombuffer(text.translate(_IS_WORD), bool)
         if len(raw):
             np.not_equal(word[1:], word[:-1], out=edge[1:-1])
             edge[0], edge[-1] = word[0], word[-1]
@@ -125,8 +122,8 @@ class Words:
         joint = offsets[full[1:]]
         joint = joint[(word[joint] & word[joint - 1])] if len(joint) else joint
         if len(joint):  # texts that touch each other
-            start, end = (np.sort(np.r_[x, joint]) for x in (start, end))
-        self.h = _hashes(_LOWER[raw], start, end)
+            start, end = (np.insert(x, np.searchsorted(x, joint), joint) for x in (start, end))
+        self.h = _hashes(np.frombuffer(text.translate(_LOWER), np.uint8), start, end)
         self._raw, self._offsets, self._full, self._start = raw, offsets, full, start
 
     def lines(self) -> Words:
@@ -543,20 +540,20 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     bitmap, shift = _bitmap(found.select("d", F.col("th").alias("f")))
     shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def touched(d: pd.Series, th: pd.Series) -> pd.Series:
-        return pd.Series(_there(shared.value, shift, d.to_numpy(np.int64), th.to_numpy(np.int64)))
+    @F.arrow_udf("boolean")
+    def touched(d: pa.Array, th: pa.Array) -> pa.Array:
+        return pa.array(_there(shared.value, shift, np.asarray(d), np.asarray(th)))
 
     rows = packed(docs, d=_doc_key(id_col), th=text_hash(text)).withColumn("touched", touched("d", "th"))
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, lines: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, lines: pa.Array) -> pa.Array:
         def one(t, gone):
             if gone is None or t is None:
                 return t
             gone = set(gone)
             return "\n".join([x for i, x in enumerate(t.split("\n")) if i not in gone])
 
-        return pd.Series([one(t, g) for t, g in zip(texts, lines)], dtype=object)
+        return pa.array([one(t, g) for t, g in zip(texts.to_pylist(), lines.to_pylist())], pa.string())
 
     # Only documents that lose lines (and a few others) are shuffled.
     hit = rows.where("touched").drop("touched").join(found, ["d", "th"], "left")

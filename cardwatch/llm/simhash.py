@@ -82,6 +82,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
 def _keys(fps: DataFrame, keys_of) -> DataFrame:
     """``key`` beside the columns of ``fps`` (fp, and label if there is one)."""
     names = fps.columns
+    # a fingerprint gives about 90 rows: as many tasks as shuffles have, not as few as so few bytes need
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
