@@ -28,11 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import if_small, packed, row_key, slices, stored, text_hash, unpacked
+from .words import Texts, hashes, mix
 
 WINDOW = 8
 MIN_LITERALS = 5
@@ -45,92 +47,101 @@ UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb lbs oz t l ml s sec secs se
                   "foot feet inch inches gram grams kilogram kilograms pound pounds liter liters litre litres percent % dollar "
                   "dollars euro euros cent cents degree degrees mph kmh km/h m/s w kw v hz khz mhz ghz b kb mb gb tb".split())
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_NUMBER, _UNIT, _NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number", b"\0unit", b"\0name"))
-_EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != ord("%"))
-_ENDS = (".", "!", "?", ":", ";")
-#: Words a task remembers before it starts anew.
-_REMEMBERED = 1_000_000
+_U = np.uint64
+_BASE = _U(0x9E3779B97F4A7C15)
+_SLOT = np.array([0, *(xxhash.xxh64_intdigest(x) for x in ("number", "unit", "name"))], np.uint64)
 
 
-class _Lexicon(dict):
-    """Word number by word; per number its hash and kinds."""
+def _kind(of) -> bytes:
+    return bytes(1 if of(chr(i)) else 0 for i in range(256))
 
-    def __init__(self):
-        self.hash, self.kind = [], []
 
-    def __missing__(self, word: str) -> int:
-        core = word.strip(_EDGES)
-        low = core.lower()
-        kind = 0
-        if any(c.isdigit() for c in low):
-            kind = 1
-        elif low in UNITS:
-            kind = 2
-        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
-            kind = 3
-        self.hash.append(xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")))
-        self.kind.append(kind | (4 if word.rstrip("\"')]»”").endswith(_ENDS) else 0) | (8 if core else 0))
-        n = self[word] = len(self.hash) - 1
-        return n
+# bytes of words: all but the ASCII punctuation that is cut off at the edges; digits; what ends a sentence
+_CORE = _kind(lambda c: c > "~" or c.isalnum() or c == "%")
+_DIGIT = _kind(lambda c: c in "0123456789")
+_STOP = _kind(lambda c: c in ".!?:;")
+#: Bytes of a letter, by its first.
+_LETTER_BYTES = np.array([1 if i < 0xC0 else 2 if i < 0xE0 else 3 if i < 0xF0 else 4 for i in range(256)])
+
+
+def _unit_hashes() -> np.ndarray:
+    words = sorted(UNITS)
+    ends = np.cumsum([len(w) for w in words])
+    return np.sort(hashes(np.frombuffer("".join(words).encode(), np.uint8), ends - [len(w) for w in words], ends))
+
+
+def _before(text: bytes, kind: bytes) -> np.ndarray:
+    """How many bytes of a kind stand before each place."""
+    out = np.zeros(len(text) + 1, np.int64)
+    np.cumsum(np.frombuffer(text.translate(kind), np.uint8), out=out[1:])
+    return out
+
+
+def _cores(t: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Words without the punctuation around them; empty ones begin and end where the word begins."""
+    core = np.flatnonzero(np.frombuffer(t.text.translate(_CORE), bool))
+    if not len(core):
+        return t.start, t.start
+    n = _before(t.text, _CORE)
+    i, j = n[t.start], n[t.end]
+    return (np.where(j > i, core[np.minimum(i, len(core) - 1)], t.start),
+            np.where(j > i, core[np.maximum(j - 1, 0)] + 1, t.start))
 
 
 class Canonical:
-    """Canonical words of texts."""
-
-    def __init__(self):
-        self.lexicon = _Lexicon()
-        self._hash = self._kind = np.zeros(0, np.uint64)
-
-    def __call__(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words, their hashes, and where the slots are (0 none, 1 number, 2 unit, 3 name)."""
-        if len(self.lexicon) > _REMEMBERED:
-            self.lexicon = _Lexicon()
-            self._hash = self._kind = np.zeros(0, np.uint64)
-        words, starts = [], []
-        for line in (text or "").split("\n"):
-            w = line.split()
-            if w:
-                starts.append(len(words))
-                words += w
-        ids = np.fromiter(map(self.lexicon.__getitem__, words), np.int64, len(words))
-        if len(self._hash) < len(self.lexicon.hash):
-            have = len(self._hash)
-            self._hash = np.concatenate([self._hash, np.array(self.lexicon.hash[have:], np.uint64)])
-            self._kind = np.concatenate([self._kind, np.array(self.lexicon.kind[have:], np.uint64)])
-        flags = self._kind[ids].astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-        begins = np.ones(len(ids), bool)
-        begins[1:] = (flags[:-1] & 4) > 0
-        begins[starts] = True
-        kind = flags & 3
-        after_number = np.zeros(len(ids), bool)
-        after_number[1:] = kind[:-1] == 1
-        kind = np.where((kind == 2) & ~after_number | (kind == 3) & begins, 0, kind)
-        h = self._hash[ids] if len(ids) else np.zeros(0, np.uint64)
-        h = np.where(kind == 0, h, np.array([0, _NUMBER, _UNIT, _NAME], np.uint64)[kind])
-        real = (flags & 8) > 0  # punctuation by itself is no word
-        if not real.all():
-            at = np.flatnonzero(real)
-            return [words[i] for i in at], h[at], kind[at]
-        return words, h, kind
-
-
-def windows(h: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows (signed) and a mask of those with enough plain words."""
-    n = len(h) - size + 1
-    if n <= 0 or size <= 0:
+    """Canonical words of a batch of texts: ``h`` (hash), ``kind`` (0 plain, 1 number, 2 unit, 3 name) and ``row`` of
+    each word that has more than punctuation."""
+
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        as_is, low = Texts(texts), Texts(pc.utf8_lower(texts))
+        if len(as_is.start) != len(low.start):  # word by word the same, but for lower case with white space
+            low = Texts(pc.ascii_lower(texts))
+        first = as_is.lines()
+        start, end = _cores(as_is)
+        self._low, (self._start, self._end) = low, _cores(low)
+        h = hashes(low.raw, self._start, self._end)
+        real = end > start
+        digits, stops = _before(as_is.text, _DIGIT), _before(as_is.text, _STOP)
+        # a sentence ends in what was cut off after the word
+        begins = np.r_[True, stops[as_is.end] > stops[np.where(real, end, as_is.start)]][:-1]
+        begins[first] = True
+        kind = np.where(digits[end] > digits[start], 1, 0)
+        units = _unit_hashes()
+        at = np.minimum(np.searchsorted(units, h), len(units) - 1)
+        kind[(kind == 0) & (units[at] == h) & np.r_[False, kind == 1][:-1]] = 2
+        # a name differs from its lower case in the first letter alone
+        maybe = np.flatnonzero(real & (kind == 0) & ~begins & (hashes(as_is.raw, start, end) != h))
+        if len(maybe):
+            own, lower = (np.minimum(s[maybe] + _LETTER_BYTES[t.raw[s[maybe]]], e[maybe])
+                          for t, s, e in ((as_is, start, end), (low, self._start, self._end)))
+            same = hashes(as_is.raw, own, end[maybe]) == hashes(low.raw, lower, self._end[maybe])
+            kind[maybe[same & (end[maybe] > own)]] = 3
+        self._at = np.flatnonzero(real)
+        self.kind = kind[self._at]
+        self.h = np.where(self.kind == 0, h[self._at], _SLOT[self.kind])
+        self.row = as_is.row[as_is.line[self._at]] if len(self._at) else self._at
+
+    def slots(self, at: int, size: int) -> list[str]:
+        out = []
+        for i in range(at, at + size):
+            if self.kind[i]:
+                k = self._at[i]
+                out.append(f"{self.kind[i]}:{self._low.text[self._start[k]:self._end[k]].decode('utf-8', 'replace')}")
+        return out
+
+
+def windows(c: Canonical, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows (signed), and a mask of those within one text and with enough plain words."""
+    n = len(c.h) - size + 1
+    if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    out = np.full(n, np.uint64(size), np.uint64)
+    out = np.full(n, _U(size), np.uint64)
     for k in range(size):
-        out = out * _BASE + h[k:k + n]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    plain = np.concatenate([[0], np.cumsum(kind == 0)])
-    return out.view(np.int64), plain[size:] - plain[:-size] >= min(MIN_LITERALS, size)
-
-
-def _slots(words: list[str], kind: np.ndarray, at: int, size: int) -> list[str]:
-    return [f"{kind[i]}:{words[i].strip(_EDGES).lower()}" for i in range(at, at + size) if kind[i]]
+        out = out * _BASE + c.h[k:k + n]
+    plain = np.concatenate([[0], np.cumsum(c.kind == 0)])
+    usable = (c.row[:n] == c.row[size - 1:]) & (plain[size:] - plain[:-size] >= min(MIN_LITERALS, size))
+    return mix(out).view(np.int64), usable
 
 
 _COLUMNS = "h long, size int, at int, slots array<string>"
@@ -149,20 +160,21 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text: str =
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canonical = Canonical()
         for b in slices(batches, "text"):
-            at, counts, cols = [], [], [[], [], [], []]
-            for r, t in enumerate(b.column("text").to_pylist()):
-                words, h, kind = canonical(t)
-                size = min(WINDOW, len(words))
-                hashes, usable = windows(h, kind, size)
-                for i in np.flatnonzero(usable).tolist():
+            c = Canonical(b.column("text"))
+            words = np.bincount(c.row, minlength=b.num_rows)
+            first = np.cumsum(words) - words
+            at, cols, counts = [], [[], [], [], []], np.zeros(b.num_rows, np.int32)
+            for size in sorted({int(min(WINDOW, n)) for n in words if n}):
+                h, usable = windows(c, size)
+                for i in np.flatnonzero(usable & (np.minimum(words, WINDOW)[c.row[:len(h)]] == size)).tolist():
+                    r = int(c.row[i])
                     at.append(r)
-                    counts.append(int(usable.sum()))
-                    for c, v in zip(cols, (int(hashes[i]), size, i, _slots(words, kind, i, size))):
-                        c.append(v)
+                    counts[r] += 1
+                    for col, v in zip(cols, (int(h[i]), size, i - int(first[r]), c.slots(i, size))):
+                        col.append(v)
             out = _batch([b.column("item_id")], ["item_id"], at, cols)
-            yield pa.RecordBatch.from_arrays([out.column(0), pa.array(counts, pa.int32()), *out.columns[1:]],
+            yield pa.RecordBatch.from_arrays([out.column(0), pa.array(counts[np.array(at, np.int64)]), *out.columns[1:]],
                                              names=["item_id", "n_windows", *(n for n, _ in _ARROW)])
 
     return rows.mapInArrow(run, f"item_id {id_type}, n_windows int, {_COLUMNS}")
@@ -188,19 +200,21 @@ def document_windows(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", t
     rows = docs.select(row_key(id_col).alias("_key"), text_hash(text).alias("_th"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canonical, bits = Canonical(), shared.value
+        bits = shared.value
         for b in slices(batches, "text"):
+            c = Canonical(b.column("text"))
+            words = np.bincount(c.row, minlength=b.num_rows)
+            first = np.cumsum(words) - words
             at, cols = [], [[], [], [], []]
-            for r, t in enumerate(b.column("text").to_pylist()):
-                words, h, kind = canonical(t)
-                for size in sizes:
-                    hashes, usable = windows(h, kind, size)
-                    place = hashes.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-                    there = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
-                    for i in np.flatnonzero(usable & (there > 0)).tolist():
-                        at.append(r)
-                        for c, v in zip(cols, (int(hashes[i]), size, i, _slots(words, kind, i, size))):
-                            c.append(v)
+            for size in sizes:
+                h, usable = windows(c, size)
+                place = h.view(np.uint64) >> _U(64 - BITMAP_BITS)
+                there = (bits[place >> _U(6)] >> (place & _U(63))) & _U(1)
+                for i in np.flatnonzero(usable & (there > 0)).tolist():
+                    r = int(c.row[i])
+                    at.append(r)
+                    for col, v in zip(cols, (int(h[i]), size, i - int(first[r]), c.slots(i, size))):
+                        col.append(v)
             yield _batch([b.column("_key"), b.column("_th")], ["_key", "_th"], at, cols)
 
     return rows.mapInArrow(run, f"_key string, _th long, {_COLUMNS}")

@@ -41,11 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, if_small, packed, slices, stored, text_hash, text_or_empty, unpacked
+from .words import LOWER, Texts, hashes, mix
 
 #: Counters of the rarity table (fixed: 8 MB for each task, 1 MB once ranked).
 SKETCH = 1 << 20
@@ -66,78 +66,18 @@ _U = np.uint64
 
 
 # ------------------------------------------------------------------ words of a batch
-_LOWER = bytes(range(256)).lower()
-_IS_WORD = bytes(0 if i in (9, 10, 11, 12, 13, 32) else 1 for i in range(256))
-_BASE = 0x9E3779B97F4A7C15
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-def _hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, eight bytes a round; a round takes the words that have some left."""
-    padded = np.zeros(len(low) + 8, np.uint8)
-    padded[:len(low)] = low
-    eight = np.ndarray((len(low) + 1,), "<u8", padded, 0, (1,))
-    left = end - start
-    h = _mix(left.astype(np.uint64) + _U(_BASE))
-    at, todo = start, None  # None: all words
-    while True:
-        some = np.minimum(left if todo is None else left[todo], 8)
-        v = eight[at] & (_U(0xFFFFFFFFFFFFFFFF) >> ((8 - some) * 8).astype(np.uint64))
-        if todo is None:
-            h = _mix(h ^ v)
-            todo = np.flatnonzero(left > 8)
-        else:
-            h[todo] = _mix(h[todo] * _U(3) ^ v)
-            todo = todo[left[todo] > 8]
-        if not len(todo):
-            return h
-        left[todo] -= 8
-        at = start[todo] + (end[todo] - start[todo] - left[todo])
-
-
 class Words:
     """All words of a batch of texts: ``h`` (hash) and, after ``lines()``, ``line`` (running number of the
     line with words); for each such line ``row`` (of the batch) and ``number`` (in its text, from 0)."""
 
     def __init__(self, texts: pa.Array):
-        texts = pc.fill_null(texts.cast(pa.string()), "")
-        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-        data = texts.buffers()[2]
-        text = data[offsets[0]:offsets[-1]].to_pybytes() if data is not None else b""
-        raw, offsets = np.frombuffer(text, np.uint8), offsets - offsets[0]
-        # a word begins or ends where white space and other bytes meet, and at the ends of a text
-        edge = np.zeros(len(raw) + 1, bool)
-        word = np.frombuffer(text.translate(_IS_WORD), bool)
-        if len(raw):
-            np.not_equal(word[1:], word[:-1], out=edge[1:-1])
-            edge[0], edge[-1] = word[0], word[-1]
-        edges = np.flatnonzero(edge)
-        start, end = edges[::2], edges[1::2]
-        full = np.flatnonzero(np.diff(offsets))
-        joint = offsets[full[1:]]
-        joint = joint[(word[joint] & word[joint - 1])] if len(joint) else joint
-        if len(joint):  # texts that touch each other
-            start, end = (np.insert(x, np.searchsorted(x, joint), joint) for x in (start, end))
-        self.h = _hashes(np.frombuffer(text.translate(_LOWER), np.uint8), start, end)
-        self._raw, self._offsets, self._full, self._start = raw, offsets, full, start
+        self._texts = t = Texts(texts)
+        self.h = hashes(np.frombuffer(t.text.translate(LOWER), np.uint8), t.start, t.end)
 
     def lines(self) -> Words:
-        raw, offsets, full, start = self._raw, self._offsets, self._full, self._start
-        ends = np.flatnonzero(raw == 10)
-        # the first word of each line with words, among all first words after a line end or a text's start
-        at = np.unique(np.searchsorted(start, np.r_[offsets[full], ends]))
-        at = at[at < len(start)]
-        first = start[at]
-        self.row = full[np.searchsorted(offsets[full], first, "right") - 1] if len(first) else first
-        self.number = np.searchsorted(ends, first) - np.searchsorted(ends, offsets[self.row])
-        new = np.zeros(len(start), np.int64)
-        new[at] = 1
-        self.line = np.cumsum(new) - 1
+        t = self._texts
+        t.lines()
+        self.row, self.number, self.line = t.row, t.number, t.line
         return self
 
     def sets(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +111,7 @@ def _spans(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def _place(d: np.ndarray, f: np.ndarray) -> np.ndarray:
-    return _mix(_mix(d.view(np.uint64) + _U(_BASE)) ^ f.view(np.uint64))
+    return mix(mix(d.view(np.uint64) + _U(0x9E3779B97F4A7C15)) ^ f.view(np.uint64))
 
 
 # ------------------------------------------------------------------ rarity
@@ -238,8 +178,8 @@ def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text:
                 continue
             h, begin = x.sets(shared.value[(x.h % _U(SKETCH)).astype(np.int64)])
             lo, n = begin[:-1], np.diff(begin)
-            c1 = np.add.reduceat(_mix(h), lo).view(np.int64)
-            c2 = np.add.reduceat(_mix(h ^ _U(0xA5A5A5A5A5A5A5A5)), lo).view(np.int64)
+            c1 = np.add.reduceat(mix(h), lo).view(np.int64)
+            c2 = np.add.reduceat(mix(h ^ _U(0xA5A5A5A5A5A5A5A5)), lo).view(np.int64)
             parity = _parity(h, begin)
             d, th = (np.asarray(b.column(i))[x.row] for i in (0, 1))
             order = np.lexsort((th, x.number, d, c2, c1))
