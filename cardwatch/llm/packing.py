@@ -29,7 +29,9 @@ columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -44,8 +46,8 @@ from .common import if_small, slices, stored
 SEQUENCE = 2048
 END_ID = 1
 MAX_QUEUES = 256
-#: Chunks between white space that a task remembers before it starts anew.
-_REMEMBERED = 400_000
+#: Chunks between white space, and pieces of them, that a task remembers before it starts anew.
+_REMEMBERED = 300_000
 
 
 def tokenizer_path() -> str:
@@ -54,31 +56,66 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# The tokenizer's split into pieces, for the characters below, which lower case, composition
+# and its letter classes leave as they are here.
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+
+
+def _byte_letters() -> dict[int, str]:
+    """What byte-level tokenizers write for each plain character: a letter for each UTF-8 byte; printable
+    bytes for themselves, the others counted up from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letter = {b: chr(b) for b in own}
+    letter |= {b: chr(0x100 + i) for i, b in enumerate(x for x in range(256) if x not in letter)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x21, 0x250)}
+
+
 class TokenIds:
-    """Ids of whole texts.  The tokenizer's rules never look across white space, so the
-    ids of a chunk between white space are kept and only new chunks are tokenised."""
+    """Ids of whole texts as bytes (``kind``: numpy type).  The tokenizer's rules never look across white space, so
+    the ids of a chunk between spaces are kept and only new chunks are tokenised; a new chunk of plain
+    characters is cut into pieces, whose ids are kept as well."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        chunks = (text or "").split(" ") if "\n" not in (text or "") else text.replace("\n", " ").split(" ")
-        new = [c for c in set(chunks) if c not in self.known]
-        if new:
-            if len(self.known) > _REMEMBERED:
-                self.known = {}
-                new = list(set(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[c] = e.ids
-        ids: list[int] = []
-        for c in map(self.known.__getitem__, chunks):
-            ids += c
-        ids.append(END_ID)
-        return np.array(ids, np.uint32)
+        whole = Tokenizer.from_file(path)
+        letters, split = _byte_letters(), json.loads(whole.to_str()).get("pre_tokenizer") or {}
+        # the short way holds for tokenizers with these rules alone
+        known_rules = [x.get("pattern", {}).get("Regex") for x in split.get("pretokenizers", [])][:1] == [_RULES]
+        self.kind = kind = np.dtype("<u2" if whole.get_vocab_size() <= 1 << 16 else "<u4")
+        model = whole.model
+
+        class Pieces(dict):
+            def __missing__(self, piece):
+                ids = self[piece] = np.array([t.id for t in model.tokenize(piece.translate(letters))], kind).tobytes()
+                return ids
+
+        pieces = Pieces()
+
+        class Chunks(dict):
+            def __missing__(self, chunk):
+                if known_rules and "<|" not in chunk and _PLAIN.fullmatch(chunk):
+                    ids = b"".join(map(pieces.__getitem__, _PIECE.findall(chunk.lower())))
+                else:
+                    ids = np.array(whole.encode(chunk, add_special_tokens=False).ids, kind).tobytes()
+                self[chunk] = ids
+                return ids
+
+        self.chunks, self.pieces = Chunks(), pieces
+        self.end = np.array([END_ID], kind).tobytes()
+
+    def __call__(self, text: str | None) -> bytes:
+        for memory in (self.chunks, self.pieces):
+            if len(memory) > _REMEMBERED:
+                memory.clear()
+        text = (text or "").replace("\n", " ")
+        return b"".join(map(self.chunks.__getitem__, text.split(" "))) + self.end
+
+
+# Fixed value: the split of the tokenizers that the short way is for.
+_RULES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 class Mixture:
@@ -166,8 +203,8 @@ class Mixture:
 
 
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``doc_id``, ``source``, ``part``, ``before`` (tokens of that source earlier in the part), ``n``,
-    ``ids`` (little-endian 32-bit numbers)."""
+    """``doc_id``, ``source``, ``part``, ``before`` (tokens of that source earlier in the part), ``n``, ``wide``
+    (bytes of an id), ``ids`` (little-endian)."""
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
                        F.col(text).cast("string").alias("text"))
@@ -176,18 +213,17 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "te
         ids_of, part, seen = TokenIds(path), TaskContext.get().partitionId(), {}
         for b in slices(batches, "text"):
             ids = [ids_of(t) for t in b.column("text").to_pylist()]
-            before = []
-            for s, x in zip(b.column("source").to_pylist(), ids):
+            wide = ids_of.kind.itemsize
+            n, before = [len(x) // wide for x in ids], []
+            for s, x in zip(b.column("source").to_pylist(), n):
                 before.append(seen.get(s, 0))
-                seen[s] = before[-1] + len(x)
-            small = all(int(x.max()) < 1 << 16 for x in ids)
+                seen[s] = before[-1] + x
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("source"), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()),
-                 pa.array([len(x) for x in ids], pa.int64()), pa.array([small] * len(ids), pa.bool_()),
-                 pa.array([x.astype("<u2" if small else "<u4").tobytes() for x in ids], pa.binary())],
-                names=["doc_id", "source", "part", "before", "n", "small", "ids"])
+                 pa.array(n, pa.int64()), pa.array([wide] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                names=["doc_id", "source", "part", "before", "n", "wide", "ids"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, source string, part int, before long, n long, small boolean, ids binary")
+    return rows.mapInArrow(run, f"doc_id {id_type}, source string, part int, before long, n long, wide int, ids binary")
 
 
 def queue_totals(counts: DataFrame, most: int = MAX_QUEUES) -> tuple[list[str], list[int]]:
@@ -241,7 +277,7 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
     w = Window.partitionBy(in_queue).orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
     places = counts.select("source", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("place"))
     rows = table.join(if_small(stored(spark, places, "token-places")), ["source", "part"])
-    rows = rows.select("doc_id", "source", (F.col("place") + F.col("before")).alias("at"), "n", "small", "ids")
+    rows = rows.select("doc_id", "source", (F.col("place") + F.col("before")).alias("at"), "n", "wide", "ids")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,9 +285,9 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
         for b in slices(batches, "ids"):
             take, cols = [], [[] for _ in range(7)]
             lists = []
-            for r, (s, at, n, small, raw) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4, 5)))):
+            for r, (s, at, n, wide, raw) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4, 5)))):
                 queue = number.get(s, shared_queue)
-                ids = np.frombuffer(raw, "<u2" if small else "<u4").astype("<u4")
+                ids = np.frombuffer(raw, f"<u{wide}").astype("<u4")
                 first, since = guess.get(queue, (0, None))
                 if since is None or at < since:
                     first = mixture.window_of(queue, at)

@@ -1,6 +1,7 @@
 import collections
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -83,8 +84,9 @@ def test_mixture_is_the_order_of_due_times():
 
 def test_chunkwise_ids_equal_the_tokenizers():
     t, ids = Tokenizer.from_file(packing.tokenizer_path()), packing.TokenIds(packing.tokenizer_path())
-    for text in (None, "", "  two  spaces ", "it's\tA tab\r\nÉcole <|endoftext|> x", "e\u0301 \u0301x ΑΣ Σ", "a\xa0b\u2003c 12,5%"):
-        assert ids(text).tolist() == [*t.encode(text or "", add_special_tokens=False).ids, 1]
+    for text in (None, "", "  two  spaces ", "it's\tA tab\r\nÉcole <|endoftext|> x", "e\u0301 \u0301x ΑΣ Σ", "a\xa0b\u2003c 12,5%", "\u00c0\u024f \u00df\u0130 \u00b2\u00bd_x__y '\u017f can't 'RE", "\x1c a\x1db",
+                 "".join(map(chr, range(0x21, 0x2af))), " ".join(map(chr, range(0x21, 0x400)))):
+        assert np.frombuffer(ids(text), ids.kind).tolist() == [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_edge_rows_and_many_sources(spark):
