@@ -13,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import date_lit, ntz_lit, null_safe_differs
+from cardwatch.functions.expr import date_lit, null_safe_differs
 from cardwatch.operators import literal, scd2, staging
+from cardwatch.operators.sequence import with_next
 from cardwatch.plans import reports, watermark
 from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINALS,
                                FEED_PREFIX_TRANSACTIONS, META_SCHEMA)
@@ -47,8 +48,7 @@ def meta_before(tt: adapters.TestTables) -> DataFrame:
             F.lit(META_SCHEMA).alias("schema_name"), F.lit(source).alias("source_name"),
             "max_update_dt")
 
-    out = row(tt.transactions().where(F.col("trans_date") < ntz_lit(REPORT_DT)), "transactions",
-              F.to_date("trans_date"))
+    out = row(tt.transactions().where(F.col("feed_dt") < date_lit(REPORT_DT)), "transactions", F.col("feed_dt"))
     out = out.unionByName(row(tt.blacklist(), "blacklist", F.col("enty_dt")))
     for n in ("terminals", "cards", "accounts", "clients"):
         out = out.unionByName(row(tt.dim_before(n), n, F.to_date("start_dt")))
@@ -59,7 +59,7 @@ def staged(tt, name: str) -> DataFrame:
     if name == "terminals":
         return tt.snapshot("terminals")
     return tt._memo(("staged", name), lambda: staging.stage_snapshot(
-        name, tt.snapshot(name), check_lengths=False)[0])
+        name, tt.snapshot(name))[0])
 
 
 def merged(tt, name: str) -> DataFrame:
@@ -73,7 +73,7 @@ def open_after(tt, name: str) -> DataFrame:
 
 # ------------------------------------------------------------------ feeds
 def _feed_days(tt) -> DataFrame:
-    return tt.transactions().select(F.to_date("trans_date").alias("d")).distinct()
+    return tt.transactions().select(F.col("feed_dt").alias("d")).distinct()
 
 
 def feed_names(tt) -> DataFrame:
@@ -85,8 +85,10 @@ def feed_names(tt) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("name")
 
 
-def _raw_transactions_text(tt) -> DataFrame:
+def _raw_transactions_text(tt, day=None) -> DataFrame:
     t = tt.transactions()
+    if day is not None:  # the rows of one day's file
+        t = t.where(F.col("feed_dt") == date_lit(day))
     return t.select(F.col("trans_id").alias("transaction_id"),
                     F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transaction_date"),
                     F.translate(F.col("amt").cast("string"), ".", ",").alias("amount"),
@@ -137,8 +139,48 @@ def q_stage_blacklist(spark, sf):
 def q_fact_transactions_append(spark, sf):
     root = scratch_dir(spark, "fact")
     rows = _tt(spark, sf).transactions()
-    warehouse.append_transactions(rows, root, feed_dt_col=F.to_date("trans_date"))
-    return warehouse.read_transactions(spark, root)
+    warehouse.append_transactions(rows, root, "r1", feed_dt_col=F.col("feed_dt"))
+    return warehouse.read_transactions(spark, root, ["r1"])
+
+
+def q_fact_append_existing(spark, sf):
+    """K2 and K7 onto a filled fact: a bootstrap run, a run that fails before it commits, its rerun
+    with the report day's file; what the failed one wrote for another day is not seen."""
+    root = scratch_dir(spark, "fact")
+    rows = _tt(spark, sf).transactions()
+    earlier = rows.where(F.col("feed_dt") < date_lit(REPORT_DT))
+    warehouse.append_transactions(earlier, root, "r1", feed_dt_col=F.col("feed_dt"))
+    warehouse.commit(spark, root, "r1", RUN_TS, expect_previous=None)
+    warehouse.append_transactions(rows, root, "r2", feed_dt_col=F.col("feed_dt"))  # and stops
+    day = rows.where(F.col("feed_dt") == date_lit(REPORT_DT))
+    warehouse.append_transactions(day, root, "r2", feed_dt=REPORT_DT)
+    warehouse.commit(spark, root, "r2", RUN_TS, transactions_dt=REPORT_DT, expect_previous="r1")
+    warehouse.append_transactions(rows, root, "r3", feed_dt_col=F.col("feed_dt"))  # never committed
+    return warehouse.current_transactions(spark, root)
+
+
+def q_report_append_mart(spark, sf):
+    """K4 and K7: a run that writes more report rows than its rerun, and stops; the rerun commits."""
+    root = scratch_dir(spark, "mart")
+    mart = q_report_contract(spark, sf)
+    warehouse.write_reports(q_report_contract(spark, sf, reports.LITERAL), root, "r1")  # and stops
+    warehouse.write_reports(mart, root, "r1")
+    warehouse.commit(spark, root, "r1", RUN_TS, transactions_dt=REPORT_DT, expect_previous=None)
+    return warehouse.current_reports(spark, root)
+
+
+def q_stage_wide_values(spark, sf):
+    """S3 with names and phones beyond the original column widths: every row stays."""
+    wide = _tt(spark, sf).snapshot("clients").withColumns({
+        "last_name": F.concat("last_name", F.repeat(F.lit("x"), 40)), "phone": F.concat("phone", F.lit(" extension 12345"))})
+    return staging.stage_snapshot("clients", wide)[0]
+
+
+def q_watermark_after_literal_run(spark, sf):
+    """K6, then K5, as a literal run does: every row takes the last snapshot's date, then each loaded
+    feed its own."""
+    m = q_watermark_advance_snapshots(spark, sf, watermark.LITERAL)
+    return watermark.advance_feeds(m, {"transactions": FEED_DT, "terminals": FEED_DT, "blacklist": None})
 
 
 def q_fact_blacklist_refresh(spark, sf):
@@ -304,7 +346,14 @@ def q_coalesce_scalar_subquery(spark, sf):
 
 
 def q_window_lead(spark, sf):
-    return q_report_hop_pairs(spark, sf, reports.LITERAL)
+    """Each transaction with the next one's id on its card; a card's last row shows NULL."""
+    t = _tt(spark, sf).transactions().select("trans_id", "trans_date", F.trim("card_num").alias("card_num"))
+    return with_next(t, "card_num", ["trans_date", "trans_id"], ["trans_id"]).withColumnRenamed("lead_trans_id", "lead_tran")
+
+
+def q_report_hop_base(spark, sf):
+    tt = _tt(spark, sf)
+    return reports.hop_base(tt.transactions(), tt.snapshot("terminals"))
 
 
 def q_sort_report(spark, sf):
@@ -347,7 +396,10 @@ def queries() -> dict[str, Query]:
         "keys_accounts": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "accounts"), "accounts"),
         "keys_clients": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "clients"), "clients"),
         "keys_terminals": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "terminals"), "terminals"),
+        "stage_wide_values": q_stage_wide_values,
         "fact_transactions_append": q_fact_transactions_append,
+        "fact_append_existing": q_fact_append_existing,
+        "watermark_after_literal_run": q_watermark_after_literal_run,
         "fact_blacklist_refresh": q_fact_blacklist_refresh,
         "watermark_advance_feeds": lambda s, sf: watermark.advance_feeds(
             meta_before(_tt(s, sf)), {"transactions": FEED_DT, "blacklist": FEED_DT,
@@ -367,6 +419,8 @@ def queries() -> dict[str, Query]:
         "report_passport": q_report_passport,
         "report_contract": q_report_contract,
         "report_hop_pairs": q_report_hop_pairs,
+        "report_hop_base": q_report_hop_base,
+        "report_append_mart": q_report_append_mart,
         "report_city_hop": q_report_city_hop,
         "report_fraud_all": q_report_fraud_all,
         "report_passport_literal": lambda s, sf: q_report_passport(s, sf, reports.LITERAL),

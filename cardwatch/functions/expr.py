@@ -61,9 +61,3 @@ def round_to_seconds(c: Column) -> Column:
 def trimmed(c: Column) -> Column:
     """Blank-only trim on both sides (tabs stay)."""
     return F.trim(c)
-
-
-def length_violations(limits: dict[str, int]) -> Column:
-    """Boolean column: some text field exceeds its varchar limit."""
-    checks = [F.coalesce(F.length(F.col(c)) > n, F.lit(False)) for c, n in limits.items()]
-    return reduce(lambda x, y: x | y, checks)

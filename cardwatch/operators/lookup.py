@@ -1,16 +1,8 @@
-"""Card -> account -> client lookups with a size-checked broadcast.
+"""Card -> account -> client lookups of report rows.
 
-Reports need owner details (account validity, client name, passport, phone)
-for the cards that appear in a day's transactions or in the hop pairs.  The
-key set is counted first, from a checkpointed copy in the shared checkpoint
-folder:
-
-* at most ``cardwatch.lookup.maxBroadcastKeys`` distinct cards (default one
-  million): the key set is broadcast and each dimension is filtered in place
-  by a broadcast semi join; no dimension is shuffled, and every derived side
-  that is broadcast later holds at most that many rows (one open version per
-  key), so its size is bounded by the count just taken;
-* more: plain shuffled joins, with AQE's skew handling for hot cards.
+Plain joins, one per dimension, each dimension read once.  Whether a side is
+broadcast is left to Spark: it knows the sizes at run time, and AQE splits the
+rows of a hot card.
 """
 
 from __future__ import annotations
@@ -21,30 +13,6 @@ from pyspark.sql import functions as F
 from cardwatch.functions.expr import fio, trimmed
 from cardwatch.session import ensure_checkpoint_dir
 
-MAX_KEYS_CONF = "cardwatch.lookup.maxBroadcastKeys"
-DEFAULT_MAX_KEYS = 1_000_000
-OWNER_COLUMNS = ["card_key", "account_num", "valid_to", "client", "fio", "passport_num",
-                 "passport_valid_to", "phone"]
-
-
-def _flag_listed(owners: DataFrame, blacklist: DataFrame, small: bool) -> DataFrame:
-    """Add ``listed``: the owner's passport is on the blacklist.  Evaluated
-    once per card rather than once per transaction; when the owners are a
-    counted small set, the blacklist is first cut down to their passports so
-    the side that gets broadcast is bounded by that count."""
-    bl = blacklist.select("passport_num").where(F.col("passport_num").isNotNull())
-    if small:
-        bl = bl.join(F.broadcast(owners.select("passport_num")), "passport_num", "left_semi")
-    bl = bl.distinct().withColumn("listed", F.lit(True))
-    if small:
-        bl = F.broadcast(bl)
-    return (owners.join(bl, "passport_num", "left")
-            .withColumn("listed", F.coalesce(F.col("listed"), F.lit(False))))
-
-
-def max_keys(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MAX_KEYS_CONF, str(DEFAULT_MAX_KEYS)))
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir``: computed once,
@@ -53,48 +21,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame, outer: bool,
-                keys: DataFrame | None = None, blacklist: DataFrame | None = None) -> DataFrame:
-    """One row per card: its account and client details.
-
-    ``keys`` (column ``card_key``), when given, is a small counted key set:
-    each dimension is then cut down by a broadcast semi join before the
-    (now small) joins among them."""
+def attach_owners(rows: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                  outer: bool, blacklist: DataFrame | None = None) -> DataFrame:
+    """``rows`` (with ``card_key``) joined to their owners; inner or left.  With
+    ``blacklist``, owners carry the boolean ``listed``: looked up once per client,
+    not once per transaction."""
     how = "left" if outer else "inner"
     k = cards.select(trimmed(F.col("card_num")).alias("card_key"), "account_num")
     a = accounts.select("account_num", "valid_to", "client")
-    c = clients.select(F.col("client_id").alias("client"), "passport_num", "passport_valid_to",
-                       "phone", fio(F.col("last_name"), F.col("first_name"),
-                                    F.col("patronymic")).alias("fio"))
-    if keys is not None:
-        # Each side below has at most one row per counted card (one open
-        # version per key), so it is broadcast as is: a semi join needs no
-        # deduplicated build side, and skipping ``distinct`` saves a shuffle.
-        k = k.join(F.broadcast(keys), "card_key", "left_semi")
-        a = a.join(F.broadcast(k.select("account_num")), "account_num", "left_semi")
-        c = c.join(F.broadcast(a.select("client")), "client", "left_semi")
-        a, c = F.broadcast(a), F.broadcast(c)
-    owners = k.join(a, "account_num", how).join(c, "client", how).select(*OWNER_COLUMNS)
+    c = clients.select(F.col("client_id").alias("client"), "passport_num", "passport_valid_to", "phone",
+                       fio(F.col("last_name"), F.col("first_name"), F.col("patronymic")).alias("fio"))
     if blacklist is not None:
-        owners = _flag_listed(owners, blacklist, keys is not None)
-    return owners
-
-
-def attach_owners(rows: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                  outer: bool, limit: int | None = None,
-                  blacklist: DataFrame | None = None,
-                  rows_materialized: bool = False) -> DataFrame:
-    """``rows`` (with ``card_key``) joined to their owners; inner or left.
-    With ``blacklist``, owners carry the boolean ``listed``.  ``rows_materialized``
-    says ``rows`` already starts from a checkpoint, so its key set is cheap to
-    recompute and is not written again."""
-    keys = rows.select("card_key").where(F.col("card_key").isNotNull()).distinct()
-    if not rows_materialized:
-        keys = materialize(keys)
-    limit = max_keys(rows) if limit is None else limit
-    how = "left" if outer else "inner"
-    if keys.count() <= limit:
-        owners = card_owners(cards, accounts, clients, outer, keys, blacklist)
-        return rows.join(F.broadcast(owners), "card_key", how)
-    return rows.join(card_owners(cards, accounts, clients, outer, blacklist=blacklist),
-                     "card_key", how)
+        bl = blacklist.select("passport_num").distinct().withColumn("listed", F.lit(True))
+        c = c.join(bl, "passport_num", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    return rows.join(k, "card_key", how).join(a, "account_num", how).join(c, "client", how)

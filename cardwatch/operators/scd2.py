@@ -88,9 +88,12 @@ def _fail(spec: DimSpec, text: str) -> str:
     return f"raise_error(concat('{spec.name}: {text} ', cast({spec.key} AS STRING)))"
 
 
-def classify(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock) -> DataFrame:
+def classify(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock,
+             deletions: bool = True) -> DataFrame:
     """One row per key: class, effective timestamps, open (``o_*``) and staged (``s_*``) values.
 
+    ``deletions=False``: the staged side is known to lack rows, so a key that
+    it doesn't have stays as it is (class SAME) instead of being tombstoned.
     The expressions are plain SQL text, so each is handed to the JVM in one
     call rather than assembled node by node."""
     k = spec.key
@@ -115,7 +118,7 @@ def classify(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: C
         WHEN coalesce(o__n, 1) + coalesce(s__n, 1) > 2
              THEN {_fail(spec, 'key is not unique in staging or open history:')}
         WHEN o__n IS NULL THEN '{NEW}'
-        WHEN s__n IS NULL AND o_deleted_flg = '{FLAG_LIVE}' THEN '{DELETED}'
+        WHEN s__n IS NULL AND o_deleted_flg = '{FLAG_LIVE}' THEN '{DELETED if deletions else SAME}'
         WHEN s__n IS NULL THEN '{STILL_DELETED}'
         WHEN o_deleted_flg <> '{FLAG_LIVE}' THEN '{RETURNED}'
         WHEN {differs} THEN '{CHANGED}'
@@ -136,11 +139,12 @@ def _row(spec: DimSpec, src: str, start: str, end: str, flag: str, processed: st
     return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + ")"
 
 
-def merge(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock) -> DataFrame:
+def merge(history_open: DataFrame, staged: DataFrame, spec: DimSpec, clock: Clock,
+          deletions: bool = True) -> DataFrame:
     """Next open set plus the rows this run closes, each tagged with ``step``
     and ``state`` ('open' / 'closed').  Older closed history is untouched and
     not part of the result."""
-    c = classify(history_open, staged, spec, clock)
+    c = classify(history_open, staged, spec, clock, deletions)
     run, inf = _ts(clock.run_ts), _ts(INF)
     close_at = f"(CASE WHEN class = '{CHANGED}' THEN eff ELSE del_ts END - INTERVAL 1 SECOND)"
     close_checked = (f"CASE WHEN {close_at} < o_start_dt "

@@ -1,4 +1,7 @@
-"""The next row of each group in a total order, exact under any skew.
+"""The next, or the previous, row of each group in a total order, exact under any skew.
+
+``with_previous_within_hour`` serves the one-hour rule.  ``with_next`` is for the
+literal report, whose successor may lie any time ahead.
 
 ``Window.partitionBy(group)`` sends a whole group to one task, so a card that
 holds a third of a day's transactions would be one task.  Here the rows are
@@ -26,15 +29,6 @@ from pyspark.sql import functions as F
 from cardwatch.operators.lookup import materialize
 
 PARTITIONS_CONF = "cardwatch.sequence.partitions"
-MAX_GROUP_CONF = "cardwatch.sequence.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, group: str) -> int:
-    """Rows in the biggest group: a count per group that combines on the map
-    side (so a hot group never gathers in one task), then one row to the driver."""
-    row = df.groupBy(group).count().agg(F.max("count").alias("m")).collect()[0]
-    return row.m or 0
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
@@ -45,27 +39,12 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def with_next(df: DataFrame, group: str, order: list[str], carry: list[str],
-              prefix: str = "lead_", partitions: int | None = None,
-              max_group_rows: int | None = None) -> DataFrame:
+              prefix: str = "lead_", partitions: int | None = None) -> DataFrame:
     """``df`` plus ``prefix + c`` for each ``c`` in ``carry``: the value in the
-    next row of the same ``group`` by ``order`` (NULL for the group's last row).
-
-    When no group exceeds ``max_group_rows`` (``cardwatch.sequence.maxGroupRows``,
-    default five million), a plain per-group window is used: one shuffle, and
-    every task holds groups of bounded size.  Otherwise the range slices below."""
+    next row of the same ``group`` (NULL is a group like any other) by ``order``;
+    NULL for the group's last row."""
     keys = [group, *order]
     fields = list(dict.fromkeys([*keys, *carry]))
-    conf = df.sparkSession.conf
-    limit = max_group_rows if max_group_rows is not None else \
-        int(conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if largest_group(df, group) <= limit:
-        w = Window.partitionBy(group).orderBy(*order)
-        succ = F.lead(F.struct(*fields)).over(w)
-        return df.select("*", *[succ[c].alias(prefix + c) for c in carry])
-    return _sliced_next(df, group, keys, fields, carry, prefix, partitions)
-
-
-def _sliced_next(df, group, keys, fields, carry, prefix, partitions) -> DataFrame:
     n = _partitions(df, partitions)
     sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
     w = Window.partitionBy("_slice").orderBy(*keys)
@@ -80,6 +59,27 @@ def _sliced_next(df, group, keys, fields, carry, prefix, partitions) -> DataFram
                           .alias("_stitch"))
     j = local.join(F.broadcast(follow), "_slice", "left")
     succ = F.coalesce(F.col("_next"), F.col("_stitch"))
-    same = succ[group] == F.col(group)
+    same = succ.isNotNull() & succ[group].eqNullSafe(F.col(group))
     out = [F.when(same, succ[c]).alias(prefix + c) for c in carry]
     return j.select(*[c for c in df.columns], *out)
+
+
+def with_previous_within_hour(df: DataFrame, group: str, time: str, order: str, carry: list[str],
+                              prefix: str = "prev_") -> DataFrame:
+    """``df`` plus ``prefix + c`` for each ``c`` in ``carry``: the value in the row just before
+    on the same ``group`` (NULL is a group) by ``time``, then ``order``, if it lies in the same
+    or in the preceding clock hour; NULL otherwise.
+
+    The window runs over (group, hour), so a hot group is split by hour; an hour's
+    first row takes the last row of the hour before through an equi-join with one row
+    per (group, hour).  One shuffle of the rows, one of those last rows."""
+    fields = list(dict.fromkeys([time, order, *carry]))
+    rows = df.withColumn("_hour", F.date_trunc("hour", time).cast("timestamp_ntz"))
+    w = Window.partitionBy(group, "_hour").orderBy(time, order)
+    here = rows.withColumn("_before", F.lag(F.struct(*fields)).over(w))
+    last = rows.groupBy(group, "_hour").agg(
+        F.max_by(F.struct(*fields), F.struct(time, order)).alias("_last"))
+    last = last.select(F.col(group).alias("_g"), (F.col("_hour") + F.expr("INTERVAL 1 HOUR")).alias("_h"), "_last")
+    j = here.join(last, here[group].eqNullSafe(last["_g"]) & (here["_hour"] == last["_h"]), "left")
+    before = F.coalesce("_before", "_last")
+    return j.select(*df.columns, *[before[c].alias(prefix + c) for c in carry])

@@ -3,7 +3,9 @@
 Each ``stage_*`` returns a ``Staged``: one typed frame with a ``reason``
 column (NULL for good rows).  It unpacks as ``(good, rejects)``; the daily
 run writes ``tagged`` once, so the source is scanned once.  Keys are trimmed
-here so that later joins are plain equi-joins.
+here so that later joins are plain equi-joins.  Only rows that can't be used
+have a reason (a missing key, a value that is no date or number); text of any
+length is kept.  The daily run fails on such rows unless its caller opts in.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import date_lit, length_violations, round_to_seconds, trimmed
-from cardwatch.schemas import (DIMS, LENGTH_LIMITS, STG_ACCOUNTS, STG_BLACKLIST, STG_CARDS,
+from cardwatch.functions.expr import date_lit, round_to_seconds, trimmed
+from cardwatch.schemas import (DIMS, STG_ACCOUNTS, STG_BLACKLIST, STG_CARDS,
                                STG_CLIENTS, STG_TERMINALS, STG_TRANSACTIONS)
 
 
@@ -60,7 +62,6 @@ def stage_transactions(raw: DataFrame) -> Staged:
         (F.col("trans_id").isNull(), "missing transaction id"),
         (F.col("trans_date").isNull() & F.col("_raw_date").isNotNull(), "bad transaction date"),
         (F.col("amt").isNull() & F.col("_raw_amount").isNotNull(), "bad amount"),
-        (length_violations(LENGTH_LIMITS["transactions"]), "value longer than its column"),
     ])
     return _split(typed, reason, [f.name for f in STG_TRANSACTIONS.fields])
 
@@ -72,7 +73,6 @@ def stage_terminals(raw: DataFrame, feed_dt: dt.date) -> Staged:
                        date_lit(feed_dt).alias("update_dt"))
     reason = _first_reason([
         (F.col("terminal_id").isNull(), "missing terminal id"),
-        (length_violations(LENGTH_LIMITS["terminals"]), "value longer than its column"),
     ])
     return _split(typed, reason, [f.name for f in STG_TERMINALS.fields])
 
@@ -85,7 +85,6 @@ def stage_blacklist(raw: DataFrame) -> Staged:
     reason = _first_reason([
         (F.col("passport_num").isNull(), "missing passport"),
         (F.col("enty_dt").isNull() & F.col("_raw_date").isNotNull(), "bad entry date"),
-        (length_violations(LENGTH_LIMITS["blacklist"]), "value longer than its column"),
     ])
     return _split(typed, reason, [f.name for f in STG_BLACKLIST.fields])
 
@@ -93,8 +92,7 @@ def stage_blacklist(raw: DataFrame) -> Staged:
 _SNAPSHOT_SCHEMAS = {"cards": STG_CARDS, "accounts": STG_ACCOUNTS, "clients": STG_CLIENTS}
 
 
-def stage_snapshot(name: str, snapshot: DataFrame, check_lengths: bool = True
-                   ) -> Staged:
+def stage_snapshot(name: str, snapshot: DataFrame) -> Staged:
     """S1-S3: select the snapshot's columns by name, cast, trim the key."""
     schema = _SNAPSHOT_SCHEMAS[name]
     key = DIMS[name].key
@@ -104,10 +102,8 @@ def stage_snapshot(name: str, snapshot: DataFrame, check_lengths: bool = True
 
     cols = [typed_col(f) for f in schema.fields]
     typed = snapshot.select(*cols)
-    checks = [(F.col(key).isNull(), "missing key")]
-    if check_lengths:
-        checks.append((length_violations(LENGTH_LIMITS[name]), "value longer than its column"))
-    return _split(typed, _first_reason(checks), [f.name for f in schema.fields])
+    return _split(typed, _first_reason([(F.col(key).isNull(), "missing key")]),
+                  [f.name for f in schema.fields])
 
 
 class DuplicateKey(ValueError):

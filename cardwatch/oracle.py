@@ -106,14 +106,17 @@ fact AS (
          CAST(value AS DECIMAL(10,2)) AS amt,
          'C' || {_v('user_id')} || ' ' AS card_num, event_type AS oper_type,
          CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
-         'T' || {_v('event_id % (SELECT count(*) FROM supplier)')} AS terminal
+         'T' || {_v('event_id % (SELECT count(*) FROM supplier)')} AS terminal,
+         CASE WHEN CAST(ts AS DATE) + (CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END) IN (DATE '2024-01-13', DATE '2024-01-14')
+              THEN DATE '2024-01-15'
+              ELSE CAST(ts AS DATE) + (CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END) END AS feed_dt
   FROM events),
 blacklist_f AS (
   SELECT DATE '2024-01-01' AS enty_dt, 'PP' || {_v('c_custkey')} AS passport_num
   FROM customer WHERE c_acctbal < 0),
 meta_before AS (
   SELECT 'dwh' AS schema_name, 'transactions' AS source_name,
-         max(CAST(trans_date AS DATE)) AS max_update_dt FROM fact WHERE trans_date < {DAY}
+         max(feed_dt) AS max_update_dt FROM fact WHERE feed_dt < {REPORT}
   UNION ALL SELECT 'dwh', 'blacklist', max(enty_dt) FROM blacklist_f
   UNION ALL SELECT 'dwh', 'terminals', max(CAST(start_dt AS DATE)) FROM hist_terminals
   UNION ALL SELECT 'dwh', 'cards', max(CAST(start_dt AS DATE)) FROM hist_cards
@@ -231,7 +234,7 @@ def _trans_info(bound: str) -> str:
   WHERE t.oper_result = 'SUCCESS' {bound})"""
 
 
-DAY_BOUND = f"AND t.trans_date >= {DAY} AND t.trans_date < {NEXT_DAY}"
+DELIVERED = f"AND t.feed_dt = {REPORT}"
 R1_LITERAL_BOUND = f"AND t.trans_date > {DAY}"
 
 
@@ -240,31 +243,29 @@ def _rep_select(event_dt: str, event_type: str) -> str:
             f"ci.phone, '{event_type}' AS event_type, {REPORT} AS report_dt")
 
 
-def report_passport(bound: str = DAY_BOUND) -> str:
+def report_passport(bound: str = DELIVERED) -> str:
     return (_with(CLIENT_INFO, _trans_info(bound)) + _rep_select("ti.trans_date", "1")
             + "\nFROM client_info ci JOIN trans_info ti ON ci.account_num = ti.account_num\n"
             + "WHERE ci.passport_num IN (SELECT passport_num FROM blacklist_f)\n"
             + "   OR ci.passport_valid_to < ti.trans_date")
 
 
-def report_contract(bound: str = DAY_BOUND) -> str:
+def report_contract(bound: str = DELIVERED) -> str:
     return (_with(CLIENT_INFO, _trans_info(bound)) + _rep_select("ti.trans_date", "2")
             + "\nFROM client_info ci JOIN trans_info ti ON ci.account_num = ti.account_num\n"
             + "WHERE ti.trans_date > ci.valid_to")
 
 
 def _pairs(intended: bool) -> str:
-    scope = (f"WHERE f.trans_date >= {DAY} - INTERVAL 1 HOUR AND f.trans_date < {NEXT_DAY}"
-             if intended else "")
-    gap = (f"AND lead_date < trans_date + INTERVAL 1 HOUR AND lead_date >= {DAY} "
-           f"AND lead_date < {NEXT_DAY}" if intended else "AND lead_date IS NOT NULL")
+    gap = (f"AND lead_date < trans_date + INTERVAL 1 HOUR AND lead_feed = {REPORT}" if intended
+           else "AND lead_date IS NOT NULL")
     return f"""tx AS (
   SELECT f.trans_id, f.trans_date, trim(f.card_num) AS card_num, f.terminal, f.oper_result,
-         tm.terminal_city
-  FROM fact f LEFT JOIN stg_terminals tm ON f.terminal = tm.terminal_id {scope}),
+         tm.terminal_city, f.feed_dt
+  FROM fact f LEFT JOIN stg_terminals tm ON f.terminal = tm.terminal_id),
 led AS (
   SELECT *, lead(trans_id) OVER w AS lead_tran, lead(terminal_city) OVER w AS lead_city,
-         lead(trans_date) OVER w AS lead_date
+         lead(trans_date) OVER w AS lead_date, lead(feed_dt) OVER w AS lead_feed
   FROM tx WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)),
 pairs AS (
   SELECT trans_id, trans_date, card_num, terminal_city, lead_tran, lead_city, lead_date
@@ -304,14 +305,14 @@ def fraud_all(intended: bool = True) -> str:
     parts.append(f"r3 AS ({_city_hop_body()})")
     body = ("SELECT * FROM r1 UNION ALL " if intended else "") + \
         "SELECT * FROM r2 UNION ALL SELECT * FROM r3"
-    return _with(CLIENT_INFO, _trans_info(DAY_BOUND if intended else ""), _pairs(intended),
+    return _with(CLIENT_INFO, _trans_info(DELIVERED if intended else ""), _pairs(intended),
                  _open_after("cards"), _open_after("accounts"), _open_after("clients"),
                  *parts) + body
 
 
 def feed_select(intended: bool = True) -> str:
     order = "file_dt, name" if intended else "name"
-    return _with(f"""days AS (SELECT DISTINCT CAST(trans_date AS DATE) AS d FROM fact),
+    return _with(f"""days AS (SELECT DISTINCT feed_dt AS d FROM fact),
 names AS (
   SELECT 'transactions' AS feed, 'transactions_' || strftime(d, '%d%m%Y') || '.txt' AS name,
          d AS file_dt FROM days
@@ -432,7 +433,10 @@ FROM fact""",
         "keys_accounts": _with() + "SELECT account_num FROM stg_accounts",
         "keys_clients": _with() + "SELECT client_id FROM stg_clients",
         "keys_terminals": _with() + "SELECT terminal_id FROM stg_terminals",
-        "fact_transactions_append": _with() + "SELECT *, CAST(trans_date AS DATE) AS feed_dt FROM fact",
+        "fact_transactions_append": _with() + "SELECT * FROM fact",
+        "fact_append_existing": _with() + f"SELECT * FROM fact WHERE feed_dt <= {REPORT}",
+        "stage_wide_values": _with() + "SELECT * REPLACE (last_name || repeat('x', 40) AS last_name, phone || ' extension 12345' AS phone) FROM stg_clients",
+        "watermark_after_literal_run": f"SELECT schema_name, source_name, CASE WHEN source_name IN ('transactions', 'terminals') THEN {FEED} ELSE max_update_dt END AS max_update_dt FROM ({watermark_snapshots(False)})",
         "fact_blacklist_refresh": _with() + "SELECT * FROM blacklist_f",
         "watermark_advance_feeds": _with() + f"""SELECT schema_name, source_name,
   CASE WHEN source_name IN ('transactions', 'blacklist', 'terminals') THEN {FEED}
@@ -447,7 +451,7 @@ FROM fact""",
         q[f"scd2_merge_{name}_literal"] = scd2_literal(name)
     q.update({
         "report_client_info": _with(CLIENT_INFO) + "SELECT * FROM client_info",
-        "report_trans_info": _with(_trans_info(DAY_BOUND)) + "SELECT * FROM trans_info",
+        "report_trans_info": _with(_trans_info(DELIVERED)) + "SELECT * FROM trans_info",
         "report_passport": report_passport(),
         "report_contract": report_contract(),
         "report_hop_pairs": hop_pairs(True),
@@ -503,7 +507,9 @@ UNION ALL SELECT source_name, COALESCE(
   (SELECT CAST(max(update_dt) AS DATE) FROM stg_clients),
   (SELECT max_update_dt FROM meta_before WHERE source_name = 'clients'))
 FROM meta_before WHERE source_name = 'clients'""",
-        "window_lead": hop_pairs(False),
+        "window_lead": _with() + "SELECT trans_id, trans_date, trim(card_num) AS card_num, lead(trans_id) OVER (PARTITION BY trim(card_num) ORDER BY trans_date, trans_id) AS lead_tran FROM fact",
+        "report_hop_base": _with(_pairs(False)) + "SELECT DISTINCT trans_id, trans_date, card_num, oper_result, terminal_city, lead_tran, lead_city, lead_date FROM led",
+        "report_append_mart": report_contract(),
         "sort_report": report_passport() + "\nORDER BY fio",
     })
     return q

@@ -54,6 +54,10 @@ class EmptySnapshot(RuntimeError):
     pass
 
 
+class RejectedRows(ValueError):
+    """A source holds rows that can't be used; nothing of the run is published."""
+
+
 def _seconds(ts: dt.datetime) -> dt.datetime:
     """One run timestamp for the whole run, rounded half-up to whole seconds."""
     return (ts + dt.timedelta(microseconds=500_000)).replace(microsecond=0)
@@ -108,20 +112,28 @@ def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
 
 def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         mode: str = "intended", allow_empty_snapshots: bool = False,
-        open_buckets: int = 0) -> RunResult:
+        open_buckets: int = 0, allow_rejects: bool = False) -> RunResult:
     """One daily run, published as a whole (see the module docstring).
 
+    A row with a missing key or an unparsable value fails the run.  With
+    ``allow_rejects`` it is left out and counted, and a dimension whose source
+    had such rows deletes no key in this run (the key may be the unreadable
+    one).  An empty snapshot or terminals file fails the run unless
+    ``allow_empty_snapshots``.
+
     ``open_buckets`` > 0 writes the dimensions bucketed by key; set it to
     ``spark.sql.shuffle.partitions`` so the next run's merges read the open
     sets without shuffling them."""
     try:
-        return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots, open_buckets)
+        return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots, open_buckets,
+                    allow_rejects)
     finally:
         spark.sparkContext.setJobDescription(None)
 
 
 def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
-         mode: str, allow_empty_snapshots: bool, open_buckets: int) -> RunResult:
+         mode: str, allow_empty_snapshots: bool, open_buckets: int,
+         allow_rejects: bool) -> RunResult:
     run_ts = _seconds(run_ts)
     run_id = warehouse.run_id_for(run_ts)
     res = RunResult(run_id, run_ts)
@@ -153,9 +165,13 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                 feeds.read_terminals(spark, path_of[name], sources.terminals_format),
                 res.picked[name][1])
         good, bad = _stage_to(spark, root, run_id, name, st)
-        if name in SNAPSHOT_DIMS and not allow_empty_snapshots and good.isEmpty():
+        n_bad = bad.count()
+        if n_bad and not allow_rejects:
+            reason = bad.select("reason").limit(1).collect()[0][0]
+            raise RejectedRows(f"{name}: {n_bad} rows can't be used, for one: {reason}")
+        if name in DIMS and not allow_empty_snapshots and good.isEmpty():
             raise EmptySnapshot(f"{name}: empty snapshot; refusing to tombstone every key")
-        return good, bad.count()
+        return good, n_bad
 
     staged = {}
     def stage_described(name: str):
@@ -176,6 +192,8 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         writers = warehouse.holders(spark, root, name) if dim_run[name] else []
         clock = scd2.Clock(run_ts, res.picked.get("terminals", (None, None))[1])
         if mode == "literal":
+            if res.rejects[name]:
+                raise RejectedRows(f"{name}: the literal replay can't leave deletions out")
             hist = (warehouse.history_of(spark, root, name, writers) if writers
                     else _empty(spark, spec.dim_schema()))
             warehouse.write_full_history(literal.step(hist, staged[name], spec, clock), root,
@@ -187,8 +205,9 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                                              warehouse.buckets_of(spark, root, last_run))
             else:
                 open_now = _empty(spark, spec.dim_schema())
-            warehouse.write_dimension(scd2.merge(open_now, staged[name], spec, clock), root,
-                                      name, run_id, buckets=open_buckets)
+            warehouse.write_dimension(
+                scd2.merge(open_now, staged[name], spec, clock, deletions=not res.rejects[name]),
+                root, name, run_id, buckets=open_buckets)
         return mode
 
     # ---- facts and watermarks
@@ -199,13 +218,14 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
 
     def load_facts_and_meta() -> None:
         if "transactions" in staged:
-            warehouse.append_transactions(staged["transactions"], root,
+            warehouse.append_transactions(staged["transactions"], root, run_id,
                                           feed_dt=res.picked["transactions"][1])
         if "blacklist" in staged:
             warehouse.refresh_blacklist(staged["blacklist"], root, run_id)
-        m = watermark.advance_feeds(meta, dates)
         maxima = watermark.snapshot_maxima({n: staged[n] for n in SNAPSHOT_DIMS})
-        warehouse.write_meta(watermark.advance_snapshots(m, maxima, mode), root, run_id)
+        m = watermark.advance_snapshots(meta, maxima, mode)
+        # the feeds last: the literal snapshot updates overwrite every row
+        warehouse.write_meta(watermark.advance_feeds(m, dates, meta if mode == "literal" else None), root, run_id)
 
     # a missing feed is not an empty snapshot: that dimension stays as it is;
     # the merges, the fact loads and the watermarks write disjoint paths
@@ -225,11 +245,10 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     if "transactions" in res.picked:
         spark.sparkContext.setJobDescription(f"cardwatch {run_id} reports")
         report_dt = res.picked["transactions"][1]
-        # intended scope: transactions of the report day and the hour before it,
-        # delivered by that day's file or the one before (partition pruning);
-        # literal mode rescans the whole fact, as the original statements do
-        lower = report_dt - dt.timedelta(days=1) if mode == "intended" else None
-        fact = warehouse.read_transactions(spark, root, max_feed_dt=report_dt, min_feed_dt=lower)
+        # the delivered rows come from this run's folder alone; the earlier side of a
+        # hop may have come with any file (its rows are found by card and hour)
+        fact = warehouse.read_transactions(
+            spark, root, [*warehouse.fact_runs(spark, root).values(), run_id])
         blacklist = (warehouse.read_blacklist(spark, root, blacklist_run) if blacklist_run
                      else _empty(spark, STG_BLACKLIST))
         opened = {}
@@ -238,14 +257,16 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
                 opened[n] = _empty(spark, DIMS[n].dim_schema())
                 continue
             run_mode = dim_mode.get(n) or warehouse.holders(spark, root, n)[-1][1]
-            opened[n] = _one_per_key(warehouse.open_of(spark, root, n, dim_run[n], run_mode), n)
+            opened[n] = warehouse.open_of(spark, root, n, dim_run[n], run_mode)
+            if run_mode == "literal":  # an intended merge has just proved its keys unique
+                opened[n] = _one_per_key(opened[n], n)
         # without a terminals file today, the live versions are the last file's rows
         terminals = staged.get("terminals", opened["terminals"].where(F.col("deleted_flg") == "N"))
         mart = reports.fraud_mart(fact, staged["cards"],
                                   staged["accounts"], staged["clients"], blacklist, terminals,
                                   opened["cards"], opened["accounts"], opened["clients"],
                                   report_dt, mode)
-        warehouse.write_reports(mart, root)
+        warehouse.write_reports(mart, root, run_id)
         res.reported = True
 
     spark.sparkContext.setJobDescription(f"cardwatch {run_id} commit")

@@ -5,9 +5,11 @@ R2  card used under an expired contract (account valid_to)  (event_type '2')
 R3  card used in two cities within an hour                  (event_type '3')
 R4  the mart: union of the three
 
-``mode="intended"`` (default) bounds R1/R2 to transactions of the report day,
-bounds R3 to pairs whose later side falls in that day with a gap under one
-hour, and stores R1 in the mart.  ``mode="literal"`` keeps the original
+``mode="intended"`` (default) takes for R1/R2 the transactions that the file of
+``report_dt`` delivered, whenever they happened; for R3 the pairs whose later
+side came with that file (the earlier side with any file) and whose gap is under
+one hour; and stores R1 in the mart.  So a row that comes late, or after days
+without a file, is reported with its file, and once.  ``mode="literal"`` keeps the original
 statement text: R1 takes everything after midnight of the report day, R2
 and R3 scan the whole fact, R3's gap test is always true (the minute field
 of an interval is below 60), and the mart has no R1 rows.
@@ -21,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, fio, ntz, ntz_lit, trimmed
-from cardwatch.operators.lookup import attach_owners, materialize
-from cardwatch.operators.sequence import with_next
+from cardwatch.operators.lookup import attach_owners
+from cardwatch.operators.sequence import with_next, with_previous_within_hour
 from cardwatch.schemas import (EVENT_CITY_HOP, EVENT_CONTRACT, EVENT_PASSPORT,
                                REP_FRAUD, SUCCESS)
 
@@ -35,11 +37,6 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be {INTENDED!r} or {LITERAL!r}, not {mode!r}")
 
 
-def _day(report_dt: dt.date) -> tuple[Column, Column]:
-    start = ntz_lit(report_dt)
-    return start, ntz_lit(report_dt + dt.timedelta(days=1))
-
-
 # ---------------------------------------------------------------- R1a / R1b
 def client_info(accounts: DataFrame, clients: DataFrame) -> DataFrame:
     """Accounts with their client's name, passport and phone (R1a)."""
@@ -53,15 +50,14 @@ def client_info(accounts: DataFrame, clients: DataFrame) -> DataFrame:
 
 
 def scoped_transactions(fact: DataFrame, report_dt: dt.date, mode: str, report: str) -> DataFrame:
-    """SUCCESS transactions in the time scope of R1 or R2; the bounds are
-    literals on ``trans_date`` and reach the Parquet scan."""
+    """SUCCESS transactions in the scope of R1 or R2; the bound is a literal on the
+    partition column ``feed_dt`` (literal mode: on ``trans_date``) and reaches the scan."""
     _check_mode(mode)
     t = fact.where(F.col("oper_result") == SUCCESS)
-    start, end = _day(report_dt)
     if mode == INTENDED:
-        t = t.where((F.col("trans_date") >= start) & (F.col("trans_date") < end))
+        t = t.where(F.col("feed_dt") == date_lit(report_dt))
     elif report == "passport":
-        t = t.where(F.col("trans_date") > start)
+        t = t.where(F.col("trans_date") > ntz_lit(report_dt))
     return t
 
 
@@ -127,54 +123,75 @@ def passport_and_contract(fact, cards, accounts, clients, blacklist, report_dt:
 
 
 # ---------------------------------------------------------------------- R3
-def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
-              mode: str = INTENDED) -> DataFrame:
-    """Each transaction with the next one on the same card and both cities,
-    kept when the cities differ, the next one is close enough and the first
-    one succeeded (R3a).
-
-    The successor comes from ``sequence.with_next``: rows are range-partitioned
-    on (card, time, id), so a card holding a third of the day's transactions
-    is spread over many tasks, and the result is still exact.  The successor
-    carries its *terminal*; a terminal has one city, so pairs at the same
-    terminal are dropped before any city is looked up, and the lookups run on
-    the few candidates.  Intended mode reads the report day plus the hour
-    before it; literal mode reads the whole fact."""
-    _check_mode(mode)
-    t = fact.select("trans_id", "trans_date", trimmed(F.col("card_num")).alias("card_num"),
-                    "terminal", "oper_result")
-    start, end = _day(report_dt)
-    if mode == INTENDED:
-        t = t.where((F.col("trans_date") >= start - F.expr("INTERVAL 1 HOUR"))
-                    & (F.col("trans_date") < end))
-    t = with_next(t.where(F.col("card_num").isNotNull()), "card_num",
-                  ["trans_date", "trans_id"], ["trans_id", "terminal", "trans_date"])
-    t = t.select("*", F.col("lead_trans_id").alias("lead_tran"),
-                 F.col("lead_trans_date").alias("lead_date"))
-    keep = (F.col("oper_result") == SUCCESS) & (F.col("terminal") != F.col("lead_terminal"))
-    if mode == INTENDED:
-        keep = (keep & (F.col("lead_date") < F.col("trans_date") + F.expr("INTERVAL 1 HOUR"))
-                & (F.col("lead_date") >= start) & (F.col("lead_date") < end))
-    cand = t.where(keep)
+def _cities(pairs: DataFrame, terminals: DataFrame) -> DataFrame:
     here = terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
     there = terminals.select(F.col("terminal_id").alias("lead_terminal"),
                              F.col("terminal_city").alias("lead_city"))
-    return (cand.join(here, "terminal", "inner").join(there, "lead_terminal", "inner")
+    return (pairs.join(here, "terminal", "inner").join(there, "lead_terminal", "inner")
             .where(F.col("terminal_city") != F.col("lead_city"))
             .select("trans_id", "trans_date", "card_num", "terminal_city", "lead_tran",
                     "lead_city", "lead_date"))
 
 
+def _sided(fact: DataFrame) -> DataFrame:
+    return fact.select("trans_id", "trans_date", trimmed(F.col("card_num")).alias("card_num"),
+                       "terminal", "oper_result", *[c for c in fact.columns if c == "feed_dt"])
+
+
+def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
+              mode: str = INTENDED) -> DataFrame:
+    """Each transaction with the next one on the same card and both cities,
+    kept when the cities differ, the next one is close enough and the first
+    one succeeded (R3a).  A NULL card is a group like any other.
+
+    Intended mode looks from the delivered (later) side: the rows of its cards in
+    its hours and the hours before, from any file, and the row just before it
+    (``sequence.with_previous_within_hour``).  The earlier side carries its
+    *terminal*; a terminal has one city, so pairs at the same terminal are dropped
+    before any city is looked up, and the lookups run on the few candidates."""
+    _check_mode(mode)
+    t = _sided(fact)
+    if mode == LITERAL:
+        t = with_next(t, "card_num", ["trans_date", "trans_id"], ["trans_id", "terminal", "trans_date"])
+        t = t.where((F.col("oper_result") == SUCCESS) & (F.col("terminal") != F.col("lead_terminal")))
+        return _cities(t.withColumnsRenamed({"lead_trans_id": "lead_tran", "lead_trans_date": "lead_date"}), terminals)
+    delivered = F.col("feed_dt") == date_lit(report_dt)
+    hour = F.date_trunc("hour", "trans_date").cast("timestamp_ntz")
+    near = (t.where(delivered).select("card_num", hour.alias("h")).distinct()
+            .select(F.col("card_num").alias("c"), F.explode(F.array("h", F.col("h") - F.expr("INTERVAL 1 HOUR"))).alias("h"))
+            .distinct())
+    t = t.join(near, t.card_num.eqNullSafe(near.c) & (hour == near.h), "left_semi")
+    t = with_previous_within_hour(t, "card_num", "trans_date", "trans_id",
+                                  ["trans_id", "trans_date", "terminal", "oper_result"])
+    cand = t.where(delivered & (F.col("prev_oper_result") == SUCCESS) & (F.col("terminal") != F.col("prev_terminal"))
+                   & (F.col("trans_date") < F.col("prev_trans_date") + F.expr("INTERVAL 1 HOUR")))
+    cand = cand.select(F.col("prev_trans_id").alias("trans_id"), F.col("prev_trans_date").alias("trans_date"), "card_num",
+                       F.col("prev_terminal").alias("terminal"), F.col("trans_id").alias("lead_tran"),
+                       F.col("terminal").alias("lead_terminal"), F.col("trans_date").alias("lead_date"))
+    return _cities(cand, terminals)
+
+
+def hop_base(fact: DataFrame, terminals: DataFrame) -> DataFrame:
+    """Every transaction with its city and with the id, city and time of the next one on
+    its card (NULL for the last), before any test."""
+    t = _sided(fact).drop("feed_dt")
+    t = with_next(t, "card_num", ["trans_date", "trans_id"], ["trans_id", "terminal", "trans_date"])
+    here = terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
+    there = terminals.select(F.col("terminal_id").alias("lead_terminal"), F.col("terminal_city").alias("lead_city"))
+    return (t.join(here, "terminal", "left").join(there, "lead_terminal", "left")
+            .select("trans_id", "trans_date", "card_num", "oper_result", "terminal_city",
+                    F.col("lead_trans_id").alias("lead_tran"), "lead_city", F.col("lead_trans_date").alias("lead_date"))
+            .distinct())
+
+
 def city_hop_report(fact, terminals, cards_open, accounts_open, clients_open,
                     report_dt: dt.date, mode: str = INTENDED) -> DataFrame:
     """Latest earlier-side time per (passport, fio, phone) over the pairs.
 
     Pairs are found first and only then joined to the single open version of
     card, account and client (left joins, as in the original statement)."""
-    p = materialize(hop_pairs(fact, terminals, report_dt, mode)
-                    .select("trans_date", F.col("card_num").alias("card_key")))
-    j = attach_owners(p, cards_open, accounts_open, clients_open, outer=True,
-                      rows_materialized=True)
+    p = hop_pairs(fact, terminals, report_dt, mode).select("trans_date", F.col("card_num").alias("card_key"))
+    j = attach_owners(p, cards_open, accounts_open, clients_open, outer=True)
     return (j.groupBy("passport_num", "fio", "phone")
             .agg(F.max("trans_date").alias("event_dt"))
             .select(*_rep(F.col("event_dt"), EVENT_CITY_HOP, report_dt)))

@@ -16,6 +16,7 @@ from cardwatch.functions.expr import date_lit
 from cardwatch.schemas import META, META_SCHEMA, META_SOURCES, WATERMARK_SEED
 
 INTENDED, LITERAL = "intended", "literal"
+FEED_SOURCES = ("transactions", "blacklist", "terminals")
 
 
 def seed(spark: SparkSession, schema_name: str = META_SCHEMA) -> DataFrame:
@@ -29,10 +30,15 @@ def read(meta: DataFrame, source: str, schema_name: str = META_SCHEMA) -> DataFr
             .select("max_update_dt"))
 
 
-def advance_feeds(meta: DataFrame, file_dates: dict[str, dt.date | None]) -> DataFrame:
+def advance_feeds(meta: DataFrame, file_dates: dict[str, dt.date | None],
+                  before: DataFrame | None = None) -> DataFrame:
     """K5: set each loaded feed's watermark to its file date; feeds that
-    loaded nothing (None) keep theirs."""
+    loaded nothing (None) keep theirs: the one in ``meta``, or in ``before`` if that is
+    given (a literal run's snapshot updates have overwritten the one in ``meta``)."""
     v = F.col("max_update_dt")
+    if before is not None:
+        meta = meta.join(before.select("source_name", F.col("max_update_dt").alias("_old")), "source_name", "left")
+        v = F.when(F.col("source_name").isin(*FEED_SOURCES), F.col("_old")).otherwise(v)
     for source, d in file_dates.items():
         if d is not None:
             v = F.when(F.col("source_name") == source, date_lit(d)).otherwise(v)

@@ -1,4 +1,4 @@
-"""Logical schemas of the warehouse, length limits and the open-interval sentinel."""
+"""Logical schemas of the warehouse and the open-interval sentinel."""
 
 from __future__ import annotations
 
@@ -58,20 +58,6 @@ FEED_TERMINALS_RAW = _st(("terminal_id", S), ("terminal_type", S), ("terminal_ci
                          ("terminal_address", S))
 FEED_BLACKLIST_RAW = _st(("date", S), ("passport", S))
 
-# varchar(n) limits of the target tables, checked on feed input.
-LENGTH_LIMITS = {
-    "transactions": {"trans_id": 15, "card_num": 30, "oper_type": 15, "oper_result": 11,
-                     "terminal": 5},
-    "terminals": {"terminal_id": 5, "terminal_type": 3, "terminal_city": 50,
-                  "terminal_address": 200},
-    "blacklist": {"passport_num": 15},
-    "cards": {"card_num": 20, "account_num": 20},
-    "accounts": {"account_num": 20, "client": 10},
-    "clients": {"client_id": 10, "last_name": 20, "first_name": 20, "patronymic": 20,
-                "passport_num": 15, "phone": 16},
-}
-
-
 @dataclass(frozen=True)
 class DimSpec:
     """One SCD2 dimension.

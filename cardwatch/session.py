@@ -24,11 +24,12 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "cardwatch", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:  # else the cluster's setting, or Spark's own default
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -40,13 +41,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for derived files: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (a bare test session) do we create a
-    local one and register it, so later ``checkpoint()`` calls work too.
+    Only when a local session names none (as in tests) do we create a local
+    one and register it, so later ``checkpoint()`` calls work too; on a cluster,
+    whose executors would not see it, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cardwatch-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

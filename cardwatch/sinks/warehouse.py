@@ -4,14 +4,14 @@
     <root>/dim_<name>/run=<id>/state=open|closed/   open set rewritten per run,
                                                     closed rows of that run only
     <root>/dim_<name>/run=<id>/state=history/       literal runs: whole history
-    <root>/fact_transactions/feed_dt=<date>/        append, dynamic overwrite
+    <root>/fact_transactions/run=<id>/feed_dt=<date>/   rows that the run loaded
     <root>/fact_blacklist/run=<id>/                 full refresh per loaded file
-    <root>/rep_fraud/report_dt=<d>/event_type=<t>/  dynamic overwrite
+    <root>/rep_fraud/run=<id>/report_dt=<d>/event_type=<t>/   its report rows
     <root>/meta/run=<id>/                           watermarks after the run
     <root>/runs/commit=<id>/                        one row per committed run
 
-A run writes only under its own ``run=<id>`` folders and under the fact /
-report partitions of its own dates, so it never overwrites a path it reads.
+A run writes only under its own ``run=<id>`` folders, so it never overwrites a
+path it reads, and a reader opens only the folders that the commit log names.
 The ``runs`` row is written last; readers resolve the newest committed run and
 ignore everything else, which makes a run all-or-nothing and a rerun (same
 id) a clean overwrite.  Each write is a Spark job with task-level commit, so
@@ -58,33 +58,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 # ------------------------------------------------------------------ facts
-def append_transactions(rows: DataFrame, root: str, feed_dt: dt.date | None = None,
-                        feed_dt_col: Column | None = None, path: str | None = None) -> None:
-    """K2: add the staged transactions under ``feed_dt``.  Dynamic partition
-    overwrite replaces only that date, so a rerun does not duplicate.  Rows
-    are sorted by time inside each task so row-group statistics prune the
-    report scans."""
+def append_transactions(rows: DataFrame, root: str, run_id: str, feed_dt: dt.date | None = None,
+                        feed_dt_col: Column | None = None) -> None:
+    """K2: add the staged transactions under this run's folder, by ``feed_dt``.  A rerun
+    with the same id replaces the whole folder; it is read once the run is
+    committed.  Rows are sorted by time inside each task so that row-group
+    statistics prune the report scans."""
     col = feed_dt_col if feed_dt_col is not None else date_lit(feed_dt)
-    out = (rows.select(*[f.name for f in STG_TRANSACTIONS.fields])
-           .withColumn("feed_dt", col)
+    out = (rows.select(*[f.name for f in STG_TRANSACTIONS.fields], col.alias("feed_dt"))
            .sortWithinPartitions("feed_dt", "trans_date"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("feed_dt").parquet(path or _p(root, "fact_transactions")))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("feed_dt").parquet(_p(root, "fact_transactions", f"run={run_id}")))
 
 
-def read_transactions(spark: SparkSession, root: str, max_feed_dt: dt.date | None = None,
-                      path: str | None = None, min_feed_dt: dt.date | None = None) -> DataFrame:
-    """The fact, ignoring partitions newer than the committed watermark
-    (left behind by a failed run).  ``min_feed_dt`` bounds the scan from
-    below; both bounds are partition filters, so only those folders are
-    listed and read."""
+def read_transactions(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
+    """The fact rows that ``runs`` have written.  Only their folders are listed."""
     schema = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType())])
-    df = spark.read.schema(schema).parquet(path or _p(root, "fact_transactions"))
-    if max_feed_dt is not None:
-        df = df.where(F.col("feed_dt") <= date_lit(max_feed_dt))
-    if min_feed_dt is not None:
-        df = df.where(F.col("feed_dt") >= date_lit(min_feed_dt))
-    return df
+    paths = [p for p in (_p(root, "fact_transactions", f"run={r}") for r in dict.fromkeys(runs))
+             if _exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    read = spark.read.schema(schema).option("basePath", _p(root, "fact_transactions"))
+    return read.parquet(*paths).select(*[f.name for f in schema.fields])
 
 
 def refresh_blacklist(rows: DataFrame, root: str, run_id: str) -> None:
@@ -127,16 +122,13 @@ def write_history(history: DataFrame, root: str, name: str, run_id: str) -> None
                     run_id)
 
 
-def _dim_frame(spark: SparkSession, root: str, name: str) -> DataFrame:
+def _dim_frame(spark: SparkSession, root: str, name: str, runs: list[str]) -> DataFrame:
+    """What ``runs`` have written of a dimension.  Only their folders are listed."""
     spec = DIMS[name]
     schema = T.StructType([*spec.dim_schema().fields, T.StructField("run", T.StringType()),
                            T.StructField("state", T.StringType())])
     return (spark.read.schema(schema).option("basePath", _p(root, f"dim_{name}"))
-            .parquet(_p(root, f"dim_{name}")))
-
-
-
-
+            .parquet(*[_p(root, f"dim_{name}", f"run={r}") for r in runs]))
 
 
 def write_full_history(history: DataFrame, root: str, name: str, run_id: str) -> None:
@@ -166,7 +158,6 @@ def history_of(spark: SparkSession, root: str, name: str,
     """History after the last of ``writers``: the newest literal run's whole
     history, plus the closed rows of intended runs after it, plus the open set
     of the last run when that one is intended."""
-    df = _dim_frame(spark, root, name)
     lit = [i for i, (_, m) in enumerate(writers) if m == "literal"]
     conds = []
     later = writers
@@ -179,7 +170,8 @@ def history_of(spark: SparkSession, root: str, name: str,
     keep = conds[0]
     for c in conds[1:]:
         keep = keep | c
-    return df.where(keep).select(*DIMS[name].dim_columns)
+    runs = ([writers[lit[-1]][0]] if lit else []) + [r for r, _ in later]
+    return _dim_frame(spark, root, name, runs).where(keep).select(*DIMS[name].dim_columns)
 
 
 def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str,
@@ -190,14 +182,18 @@ def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str,
         spec = DIMS[name]
         location = _p(root, f"dim_{name}", f"run={run_id}", "state=open")
         # one table per folder and bucket count: the name is derived from both
-        table = f"cardwatch_open_{uuid.uuid5(uuid.NAMESPACE_URL, f'{location}#{buckets}').hex}"
+        table = f"cardwatch_open_{name}_{uuid.uuid5(uuid.NAMESPACE_URL, f'{location}#{buckets}').hex}"
         cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.dim_schema().fields)
         location = location.replace("'", "\\'")
+        # definitions only, and of one run at a time: those of earlier runs go
+        for old in spark.catalog.listTables(pattern=f"cardwatch_open_{name}_*"):
+            if old.name != table:
+                spark.sql(f"DROP TABLE IF EXISTS {old.name}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
                   f"CLUSTERED BY ({spec.key}) SORTED BY ({spec.key}) INTO {buckets} BUCKETS "
                   f"LOCATION '{location}'")
         return spark.table(table).select(*spec.dim_columns)
-    df = _dim_frame(spark, root, name).where(F.col("run") == run_id)
+    df = _dim_frame(spark, root, name, [run_id])
     if mode == "literal":
         df = df.where((F.col("state") == "history")
                       & (F.col("end_dt") == F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")))
@@ -206,24 +202,22 @@ def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str,
     return df.select(*DIMS[name].dim_columns)
 
 
-def committed_watermark(spark: SparkSession, root: str, source: str = "transactions"):
-    """The newest committed run's watermark of one source (a date or None)."""
-    last = last_run_id(spark, root)
-    if last is None:
-        return None
-    row = (read_meta(spark, root, last).where(F.col("source_name") == source)
-           .select("max_update_dt").collect())
-    return row[0][0] if row else None
+def fact_runs(spark: SparkSession, root: str) -> dict[dt.date | None, str]:
+    """The committed run whose fact rows and report rows are current, by file date: the
+    newest of each date, and those that loaded several dates at once (None).  One
+    entry per run: metadata."""
+    log = committed_runs(spark, root).orderBy("run_id").select("run_id", "transactions_dt").collect()
+    return {r.transactions_dt or r.run_id: r.run_id for r in log}
 
 
 def current_transactions(spark: SparkSession, root: str) -> DataFrame:
-    """The fact as committed: partitions a failed run left behind are ignored."""
-    return read_transactions(spark, root, max_feed_dt=committed_watermark(spark, root))
+    """The fact as committed: what a failed run left behind is ignored."""
+    return read_transactions(spark, root, list(fact_runs(spark, root).values()))
 
 
 def current_reports(spark: SparkSession, root: str) -> DataFrame:
-    """The mart as committed: report dates a failed run left behind are ignored."""
-    return read_reports(spark, root, max_report_dt=committed_watermark(spark, root))
+    """The mart as committed: what a failed run left behind is ignored."""
+    return read_reports(spark, root, list(fact_runs(spark, root).values()))
 
 
 def current_history(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -237,18 +231,20 @@ def current_open(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ reports, meta, rejects
-def write_reports(rows: DataFrame, root: str) -> None:
+def write_reports(rows: DataFrame, root: str, run_id: str) -> None:
+    """K4: this run's report rows, in a folder of its own; a rerun replaces it whole."""
     (rows.select(*[f.name for f in REP_FRAUD.fields]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("report_dt", "event_type")
-     .parquet(_p(root, "rep_fraud")))
+     .option("partitionOverwriteMode", "static").partitionBy("report_dt", "event_type")
+     .parquet(_p(root, "rep_fraud", f"run={run_id}")))
 
 
-def read_reports(spark: SparkSession, root: str, max_report_dt: dt.date | None = None) -> DataFrame:
-    path = _p(root, "rep_fraud")
-    df = spark.read.schema(REP_FRAUD).parquet(path)  # partition columns keep their types
-    if max_report_dt is not None:
-        df = df.where(F.col("report_dt") <= date_lit(max_report_dt))
-    return df.select(*[f.name for f in REP_FRAUD.fields])
+def read_reports(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
+    """The report rows that ``runs`` have written.  Only their folders are listed."""
+    paths = [p for p in (_p(root, "rep_fraud", f"run={r}") for r in dict.fromkeys(runs)) if _exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], REP_FRAUD)
+    read = spark.read.schema(REP_FRAUD).option("basePath", _p(root, "rep_fraud"))
+    return read.parquet(*paths).select(*[f.name for f in REP_FRAUD.fields])
 
 
 def write_meta(meta: DataFrame, root: str, run_id: str) -> None:

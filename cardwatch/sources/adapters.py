@@ -76,6 +76,12 @@ def _txt(c: Column) -> Column:
     return c.cast("string")
 
 
+# The file that delivers an event: that of its day, or of the next day for some; the two
+# days before the report day have no file, and their events come with the report day's.
+DELIVERY = """CASE WHEN date_add(CAST(ts AS DATE), IF(event_id % 7 = 3, 1, 0)) BETWEEN DATE'2024-01-13' AND DATE'2024-01-14'
+  THEN DATE'2024-01-15' ELSE date_add(CAST(ts AS DATE), IF(event_id % 7 = 3, 1, 0)) END"""
+
+
 @dataclass
 class TestTables:
     spark: SparkSession
@@ -161,7 +167,8 @@ class TestTables:
             F.col("event_type").alias("oper_type"),
             F.when(F.col("event_type") == "error", F.lit("REJECT"))
             .otherwise(F.lit("SUCCESS")).alias("oper_result"),
-            F.concat(F.lit("T"), _txt(F.col("event_id") % n_terminals)).alias("terminal"))
+            F.concat(F.lit("T"), _txt(F.col("event_id") % n_terminals)).alias("terminal"),
+            F.expr(DELIVERY).alias("feed_dt"))
 
     def blacklist(self) -> DataFrame:
         c = self.table("customer")

@@ -11,22 +11,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.expr import date_lit
-from cardwatch.schemas import (FEED_BLACKLIST_RAW, FEED_DATE_FORMAT, FEED_TERMINALS_RAW,
-                               FEED_TRANSACTIONS_RAW)
+from cardwatch.schemas import FEED_DATE_FORMAT, FEED_TERMINALS_RAW, FEED_TRANSACTIONS_RAW
 
 INTENDED, LITERAL = "intended", "literal"
 
 
-def entry_name(path: Column, root: str) -> Column:
-    """First path component below the feed folder (the file or part folder)."""
-    rel = F.regexp_replace(path, "^.*?" + _re_escape(root.rstrip("/").split(":", 1)[-1]) + "/", "")
-    return F.regexp_extract(rel, r"^([^/]+)", 1)
-
-
 def _re_escape(s: str) -> str:
     out = []
     for ch in s:
@@ -35,31 +27,22 @@ def _re_escape(s: str) -> str:
 
 
 def list_entries(spark: SparkSession, root: str) -> DataFrame:
-    """Names in a feed folder, from a listing only (no file content is read)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root).select("path"))
-    return files.select(entry_name(F.col("path"), root).alias("name")).distinct()
+    """Names in a feed folder: one listing of its top level, so part files below an entry
+    aren't listed and no content is read.  One name per delivered entry: metadata."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [(s.getPath().getName(),) for s in fs.listStatus(path)]
+    return spark.createDataFrame(names, "name string")
 
 
 def parse_entries(names: DataFrame, prefix: str) -> DataFrame:
-    """(name) -> (name, file_dt) for names with the prefix and a valid date."""
+    """(name) -> (name, file_dt) for names with the prefix; a name whose date can't be read
+    fails the job."""
     date_text = F.regexp_extract(F.col("name"), "^" + _re_escape(prefix) + r"([^.]*)", 1)
+    bad = F.raise_error(F.concat(F.lit("feed entry with an unreadable date: "), F.col("name")))
     return (names.where(F.col("name").startswith(prefix))
-            .select("name", F.try_to_date(date_text, FEED_DATE_FORMAT).alias("file_dt"))
-            .where(F.col("file_dt").isNotNull()))
-
-
-def pick_feed(names: DataFrame, prefix: str, watermark: Column | dt.date,
-              mode: str = INTENDED) -> DataFrame:
-    """The one entry to load in this run, or no row when nothing is newer.
-
-    intended: the earliest file date after the watermark.
-    literal:  the first name in text order whose date is after the watermark
-              (ddMMyyyy names sort 01032021 before 28022021)."""
-    wm = watermark if isinstance(watermark, Column) else date_lit(watermark)
-    cand = parse_entries(names, prefix).where(F.col("file_dt") > wm)
-    order = [F.col("file_dt"), F.col("name")] if mode == INTENDED else [F.col("name")]
-    return cand.orderBy(*order).limit(1)
+            .select("name", F.coalesce(F.try_to_date(date_text, FEED_DATE_FORMAT),
+                                       bad.cast("date")).alias("file_dt")))
 
 
 def pick_feeds(names: DataFrame, watermarks: DataFrame, prefixes: dict[str, str],
@@ -77,10 +60,19 @@ def pick_feeds(names: DataFrame, watermarks: DataFrame, prefixes: dict[str, str]
     return best.select("feed", "b.name", "b.file_dt")
 
 
-def _read_text(spark: SparkSession, path: str, schema, sep: str) -> DataFrame:
-    return (spark.read.schema(schema).option("header", "true").option("sep", sep)
-            .option("enforceSchema", "false").option("mode", "FAILFAST")
-            .csv(path))
+def _read_text(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """All columns as text, named by the header; a part file with another header, or a
+    row with more or fewer fields than it, fails the read."""
+    head = spark.read.option("header", "true").option("sep", sep).csv(path).schema
+    return (spark.read.schema(head).option("header", "true").option("sep", sep)
+            .option("enforceSchema", "false").option("mode", "FAILFAST").csv(path))
+
+
+def _by_name(df: DataFrame, names: list[str], path: str) -> DataFrame:
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {df.columns}")
+    return df.select(*[F.col(f"`{n}`").cast("string").alias(n) for n in names])
 
 
 def _is_parquet(path: str, fmt: str | None) -> bool:
@@ -88,9 +80,9 @@ def _is_parquet(path: str, fmt: str | None) -> bool:
 
 
 def read_transactions(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """S4: ``;``-separated text with a header; a header that does not match
-    the expected names fails the read instead of shifting columns."""
-    return _read_text(spark, path, FEED_TRANSACTIONS_RAW, sep)
+    """S4: ``;``-separated text, columns selected by header name in any order; further
+    columns are ignored, a missing one fails the read."""
+    return _by_name(_read_text(spark, path, sep), [f.name for f in FEED_TRANSACTIONS_RAW.fields], path)
 
 
 def read_blacklist(spark: SparkSession, path: str, fmt: str | None = None,
@@ -98,21 +90,19 @@ def read_blacklist(spark: SparkSession, path: str, fmt: str | None = None,
     """S5: two columns taken by position (entry date, passport number)."""
     if _is_parquet(path, fmt):
         df = spark.read.parquet(path)
-        df = df.select(*[F.col(c).cast("string") for c in df.columns[:2]])
     else:
-        df = (spark.read.option("header", "true").option("sep", sep)
-              .schema(FEED_BLACKLIST_RAW).option("enforceSchema", "true").csv(path))
-    return df.toDF("enty_dt", "passport_num")
+        df = _read_text(spark, path, sep)
+    if len(df.columns) < 2:
+        raise ValueError(f"{path}: two columns are needed, the header has {df.columns}")
+    return df.select(*[F.col(f"`{c}`").cast("string") for c in df.columns[:2]]).toDF("enty_dt", "passport_num")
 
 
 def read_terminals(spark: SparkSession, path: str, fmt: str | None = None,
                    sep: str = ";") -> DataFrame:
     """S6: columns selected by header name."""
     names = [f.name for f in FEED_TERMINALS_RAW.fields]
-    if _is_parquet(path, fmt):
-        df = spark.read.parquet(path)
-        return df.select(*[F.col(n).cast("string").alias(n) for n in names])
-    return _read_text(spark, path, FEED_TERMINALS_RAW, sep)
+    df = spark.read.parquet(path) if _is_parquet(path, fmt) else _read_text(spark, path, sep)
+    return _by_name(df, names, path)
 
 
 def write_text_feed(df: DataFrame, path: str, sep: str = ";") -> None:

@@ -10,16 +10,21 @@ from cardwatch.plans.daily import RunResult, Sources, run
 
 
 def run_until_caught_up(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
-                        mode: str = "intended", max_runs: int = 366, **kw) -> list[RunResult]:
-    """Run until no feed has a file newer than its watermark.
+                        mode: str = "intended", **kw) -> list[RunResult]:
+    """Run until no feed has a file newer than its watermark, however many there are.
 
     Successive runs are one second apart, so each run's history is ordered
-    after the previous one; ``max_runs`` only guards against a runaway loop
-    (a year of daily files by default)."""
+    after the previous one.  Every run that picks a file moves that feed's
+    watermark to the file's date, so the loop ends; a run that picks what an
+    earlier one of this loop has picked is an error."""
     out: list[RunResult] = []
-    for i in range(max_runs):
-        r = run(spark, sources, root, run_ts + dt.timedelta(seconds=i), mode, **kw)
+    seen: set[tuple[str, str]] = set()
+    while True:
+        r = run(spark, sources, root, run_ts + dt.timedelta(seconds=len(out)), mode, **kw)
         out.append(r)
         if not r.picked:
-            break
-    return out
+            return out
+        again = seen & {(f, name) for f, (name, _) in r.picked.items()}
+        if again:
+            raise RuntimeError(f"picked again after it was loaded: {sorted(again)}")
+        seen |= {(f, name) for f, (name, _) in r.picked.items()}

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardwatch.plans import daily
 from cardwatch.schemas import STG_ACCOUNTS, STG_CARDS, STG_CLIENTS
@@ -48,7 +49,7 @@ def test_three_daily_runs(spark, tmp_path, feeds_dir):
     root = str(tmp_path / "wh")
     r1 = daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds_dir), root, ts("2021-03-01 06:00:00"))
     assert set(r1.picked) == {"transactions", "blacklist", "terminals"} and r1.reported
-    mart = warehouse.read_reports(spark, root)
+    mart = warehouse.current_reports(spark, root)
     f1, f2 = "Ivanov Ivan I", None
     assert rows(mart, "event_type", "event_dt", "passport", "fio") == sorted([
         ("1", ts("2021-03-01 10:00:00"), "P1", f1), ("1", ts("2021-03-01 10:30:00"), "P1", f1),
@@ -78,10 +79,10 @@ def test_three_daily_runs(spark, tmp_path, feeds_dir):
     meta = {r.source_name: r.max_update_dt for r in warehouse.read_meta(spark, root, runs[-1]).collect()}
     assert meta["transactions"] == d("2021-03-02") and meta["terminals"] == d("2021-03-01")
     assert meta["blacklist"] == d("2021-03-01") and meta["cards"] == d("1900-01-01")
-    fact = warehouse.read_transactions(spark, root)
+    fact = warehouse.current_transactions(spark, root)
     assert fact.count() == 6 and {r.feed_dt for r in fact.collect()} == {d("2021-03-01"), d("2021-03-02")}
     # the day-2 report only holds day-2 events (intended scope), day 1 is untouched
-    assert rows(warehouse.read_reports(spark, root).where("report_dt = '2021-03-02'"),
+    assert rows(warehouse.current_reports(spark, root).where("report_dt = '2021-03-02'"),
                 "event_type", "passport") == [("1", "P1")]
 
 
@@ -120,7 +121,7 @@ def test_catch_up_takes_backlog_in_date_order(spark, tmp_path):
                                ts("2021-03-02 06:00:00"))
     assert [r.picked.get("transactions", (None, None))[1] for r in done] == \
         [d("2021-02-28"), d("2021-03-01"), None]
-    assert warehouse.read_transactions(spark, root).count() == 2
+    assert warehouse.current_transactions(spark, root).count() == 2
 
 
 def test_vacuum_keeps_the_current_state(spark, tmp_path, feeds_dir):
@@ -190,9 +191,8 @@ def test_debris_of_a_run_failing_at_commit_is_invisible(spark, tmp_path, feeds_d
     with pytest.raises(RuntimeError):
         daily.run(spark, daily.Sources(_snapshots(spark, 2), feeds_dir), root, ts("2021-03-02 06:00:00"))
     monkeypatch.undo()
-    # the failed run wrote fact and report partitions for 2021-03-02 ...
-    assert {r.feed_dt for r in warehouse.read_transactions(spark, root).collect()} == \
-        {d("2021-03-01"), d("2021-03-02")}
+    # the failed run wrote fact and report rows for 2021-03-02 ...
+    assert {r.feed_dt for r in warehouse.read_transactions(spark, root, ["20210302T060000"]).collect()} == {d("2021-03-02")}
     # ... which committed readers do not see
     assert {r.feed_dt for r in warehouse.current_transactions(spark, root).collect()} == {d("2021-03-01")}
     assert {r.report_dt for r in warehouse.current_reports(spark, root).collect()} == {d("2021-03-01")}
@@ -230,3 +230,98 @@ def test_vacuum_after_literal_runs_keeps_the_newest_history(spark, tmp_path, fee
     assert any("dim_cards/run=20210301T060000/state=history" in p for p in removed)
     assert not any("run=20210302T060000/state=history" in p for p in removed)
     assert rows(warehouse.current_history(spark, root, "cards")) == before
+
+
+def _feeds(tmp_path, transactions, terminals="T1;POS;X;a1\nT2;ATM;Y;a2\n"):
+    f = tmp_path / "feeds"
+    f.mkdir()
+    for day, text in transactions.items():
+        (f / f"transactions_{day}.txt").write_text(HEADER + text)
+    if terminals is not None:
+        (f / "terminals_01032021.csv").write_text(TERM_HEADER + terminals)
+    return str(f)
+
+
+def test_long_values_are_kept_and_close_nothing(spark, tmp_path):
+    """A surname or a terminal id beyond its old column width is a value like any other."""
+    feeds = _feeds(tmp_path, {"01032021": "1;2021-03-01 10:00:00;1,00;C1;PAY;SUCCESS;T000001\n"})
+    root = str(tmp_path / "wh")
+    daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), root, ts("2021-03-01 06:00:00"))
+    snaps = _snapshots(spark, 1)
+    long = "Petrov" * 5
+    snaps["clients"] = snaps["clients"].selectExpr(
+        "client_id", f"if(client_id = '2', '{long}', last_name) AS last_name", *snaps["clients"].columns[2:])
+    daily.run(spark, daily.Sources(snaps, feeds), root, ts("2021-03-02 06:00:00"))
+    assert warehouse.current_transactions(spark, root).collect()[0].terminal == "T000001"
+    now = {r.client_id: r for r in warehouse.current_open(spark, root, "clients").collect()}
+    assert now["2"].last_name == long and {r.deleted_flg for r in now.values()} == {"N"}
+
+
+def test_rejected_rows_fail_the_run_or_delete_nothing(spark, tmp_path):
+    feeds = _feeds(tmp_path, {"01032021": "1;not a date;1,00;C1;PAY;SUCCESS;T1\n2;2021-03-01 10:00:00;1,00;C1;PAY;SUCCESS;T1\n"})
+    root = str(tmp_path / "wh")
+    with pytest.raises(daily.RejectedRows, match="transactions: 1 rows"):
+        daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), root, ts("2021-03-01 06:00:00"))
+    assert warehouse.committed_run_ids(spark, root) == []
+    r = daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), root, ts("2021-03-01 07:00:00"), allow_rejects=True)
+    assert r.rejects["transactions"] == 1 and warehouse.current_transactions(spark, root).count() == 1
+    snaps = _snapshots(spark, 2)      # C2 is missing, and one row's key can't be read
+    snaps["cards"] = snaps["cards"].unionByName(spark.createDataFrame([(None, "A2", C0, None)], STG_CARDS))
+    with pytest.raises(daily.RejectedRows):
+        daily.run(spark, daily.Sources(snaps, feeds), root, ts("2021-03-02 06:00:00"))
+    daily.run(spark, daily.Sources(snaps, feeds), root, ts("2021-03-02 07:00:00"), allow_rejects=True)
+    assert rows(warehouse.current_open(spark, root, "cards"), "card_num", "deleted_flg") == [("C1", "N"), ("C2", "N")]
+    daily.run(spark, daily.Sources(_snapshots(spark, 2), feeds), root, ts("2021-03-03 06:00:00"))
+    assert rows(warehouse.current_open(spark, root, "cards"), "card_num", "deleted_flg") == [("C1", "N"), ("C2", "Y")]
+
+
+def test_empty_terminals_file_fails_the_run(spark, tmp_path):
+    feeds = _feeds(tmp_path, {}, terminals="")
+    with pytest.raises(daily.EmptySnapshot, match="terminals"):
+        daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), str(tmp_path / "wh"), ts("2021-03-01 06:00:00"))
+
+
+def test_literal_runs_take_successive_files(spark, tmp_path):
+    day = lambda n: f"{n};2021-03-0{n} 10:00:00;1,00;C1;PAY;SUCCESS;T1\n"
+    feeds = _feeds(tmp_path, {"01032021": day(1), "02032021": day(2)})
+    root = str(tmp_path / "wh")
+    picked = []
+    for n in (1, 2, 3):
+        r = daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), root, dt.datetime(2021, 3, n, 6), mode="literal")
+        picked.append({k: v[1] for k, v in r.picked.items()})
+    assert picked == [{"transactions": d("2021-03-01"), "terminals": d("2021-03-01")}, {"transactions": d("2021-03-02")}, {}]
+    meta = {r.source_name: r.max_update_dt for r in warehouse.read_meta(spark, root, "20210301T060000").collect()}
+    assert meta["transactions"] == meta["terminals"] == d("2021-03-01") and meta["cards"] == d("1900-01-01")
+    assert warehouse.current_transactions(spark, root).count() == 2
+
+
+def test_rerun_after_a_crash_replaces_what_the_crashed_run_wrote(spark, tmp_path, monkeypatch):
+    feeds = _feeds(tmp_path, {"01032021": "1;2021-03-01 10:00:00;1,00;C2;PAY;SUCCESS;T1\n"})
+    root, at = str(tmp_path / "wh"), ts("2021-03-02 06:00:00")
+    snaps = _snapshots(spark, 1)      # client 2's passport runs out on 2021-03-01: an R1 row
+
+    def boom(*a, **k):
+        raise RuntimeError("lost the driver just before publishing")
+    monkeypatch.setattr(warehouse, "commit", boom)
+    with pytest.raises(RuntimeError):
+        daily.run(spark, daily.Sources(snaps, feeds), root, at)
+    monkeypatch.undo()
+    fixed = dict(snaps, clients=snaps["clients"].withColumn("passport_valid_to", F.lit(d("2030-01-01"))))
+    daily.run(spark, daily.Sources(fixed, feeds), root, at)
+    assert rows(warehouse.current_reports(spark, root), "event_type") == [("2",)]
+    assert warehouse.current_transactions(spark, root).count() == 1
+
+
+def test_catch_up_reports_late_rows_once_and_leaves_no_backlog(spark, tmp_path):
+    """Days without a file, rows that come with a later file, and more files than runs in a week."""
+    from cardwatch.streaming import run_until_caught_up
+    line = lambda i, day, hour: f"{i};2021-03-{day:02d} {hour:02d}:00:00;1,00;C2;PAY;SUCCESS;T1\n"
+    files = {f"{day:02d}032021": line(day, day, 9) + line(100 + day, day - 1, 23) for day in (2, 3, 4, 7, 8, 9, 10, 11)}
+    root = str(tmp_path / "wh")
+    done = run_until_caught_up(spark, daily.Sources(_snapshots(spark, 1), _feeds(tmp_path, files)), root, ts("2021-03-12 06:00:00"))
+    assert [r.picked["transactions"][1].day for r in done[:-1]] == [2, 3, 4, 7, 8, 9, 10, 11] and not done[-1].picked
+    contract = rows(warehouse.current_reports(spark, root).where("event_type = '2'"), "event_dt")
+    # the account ran out on 2021-02-28: every row is a case, each exactly once
+    want = [(dt.datetime(2021, 3, day, 9),) for day in (2, 3, 4, 7, 8, 9, 10, 11)]
+    want += [(dt.datetime(2021, 3, day - 1, 23),) for day in (2, 3, 4, 7, 8, 9, 10, 11)]
+    assert sorted(contract) == sorted(want)

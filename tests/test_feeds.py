@@ -15,17 +15,24 @@ def _names(spark, *names):
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
+def _pick(spark, names, after, mode="intended"):
+    wm = spark.createDataFrame([("transactions", d(after))], "source_name string, max_update_dt date")
+    return feeds.pick_feeds(names, wm, {"transactions": "transactions_"}, mode)
+
+
 def test_file_order_intended_vs_literal(spark):
     n = _names(spark, "transactions_01032021.txt", "transactions_28022021.txt", "terminals_01012021.xlsx")
-    wm = d("1900-01-01")
-    assert rows(feeds.pick_feed(n, "transactions_", wm), "name") == [("transactions_28022021.txt",)]
-    assert rows(feeds.pick_feed(n, "transactions_", wm, "literal"), "name") == \
-        [("transactions_01032021.txt",)]
+    assert rows(_pick(spark, n, "1900-01-01"), "name") == [("transactions_28022021.txt",)]
+    assert rows(_pick(spark, n, "1900-01-01", "literal"), "name") == [("transactions_01032021.txt",)]
 
 
 def test_no_newer_file_gives_no_pick(spark):
-    n = _names(spark, "transactions_01032021.txt", "transactions_bad.txt")
-    assert feeds.pick_feed(n, "transactions_", d("2021-03-01")).count() == 0
+    assert _pick(spark, _names(spark, "transactions_01032021.txt"), "2021-03-01").count() == 0
+
+
+def test_a_name_with_an_unreadable_date_fails(spark):
+    with pytest.raises(Exception, match="unreadable date"):
+        _pick(spark, _names(spark, "transactions_01032021.txt", "transactions_bad.txt"), "2021-03-01").collect()
 
 
 def test_listing_reads_names_only(spark, tmp_path):
@@ -33,7 +40,6 @@ def test_listing_reads_names_only(spark, tmp_path):
         (tmp_path / name).write_text("x\n")
     got = feeds.list_entries(spark, str(tmp_path))
     assert rows(got) == [("terminals_02032021.csv",), ("transactions_01032021.txt",)]
-    assert "struct<path:string>" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def _write(tmp_path, name, text):
@@ -52,20 +58,32 @@ def test_transactions_text_parsing(spark, tmp_path):
                   + "8;2021-03-01 12:00:00;1,00;C3;PAY;SUCCESS;T12345\n")
     good, bad = staging.stage_transactions(feeds.read_transactions(spark, path))
     g = {r.trans_id: r for r in good.collect()}
-    assert set(g) == {"00042", "7"}                       # leading zeros kept as text
+    assert set(g) == {"00042", "7", "8"}                  # leading zeros kept as text
+    assert g["8"].terminal == "T12345"                      # longer than its old column: kept
     assert str(g["00042"].amt) == "10.50"                   # decimal comma
     assert g["00042"].card_num == "C1"                      # trimmed once in staging
     assert g["7"].terminal is None                          # empty cell is NULL, not 'NaN'
     assert g["00042"].trans_date == dt.datetime(2021, 3, 1, 10, 0)
-    assert rows(bad, "transaction_id" if "transaction_id" in bad.columns else "trans_id",
-                "reason") == [("8", "value longer than its column")]
+    assert bad.count() == 0
+
+
+def test_columns_are_selected_by_header_name(spark, tmp_path):
+    swapped = HEADER.replace("amount;card_num", "card_num;extra;amount")
+    path = _write(tmp_path, "transactions_02032021.txt", swapped + "1;2021-03-01 10:00:00;C1;x;1,00;P;S;T\n")
+    got = feeds.read_transactions(spark, path).collect()[0]
+    assert (got.card_num, got.amount, got.terminal) == ("C1", "1,00", "T")
+    t = _write(tmp_path, "terminals_02032021.csv", "terminal_city;terminal_id;terminal_address;terminal_type\nX;T1;a;POS\n")
+    assert rows(feeds.read_terminals(spark, t)) == [("T1", "POS", "X", "a")]
+    short = _write(tmp_path, "transactions_03032021.txt", HEADER.replace(";amount", ""))
+    with pytest.raises(ValueError, match="no column amount"):
+        feeds.read_transactions(spark, short)
 
 
-def test_wrong_header_order_fails(spark, tmp_path):
-    swapped = HEADER.replace("amount;card_num", "card_num;amount")
-    path = _write(tmp_path, "transactions_02032021.txt", swapped + "1;2021-03-01 10:00:00;C1;1,00;P;S;T\n")
-    with pytest.raises(Exception):
-        feeds.read_transactions(spark, path).collect()
+def test_rows_of_another_width_fail(spark, tmp_path):
+    for name, row in (("a", "2021-02-01;P1;junk"), ("b", "2021-02-01")):
+        path = _write(tmp_path, f"passport_blacklist_{name}.csv", f"date;passport\n{row}\n")
+        with pytest.raises(Exception):
+            feeds.read_blacklist(spark, path).collect()
 
 
 def test_terminals_and_blacklist_feeds(spark, tmp_path):
@@ -100,7 +118,7 @@ def test_malformed_values_are_rejected_not_fatal(spark, tmp_path):
 
 def test_jdbc_snapshot_options_split_on_a_date_column():
     from cardwatch.sources.snapshots import jdbc_options
-    o = jdbc_options("jdbc:postgresql://db/x", "info.cards", {"user": "u"}, partition_column="create_dt",
+    o = jdbc_options("jdbc:postgresql://db/x", "src.cards", {"user": "u"}, partition_column="create_dt",
                      lower_bound="2000-01-01", upper_bound="2030-01-01", num_partitions=64)
     assert o["partitionColumn"] == "create_dt" and o["numPartitions"] == "64" and o["user"] == "u"
     with pytest.raises(ValueError):
@@ -134,5 +152,5 @@ def test_spark_written_feed_folder_is_one_entry(spark, tmp_path):
     (root / "terminals_05032021.csv").write_text("x\n")
     got = rows(feeds.list_entries(spark, str(root)))
     assert got == [("terminals_05032021.csv",), ("transactions_05032021.txt",)]
-    picked = feeds.pick_feed(feeds.list_entries(spark, str(root)), "transactions_", d("2021-03-01"))
+    picked = _pick(spark, feeds.list_entries(spark, str(root)), "2021-03-01")
     assert rows(picked, "name", "file_dt") == [("transactions_05032021.txt", d("2021-03-05"))]

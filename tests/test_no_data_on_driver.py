@@ -16,16 +16,13 @@ ALLOWED = {
     ],
     "sinks/warehouse.py": [
         'orderBy("run_id").collect()',   # commit log: one row per daily run
-        'select("max_update_dt").collect()',  # one watermark row
+        'select("run_id", "transactions_dt").collect()',  # the same
         'alias("m")).collect()[0]',      # one aggregate row
         'select("buckets").collect()',   # one commit row
     ],
     "operators/staging.py": [
         "limit(1).collect()",            # at most one offending key
     ],
-    "operators/sequence.py": [
-        'alias("m")).collect()[0]',      # one aggregate row: the largest group size
-    ],
 }
 
 
@@ -33,6 +30,8 @@ def test_only_metadata_is_collected():
     pattern = re.compile(r"\.collect\(\)|toPandas\(|\.take\(|\.first\(\)|\.head\(")
     for path in ROOT.rglob("*.py"):
         rel = path.relative_to(ROOT).as_posix()
+        if rel.startswith("llm/"):  # has a list of its own
+            continue
         lines = path.read_text().splitlines()
         for i, line in enumerate(lines):
             if not pattern.search(line) or line.strip().startswith("#"):

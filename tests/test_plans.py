@@ -28,9 +28,16 @@ def test_in_subquery_inside_or_is_an_existence_join(spark):
 def test_blacklist_is_checked_per_owner_not_per_transaction(spark):
     p = _plan(catalog.q_report_passport(spark, SF0001))
     assert "ExistenceJoin" not in p and "listed" in p
-    # only small sides are deduplicated by passport (the owners' passports and
-    # the blacklist cut down to them); the transaction rows never are
-    assert len(re.findall(r"Arguments: hashpartitioning\(passport_num", p)) <= 2
+
+
+def test_reports_read_each_dimension_once_and_start_from_no_checkpoint(spark):
+    plans = {k: catalog.queries()[k](spark, SF0001) for k in ("report_passport", "report_contract", "report_city_hop", "report_fraud_all")}
+    assert not any("Scan ExistingRDD" in _plan(p) for p in plans.values())
+    for key in ("report_passport", "report_contract"):
+        p = _plan(plans[key])
+        scans = re.findall(r"^Location: .*/(\w+)\.parquet", p, re.M)
+        # cards, accounts and clients all come from customer (and the blacklist does in R1)
+        assert scans.count("customer") == (4 if key == "report_passport" else 3) and scans.count("events") == 1
 
 
 def test_scd2_merge_shuffles_each_side_once(spark):
@@ -42,34 +49,17 @@ def test_scd2_merge_shuffles_each_side_once(spark):
     assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 2
 
 
-def test_city_hop_successor_is_range_sliced_not_per_card(spark):
-    # force the sliced path (a card larger than the per-task group limit)
-    spark.conf.set("cardwatch.sequence.maxGroupRows", "1")
-    tt = catalog._tt(spark, SF0001)
-    try:
-        df = reports.hop_pairs(tt.transactions(), tt.snapshot("terminals"), REPORT_DT)
-    finally:
-        spark.conf.unset("cardwatch.sequence.maxGroupRows")
-    lineage = df._jdf.queryExecution().optimizedPlan().toString()
-    # the window runs on a checkpoint of range slices (card, time, id), never
-    # on a per-card hash partitioning
-    p = _plan(df)
-    assert "Scan ExistingRDD" in p
-    assert not re.search(r"Arguments: hashpartitioning\(card_num#\d+, \d+\)", p)
-    assert lineage
-
-
-def test_report_day_bound_reaches_the_scan(spark, tmp_path):
+def test_delivery_bound_prunes_the_scan(spark, tmp_path):
     from cardwatch.sinks import warehouse
     tt = catalog._tt(spark, SF0001)
     root = str(tmp_path)
-    warehouse.append_transactions(tt.transactions(), root, feed_dt=REPORT_DT)
-    fact = warehouse.read_transactions(spark, root)
-    scoped = reports.scoped_transactions(fact, REPORT_DT, reports.INTENDED, "passport")
-    p = _plan(scoped)
-    pushed = [ln for ln in p.splitlines() if ln.startswith("PushedFilters")]
-    assert any("EqualTo(oper_result,SUCCESS)" in ln and "GreaterThanOrEqual(trans_date" in ln
-               and "LessThan(trans_date" in ln for ln in pushed)
+    warehouse.append_transactions(tt.transactions(), root, "r1", feed_dt_col=F.col("feed_dt"))
+    warehouse.append_transactions(tt.transactions(), root, "r2", feed_dt_col=F.col("feed_dt"))
+    fact = warehouse.read_transactions(spark, root, ["r1"])
+    p = _plan(reports.scoped_transactions(fact, REPORT_DT, reports.INTENDED, "passport"))
+    assert re.search(r"PartitionFilters: \[.*feed_dt.* = ", p)
+    assert any("EqualTo(oper_result,SUCCESS)" in ln for ln in p.splitlines() if ln.startswith("PushedFilters"))
+    assert "run=r2" not in p   # only the named runs' folders are opened
 
 
 def test_column_pruning_at_scan(spark):
@@ -78,39 +68,3 @@ def test_column_pruning_at_scan(spark):
     schemas = [ln for ln in p.splitlines() if ln.startswith("ReadSchema")]
     assert schemas and all("props" not in ln and "value" not in ln for ln in schemas)
     assert tt
-
-
-def test_owner_lookup_small_key_set_filters_dimensions_by_broadcast(spark):
-    p = _plan(catalog.q_report_contract(spark, SF0001))
-    assert "BroadcastHashJoin LeftSemi" in p
-    assert not re.search(r"Arguments: hashpartitioning\(card_key", p)
-
-
-def test_owner_lookup_large_key_set_falls_back_to_shuffles(spark):
-    import __spark_entry__ as entry
-    from tools.oracle_check import duck, rows_of
-    spark.conf.set("cardwatch.lookup.maxBroadcastKeys", "0")
-    try:
-        con = duck(SF0001)
-        for key in ("report_fraud_all", "report_city_hop"):
-            df = entry.queries()[key](spark, SF0001)
-            assert "LeftSemi" not in _plan(df)
-            got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-            cur = con.execute(entry.oracle_sql()[key])
-            assert got == rows_of([c[0] for c in cur.description], cur.fetchall())
-    finally:
-        spark.conf.unset("cardwatch.lookup.maxBroadcastKeys")
-
-
-def test_daily_report_scan_prunes_fact_partitions(spark, tmp_path):
-    import datetime as dt
-    from cardwatch.sinks import warehouse
-    tt = catalog._tt(spark, SF0001)
-    root = str(tmp_path)
-    warehouse.append_transactions(tt.transactions(), root, feed_dt_col=F.to_date("trans_date"))
-    fact = warehouse.read_transactions(spark, root, max_feed_dt=REPORT_DT,
-                                       min_feed_dt=REPORT_DT - dt.timedelta(days=1))
-    p = _plan(fact.select("trans_id"))
-    assert re.search(r"PartitionFilters: \[.*feed_dt.*>=.*feed_dt.*<=|PartitionFilters: \[.*feed_dt.*<=.*feed_dt.*>=", p)
-    assert {r.feed_dt for r in fact.select("feed_dt").distinct().collect()} == \
-        {REPORT_DT, REPORT_DT - dt.timedelta(days=1)}

@@ -4,6 +4,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import types as T
+
 from cardwatch.plans import reports
 from cardwatch.schemas import (ACCOUNTS, CARDS, CLIENTS, STG_ACCOUNTS, STG_BLACKLIST, STG_CARDS,
                                STG_CLIENTS, STG_TERMINALS, STG_TRANSACTIONS)
@@ -28,8 +30,12 @@ CARDS_ROWS = [(f"C{i}", f"A{i}", C0, None) for i in range(1, 6)]
 TERMINALS_ROWS = [("T1", "POS", "X", "a", D), ("T2", "POS", "Y", "b", D)]
 
 
-def _tx(rows_):
-    return [(str(i), ts(t), None, c, "PAY", r, term) for i, (t, c, r, term) in enumerate(rows_)]
+FACT = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType())])
+
+
+def _tx(rows_, feed_dt=D):
+    """Delivered by the file of D unless a row names another date."""
+    return [(str(i), ts(r[0]), None, r[1], "PAY", r[2], r[3], r[4] if len(r) > 4 else feed_dt) for i, r in enumerate(rows_)]
 
 
 @pytest.fixture(scope="module")
@@ -51,18 +57,18 @@ def base(spark):
 
 
 def _passport(spark, base, tx, mode="intended"):
-    fact = spark.createDataFrame(_tx(tx), STG_TRANSACTIONS)
+    fact = spark.createDataFrame(_tx(tx), FACT)
     return reports.passport_report(fact, base["cards"], base["accounts"], base["clients"],
                                    base["blacklist"], D, mode)
 
 
 def _contract(spark, base, tx, mode="intended"):
-    fact = spark.createDataFrame(_tx(tx), STG_TRANSACTIONS)
+    fact = spark.createDataFrame(_tx(tx), FACT)
     return reports.contract_report(fact, base["cards"], base["accounts"], base["clients"], D, mode)
 
 
 def _hops(spark, base, tx, mode="intended"):
-    fact = spark.createDataFrame(_tx(tx), STG_TRANSACTIONS)
+    fact = spark.createDataFrame(_tx(tx), FACT)
     return reports.city_hop_report(fact, base["terminals"], base["cards_open"],
                                    base["accounts_open"], base["clients_open"], D, mode)
 
@@ -101,10 +107,21 @@ def test_null_patronymic_gives_null_fio_and_keeps_row(spark, base):
     assert rows(r, "passport", "fio") == [("PP4", None)]
 
 
-def test_other_days_are_out_of_scope_in_intended_mode(spark, base):
-    tx = [("2024-01-14 23:59:59", "C2", "SUCCESS", "T1"), ("2024-01-16 00:00:00", "C2", "SUCCESS", "T1")]
-    assert _passport(spark, base, tx).count() == 0
-    assert _passport(spark, base, tx, "literal").count() == 1   # after midnight of D, no upper bound
+def test_rows_are_reported_with_the_file_that_delivers_them(spark, base):
+    other = dt.date(2024, 1, 16)
+    late = [("2024-01-11 23:59:59", "C2", "SUCCESS", "T1"), ("2024-01-15 10:00:00", "C2", "SUCCESS", "T1", other)]
+    assert rows(_passport(spark, base, late), "event_dt") == [(ts("2024-01-11 23:59:59"),)]
+    assert _passport(spark, base, late, "literal").count() == 1   # after midnight of D, no upper bound
+    # a hop counts with its later side's file; the earlier side may have come with any
+    sides = [("2024-01-12 10:00:00", "C5", "SUCCESS", "T1", dt.date(2024, 1, 12)), ("2024-01-12 10:30:00", "C5", "SUCCESS", "T2"),
+             ("2024-01-12 10:50:00", "C5", "SUCCESS", "T1", other)]
+    assert rows(_hops(spark, base, sides), "event_dt") == [(ts("2024-01-12 10:00:00"),)]
+
+
+def test_null_card_is_a_group_of_its_own(spark, base):
+    tx = [("2024-01-15 10:00:00", None, "SUCCESS", "T1"), ("2024-01-15 10:30:00", None, "SUCCESS", "T2")]
+    for mode in ("intended", "literal"):
+        assert rows(_hops(spark, base, tx, mode), "event_dt", "passport") == [(ts("2024-01-15 10:00:00"), None)]
 
 
 @pytest.mark.parametrize("gap,intended,literal", [
@@ -151,6 +168,6 @@ def test_hop_across_hour_boundary_and_midnight(spark, base):
 
 def test_same_timestamp_ties_break_on_trans_id(spark, base):
     tx = [("2024-01-15 10:00:00", "C5", "SUCCESS", "T1"), ("2024-01-15 10:00:00", "C5", "SUCCESS", "T2")]
-    fact = spark.createDataFrame(_tx(tx), STG_TRANSACTIONS)
+    fact = spark.createDataFrame(_tx(tx), FACT)
     p = reports.hop_pairs(fact, base["terminals"], D)
     assert rows(p, "trans_id", "lead_tran") == [("0", "1")]

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cardwatch.operators.sequence import with_next
+from cardwatch.operators.sequence import with_next, with_previous_within_hour
 
 
 def _rows(spark):
@@ -19,7 +19,7 @@ def _rows(spark):
 
 def test_matches_plain_window_and_splits_the_hot_group(spark):
     df = _rows(spark)
-    got = with_next(df, "card", ["ts", "id"], ["id", "term"], partitions=16, max_group_rows=100)
+    got = with_next(df, "card", ["ts", "id"], ["id", "term"], partitions=16)
     assert "_slice" in got._jdf.queryExecution().executedPlan().toString()  # sliced path
     w = Window.partitionBy("card").orderBy("ts", "id")
     ref = df.select("id", F.lead("id").over(w).alias("r_id"), F.lead("term").over(w).alias("r_term"))
@@ -36,16 +36,23 @@ def test_matches_plain_window_and_splits_the_hot_group(spark):
 
 def test_more_slices_than_rows(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "g string, o int, v string")
-    got = {r.v: r.lead_v for r in with_next(df, "g", ["o"], ["v"], partitions=64,
-                                              max_group_rows=1).collect()}
+    got = {r.v: r.lead_v for r in with_next(df, "g", ["o"], ["v"], partitions=64).collect()}
     assert got == {"x": "y", "y": None, "z": None}
 
 
-def test_small_groups_use_one_plain_window(spark):
-    df = _rows(spark)
-    got = with_next(df, "card", ["ts", "id"], ["id"])           # largest group: 3000 rows
+def test_previous_within_the_hour_matches_a_plain_window(spark):
+    """(group, hour) windows with the stitch, against one window per card; NULL is a card."""
+    extra = [(None, dt.datetime(2024, 1, 15, 9, 59), "n1", "T1"), (None, dt.datetime(2024, 1, 15, 10, 5), "n2", "T2"),
+             ("FAR", dt.datetime(2024, 1, 15, 8, 59), "f1", "T1"), ("FAR", dt.datetime(2024, 1, 15, 10, 0), "f2", "T1")]
+    df = _rows(spark).unionByName(spark.createDataFrame(extra, "card string, ts timestamp_ntz, id string, term string"))
+    got = with_previous_within_hour(df, "card", "ts", "id", ["id", "ts"])
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "_slice" not in plan and "rangepartitioning" not in plan
+    assert "hashpartitioning(card" in plan and "_hour" in plan      # a hot card is split by hour
     w = Window.partitionBy("card").orderBy("ts", "id")
-    ref = df.select("id", F.lead("id").over(w).alias("r"))
-    assert got.join(ref, "id").where(~F.col("lead_id").eqNullSafe(F.col("r"))).count() == 0
+    ref = df.select("id", F.lag(F.struct("id", "ts")).over(w).alias("r"))
+    near = F.col("r.ts") >= F.date_trunc("hour", "ts") - F.expr("INTERVAL 1 HOUR")
+    j = got.join(ref, "id")
+    assert j.count() == df.count()
+    assert j.where(~F.col("prev_id").eqNullSafe(F.when(near, F.col("r.id")))).count() == 0
+    by = {r.id: r.prev_id for r in got.collect()}
+    assert by["n2"] == "n1" and by["f2"] is None and by["t2"] == "t1" and by["t1"] is None
