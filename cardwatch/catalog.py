@@ -34,6 +34,11 @@ def _tt(spark, sf) -> adapters.TestTables:
     return adapters.load(spark, sf)
 
 
+def _all(spark, sf) -> adapters.TestTables:
+    """The tables for queries that need no deletions: snapshots of every key."""
+    return adapters.load(spark, sf, whole=True)
+
+
 def _clock() -> scd2.Clock:
     return scd2.Clock(RUN_TS, FEED_DT)
 
@@ -114,7 +119,7 @@ def q_feed_blacklist(spark, sf):
 
 
 def q_feed_terminals(spark, sf):
-    t = _tt(spark, sf).snapshot("terminals").drop("update_dt")
+    t = _all(spark, sf).snapshot("terminals").drop("update_dt")
     return feeds.read_terminals(spark, _write_feed(spark, t, FEED_PREFIX_TERMINALS, ".csv"))
 
 
@@ -171,7 +176,7 @@ def q_report_append_mart(spark, sf):
 
 def q_stage_wide_values(spark, sf):
     """S3 with names and phones beyond the original column widths: every row stays."""
-    wide = _tt(spark, sf).snapshot("clients").withColumns({
+    wide = _all(spark, sf).snapshot("clients").withColumns({
         "last_name": F.concat("last_name", F.repeat(F.lit("x"), 40)), "phone": F.concat("phone", F.lit(" extension 12345"))})
     return staging.stage_snapshot("clients", wide)[0]
 
@@ -202,27 +207,27 @@ def _report_inputs(tt):
 
 
 def q_report_client_info(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.client_info(staged(tt, "accounts"), staged(tt, "clients"))
 
 
 def q_report_trans_info(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.trans_info(tt.transactions(), staged(tt, "cards"), REPORT_DT)
 
 
 def q_report_passport(spark, sf, mode=reports.INTENDED):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.passport_report(**_report_inputs(tt), blacklist=tt.blacklist(),
                                    report_dt=REPORT_DT, mode=mode)
 
 
 def q_report_contract(spark, sf, mode=reports.INTENDED):
-    return reports.contract_report(**_report_inputs(_tt(spark, sf)), report_dt=REPORT_DT, mode=mode)
+    return reports.contract_report(**_report_inputs(_all(spark, sf)), report_dt=REPORT_DT, mode=mode)
 
 
 def q_report_hop_pairs(spark, sf, mode=reports.INTENDED):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.hop_pairs(tt.transactions(), tt.snapshot("terminals"), REPORT_DT, mode)
 
 
@@ -245,19 +250,19 @@ def q_report_fraud_all(spark, sf, mode=reports.INTENDED):
 
 # ------------------------------------------------------------------ relational primitives
 def q_join_inner(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     a, c = staged(tt, "accounts"), staged(tt, "clients")
     return a.join(c, a.client == c.client_id, "inner").select("account_num", "client_id", "passport_num")
 
 
 def q_join_trimmed_key(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.trans_info(tt.transactions(), staged(tt, "cards"), REPORT_DT,
                               reports.LITERAL, "contract")
 
 
 def q_join_left(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     t = tt.transactions().select("trans_id", "terminal")
     term = tt.snapshot("terminals").select("terminal_id", "terminal_city")
     return t.join(term, t.terminal == term.terminal_id, "left").select("trans_id", "terminal",
@@ -281,7 +286,7 @@ def q_join_semi(spark, sf):
 
 
 def q_join_existence(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     c = staged(tt, "clients")
     bad = (F.col("passport_num").isin(tt.blacklist().select("passport_num"))
            | (F.col("passport_valid_to") < date_lit(REPORT_DT)))
@@ -327,7 +332,7 @@ def q_agg_latest_event(spark, sf):
 
 
 def q_agg_max_update(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return watermark.snapshot_maxima({n: staged(tt, n) for n in ("cards", "accounts", "clients")})
 
 
@@ -352,7 +357,7 @@ def q_window_lead(spark, sf):
 
 
 def q_report_hop_base(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     return reports.hop_base(tt.transactions(), tt.snapshot("terminals"))
 
 
@@ -380,9 +385,9 @@ def _scd2_literal_query(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
-        "snapshot_cards": lambda s, sf: staged(_tt(s, sf), "cards"),
-        "snapshot_accounts": lambda s, sf: staged(_tt(s, sf), "accounts"),
-        "snapshot_clients": lambda s, sf: staged(_tt(s, sf), "clients"),
+        "snapshot_cards": lambda s, sf: staged(_all(s, sf), "cards"),
+        "snapshot_accounts": lambda s, sf: staged(_all(s, sf), "accounts"),
+        "snapshot_clients": lambda s, sf: staged(_all(s, sf), "clients"),
         "feed_transactions": q_feed_transactions,
         "feed_blacklist": q_feed_blacklist,
         "feed_terminals": q_feed_terminals,
@@ -392,10 +397,10 @@ def queries() -> dict[str, Query]:
         "stage_transactions": q_stage_transactions,
         "stage_terminals": q_stage_terminals,
         "stage_blacklist": q_stage_blacklist,
-        "keys_cards": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "cards"), "cards"),
-        "keys_accounts": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "accounts"), "accounts"),
-        "keys_clients": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "clients"), "clients"),
-        "keys_terminals": lambda s, sf: staging.key_snapshot(staged(_tt(s, sf), "terminals"), "terminals"),
+        "keys_cards": lambda s, sf: staging.key_snapshot(staged(_all(s, sf), "cards"), "cards"),
+        "keys_accounts": lambda s, sf: staging.key_snapshot(staged(_all(s, sf), "accounts"), "accounts"),
+        "keys_clients": lambda s, sf: staging.key_snapshot(staged(_all(s, sf), "clients"), "clients"),
+        "keys_terminals": lambda s, sf: staging.key_snapshot(staged(_all(s, sf), "terminals"), "terminals"),
         "stage_wide_values": q_stage_wide_values,
         "fact_transactions_append": q_fact_transactions_append,
         "fact_append_existing": q_fact_append_existing,

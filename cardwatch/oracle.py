@@ -412,6 +412,14 @@ h2 AS (SELECT terminal_id, {att}, start_dt,
         "SELECT * FROM h4 UNION ALL SELECT * FROM ins4"
 
 
+#: Keys whose queries read snapshots of every key (the others need some keys gone).
+WHOLE = {"snapshot_cards", "snapshot_accounts", "snapshot_clients", "feed_terminals", "stage_terminals", "stage_wide_values",
+         "keys_cards", "keys_accounts", "keys_clients", "keys_terminals", "report_client_info", "report_trans_info",
+         "report_passport", "report_passport_literal", "report_contract", "report_contract_literal", "report_hop_pairs",
+         "report_hop_pairs_literal", "report_hop_base", "report_append_mart", "join_inner", "join_trimmed_key", "join_left",
+         "join_existence", "agg_max_update", "sort_report"}
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "snapshot_cards": _with() + "SELECT * FROM stg_cards",
@@ -512,4 +520,4 @@ FROM meta_before WHERE source_name = 'clients'""",
         "report_append_mart": report_contract(),
         "sort_report": report_passport() + "\nORDER BY fio",
     })
-    return q
+    return {k: v.replace("WHERE k % 17 <> 0", "") if k in WHOLE else v for k, v in q.items()}

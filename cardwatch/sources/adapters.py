@@ -86,6 +86,7 @@ DELIVERY = """CASE WHEN date_add(CAST(ts AS DATE), IF(event_id % 7 = 3, 1, 0)) B
 class TestTables:
     spark: SparkSession
     sf_dir: str
+    whole: bool = False  # today's snapshots hold every key; else some are gone, for the deletions
     _tables: dict = field(default_factory=dict, repr=False)
     _derived: dict = field(default_factory=dict, repr=False)
 
@@ -121,7 +122,8 @@ class TestTables:
         else:
             dates = [f"TIMESTAMP_NTZ'{CREATE_DT}' AS create_dt",
                      f"CASE WHEN k % 5 = 0 THEN TIMESTAMP_NTZ'{UPDATE_DT}' END AS update_dt"]
-        return self._base(dim).where("k % 17 <> 0").selectExpr(*cols, *dates)
+        rows = self._base(dim) if self.whole else self._base(dim).where("k % 17 <> 0")
+        return rows.selectExpr(*cols, *dates)
 
     # ---- logical inputs ----
     def snapshot(self, dim: str) -> DataFrame:
@@ -177,5 +179,5 @@ class TestTables:
                         F.concat(F.lit("PP"), _txt(F.col("c_custkey"))).alias("passport_num")))
 
 
-def load(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+def load(spark: SparkSession, sf_dir: str, whole: bool = False) -> TestTables:
+    return TestTables(spark, sf_dir, whole)
