@@ -47,7 +47,7 @@ SEQUENCE = 2048
 END_ID = 1
 MAX_QUEUES = 256
 #: Chunks between white space, and pieces of them, that a task remembers before it starts anew.
-_REMEMBERED = 300_000
+_REMEMBERED = 600_000
 
 
 def tokenizer_path() -> str:
@@ -86,17 +86,20 @@ class TokenIds:
         known_rules = [x.get("pattern", {}).get("Regex") for x in split.get("pretokenizers", [])][:1] == [_RULES]
         self.kind = kind = np.dtype("<u2" if whole.get_vocab_size() <= 1 << 16 else "<u4")
         model = whole.model
+        written = [i.to_bytes(kind.itemsize, "little") for i in range(whole.get_vocab_size())]
 
         class Pieces(dict):
             def __missing__(self, piece):
-                ids = self[piece] = np.array([t.id for t in model.tokenize(piece.translate(letters))], kind).tobytes()
+                letters_of = piece if piece.isascii() else piece.translate(letters)
+                ids = self[piece] = b"".join([written[t.id] for t in model.tokenize(letters_of)])
                 return ids
 
         pieces = Pieces()
 
         class Chunks(dict):
             def __missing__(self, chunk):
-                if known_rules and "<|" not in chunk and _PLAIN.fullmatch(chunk):
+                plain = chunk.isascii() and chunk.isprintable() or _PLAIN.fullmatch(chunk)
+                if known_rules and plain and "<|" not in chunk:
                     ids = b"".join(map(pieces.__getitem__, _PIECE.findall(chunk.lower())))
                 else:
                     ids = np.array(whole.encode(chunk, add_special_tokens=False).ids, kind).tobytes()
@@ -258,9 +261,9 @@ def pieces_of(start: int, n: int, queue: int, mixture: Mixture, window: int) ->
 
 
 def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence: int = SEQUENCE, path: str | None = None,
-         id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+         id_col: str = "doc_id", text: str = "text", source: str = "source", with_ids: bool = True) -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``, ``source`` and
-    ``ids`` (array<int>) of each piece.  ``targets``: share of each source (default: its share of all
+    ``ids`` (array<int>; left out without ``with_ids``) of each piece.  ``targets``: share of each source (default: its share of all
     tokens, so that all queues end together)."""
     spark = docs.sparkSession
     path = path or tokenizer_path()
@@ -283,8 +286,7 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixture, guess = Mixture(totals, shares, sequence), {}
         for b in slices(batches, "ids"):
-            take, cols = [], [[] for _ in range(7)]
-            lists = []
+            take, cols, lists = [], [[] for _ in range(6)], []
             for r, (s, at, n, wide, raw) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4, 5)))):
                 queue = number.get(s, shared_queue)
                 ids = np.frombuffer(raw, f"<u{wide}").astype("<u4")
@@ -294,17 +296,20 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
                 for begin, length, window, offset in pieces_of(at, n, queue, mixture, first):
                     piece = ids[begin:begin + length]
                     take.append(r)
-                    lists.append(piece)
+                    if with_ids:
+                        lists.append(piece)
                     for c, v in zip(cols, (begin, length, zlib.crc32(piece.tobytes()), n, window, offset)):
                         c.append(v)
                     guess[queue] = (window, at)
             index = pa.array(take, pa.int64())
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            flat = np.concatenate(lists).astype(np.int32) if lists else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(index), b.column(1).take(index), *(pa.array(c, pa.int64()) for c in cols[:6]),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+            arrays = [b.column(0).take(index), b.column(1).take(index), *(pa.array(c, pa.int64()) for c in cols)]
+            names = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            if with_ids:
+                offsets = np.concatenate([[0], np.cumsum(cols[1])]).astype(np.int32)
+                flat = np.concatenate(lists).astype(np.int32) if lists else np.zeros(0, np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return rows.mapInArrow(run, f"doc_id {id_type}, source string, start long, length long, ids_crc32 long, doc_tokens long, "
-                                "sequence_id long, offset long, ids array<int>")
+                                "sequence_id long, offset long" + (", ids array<int>" if with_ids else ""))

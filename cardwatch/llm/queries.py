@@ -47,7 +47,7 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(_table(spark, sf, "documents")).drop("ids")
+    return packing.pack(_table(spark, sf, "documents"), with_ids=False)
 
 
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:

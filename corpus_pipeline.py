@@ -30,7 +30,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs).drop("ids")
+    return packing.pack(docs, with_ids=False)
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", dedup_lines), ("simhash", near_duplicates),

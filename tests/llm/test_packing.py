@@ -61,6 +61,7 @@ def test_targets_and_dry_queues(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
     got = packing.pack(docs, targets={"a": 3.0, "b": 1.0}, sequence=64).collect()
     by_window, _ = _whole(got, [(d, t) for d, _, t in rows], 64)
+    assert all(brute.crc(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in got)
     first = collections.Counter()
     for p in by_window[0]:
         first[p["source"]] += p["length"]
