@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
-from .license_scan import ascii_lower
 
 # The rules, and the vocabulary.
 RULES = (("com", "/", "allow"),
@@ -35,6 +34,7 @@ STRICT = ("porn", "porno", "xxx", "xvideos", "hentai", "casino", "viagra", "cial
 SOFT = ("adult", "sex", "bet", "bets", "betting", "win", "free", "cheap", "pills", "pharmacy", "poker", "slots", "ads",
         "track", "spam", "farm", "click", "bonus", "loan", "loans", "nude", "dating", "crack", "keygen", "torrent")
 MIN_SOFT = 2
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -44,7 +44,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     rest = F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(F.lit(""))
     host = F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1)
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    return ascii_lower(host), path
+    return F.translate(host, _UPPER, _UPPER.lower()), path
 
 
 def winning_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> Column:
@@ -74,7 +74,7 @@ def term_counts(urls: list[str | None], strict: Sequence[str], soft: Sequence[st
 
 
 _WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
-_LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+_LOWER = str.maketrans(_UPPER, _UPPER.lower())
 
 
 def _automaton(strict: Sequence[str], soft: Sequence[str]):

@@ -76,7 +76,7 @@ def test_url_edges(spark):
     urls = [None, "", "http://", "no scheme/porn", "https://a.b://c/d", "HTTP://WWW.Example.COM/en/x?q", "http://example.com/en/", "http://x.example.com/en",
             "http://com/", "http://com", "http://a.net/es/x", "http://a.net/fr", "http://a.org/casino", "http://a.org/casinos", "http://a.org/x-casino-y",
             "http://a.org/free/cheap", "http://a.org/free-free", "http://a.org/free", "http://anet/es/", "http://a.net:80/es/", "http://net/fr/#x",
-            "http://a.org#http://b.com/", "http://a.org/ü\nporn", "http://adult-x.net/", "x" * 100000 + "://a.com/"]
+            "http://a.org#http://b.com/", "http://a.org/ü\nporn", "http://adult-x.net/", "http://M\u00dcNCHEN.\u03a3X.Example.com/en/", "x" * 100000 + "://a.com/"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(3, urls[3]), (None, None)], "page_id long, url string")
     got = _rows(url_filter.judge(df.withColumn("host", F.lit(1)).withColumn("n_soft", F.lit(1))).drop("n_strict", "n_soft"))
     _same(got, _duck("op7_url_filter", pages=df.toArrow()))
@@ -85,3 +85,4 @@ def test_url_edges(spark):
     assert by[5]["rule"] == "www.example.com/en/" and by[5]["verdict"] == "allow"
     assert by[6]["verdict"] == "block" and by[12]["verdict"] == "block" and by[13]["verdict"] == "allow"
     assert by[15]["verdict"] == "block" and by[16]["verdict"] == "allow"
+    assert by[24]["host"] == "m\u00dcnchen.\u03a3x.example.com" and by[24]["rule"] == "example.com/en/"  # A-Z alone
