@@ -28,8 +28,12 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from io import StringIO
+from itertools import accumulate, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,46 +77,58 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _mapped(line: str, at: int, pattern: re.Pattern, decode) -> tuple[str, list[tuple[int, int]]] | None:
+class Spans:
+    """The span of each character of a layer in the text that it was decoded from, 16 bytes a character."""
+
+    def __init__(self, start: np.ndarray, end: np.ndarray):
+        self.start, self.end = start, end
+
+    def __getitem__(self, part: tuple[int, int]) -> tuple[int, int]:
+        return int(self.start[part[0]]), int(self.end[part[1] - 1])
+
+    def after(self, inner: Spans) -> Spans:
+        """Spans of a layer whose characters have the spans ``inner`` in this one."""
+        return Spans(self.start[inner.start], self.end[inner.end - 1])
+
+
+def _mapped(line: str, at: int, pattern: re.Pattern, decode) -> tuple[str, Spans] | None:
     """``line`` with what ``pattern`` finds decoded, and each character's span."""
-    text, spans, last, changed = [], [], 0, False
+    text, starts, ends, last = StringIO(), array("q"), array("q"), 0
+    undecoded = np.ones(len(line), bool)
     for m in pattern.finditer(line):
         piece = decode(m)
         if piece is None:
             continue
-        changed = True
-        text.append(line[last:m.start()])
-        spans += [(at + i, at + i + 1) for i in range(last, m.start())]
-        for char, a, b in piece:
-            text.append(char)
-            spans.append((at + m.start() + a, at + m.start() + b))
+        chars, bounds = piece
+        text.write(line[last:m.start()])
+        text.write(chars)
+        for a, b in pairwise(bounds):
+            starts.append(m.start() + a)
+            ends.append(m.start() + b)
         last = m.end()
-    if not changed:
+        undecoded[m.start():last] = False
+    if not starts:
         return None
-    text.append(line[last:])
-    spans += [(at + i, at + i + 1) for i in range(last, len(line))]
-    return "".join(text), spans
+    text.write(line[last:])
+    own = np.flatnonzero(undecoded)  # stand for themselves; both begin and end in their order
+    return text.getvalue(), Spans(np.sort(np.r_[own, starts]) + at, np.sort(np.r_[own + 1, ends]) + at)
 
 
-def _url_piece(m: re.Match) -> list[tuple[str, int, int]] | None:
+def _url_piece(m: re.Match) -> tuple[str, list[int]] | None:
+    """What an escape stands for, and where its characters begin in it (with the end)."""
     raw = bytes.fromhex(m[0].replace("%", ""))
     try:
         chars = raw.decode()
     except UnicodeDecodeError:
         return None
-    out, at = [], 0
-    for c in chars:
-        n = 3 * len(c.encode())
-        out.append((c, at, at + n))
-        at += n
-    return out
+    return chars, [0, *accumulate(3 * len(c.encode()) for c in chars)]
 
 
-def _unicode_piece(m: re.Match) -> list[tuple[str, int, int]] | None:
+def _unicode_piece(m: re.Match) -> tuple[str, list[int]] | None:
     code = int(next(g for g in m.groups()[:4] if g), 16) if m[5] is None else int(m[5])
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return None
-    return [(chr(code), 0, len(m[0]))]
+    return chr(code), [0, len(m[0])]
 
 
 def _unpack(raw: bytes) -> tuple[str, bytes]:
@@ -135,7 +151,7 @@ def _unpack(raw: bytes) -> tuple[str, bytes]:
     return "base64", raw
 
 
-def _layers(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]] | tuple[int, int]]]:
+def _layers(text: str) -> Iterator[tuple[str, str, Spans | tuple[int, int]]]:
     """(how, decoded text, spans in ``text``): a span for each character, or one for all."""
     for how, pattern, decode, sign in (("url", _URL, _url_piece, "%"), ("unicode", _UNICODE, _unicode_piece, ("\\u", "\\x", "&#"))):
         if not any(s in text for s in ([sign] if isinstance(sign, str) else sign)):
@@ -174,16 +190,16 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = {(k, a, b): k in BASE_KINDS for k, a, b in own}
     plain = set(found)
     seen = {hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()}
-    work = [(how, layer, spans) for how, layer, spans in _layers(text)]
+    work = [x for x in _layers(text) if x[1]]
     while work:
         how, layer, spans = work.pop()
-        key = hashlib.sha1(f"{spans if isinstance(spans, tuple) else spans[:1]}\0{layer}".encode("utf-8", "surrogatepass")).digest()
+        key = hashlib.sha1(f"{spans if isinstance(spans, tuple) else spans[0, 1]}\0{layer}".encode("utf-8", "surrogatepass")).digest()
         if key in seen:
             continue
         seen.add(key)
 
         def back(a: int, b: int, spans=spans) -> tuple[int, int]:
-            return spans if isinstance(spans, tuple) else (spans[a][0], spans[b - 1][1])
+            return spans if isinstance(spans, tuple) else spans[a, b]
 
         for kind, a, b in find(layer):
             place = back(a, b)
@@ -192,7 +208,10 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:
         for inner_how, inner, inner_spans in _layers(layer):
             if not inner:
                 continue
-            mapped = back(*inner_spans) if isinstance(inner_spans, tuple) else [back(a, b) for a, b in inner_spans]
+            if isinstance(spans, tuple):
+                mapped = spans
+            else:
+                mapped = spans[inner_spans] if isinstance(inner_spans, tuple) else spans.after(inner_spans)
             work.append((f"{how}-{inner_how}", inner, mapped))
     return sorted(((k, a, b, base) for (k, a, b), base in found.items()),
                   key=lambda x: (x[1], order.get(x[0], len(order)), x[0], x[2]))

@@ -48,6 +48,14 @@ def test_no_doubles_and_an_end():
     assert _kinds(loop) == []
 
 
+def test_spans_of_one_long_line_with_many_escapes():
+    head = "x%20y &#65; " * 20_000
+    text = head + "é%C3%A9 " + quote(SECRET, safe="") + "%2520"
+    a = len(head) + len("é%C3%A9 ")
+    assert ("url-assign", a, a + len(quote(SECRET, safe="")) - len("%22")) in _kinds(text)
+    assert ("unicode-url-assign", a, a + len(quote(SECRET, safe="")) - len("%22")) in _kinds(text)
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, SECRET), (3, SECRET), (None, SECRET), (4, "w " * 100000 + SECRET)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
