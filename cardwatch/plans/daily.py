@@ -70,10 +70,14 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame, DataFrame]:
     """K1: write the staged rows with their reject reason in one pass over the
     source; read good rows and rejects back from that copy."""
-    path = f"{root}/stg_{name}/run={run_id}"
-    st.tagged.write.mode("overwrite").parquet(path)
-    back = spark.read.parquet(path)
-    return (back.where(F.col("reason").isNull()).select(*st.columns),
+    st.tagged.write.mode("overwrite").parquet(f"{root}/stg_{name}/run={run_id}")
+    return _staged_by(spark, root, run_id, name, st.columns)
+
+
+def _staged_by(spark, root, run_id, name, columns) -> tuple[DataFrame, DataFrame]:
+    """Good rows and rejects of a source as that run staged them."""
+    back = spark.read.parquet(f"{root}/stg_{name}/run={run_id}")
+    return (back.where(F.col("reason").isNull()).select(*columns),
             back.where(F.col("reason").isNotNull()))
 
 
@@ -112,7 +116,8 @@ def _one_per_key(open_rows: DataFrame, name: str) -> DataFrame:
 
 def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         mode: str = "intended", allow_empty_snapshots: bool = False,
-        open_buckets: int = 0, allow_rejects: bool = False) -> RunResult:
+        open_buckets: int = 0, allow_rejects: bool = False,
+        snapshots_of: RunResult | None = None) -> RunResult:
     """One daily run, published as a whole (see the module docstring).
 
     A row with a missing key or an unparsable value fails the run.  With
@@ -121,19 +126,24 @@ def run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     one).  An empty snapshot or terminals file fails the run unless
     ``allow_empty_snapshots``.
 
+    ``snapshots_of`` names the committed run whose staged snapshots are taken
+    again, so that no source is extracted twice.  Merging the same snapshot once
+    more changes nothing, so an intended run leaves those dimensions as that run
+    wrote them (a literal one replays its statements over them).
+
     ``open_buckets`` > 0 writes the dimensions bucketed by key; set it to
     ``spark.sql.shuffle.partitions`` so the next run's merges read the open
     sets without shuffling them."""
     try:
         return _run(spark, sources, root, run_ts, mode, allow_empty_snapshots, open_buckets,
-                    allow_rejects)
+                    allow_rejects, snapshots_of)
     finally:
         spark.sparkContext.setJobDescription(None)
 
 
 def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
          mode: str, allow_empty_snapshots: bool, open_buckets: int,
-         allow_rejects: bool) -> RunResult:
+         allow_rejects: bool, snapshots_of: RunResult | None) -> RunResult:
     run_ts = _seconds(run_ts)
     run_id = warehouse.run_id_for(run_ts)
     res = RunResult(run_id, run_ts)
@@ -142,6 +152,9 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     prev = prev[0].asDict() if prev else None
     if prev and prev["run_id"] >= run_id:
         raise ValueError(f"run {run_id} is not after the last committed run {prev['run_id']}")
+    if snapshots_of and mode != "literal" and any(
+            (prev or {}).get(f"{n}_run") != snapshots_of.run_id for n in SNAPSHOT_DIMS):
+        raise ValueError(f"the dimensions are no longer as run {snapshots_of.run_id} wrote them")
     meta = warehouse.read_meta(spark, root, prev["run_id"]) if prev else watermark.seed(spark)
 
     # ---- which feed entries to load (one per feed, metadata only)
@@ -155,6 +168,9 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
     def stage(name: str):
         if name in SNAPSHOT_DIMS:
             st = staging.stage_snapshot(name, sources.snapshots[name])
+            if snapshots_of:  # nothing is extracted: the plan alone tells the columns
+                return (_staged_by(spark, root, snapshots_of.run_id, name, st.columns)[0],
+                        snapshots_of.rejects[name])
         elif name == "transactions":
             st = staging.stage_transactions(feeds.read_transactions(spark, path_of[name]))
         elif name == "blacklist":
@@ -229,7 +245,8 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
 
     # a missing feed is not an empty snapshot: that dimension stays as it is;
     # the merges, the fact loads and the watermarks write disjoint paths
-    steps = [n for n in DIMS if n in staged] + ["facts"]
+    unchanged = SNAPSHOT_DIMS if snapshots_of and mode != "literal" else ()
+    steps = [n for n in DIMS if n in staged and n not in unchanged] + ["facts"]
     def step(n: str):
         if n == "facts":
             return _described(spark, run_id, "facts and watermarks", load_facts_and_meta)()

@@ -325,3 +325,31 @@ def test_catch_up_reports_late_rows_once_and_leaves_no_backlog(spark, tmp_path):
     want = [(dt.datetime(2021, 3, day, 9),) for day in (2, 3, 4, 7, 8, 9, 10, 11)]
     want += [(dt.datetime(2021, 3, day - 1, 23),) for day in (2, 3, 4, 7, 8, 9, 10, 11)]
     assert sorted(contract) == sorted(want)
+
+
+@pytest.mark.parametrize("mode", ["intended", "literal"])
+def test_catch_up_extracts_and_merges_the_snapshots_once(spark, tmp_path, mode):
+    from cardwatch.streaming import run_until_caught_up
+    line = lambda day: f"{day};2021-03-{day:02d} 09:00:00;1,00;C2;PAY;SUCCESS;T1\n"
+    feeds = _feeds(tmp_path, {f"{day:02d}032021": line(day) for day in (1, 2)})
+    at, once, each = ts("2021-03-12 06:00:00"), str(tmp_path / "once"), str(tmp_path / "each")
+    done = run_until_caught_up(spark, daily.Sources(_snapshots(spark, 1), feeds), once, at, mode)
+    for n in range(len(done)):  # the same runs, each with an extract and merges of its own
+        daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds), each, at + dt.timedelta(seconds=n), mode)
+    assert len(done) == 3
+    assert [p.name for p in sorted((tmp_path / "once" / "stg_clients").iterdir())] == [f"run={done[0].run_id}"]
+    writers = {p.name for p in (tmp_path / "once" / "dim_clients").iterdir()}
+    assert len(writers) == (1 if mode == "intended" else 3)
+    for name in ("cards", "accounts", "clients", "terminals"):
+        got, want = (warehouse.current_history(spark, r, name) for r in (once, each))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+    for read in (warehouse.current_reports, warehouse.current_transactions):
+        assert sorted(map(str, read(spark, once).collect())) == sorted(map(str, read(spark, each).collect()))
+
+
+def test_staged_snapshots_are_not_taken_up_after_another_merge(spark, tmp_path, feeds_dir):
+    root = str(tmp_path / "wh")
+    first = daily.run(spark, daily.Sources(_snapshots(spark, 1), feeds_dir), root, ts("2021-03-01 06:00:00"))
+    daily.run(spark, daily.Sources(_snapshots(spark, 2), feeds_dir), root, ts("2021-03-02 06:00:00"))
+    with pytest.raises(ValueError, match="no longer"):
+        daily.run(spark, daily.Sources(_snapshots(spark, 2), feeds_dir), root, ts("2021-03-03 06:00:00"), snapshots_of=first)
