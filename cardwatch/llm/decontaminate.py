@@ -13,7 +13,12 @@ less its place in the item).  An alignment counts if at least ``MIN_WINDOWS`` wi
 match (all, if the item has fewer) and its slots are consistent: each value of the
 item always stands for one and the same value of the document, and no two for the
 same.  So a question with other numbers or names is found, and a chance run of
-placeholders is not; windows with fewer than ``MIN_LITERALS`` plain words are not used.
+placeholders is not.  A window with fewer than ``MIN_LITERALS`` plain words says too
+little as a template and is none.  Every window with slots also has the hash of its own
+words, which meets those words alone, whatever their case and the punctuation around
+them: so copies are found in which sentences begin elsewhere or all is lower case, and
+items that are mostly numbers and names.  ``MIN_WINDOWS`` windows of either sort, or of
+templates alone, make a match.
 
 An item of fewer words than a window is one shorter window and must match whole; empty
 items match nothing.  Null texts count as empty.  Repeated rows of documents give a
@@ -89,8 +94,8 @@ def _cores(t: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Canonical:
-    """Canonical words of a batch of texts: ``h`` (hash), ``kind`` (0 plain, 1 number, 2 unit, 3 name) and ``row`` of
-    each word that has more than punctuation."""
+    """Canonical words of a batch of texts: ``h`` (hash), ``own`` (hash of the word itself), ``kind`` (0 plain, 1 number,
+    2 unit, 3 name) and ``row`` of each word that has more than punctuation."""
 
     def __init__(self, texts: pa.Array):
         texts = pc.fill_null(texts.cast(pa.string()), "")
@@ -119,7 +124,8 @@ class Canonical:
             kind[maybe[same & (end[maybe] > own)]] = 3
         self._at = np.flatnonzero(real)
         self.kind = kind[self._at]
-        self.h = np.where(self.kind == 0, h[self._at], _SLOT[self.kind])
+        self.own = h[self._at]
+        self.h = np.where(self.kind == 0, self.own, _SLOT[self.kind])
         self.row = as_is.row[as_is.line[self._at]] if len(self._at) else self._at
 
     def slots(self, at: int, size: int) -> list[str]:
@@ -131,21 +137,36 @@ class Canonical:
         return out
 
 
-def windows(c: Canonical, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows (signed), and a mask of those within one text and with enough plain words."""
-    n = len(c.h) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, bool)
+def _rolled(h: np.ndarray, n: int, size: int) -> np.ndarray:
     out = np.full(n, _U(size), np.uint64)
     for k in range(size):
-        out = out * _BASE + c.h[k:k + n]
-    plain = np.concatenate([[0], np.cumsum(c.kind == 0)])
-    usable = (c.row[:n] == c.row[size - 1:]) & (plain[size:] - plain[:-size] >= min(MIN_LITERALS, size))
-    return mix(out).view(np.int64), usable
+        out = out * _BASE + h[k:k + n]
+    return out
+
+
+def windows(c: Canonical, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the windows within one text (signed), where they begin, and a mask of templates.  A window with
+    slots occurs with its own words too; a template without slots is both."""
+    n = len(c.h) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    before = np.concatenate([[0], np.cumsum(c.kind == 0)])
+    plain, within = before[size:] - before[:-size], c.row[:n] == c.row[size - 1:]
+    templates = np.flatnonzero(within & (plain >= min(MIN_LITERALS, size)))
+    slotted = np.flatnonzero(within & (plain < size))
+    h = _rolled(c.h, n, size)[templates]
+    if len(slotted):
+        h = np.r_[h, _rolled(c.own, n, size)[slotted]]
+    return mix(h).view(np.int64), np.r_[templates, slotted], np.arange(len(h)) < len(templates)
+
+
+_COLUMNS = "h long, size int, at int, template boolean, slots array<string>"
+_ARROW = [("h", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("template", pa.bool_()), ("slots", pa.list_(pa.string()))]
 
 
-_COLUMNS = "h long, size int, at int, slots array<string>"
-_ARROW = [("h", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))]
+def _add(cols: list[list], c: Canonical, size: int, h: np.int64, place: int, first: int, template: bool) -> None:
+    for col, v in zip(cols, (int(h), size, place - first, template, c.slots(place, size) if template else [])):
+        col.append(v)
 
 
 def _batch(head: list[pa.Array], names: list[str], rows: list[int], cols: list[list]) -> pa.RecordBatch:
@@ -155,7 +176,8 @@ def _batch(head: list[pa.Array], names: list[str], rows: list[int], cols: list[l
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text: str = "text") -> DataFrame:
-    """``item_id``, ``n_windows`` and every usable window of each item: ``h``, ``size``, ``at``, ``slots``."""
+    """``item_id``, ``n_windows`` and ``n_templates`` (places in the item, and those of templates) and all windows of
+    each item: ``h``, ``size``, ``at``, ``template``, ``slots``."""
     id_type = benchmark.schema[id_col].dataType.simpleString()
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text).cast("string").alias("text"))
 
@@ -164,20 +186,20 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text: str =
             c = Canonical(b.column("text"))
             words = np.bincount(c.row, minlength=b.num_rows)
             first = np.cumsum(words) - words
-            at, cols, counts = [], [[], [], [], []], np.zeros(b.num_rows, np.int32)
+            at, cols, counts = [], [[] for _ in _ARROW], np.zeros((2, b.num_rows), np.int32)
+            counts[0] = np.maximum(words - WINDOW, 0) + 1
             for size in sorted({int(min(WINDOW, n)) for n in words if n}):
-                h, usable = windows(c, size)
-                for i in np.flatnonzero(usable & (np.minimum(words, WINDOW)[c.row[:len(h)]] == size)).tolist():
-                    r = int(c.row[i])
+                h, place, template = windows(c, size)
+                for x in np.flatnonzero(np.minimum(words, WINDOW)[c.row[place]] == size).tolist():
+                    r = int(c.row[place[x]])
                     at.append(r)
-                    counts[r] += 1
-                    for col, v in zip(cols, (int(h[i]), size, i - int(first[r]), c.slots(i, size))):
-                        col.append(v)
+                    counts[1, r] += template[x]
+                    _add(cols, c, size, h[x], int(place[x]), int(first[r]), bool(template[x]))
             out = _batch([b.column("item_id")], ["item_id"], at, cols)
-            yield pa.RecordBatch.from_arrays([out.column(0), pa.array(counts[np.array(at, np.int64)]), *out.columns[1:]],
-                                             names=["item_id", "n_windows", *(n for n, _ in _ARROW)])
+            yield pa.RecordBatch.from_arrays([out.column(0), *map(pa.array, counts[:, np.array(at, np.int64)]), *out.columns[1:]],
+                                             names=["item_id", "n_windows", "n_templates", *(n for n, _ in _ARROW)])
 
-    return rows.mapInArrow(run, f"item_id {id_type}, n_windows int, {_COLUMNS}")
+    return rows.mapInArrow(run, f"item_id {id_type}, n_windows int, n_templates int, {_COLUMNS}")
 
 
 def _bitmap(wins: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -205,16 +227,15 @@ def document_windows(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", t
             c = Canonical(b.column("text"))
             words = np.bincount(c.row, minlength=b.num_rows)
             first = np.cumsum(words) - words
-            at, cols = [], [[], [], [], []]
+            at, cols = [], [[] for _ in _ARROW]
             for size in sizes:
-                h, usable = windows(c, size)
-                place = h.view(np.uint64) >> _U(64 - BITMAP_BITS)
-                there = (bits[place >> _U(6)] >> (place & _U(63))) & _U(1)
-                for i in np.flatnonzero(usable & (there > 0)).tolist():
-                    r = int(c.row[i])
+                h, place, template = windows(c, size)
+                bit = h.view(np.uint64) >> _U(64 - BITMAP_BITS)
+                there = (bits[bit >> _U(6)] >> (bit & _U(63))) & _U(1)
+                for x in np.flatnonzero(there).tolist():
+                    r = int(c.row[place[x]])
                     at.append(r)
-                    for col, v in zip(cols, (int(h[i]), size, i - int(first[r]), c.slots(i, size))):
-                        col.append(v)
+                    _add(cols, c, size, h[x], int(place[x]), int(first[r]), bool(template[x]))
             yield _batch([b.column("_key"), b.column("_th")], ["_key", "_th"], at, cols)
 
     return rows.mapInArrow(run, f"_key string, _th long, {_COLUMNS}")
@@ -226,19 +247,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
     value differs from the item's): a row for each document and item found in it."""
     wins = stored(docs.sparkSession, benchmark_windows(benchmark, item_col, item_text), "benchmark-windows")
     found = document_windows(docs, wins, id_col, text).distinct()
-    items = if_small(wins.select("item_id", "n_windows", "h", "size", F.col("at").alias("item_at"),
+    items = if_small(wins.select("item_id", "n_windows", "n_templates", "h", "size", F.col("at").alias("item_at"), "template",
                                  F.col("slots").alias("item_slots")))
-    hits = found.join(items, ["h", "size"]).where(F.size("slots") == F.size("item_slots"))
+    hits = found.drop("template").join(items, ["h", "size"]).where(F.size("slots") == F.size("item_slots"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    hits = hits.select("_key", "_th", "item_id", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
+    hits = hits.select("_key", "_th", "item_id", "n_windows", "n_templates", "template", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
                        pairs.alias("pairs"))
     # A group is one item laid onto one place: at most as many rows as the item has windows.
     laid = hits.groupBy("_key", "_th", "item_id", "shift").agg(
-        F.first("n_windows").alias("n_windows"), F.count_distinct("item_at").alias("n_matched"),
+        F.first("n_windows").alias("n_windows"), F.first("n_templates").alias("n_templates"),
+        F.size(F.collect_set("item_at")).alias("n_matched"),
+        F.size(F.collect_set(F.when(F.col("template"), F.col("item_at")))).alias("n_matched_templates"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs"))
                   & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == F.size("pairs")))
-    laid = laid.where(one_to_one & (F.col("n_matched") >= F.least(F.lit(MIN_WINDOWS), F.col("n_windows"))))
+    enough = ((F.col("n_matched") >= F.least(F.lit(MIN_WINDOWS), F.col("n_windows")))
+              | ((F.col("n_templates") > 0)
+                 & (F.col("n_matched_templates") >= F.least(F.lit(MIN_WINDOWS), F.col("n_templates")))))
+    laid = laid.where(one_to_one & enough)
     return laid.groupBy("_key", "_th", "item_id").agg(
         F.max("n_matched").alias("n_matched"), F.first("n_windows").alias("n_windows"),
         F.max(F.size("pairs")).alias("n_slots"), F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("changed"))

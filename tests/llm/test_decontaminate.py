@@ -28,6 +28,27 @@ def test_parameters_may_change_but_consistently(spark):
     assert got[8] == [1, 2]
 
 
+def test_items_that_are_mostly_slots_match_the_same_values(spark):
+    sums = "What is 12 + 35 - 7 when 9 + 16 and 81 - 4 and 25 + 36 are 49 and 64 or 100 and 121"
+    names = "Then Anna Berta Clara Dora Emma Frida Gerda Hanna Ida Johanna Karla Lina Marta met"
+    items = [(1, sums), (2, names), (3, "Is Paris nice"), (3, "Is Paris nice")]
+    filler = "Some words of the document come before it. "
+    rows = [(1, filler + sums + " and more"), (2, filler + sums.replace("16", "17").replace("36", "37").replace("7 when", "8 when")),
+            (3, filler + names), (4, filler + names.replace("Emma", "Erna").replace("Ida", "Ilse")), (5, "is it so? Is Paris nice, or not"),
+            (6, filler + "Is London nice"), (7, None)]
+    got = {d: ids for d, ids, _ in _found(spark, rows, items)}
+    assert got == {1: [1], 2: [], 3: [2], 4: [], 5: [3], 6: [], 7: []}
+
+
+def test_copies_in_other_case_and_without_punctuation(spark):
+    items = spark.read.parquet(f"{SF0001}/benchmark.parquet").select("item_id", "text").collect()
+    forms = (str.lower, str.upper, lambda t: "".join(x for x in t if x.isalnum() or x.isspace()),
+             lambda t: " ".join(w.capitalize() for w in t.split()))
+    rows = [(1000 * k + r["item_id"], "Words before. " + form(r["text"]) + " Words after.") for k, form in enumerate(forms) for r in items]
+    for d, ids, _ in _found(spark, rows, [tuple(r) for r in items]):
+        assert d % 1000 in ids, rows[d]
+
+
 def test_edges(spark):
     w = "one two three four five six seven eight nine ten eleven twelve thirteen"
     rows = [(1, "x short item here y"), (2, "short item"), (3, w), (3, w), (4, "pad " + w.upper() + " pad"), (5, " ".join(w.split()[:12]) + " other"),
