@@ -46,6 +46,9 @@ BOILER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponso
                          "gdpr notice popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination "
                          "footer masthead comment comments disqus replies respond social share sharing related newsletter "
                          "subscribe login signup widget toolbar".split())
+# First and last words of classes that say how a part is set up, not what it is (has-sidebar, comments-open).
+STATE_FIRST = frozenset("has have with no not without is hide show".split())
+STATE_LAST = frozenset("open closed enabled disabled on off allowed".split())
 HEADER_CLASSES = frozenset("header site-header page-header top-header topbar".split())
 P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                       "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -60,6 +63,17 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 _DIGITS = re.compile(r"\d+")
 
 
+def _names_boiler(names: str) -> bool:
+    """Whether one of the (lower-case) classes or ids names a part that is not main text."""
+    if BOILER_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", names)):
+        return False
+    for name in names.split():
+        words = re.split(r"[^a-z0-9]+", name)
+        if not BOILER_WORDS.isdisjoint(words) and words[0] not in STATE_FIRST and words[-1] not in STATE_LAST:
+            return True
+    return False
+
+
 class Page:
     """Blocks and containers of one page."""
 
@@ -77,8 +91,8 @@ class Page:
             if key == "role":
                 skip = skip or value in BOILER_ROLES
                 continue
-            if not BOILER_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)) or not HEADER_CLASSES.isdisjoint(value.split()):
-                skip = skip or tag not in ("body", "html")
+            if _names_boiler(value) or not HEADER_CLASSES.isdisjoint(value.split()):
+                skip = skip or tag not in ("body", "html", "main")
             if key == "class":
                 classes = ".".join(sorted(value.split()))
         if tag == "header" and not any(x in PREFERRED for x in self._above(at)):

@@ -15,6 +15,13 @@ def test_parts_that_are_not_main_text():
     assert h.main_text(page) == "Head & line First paragraph. Second line <x> éé Third Fourth"
 
 
+def test_classes_that_say_how_a_part_is_set_up():
+    for part in ("article class='post comments-open'", "div class='content has-sidebar'", "main class='with-footer sidebar'", "div class='no-ads'"):
+        assert h.main_text(f"<div class='sidebar'>side</div><{part}><p>the text</p></{part.split()[0]}>") == "the text", part
+    for part in ("article class='comment'", "div class='has-image sidebar'", "div id='comments'", "section class='post-comments'"):
+        assert h.main_text(f"<article><p>the text</p></article><{part}><p>other text</p></{part.split()[0]}>") == "the text", part
+
+
 def test_edges():
     for page in (None, "", "   ", "<", "<!--", "<p", "</p></div>", "<script>never closed", "&amp;"):
         assert h.main_text(page) in ("", "&", "<", "<p")
