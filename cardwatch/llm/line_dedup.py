@@ -339,17 +339,15 @@ def candidates(reps: DataFrame) -> DataFrame:
 
 
 def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
-    """``_admits`` as a join condition."""
+    """Length and parity filter of ``_admits`` as a join condition; the positional one holds for the first ``SHARED``
+    shared words alone."""
     size = lambda c: F.shiftright(c, 20).bitwiseAND(F.lit(_SIZE_MAX))
-    left = lambda c: F.when(size(c) == _SIZE_MAX, F.lit(1 << 40)).otherwise(
-        size(c) - F.shiftright(c, 10).bitwiseAND(F.lit(_PLACE_MAX)))
     total = size(a) + size(b)
     need = F.floor((4 * total + 8) / 9)
     differ = (F.bit_count(F.col(a).bitwiseXOR(F.col(b)).bitwiseAND(F.lit(0x3FF)))
               + F.bit_count(F.col(fa).bitwiseXOR(F.col(fb)).bitwiseAND(F.lit(0xFFFFFFFF))))
     most, least = F.greatest(size(a), size(b)), F.least(size(a), size(b))
-    return ((5 * least >= 4 * most) & (F.least(left(a), left(b)) + SHARED - 1 >= need)
-            & ((differ <= total - 2 * need) | (most == _SIZE_MAX)))
+    return (5 * least >= 4 * most) & ((differ <= total - 2 * need) | (most == _SIZE_MAX))
 
 
 def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:

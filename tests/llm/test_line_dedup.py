@@ -65,6 +65,21 @@ def test_large_groups_against_all_pairs(spark, group):
     assert got == {(d, i) for (d, _), lines in want.items() for i in lines}
 
 
+@pytest.mark.parametrize("group", [(4, 10**6), (10**6, 0)])
+def test_set_aside_groups_of_many_two_line_families(spark, group):
+    """Lines of 20 words share 18 with one other line alone; the two odd words of each are the rarest, so that the
+    prefixes share words at the places 2 to 5."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(60):
+        w = rng.sample([f"c{i}" for i in range(90)], 18)
+        rows += [(2 * k + i, " ".join([f"odd{k}a{i}", f"odd{k}b{i}", *w])) for i in range(2)]
+    want = brute.removed_lines(rows)
+    assert len(want) == 60
+    got = {(r["d"], r["line"]) for r in _decide(spark, rows, group)}
+    assert got == {(d, i) for (d, _), lines in want.items() for i in lines}
+
+
 def _shrunk(group):
     """The module's streaming step with other limits and small batches, as a function that carries them."""
     def run(batches):
