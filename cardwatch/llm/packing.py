@@ -229,8 +229,8 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "te
     return rows.mapInArrow(run, f"doc_id {id_type}, source string, part int, before long, n long, wide int, ids binary")
 
 
-def queue_totals(counts: DataFrame, most: int = MAX_QUEUES) -> tuple[list[str], list[int]]:
-    """Names and totals of the queues, largest first; sources beyond ``most`` - 1 share the last.
+def queue_totals(counts: DataFrame, most: int = MAX_QUEUES) -> tuple[list[str | None], list[int]]:
+    """Names and totals of the queues, largest first; sources beyond ``most`` - 1 share the last, named None.
     Brings at most ``most`` rows to the driver."""
     by = counts.groupBy("source").agg(F.sum("n").alias("n"))
     top = by.orderBy(F.desc("n"), "source").limit(most - 1).collect()
@@ -238,7 +238,7 @@ def queue_totals(counts: DataFrame, most: int = MAX_QUEUES) -> tuple[list[str],
     if len(top) == most - 1:
         rest = by.agg(F.sum("n").alias("n")).first()["n"] - sum(totals)
         if rest:
-            names.append("")
+            names.append(None)
             totals.append(rest)
     return names, totals
 
@@ -275,8 +275,8 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
     shares = None
     if targets:
         least = min(targets.values()) / 1000
-        shares = [float(targets.get(s, least)) for s in names]
-    in_queue = F.when(F.col("source").isin(names[:MAX_QUEUES - 1]), F.col("source")).otherwise(F.lit(""))
+        shares = [float(least if s is None else targets.get(s, least)) for s in names]
+    in_queue = F.when(F.col("source").isin(names[:MAX_QUEUES - 1]), F.col("source"))  # else null, which no source is
     w = Window.partitionBy(in_queue).orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
     places = counts.select("source", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("place"))
     rows = table.join(if_small(stored(spark, places, "token-places")), ["source", "part"])

@@ -100,3 +100,13 @@ def test_edge_rows_and_many_sources(spark):
     assert packing.pack(docs.where("doc_id is null or false")).collect() == []
     null = packing.pack(spark.createDataFrame([(None, "s", "x")], "doc_id long, source string, text string")).collect()
     assert [r["doc_id"] for r in null] == [None]
+
+
+def test_a_large_null_source_beside_the_shared_queue(spark):
+    rows = [(1, None, "w " * 5000), (2, "", "v " * 3000)] + [(10 + i, f"q{i}", f"text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    counts = spark.createDataFrame([("", 9)] + [(f"q{i}", 2) for i in range(300)], "source string, n long")
+    names, totals = packing.queue_totals(counts)
+    assert len(set(names)) == len(names) == 256 and sum(totals) == 609
+    for targets in (None, {"": 3.0, "q1": 1.0}):
+        _whole(packing.pack(docs, targets=targets).collect(), [(d, t) for d, _, t in rows], 2048)
