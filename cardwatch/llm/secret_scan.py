@@ -1,8 +1,8 @@
 """Secret scan with a worklist of decoded layers.
 
 A text is scanned for secrets.  Then every encoded part of it (lines with URL or
-Unicode escapes as a whole; runs of base64; compressed data inside those) is decoded
-into a new layer, which is scanned and searched for encoded parts in turn, until the
+Unicode escapes as a whole; runs of base64, in one line or folded over several;
+compressed data inside those, however often it is packed) is decoded into a new layer, which is scanned and searched for encoded parts in turn, until the
 worklist is empty.  A layer seen before is not taken again, so the work ends even if
 decoding goes round in a cycle.  Each character of a layer carries its span in the
 original text: escapes map character by character, base64 and compressed data as a
@@ -58,6 +58,11 @@ _B64_RUN = bytes.maketrans(bytes(range(256)), bytes(1 if chr(i).isascii() and (c
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_STANDARD = str.maketrans("-_", "+/")
+#: Between the lines of folded base64, and its first and last lines if shorter than a run.
+_FOLD = re.compile(r"[ \t]*\r?\n[ \t]*")
+_HEAD = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{1,15})[ \t]*\r?\n\Z")
+_TAIL = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]{1,15}={0,2})(?![A-Za-z0-9+/=_-])")
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -115,13 +120,21 @@ def _mapped(line: str, at: int, pattern: re.Pattern, decode) -> tuple[str, Spans
 
 
 def _url_piece(m: re.Match) -> tuple[str, list[int]] | None:
-    """What an escape stands for, and where its characters begin in it (with the end)."""
-    raw = bytes.fromhex(m[0].replace("%", ""))
-    try:
-        chars = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return chars, [0, *accumulate(3 * len(c.encode()) for c in chars)]
+    """What an escape stands for, and where its characters begin in it (with the end).  Bytes that are
+    not UTF-8 stay as they are."""
+    run = m[0]
+    out, bounds, at = [], [0], 0
+    for c in bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape"):
+        if "\udc80" <= c <= "\udcff":
+            out.append(run[at:at + 3])
+            bounds += (at + 1, at + 2, at + 3)
+            at += 3
+        else:
+            out.append(c)
+            at += 3 * len(c.encode())
+            bounds.append(at)
+    chars = "".join(out)
+    return (chars, bounds) if chars != run else None
 
 
 def _unicode_piece(m: re.Match) -> tuple[str, list[int]] | None:
@@ -151,6 +164,67 @@ def _unpack(raw: bytes) -> tuple[str, bytes]:
     return "base64", raw
 
 
+def _decoded(run: str) -> tuple[str, str] | None:
+    """The layer's kind and text of a run of base64, unpacked until it is no longer compressed."""
+    body = run.rstrip("=").translate(_STANDARD)
+    if len(body) % 4 == 1:
+        return None
+    try:
+        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+    hows, seen = [], set()
+    while (key := hashlib.sha1(data).digest()) not in seen:  # some data unpacks to itself
+        seen.add(key)
+        how, data = _unpack(data)
+        if how != "base64":
+            hows.append(how)
+    try:
+        decoded = data.decode()
+    except UnicodeDecodeError:
+        return None
+    if any(c < " " and c not in "\t\n\r" for c in decoded):
+        return None
+    return "-".join(hows) or "base64", decoded
+
+
+def _folded(text: str, runs: list[tuple[int, int]]) -> Iterator[tuple[str, str, tuple[int, int]]]:
+    """Layers of base64 that is folded over lines: runs of one width, with the line before (which may begin with
+    something else) and the last line where they decode with them; else all runs in a row."""
+    chains: list[list[tuple[int, int]]] = []
+    for a, b in runs:
+        if chains and text[chains[-1][-1][1] - 1] != "=" and _FOLD.fullmatch(text, chains[-1][-1][1], a):
+            chains[-1].append((a, b))
+        else:
+            chains.append([(a, b)])
+    for parts in chains:
+        a, b = parts[0][0], parts[-1][1]
+        inner = range(len(parts))
+        before = a
+        while before and text[before - 1] in " \t":
+            before -= 1
+        if before and text[before - 1] == "\n" and (m := _HEAD.search(text, max(0, before - 256), before)):
+            parts = [m.span(1), *parts]
+            inner = range(1, len(parts))
+        if text[b - 1] != "=" and (m := _TAIL.match(text, b)):
+            parts = [*parts, m.span(1)]
+        if len(parts) < 2:
+            continue
+        width = [e - s for s, e in parts]
+        starts = [i for i in inner if i == inner[0] or width[i] != width[i - 1]]
+        blocks = list(zip(starts, [i - 1 for i in starts[1:]] + [inner[-1]]))
+        covered: set[int] = set()
+        for i, j in [*sorted(blocks, key=lambda x: x[0] - x[1]), (inner[0], inner[-1])]:
+            if covered.issuperset(range(i, j + 1)):
+                continue
+            firsts, lasts = [i - 1, i] if i else [i], [j + 1, j] if j + 1 < len(parts) else [j]
+            for first, last in ((f, t) for f in firsts for t in lasts if t > f):
+                if found := _decoded("".join(text[s:e] for s, e in parts[first:last + 1])):
+                    yield *found, (parts[first][0], parts[last][1])
+                    covered.update(range(first, last + 1))
+                    break
+
+
 def _layers(text: str) -> Iterator[tuple[str, str, Spans | tuple[int, int]]]:
     """(how, decoded text, spans in ``text``): a span for each character, or one for all."""
     for how, pattern, decode, sign in (("url", _URL, _url_piece, "%"), ("unicode", _UNICODE, _unicode_piece, ("\\u", "\\x", "&#"))):
@@ -164,22 +238,11 @@ def _layers(text: str) -> Iterator[tuple[str, str, Spans | tuple[int, int]]]:
     raw = text.encode("utf-8", "surrogatepass")
     if b"\x01" * 16 not in raw.translate(_B64_RUN):
         return
-    for m in _B64.finditer(text):
-        body = m[0].rstrip("=").translate(str.maketrans("-_", "+/"))
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        how, data = _unpack(data)
-        try:
-            decoded = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if any(c < " " and c not in "\t\n\r" for c in decoded):
-            continue
-        yield how, decoded, m.span()
+    runs = [m.span() for m in _B64.finditer(text)]
+    for a, b in runs:
+        if found := _decoded(text[a:b]):
+            yield *found, (a, b)
+    yield from _folded(text, runs)
 
 
 def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:

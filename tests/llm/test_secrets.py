@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -39,6 +40,33 @@ def test_layers_map_to_the_original_span():
     assert ("url-url-assign", 0, nested.index("%2522", 30)) in _kinds(nested)
 
 
+def test_layers_packed_more_than_once():
+    once = gzip.compress(SECRET.encode(), mtime=0)
+    for how, data in (("zlib-zlib", gzip.compress(once, mtime=0)), ("zlib-bz2", gzip.compress(bz2.compress(SECRET.encode()), mtime=0)),
+                      ("bz2-zlib-zlib", bz2.compress(gzip.compress(once, mtime=0)))):
+        blob = base64.b64encode(data).decode()
+        assert (f"{how}-assign", 2, 2 + len(blob)) in _kinds(f"x {blob} y"), how
+
+
+def test_base64_folded_over_lines():
+    noise = " ".join(hashlib.sha1(bytes([i])).hexdigest()[:7] for i in range(40))
+    for width in (60, 64, 76):
+        for end in ("\n", "\r\n", "\n  "):
+            for data, how in ((gzip.compress(f"{noise} {SECRET} {noise}".encode(), mtime=0), "zlib"),
+                              (f"{noise[:50]}{SECRET} {noise}".encode(), "base64"), (f"{noise[:40]}{SECRET}".encode(), "base64")):
+                blob = base64.b64encode(data).decode()
+                fold = end.join(blob[i:i + width] for i in range(0, len(blob), width))
+                for before, after in (("", ""), ("-----BEGIN X-----\n", "\n-----END X-----\n"), ("some words\n", "\nmore words"),
+                                      ("data: ", " and on")):
+                    assert (f"{how}-assign", len(before), len(before) + len(fold)) in _kinds(before + fold + after), (width, end, how, before)
+
+
+def test_percent_runs_with_bytes_that_are_no_text():
+    text = "%ff" + "".join(f"%{ord(c):02x}" for c in SECRET) + "%fe%C3%A9"
+    assert ("url-assign", 3, 3 + 3 * (len(SECRET) - 1)) in _kinds(text)
+    assert s._url_piece(s._URL.match("%FF%41%c3%A9%fe")) == ("%FFAé%fe", [0, 1, 2, 3, 6, 12, 13, 14, 15])
+
+
 def test_no_doubles_and_an_end():
     plain = "see %41 and " + SECRET
     assert _kinds(plain) == [("assign", 12, 12 + len(SECRET) - 1)]
