@@ -192,8 +192,22 @@ class Page:
         for node, value in score.items():
             value *= 3.0 if self.tag[node] in PREFERRED else 1.0
             if value > 0 and (top is None or value > top[1]):
-                top = (self.path[node], value)
-        return top
+                top = (node, value)
+        return top and (self.path[self._whole(top[0])], top[1])
+
+    def _whole(self, node: int) -> int:
+        """The container that holds the article around ``node``: the next article or main, else the next part that
+        directly holds a first heading, so that title, lead and sibling sections belong to it."""
+        titled = {self.parent[x] for x, _, _ in self.blocks if self.tag[x] == "h1"}
+        titled |= {self.parent[x] for x in titled if x >= 0 and self.tag[x] in ("header", "hgroup")}
+        above, headed = node, None
+        while above > 0:
+            if self.tag[above] in PREFERRED:
+                return above
+            if headed is None and above in titled and self.tag[above] not in ("body", "html"):
+                headed = above
+            above = self.parent[above]
+        return node if headed is None else headed
 
     def text_at(self, path: str) -> str:
         inside = [False] * len(self.path)

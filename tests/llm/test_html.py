@@ -22,6 +22,14 @@ def test_classes_that_say_how_a_part_is_set_up():
         assert h.main_text(f"<article><p>the text</p></article><{part}><p>other text</p></{part.split()[0]}>") == "the text", part
 
 
+def test_title_and_lead_outside_the_best_container():
+    lead, body = "lead " * 20, "body " * 200
+    for page in (f"<div class=post><h1>T</h1><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div></div>",
+                 f"<article><header><h1>T</h1></header><p>{lead}</p><div><div><div class=content><p>{body}</p></div></div></div></article>"):
+        text = h.main_text(f"<body><div class=teaser><p>other</p></div>{page}</body>")
+        assert text == " ".join(f"T {lead} {body}".split())
+
+
 def test_edges():
     for page in (None, "", "   ", "<", "<!--", "<p", "</p></div>", "<script>never closed", "&amp;"):
         assert h.main_text(page) in ("", "&", "<", "<p")
