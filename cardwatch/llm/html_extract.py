@@ -49,6 +49,10 @@ BOILER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponso
 # First and last words of classes that say how a part is set up, not what it is (has-sidebar, comments-open).
 STATE_FIRST = frozenset("has have with no not without is hide show".split())
 STATE_LAST = frozenset("open closed enabled disabled on off allowed".split())
+# What begins topic classes of a post, and what marks one; a page builder's classes for any of its parts.
+TOPIC_FIRST = ("category-", "tag-")
+POST_CLASSES = frozenset("post hentry type-post".split())
+BUILDER_FIRST, BUILDER_WORDS = "elementor-", frozenset(("widget",))
 HEADER_CLASSES = frozenset("header site-header page-header top-header topbar".split())
 P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                       "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -56,6 +60,7 @@ SAME_CLOSERS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("t
                 "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table body html article section div td th main".split())
 PREFERRED = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"<>]*+"|'[^'<>]*+'|["'])*+)>|<[!?][^>]*+>""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -63,12 +68,17 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 _DIGITS = re.compile(r"\d+")
 
 
-def _names_boiler(names: str) -> bool:
-    """Whether one of the (lower-case) classes or ids names a part that is not main text."""
+def _names_boiler(names: str, tag: str = "") -> bool:
+    """Whether one of the (lower-case) classes or ids of a ``tag`` names a part that is not main text."""
     if BOILER_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", names)):
         return False
+    post = tag == "article" or not POST_CLASSES.isdisjoint(names.split())
     for name in names.split():
+        if post and name.startswith(TOPIC_FIRST):
+            continue
         words = re.split(r"[^a-z0-9]+", name)
+        if name.startswith(BUILDER_FIRST):
+            words = [w for w in words if w not in BUILDER_WORDS]
         if not BOILER_WORDS.isdisjoint(words) and words[0] not in STATE_FIRST and words[-1] not in STATE_LAST:
             return True
     return False
@@ -91,7 +101,9 @@ class Page:
             if key == "role":
                 skip = skip or value in BOILER_ROLES
                 continue
-            if _names_boiler(value) or not HEADER_CLASSES.isdisjoint(value.split()):
+            if key == "id" and tag in HEADINGS:  # an anchor made of the heading's words
+                continue
+            if _names_boiler(value, tag) or not HEADER_CLASSES.isdisjoint(value.split()):
                 skip = skip or tag not in ("body", "html", "main")
             if key == "class":
                 classes = ".".join(sorted(value.split()))

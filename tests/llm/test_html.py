@@ -30,6 +30,15 @@ def test_title_and_lead_outside_the_best_container():
         assert text == " ".join(f"T {lead} {body}".split())
 
 
+def test_topics_builder_classes_and_anchors_mark_no_boilerplate():
+    for part in ("div class='elementor-widget elementor-widget-text-editor'", "article class='post category-social tag-advertising category-login'",
+                 "div class='post type-post category-comments'", "h2 id='share-prices'"):
+        assert h.main_text(f"<body><div><{part}>the text</{part.split()[0]}></div></body>") == "the text", part
+    for part in ("div class='category-menu'", "div class='elementor-widget elementor-widget-sidebar'", "div class='elementor-share-buttons'",
+                 "article class='post comment category-news'", "h2 class='widget-title'"):
+        assert h.main_text(f"<body><div><{part}>other</{part.split()[0]}></div></body>") == "", part
+
+
 def test_edges():
     for page in (None, "", "   ", "<", "<!--", "<p", "</p></div>", "<script>never closed", "&amp;"):
         assert h.main_text(page) in ("", "&", "<", "<p")
