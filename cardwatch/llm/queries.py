@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, html_extract, license_scan, line_dedup, packing, quality_rules, secret_scan,
-               simhash, url_filter)
+from . import (bpe, chat_format, decontaminate, filter_audit, html_extract, importance, license_scan, line_dedup, packing,
+               quality_rules, secret_scan, simhash, url_filter)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -72,9 +72,23 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
                         secret_scan.joined(F.col("spans")).alias("spans"))
 
 
+def op11_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    done = bpe.decode(bpe.encode(_table(spark, sf, "documents")))
+    return done.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_simhash, op2_license_scan, op3_chat_format, op4_html_extract, op5_quality_rules, op6_packing, op7_url_filter,
-           op8_line_dedup, op9_decontaminate, op10_secret_scan)
+           op8_line_dedup, op9_decontaminate, op10_secret_scan, op11_importance, op12_filter_audit, op13_bpe)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, license_scan, url_filter
+import itertools
+
+from . import chat_format, filter_audit, license_scan, url_filter
 
 
 def _text(s: str) -> str:
@@ -78,10 +80,43 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM h"""
 
 
+def _filter_audit() -> str:
+    """Every document in every order, one step after the other."""
+    words = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    orders = ["'" + "".join(o) + "'" for o in itertools.permutations(filter_audit.FILTERS)]
+    says = lambda c: f"bool_or(coalesce({c}, 0) = 1)"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {words} AS w FROM documents),
+first AS (SELECT text, min(doc_id) AS least FROM t GROUP BY text),
+says AS (SELECT doc_id, {says('quality')} AS good, {says('toxic')} AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(
+        CASE WHEN len(w) < {filter_audit.MIN_WORDS} THEN 'A' ELSE '' END,
+        CASE WHEN 100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) THEN 'B' ELSE '' END,
+        CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {filter_audit.MAX_CAPITALS_PERCENT} * length(text) THEN 'C' ELSE '' END,
+        CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+        CASE WHEN least < t.doc_id THEN 'E' ELSE '' END) AS fails
+      FROM t JOIN first USING (text) LEFT JOIN says ON says.doc_id = t.doc_id),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+o AS (SELECT unnest([{', '.join(orders)}]) AS filter_order),
+s AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+x AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, fails, n, good, toxic,
+             contains(fails, f) AS here, length(fails) > 0 AND length(translate(fails, substr(filter_order, 1, step - 1), '')) < length(fails) AS gone
+      FROM g, s),
+r AS (SELECT part, filter_order, step, f,
+             sum(n) FILTER (NOT gone AND NOT here) AS kept, sum(n) FILTER (here AND NOT gone) AS removed,
+             sum(n) FILTER (here AND gone) AS redundant, sum(n) FILTER (fails = f) AS unique_fails,
+             sum(good) FILTER (here AND NOT gone) AS good_lost, sum(toxic) FILTER (here AND NOT gone) AS toxic_lost
+      FROM x GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INTEGER AS step, {', '.join(f'coalesce({c}, 0)::BIGINT AS {c}' for c in filter_audit._COLUMNS[:-1])},
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    out = {"op2_license_scan": _license_scan(), "op3_chat_format": _chat_format(), "op7_url_filter": _url_filter()}
+    out = {"op2_license_scan": _license_scan(), "op3_chat_format": _chat_format(), "op7_url_filter": _url_filter(),
+           "op12_filter_audit": _filter_audit()}
     if corpus_pipeline.ORACLE_SQL is not None:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

@@ -42,17 +42,17 @@ def hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Texts:
-    """The bytes of a batch of texts, ``offsets`` of the texts, and ``start`` and ``end`` of all words (split at
-    ASCII white space and at the ends of texts)."""
+    """The bytes of a batch of texts, ``offsets`` of the texts, and ``start`` and ``end`` of all words (runs of
+    the bytes that ``is_word`` marks, by default all but ASCII white space; split at the ends of texts)."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, is_word: bytes = IS_WORD):
         texts = pc.fill_null(texts.cast(pa.string()), "")
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
         data = texts.buffers()[2]
         self.text = data[offsets[0]:offsets[-1]].to_pybytes() if data is not None else b""
         self.raw, self.offsets = np.frombuffer(self.text, np.uint8), offsets - offsets[0]
         self.full = np.flatnonzero(np.diff(self.offsets))
-        word = np.frombuffer(self.text.translate(IS_WORD), bool)
+        word = np.frombuffer(self.text.translate(is_word), bool)
         # a word begins or ends where white space and other bytes meet
         edge = np.zeros(len(word) + 1, bool)
         if len(word):

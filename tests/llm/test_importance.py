@@ -1,0 +1,115 @@
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from cardwatch.llm import importance, queries
+
+SF0001 = "/root/testdata/sf0.001"
+
+
+def _words(text):
+    low = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    return [w for w in re.split("[\x00-\x2F\x3A-\x60\x7B-\x7F]+", low) if w]
+
+
+def _buckets(words, buckets=10000):
+    runs = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    return [zlib.crc32(r.encode()) % buckets for r in runs]
+
+
+def by_definition(docs, target, percent=25, min_words=20, seed=7):
+    """docs: (doc_id, text); rows of (doc_id, n_features, weight, score, rank) in any order."""
+    s, t = collections.Counter(), collections.Counter()
+    for counts, texts in ((s, [x for _, x in docs]), (t, target)):
+        for x in texts:
+            counts.update(_buckets(_words(x)))
+    S, T = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * float(S + 10000) / ((s[b] + 1) * float(T + 10000)))) for b in range(10000)]
+    rows = []
+    for d, text in docs:
+        w = _words(text)
+        f = _buckets(w)
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'null' if d is None else d}".encode()).hexdigest()[:8], 16)
+        rows.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(w)])
+    able = sorted((r for r in rows if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, r in enumerate(able[:len(able) * percent // 100], 1):
+        r[4] = rank
+    return [tuple(r[:5]) for r in rows]
+
+
+def _got(df):
+    return sorted((tuple(r[c] for c in ("doc_id", "n_features", "weight", "score", "rank")) for r in df.collect()), key=str)
+
+
+def test_query_by_definition(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    target = [r["text"] for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
+    got = _got(queries.op11_importance(spark, SF0001))
+    assert got == sorted(by_definition(docs, target), key=str)
+    assert any(r[4] is None and r[1] for r in got) and any(r[4] for r in got)
+
+
+def test_features_are_checksums_of_runs():
+    texts = ["", None, "one", "One two-THREE 4", "École é İx", "a" * 3000 + " b " + "c" * 47 + " " + "d" * 48 + " " + "e" * 49, " - ", "x\ny"] * 2
+    bucket, row, words = importance.features(pa.array(texts), run=2, buckets=1 << 40)
+    for i, t in enumerate(texts):
+        w = _words(t)
+        assert words[i] == len(w) and sorted(bucket[row == i].tolist()) == sorted(_buckets(w, 1 << 40))
+    three = importance.features(pa.array(["a b c d"]), run=3, buckets=1 << 40)[0].tolist()
+    assert zlib.crc32(b"b c d") in three and len(three) == 9
+
+
+def test_selection_is_exact_in_every_rank(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.randint(-5, 5), rng.randint(0, 9), rng.choice([-2**62, 0, 2**62]), i) for i in range(3000)]
+    rng.shuffle(rows)
+    keys = spark.createDataFrame(rows, "_a long, _b long, _c long, _d long").repartition(7)
+    monkeypatch.setattr(importance, "FEW", 4)
+    path = importance.stored(spark, keys, "test-keys")
+    for rank in (1, 2, 1499, 1500, 2999, 3000):
+        assert importance.cutoff(spark, path, rank) == sorted(rows)[rank - 1]
+    assert importance.cutoff(spark, path, 0) is None
+    with pytest.raises(ValueError):
+        importance.cutoff(spark, path, 3001)
+
+
+def test_each_round_discards_a_quarter():
+    """Weighted median of medians: groups of any sizes, sorted keys adversarially dealt."""
+    rng = np.random.default_rng(1)
+    for sizes in ([1, 1, 1], [1000, 1, 1], [5, 300, 40, 7], [10] * 30):
+        keys = np.arange(sum(sizes))
+        for deal in (keys, rng.permutation(keys), keys[::-1]):
+            at, groups = 0, []
+            for n in sizes:
+                m, k = importance._median([deal[at:at + n], *[np.zeros(n, np.int64)] * 3])
+                groups.append((tuple(m), k))
+                at += n
+            pivot = importance._weighted_median(groups)[0]
+            assert (keys <= pivot).sum() * 4 >= len(keys) and (keys >= pivot).sum() * 4 >= len(keys)
+
+
+def test_edges(spark, monkeypatch):
+    monkeypatch.setattr(importance, "FEW", 2)
+    long = " ".join(f"w{i % 977}" for i in range(60000))
+    same = " ".join(f"k{i}" for i in range(25))
+    rows = [(1, None), (2, ""), (3, "..."), (4, long), (5, same), (None, same), (None, same), (6, same), (6, same), (6, same), (6, same.upper()),
+            *[(10 + i, f"{same} {i}") for i in range(30)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("x")).withColumn("_a", F.lit("y")).repartition(4)
+    target = spark.createDataFrame([("k1 k2 k3",), (None,), ("",)], "text string").withColumn("bucket", F.lit(1))
+    for percent in (25, 60, 100):
+        got = _got(importance.resample(docs, target, percent=percent))
+        want = by_definition(rows, ["k1 k2 k3", None, ""], percent)
+        # rows that repeat an id tie in all but the text: their ranks are theirs together
+        assert got == sorted(want, key=str)
+    nothing = importance.resample(docs, target.where("false"), percent=0)
+    assert {r["rank"] for r in nothing.collect()} == {None}
+    assert importance.resample(docs.where("false"), target).collect() == []

@@ -11,7 +11,7 @@ SF0001 = "/root/testdata/sf0.001"
 
 def _duck(name, **tables):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "labels"):
         if t not in tables:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF0001}/{t}.parquet'")
     for t, frame in tables.items():
