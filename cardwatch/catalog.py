@@ -231,6 +231,27 @@ def q_report_hop_pairs(spark, sf, mode=reports.INTENDED):
     return reports.hop_pairs(tt.transactions(), tt.snapshot("terminals"), REPORT_DT, mode)
 
 
+def _stored_fact(spark, tt) -> DataFrame:
+    """The fact as a warehouse holds it: one run with the report day's file, one with all others."""
+    root = scratch_dir(spark, "fact")
+    rows, day = tt.transactions(), F.col("feed_dt")
+    for run_id, part in (("r1", rows.where(day != date_lit(REPORT_DT))), ("r2", rows.where(day == date_lit(REPORT_DT)))):
+        warehouse.append_transactions(part, root, run_id, feed_dt_col=day)
+    return warehouse.read_transactions(spark, root, ["r1", "r2"], days=True)
+
+
+def q_report_hop_pairs_stored(spark, sf):
+    """R3a from a stored fact of which only the delivered rows' days are opened."""
+    tt = _all(spark, sf)
+    return reports.hop_pairs(_stored_fact(spark, tt), tt.snapshot("terminals"), REPORT_DT)
+
+
+def q_report_city_hop_stored(spark, sf):
+    tt = _tt(spark, sf)
+    return reports.city_hop_report(_stored_fact(spark, tt), tt.snapshot("terminals"), open_after(tt, "cards"),
+                                   open_after(tt, "accounts"), open_after(tt, "clients"), REPORT_DT)
+
+
 def q_report_city_hop(spark, sf, mode=reports.INTENDED):
     tt = _tt(spark, sf)
     return reports.city_hop_report(tt.transactions(), tt.snapshot("terminals"),
@@ -356,9 +377,14 @@ def q_window_lead(spark, sf):
     return with_next(t, "card_num", ["trans_date", "trans_id"], ["trans_id"]).withColumnRenamed("lead_trans_id", "lead_tran")
 
 
+def history_after(tt, name: str) -> DataFrame:
+    return scd2.next_state(tt.dim_before(name), staged(tt, name), DIMS[name], _clock())
+
+
 def q_report_hop_base(spark, sf):
     tt = _all(spark, sf)
-    return reports.hop_base(tt.transactions(), tt.snapshot("terminals"))
+    return reports.hop_base(tt.transactions(), tt.snapshot("terminals"),
+                            *[history_after(tt, n) for n in ("cards", "accounts", "clients")])
 
 
 def q_sort_report(spark, sf):
@@ -425,6 +451,8 @@ def queries() -> dict[str, Query]:
         "report_contract": q_report_contract,
         "report_hop_pairs": q_report_hop_pairs,
         "report_hop_base": q_report_hop_base,
+        "report_hop_pairs_stored": q_report_hop_pairs_stored,
+        "report_city_hop_stored": q_report_city_hop_stored,
         "report_append_mart": q_report_append_mart,
         "report_city_hop": q_report_city_hop,
         "report_fraud_all": q_report_fraud_all,

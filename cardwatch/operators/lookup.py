@@ -11,14 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import fio, trimmed
-from cardwatch.session import ensure_checkpoint_dir
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``: computed once,
-    survives executor loss, and later plans start from the written copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
 
 def attach_owners(rows: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,

@@ -1,67 +1,54 @@
 """The next, or the previous, row of each group in a total order, exact under any skew.
 
 ``with_previous_within_hour`` serves the one-hour rule.  ``with_next`` is for the
-literal report, whose successor may lie any time ahead.
+literal report and the hop base, whose successor may lie any time ahead.
 
 ``Window.partitionBy(group)`` sends a whole group to one task, so a card that
-holds a third of a day's transactions would be one task.  Here the rows are
-range-partitioned on (group, order...) instead: the partitioner samples the
-keys and cuts even slices, so a hot group is spread over many partitions.
-``lead`` then runs inside each slice, and the last row of a slice takes the
-first row of the next non-empty slice.  That stitch table has one row per
-slice: its size is the partition count we chose, a bound fixed up front.
-
-Both uses of the slices (the per-slice ``lead`` and each slice's first row)
-must see the same slicing, and two separately planned range exchanges may
-sample different bounds.  The windowed slices are therefore checkpointed once
-to the shared checkpoint folder and both uses read that copy.
-
-Ties on the full ordering key stay in one slice (the range partitioner never
-splits equal keys), and the ordering key should be unique for a deterministic
-successor.
+holds a third of all transactions would be one task.  Here the order is cut into
+spans (hours of the transaction time), and the window runs over (group, span), which
+splits a hot group by hour.  The last row of a span takes the first row of the group's
+next span that has any: that second window sees one row per group and span, at most the
+hours that the data covers, reduced on the map side.
+
+Nothing is run while the DataFrame is built, and nothing is checkpointed.  The ordering
+key should be unique for a deterministic successor.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cardwatch.operators.lookup import materialize
-
-PARTITIONS_CONF = "cardwatch.sequence.partitions"
 
+def _span(df: DataFrame, name: str) -> Column:
+    """A coarse value that never falls while ``name`` rises."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", name)
+    if isinstance(kind, T.DateType):
+        return F.trunc(name, "month")
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(name) / 4096)
+    raise TypeError(f"{name}: order by a time or a number first, not by {kind.simpleString()}")
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    conf = df.sparkSession.conf
-    return int(conf.get(PARTITIONS_CONF, None) or conf.get("spark.sql.shuffle.partitions"))
 
-
-def with_next(df: DataFrame, group: str, order: list[str], carry: list[str],
-              prefix: str = "lead_", partitions: int | None = None) -> DataFrame:
+def with_next(df: DataFrame, group: str, order: list[str], carry: list[str], prefix: str = "lead_") -> DataFrame:
     """``df`` plus ``prefix + c`` for each ``c`` in ``carry``: the value in the
-    next row of the same ``group`` (NULL is a group like any other) by ``order``;
-    NULL for the group's last row."""
-    keys = [group, *order]
-    fields = list(dict.fromkeys([*keys, *carry]))
-    n = _partitions(df, partitions)
-    sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
-    w = Window.partitionBy("_slice").orderBy(*keys)
-    local = materialize(sliced.select(
-        "*", F.lead(F.struct(*fields)).over(w).alias("_next"),
-        F.lag(F.lit(1)).over(w).isNull().alias("_head_row")))
-
-    # first row of each non-empty slice, and for each slice the first row of
-    # the next non-empty one (one row per slice: a bounded, broadcastable set)
-    heads = local.where("_head_row").select("_slice", F.struct(*fields).alias("_head"))
-    follow = heads.select("_slice", F.lead("_head").over(Window.orderBy("_slice"))
-                          .alias("_stitch"))
-    j = local.join(F.broadcast(follow), "_slice", "left")
-    succ = F.coalesce(F.col("_next"), F.col("_stitch"))
-    same = succ.isNotNull() & succ[group].eqNullSafe(F.col(group))
-    out = [F.when(same, succ[c]).alias(prefix + c) for c in carry]
-    return j.select(*[c for c in df.columns], *out)
+    next row of the same ``group`` (NULL is a group like any other) by ``order``, whose
+    first column is a time or a number; NULL for the group's last row."""
+    fields = F.struct(*dict.fromkeys([*order, *carry]))
+    # a NULL group gets a value that no other has, so that the join is a plain one on the
+    # window's own keys and the rows are shuffled once
+    rows = df.withColumns({"_g": F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")),
+                           "_s": _span(df, order[0])})
+    rows = rows.withColumn("_s", F.coalesce(F.col("_s").cast("string"), F.lit("")))
+    first = rows.groupBy("_g", "_s").agg(F.min_by(fields, F.struct(*order)).alias("_first"))
+    after = first.select("_g", "_s", F.lead("_first").over(
+        Window.partitionBy("_g").orderBy(*[F.col("_first")[c] for c in order])).alias("_after"))
+    here = rows.withColumn("_next", F.lead(fields).over(Window.partitionBy("_g", "_s").orderBy(*order)))
+    found = F.coalesce("_next", "_after")
+    return here.join(after, ["_g", "_s"], "left").select(*df.columns, *[found[c].alias(prefix + c) for c in carry])
 
 
 def with_previous_within_hour(df: DataFrame, group: str, time: str, order: str, carry: list[str],

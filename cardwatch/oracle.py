@@ -261,7 +261,7 @@ def _pairs(intended: bool) -> str:
            else "AND lead_date IS NOT NULL")
     return f"""tx AS (
   SELECT f.trans_id, f.trans_date, trim(f.card_num) AS card_num, f.terminal, f.oper_result,
-         tm.terminal_city, f.feed_dt
+         tm.terminal_id, tm.terminal_city, f.feed_dt
   FROM fact f LEFT JOIN stg_terminals tm ON f.terminal = tm.terminal_id),
 led AS (
   SELECT *, lead(trans_id) OVER w AS lead_tran, lead(terminal_city) OVER w AS lead_city,
@@ -412,11 +412,23 @@ h2 AS (SELECT terminal_id, {att}, start_dt,
         "SELECT * FROM h4 UNION ALL SELECT * FROM ins4"
 
 
+def hop_base() -> str:
+    """Every transaction with the versions that hold at its time, by a join on the interval itself."""
+    after = [f"after_{n} AS ({scd2_merge(n)})" for n in ("cards", "accounts", "clients")]
+    at = "led.trans_date >= {d}.start_dt AND led.trans_date < {d}.end_dt + INTERVAL 1 SECOND"
+    return _with(_pairs(False), *after) + f"""SELECT DISTINCT c.client_id, c.last_name || ' ' || c.first_name || ' ' || c.patronymic AS fio, c.passport_num, c.phone,
+  led.terminal_id, led.terminal_city, k.card_num AS dim_card_num, k.account_num, a.account_num AS dim_account_num, a.client,
+  led.trans_date, led.card_num, led.terminal, led.oper_result, led.trans_id, led.lead_tran, led.lead_city, led.lead_date
+FROM led LEFT JOIN after_cards k ON led.card_num = trim(k.card_num) AND {at.format(d='k')}
+  LEFT JOIN after_accounts a ON k.account_num = a.account_num AND {at.format(d='a')}
+  LEFT JOIN after_clients c ON a.client = c.client_id AND {at.format(d='c')}"""
+
+
 #: Keys whose queries read snapshots of every key (the others need some keys gone).
 WHOLE = {"snapshot_cards", "snapshot_accounts", "snapshot_clients", "feed_terminals", "stage_terminals", "stage_wide_values",
          "keys_cards", "keys_accounts", "keys_clients", "keys_terminals", "report_client_info", "report_trans_info",
          "report_passport", "report_passport_literal", "report_contract", "report_contract_literal", "report_hop_pairs",
-         "report_hop_pairs_literal", "report_hop_base", "report_append_mart", "join_inner", "join_trimmed_key", "join_left",
+         "report_hop_pairs_literal", "report_hop_base", "report_hop_pairs_stored", "report_append_mart", "join_inner", "join_trimmed_key", "join_left",
          "join_existence", "agg_max_update", "sort_report"}
 
 
@@ -516,7 +528,9 @@ UNION ALL SELECT source_name, COALESCE(
   (SELECT max_update_dt FROM meta_before WHERE source_name = 'clients'))
 FROM meta_before WHERE source_name = 'clients'""",
         "window_lead": _with() + "SELECT trans_id, trans_date, trim(card_num) AS card_num, lead(trans_id) OVER (PARTITION BY trim(card_num) ORDER BY trans_date, trans_id) AS lead_tran FROM fact",
-        "report_hop_base": _with(_pairs(False)) + "SELECT DISTINCT trans_id, trans_date, card_num, oper_result, terminal_city, lead_tran, lead_city, lead_date FROM led",
+        "report_hop_base": hop_base(),
+        "report_hop_pairs_stored": hop_pairs(True),
+        "report_city_hop_stored": city_hop(True),
         "report_append_mart": report_contract(),
         "sort_report": report_passport() + "\nORDER BY fio",
     })

@@ -263,9 +263,9 @@ def _run(spark: SparkSession, sources: Sources, root: str, run_ts: dt.datetime,
         spark.sparkContext.setJobDescription(f"cardwatch {run_id} reports")
         report_dt = res.picked["transactions"][1]
         # the delivered rows come from this run's folder alone; the earlier side of a
-        # hop may have come with any file (its rows are found by card and hour)
+        # hop may have come with any file (its rows are found by day, card and hour)
         fact = warehouse.read_transactions(
-            spark, root, [*warehouse.fact_runs(spark, root).values(), run_id])
+            spark, root, [*warehouse.fact_runs(spark, root).values(), run_id], days=True)
         blacklist = (warehouse.read_blacklist(spark, root, blacklist_run) if blacklist_run
                      else _empty(spark, STG_BLACKLIST))
         opened = {}

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, fio, ntz, ntz_lit, trimmed
+from cardwatch.operators.interval import as_of
 from cardwatch.operators.lookup import attach_owners
 from cardwatch.operators.sequence import with_next, with_previous_within_hour
 from cardwatch.schemas import (EVENT_CITY_HOP, EVENT_CONTRACT, EVENT_PASSPORT,
@@ -135,7 +136,18 @@ def _cities(pairs: DataFrame, terminals: DataFrame) -> DataFrame:
 
 def _sided(fact: DataFrame) -> DataFrame:
     return fact.select("trans_id", "trans_date", trimmed(F.col("card_num")).alias("card_num"),
-                       "terminal", "oper_result", *[c for c in fact.columns if c == "feed_dt"])
+                       "terminal", "oper_result", *[c for c in fact.columns if c in ("feed_dt", "trans_day")])
+
+
+def _on_days_near(t: DataFrame, delivered: Column) -> DataFrame:
+    """The rows of ``t`` on the days of the delivered ones or of the hour before them.  The days
+    (one row each, as many as the calendar has at most) are broadcast, so that Spark prunes the
+    fact's ``trans_day`` partitions with them when it runs."""
+    if "trans_day" not in t.columns:
+        return t
+    hour = F.expr("INTERVAL 1 HOUR")
+    days = t.where(delivered).select(F.explode(F.array(F.to_date("trans_date"), F.to_date(F.col("trans_date") - hour))).alias("near_day"))
+    return t.join(F.broadcast(days.distinct()), F.col("trans_day") == F.col("near_day"), "left_semi").drop("trans_day")
 
 
 def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
@@ -148,7 +160,9 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
     its hours and the hours before, from any file, and the row just before it
     (``sequence.with_previous_within_hour``).  The earlier side carries its
     *terminal*; a terminal has one city, so pairs at the same terminal are dropped
-    before any city is looked up, and the lookups run on the few candidates."""
+    before any city is looked up, and the lookups run on the few candidates.  A fact with
+    ``trans_day`` (``warehouse.read_transactions(..., days=True)``) is opened only at the
+    delivered rows' days."""
     _check_mode(mode)
     t = _sided(fact)
     if mode == LITERAL:
@@ -160,6 +174,7 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
     near = (t.where(delivered).select("card_num", hour.alias("h")).distinct()
             .select(F.col("card_num").alias("c"), F.explode(F.array("h", F.col("h") - F.expr("INTERVAL 1 HOUR"))).alias("h"))
             .distinct())
+    t = _on_days_near(t, delivered)
     t = t.join(near, t.card_num.eqNullSafe(near.c) & (hour == near.h), "left_semi")
     t = with_previous_within_hour(t, "card_num", "trans_date", "trans_id",
                                   ["trans_id", "trans_date", "terminal", "oper_result"])
@@ -171,16 +186,28 @@ def hop_pairs(fact: DataFrame, terminals: DataFrame, report_dt: dt.date,
     return _cities(cand, terminals)
 
 
-def hop_base(fact: DataFrame, terminals: DataFrame) -> DataFrame:
-    """Every transaction with its city and with the id, city and time of the next one on
-    its card (NULL for the last), before any test."""
-    t = _sided(fact).drop("feed_dt")
-    t = with_next(t, "card_num", ["trans_date", "trans_id"], ["trans_id", "terminal", "trans_date"])
-    here = terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city")
+def hop_base(fact: DataFrame, terminals: DataFrame, cards: DataFrame, accounts: DataFrame,
+             clients: DataFrame) -> DataFrame:
+    """Every transaction with its city, the card, account and client as they were at its time
+    (``cards``, ``accounts``, ``clients`` are whole histories), and the id, city and time of
+    the next one on its card (NULL for the last), before any test (R3a).  Left joins
+    throughout: whatever is missing is NULL, and no transaction is lost."""
+    t = with_next(_sided(fact).drop("feed_dt", "trans_day"), "card_num", ["trans_date", "trans_id"],
+                  ["trans_id", "terminal", "trans_date"])
+    t = as_of(t, cards.withColumn("card_key", trimmed(F.col("card_num"))), "card_num", "trans_date", "card_key",
+              {"card_num": "dim_card_num", "account_num": "account_num"})
+    t = as_of(t, accounts, "account_num", "trans_date", "account_num",
+              {"account_num": "dim_account_num", "client": "client"})
+    names = clients.withColumn("fio", fio(F.col("last_name"), F.col("first_name"), F.col("patronymic")))
+    t = as_of(t, names, "client", "trans_date", "client_id",
+              {"client_id": "client_id", "fio": "fio", "passport_num": "passport_num", "phone": "phone"})
+    here = terminals.select(F.col("terminal_id"), "terminal_city")
     there = terminals.select(F.col("terminal_id").alias("lead_terminal"), F.col("terminal_city").alias("lead_city"))
-    return (t.join(here, "terminal", "left").join(there, "lead_terminal", "left")
-            .select("trans_id", "trans_date", "card_num", "oper_result", "terminal_city",
-                    F.col("lead_trans_id").alias("lead_tran"), "lead_city", F.col("lead_trans_date").alias("lead_date"))
+    return (t.join(here, t.terminal == here.terminal_id, "left").join(there, "lead_terminal", "left")
+            .select("client_id", "fio", "passport_num", "phone", "terminal_id", "terminal_city", "dim_card_num",
+                    "account_num", "dim_account_num", "client", "trans_date", "card_num", "terminal", "oper_result",
+                    "trans_id", F.col("lead_trans_id").alias("lead_tran"), "lead_city",
+                    F.col("lead_trans_date").alias("lead_date"))
             .distinct())
 
 

@@ -4,7 +4,7 @@
     <root>/dim_<name>/run=<id>/state=open|closed/   open set rewritten per run,
                                                     closed rows of that run only
     <root>/dim_<name>/run=<id>/state=history/       literal runs: whole history
-    <root>/fact_transactions/run=<id>/feed_dt=<date>/   rows that the run loaded
+    <root>/fact_transactions/run=<id>/feed_dt=<date>/trans_day=<date>/   rows that the run loaded
     <root>/fact_blacklist/run=<id>/                 full refresh per loaded file
     <root>/rep_fraud/run=<id>/report_dt=<d>/event_type=<t>/   its report rows
     <root>/meta/run=<id>/                           watermarks after the run
@@ -38,7 +38,11 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("clients_run", T.StringType()), T.StructField("terminals_run", T.StringType()),
     T.StructField("blacklist_run", T.StringType()), T.StructField("mode", T.StringType()),
     T.StructField("buckets", T.IntegerType()),
+    # whether the run wrote facts and report rows: readers needn't look
+    T.StructField("facts", T.BooleanType()), T.StructField("reports", T.BooleanType()),
 ])
+FACT_SCHEMA = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType()),
+                            T.StructField("trans_day", T.DateType())])
 
 
 def run_id_for(run_ts: dt.datetime) -> str:
@@ -60,26 +64,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # ------------------------------------------------------------------ facts
 def append_transactions(rows: DataFrame, root: str, run_id: str, feed_dt: dt.date | None = None,
                         feed_dt_col: Column | None = None) -> None:
-    """K2: add the staged transactions under this run's folder, by ``feed_dt``.  A rerun
-    with the same id replaces the whole folder; it is read once the run is
-    committed.  Rows are sorted by time inside each task so that row-group
-    statistics prune the report scans."""
-    col = feed_dt_col if feed_dt_col is not None else date_lit(feed_dt)
-    out = (rows.select(*[f.name for f in STG_TRANSACTIONS.fields], col.alias("feed_dt"))
-           .sortWithinPartitions("feed_dt", "trans_date"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("feed_dt").parquet(_p(root, "fact_transactions", f"run={run_id}")))
-
-
-def read_transactions(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
-    """The fact rows that ``runs`` have written.  Only their folders are listed."""
-    schema = T.StructType([*STG_TRANSACTIONS.fields, T.StructField("feed_dt", T.DateType())])
-    paths = [p for p in (_p(root, "fact_transactions", f"run={r}") for r in dict.fromkeys(runs))
-             if _exists(spark, p)]
+    """K2: add the staged transactions under this run's folder, by ``feed_dt`` and by the day
+    of the transaction, so that a report opens the days that it can need.  A rerun with the
+    same id replaces the whole folder; it is read once the run is committed.  Rows are sorted
+    by time inside each task so that row-group statistics prune the report scans.  Rows of
+    many files at once are first brought together by day (AQE splits large days)."""
+    out = rows.select(*[f.name for f in STG_TRANSACTIONS.fields],
+                      (feed_dt_col if feed_dt_col is not None else date_lit(feed_dt)).alias("feed_dt"),
+                      F.to_date("trans_date").alias("trans_day"))
+    if feed_dt_col is not None:
+        out = out.hint("rebalance", "feed_dt", "trans_day")
+    (out.sortWithinPartitions("feed_dt", "trans_day", "trans_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("feed_dt", "trans_day").parquet(_p(root, "fact_transactions", f"run={run_id}")))
+
+
+def read_transactions(spark: SparkSession, root: str, runs: list[str], days: bool = False) -> DataFrame:
+    """The fact rows that ``runs`` (which wrote some) have written.  Only their folders are
+    listed.  ``days`` adds the partition column ``trans_day``."""
+    names = [f.name for f in FACT_SCHEMA.fields if days or f.name != "trans_day"]
+    paths = [_p(root, "fact_transactions", f"run={r}") for r in dict.fromkeys(runs)]
     if not paths:
-        return spark.createDataFrame([], schema)
-    read = spark.read.schema(schema).option("basePath", _p(root, "fact_transactions"))
-    return read.parquet(*paths).select(*[f.name for f in schema.fields])
+        return spark.createDataFrame([], FACT_SCHEMA).select(*names)
+    read = spark.read.schema(FACT_SCHEMA).option("basePath", _p(root, "fact_transactions"))
+    return read.parquet(*paths).select(*names)
 
 
 def refresh_blacklist(rows: DataFrame, root: str, run_id: str) -> None:
@@ -202,22 +210,27 @@ def open_of(spark: SparkSession, root: str, name: str, run_id: str, mode: str,
     return df.select(*DIMS[name].dim_columns)
 
 
-def fact_runs(spark: SparkSession, root: str) -> dict[dt.date | None, str]:
-    """The committed run whose fact rows and report rows are current, by file date: the
-    newest of each date, and those that loaded several dates at once (None).  One
-    entry per run: metadata."""
-    log = committed_runs(spark, root).orderBy("run_id").select("run_id", "transactions_dt").collect()
-    return {r.transactions_dt or r.run_id: r.run_id for r in log}
+def _current(spark: SparkSession, root: str, table: str, column: str) -> dict[dt.date | str, str]:
+    """The committed run whose rows of ``table`` are current, by file date: the newest of each
+    date, and those that loaded several dates at once.  One entry per run: metadata.  The log
+    tells which runs wrote any; only rows of a log without that column are looked up."""
+    log = committed_runs(spark, root).orderBy("run_id").select("run_id", "transactions_dt", column).collect()  # a row per run
+    return {r.transactions_dt or r.run_id: r.run_id for r in log
+            if r[column] or (r[column] is None and _exists(spark, _p(root, table, f"run={r.run_id}")))}
 
 
-def current_transactions(spark: SparkSession, root: str) -> DataFrame:
+def fact_runs(spark: SparkSession, root: str) -> dict[dt.date | str, str]:
+    return _current(spark, root, "fact_transactions", "facts")
+
+
+def current_transactions(spark: SparkSession, root: str, days: bool = False) -> DataFrame:
     """The fact as committed: what a failed run left behind is ignored."""
-    return read_transactions(spark, root, list(fact_runs(spark, root).values()))
+    return read_transactions(spark, root, list(fact_runs(spark, root).values()), days)
 
 
 def current_reports(spark: SparkSession, root: str) -> DataFrame:
     """The mart as committed: what a failed run left behind is ignored."""
-    return read_reports(spark, root, list(fact_runs(spark, root).values()))
+    return read_reports(spark, root, list(_current(spark, root, "rep_fraud", "reports").values()))
 
 
 def current_history(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -239,8 +252,8 @@ def write_reports(rows: DataFrame, root: str, run_id: str) -> None:
 
 
 def read_reports(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
-    """The report rows that ``runs`` have written.  Only their folders are listed."""
-    paths = [p for p in (_p(root, "rep_fraud", f"run={r}") for r in dict.fromkeys(runs)) if _exists(spark, p)]
+    """The report rows that ``runs`` (which wrote some) have written.  Only their folders are listed."""
+    paths = [_p(root, "rep_fraud", f"run={r}") for r in dict.fromkeys(runs)]
     if not paths:
         return spark.createDataFrame([], REP_FRAUD)
     read = spark.read.schema(REP_FRAUD).option("basePath", _p(root, "rep_fraud"))
@@ -286,7 +299,8 @@ def commit(spark: SparkSession, root: str, run_id: str, run_ts: dt.datetime,
     d = dim_runs or {}
     row = [(run_id, run_ts, transactions_dt, blacklist_dt, terminals_dt, d.get("cards"),
             d.get("accounts"), d.get("clients"), d.get("terminals"), blacklist_run, mode,
-            buckets)]
+            buckets, _exists(spark, _p(root, "fact_transactions", f"run={run_id}")),
+            _exists(spark, _p(root, "rep_fraud", f"run={run_id}")))]
     (spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("overwrite")
      .parquet(_p(root, "runs", f"commit={run_id}")))
 

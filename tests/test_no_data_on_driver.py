@@ -16,7 +16,7 @@ ALLOWED = {
     ],
     "sinks/warehouse.py": [
         'orderBy("run_id").collect()',   # commit log: one row per daily run
-        'select("run_id", "transactions_dt").collect()',  # the same
+        'select("run_id", "transactions_dt", column).collect()',  # the same
         'alias("m")).collect()[0]',      # one aggregate row
         'select("buckets").collect()',   # one commit row
     ],
