@@ -10,15 +10,16 @@ slots.  These are hash-joined with the benchmark's windows in Spark.
 
 Matches are grouped by document, item and alignment (window place in the document
 less its place in the item).  An alignment counts if at least ``MIN_WINDOWS`` windows
-match (all, if the item has fewer) and its slots are consistent: each value of the
-item always stands for one and the same value of the document, and no two for the
-same.  So a question with other numbers or names is found, and a chance run of
-placeholders is not.  A window with fewer than ``MIN_LITERALS`` plain words says too
-little as a template and is none.  Every window with slots also has the hash of its own
-words, which meets those words alone, whatever their case and the punctuation around
-them: so copies are found in which sentences begin elsewhere or all is lower case, and
-items that are mostly numbers and names.  ``MIN_WINDOWS`` windows of either sort, or of
-templates alone, make a match.
+(all, if the item has fewer) match in their own words: a copy stays one whatever was
+changed elsewhere on it.  It also counts if that many match as templates and its slots
+are consistent: each value of the item always stands for one and the same value of the
+document, and no two for the same.  So a question with other numbers or names is found,
+and a chance run of placeholders is not.  A window with fewer than ``MIN_LITERALS`` plain
+words says too little as a template and is none.  Every window with slots also has the
+hash of its own words, which meets those words alone, whatever their case and the
+punctuation around them: so copies are found in which sentences begin elsewhere or all is
+lower case, and items that are mostly numbers and names.  On an alignment with consistent
+slots, windows of either sort count together.
 
 An item of fewer words than a window is one shorter window and must match whole; empty
 items match nothing.  Null texts count as empty.  Repeated rows of documents give a
@@ -44,8 +45,10 @@ from .words import Texts, hashes, mix
 WINDOW = 8
 MIN_LITERALS = 5
 MIN_WINDOWS = 6
-#: Bits of the bitmap that tasks test windows against (a fixed 1 MB).
-BITMAP_BITS = 23
+#: Bits of the bitmap that tasks test windows against, for each benchmark window, and the logarithms of its least and
+#: largest size (8 kB; 32 MB, which 16 million windows fill to the same degree).
+BITS_A_WINDOW = 16
+BITMAP_BITS = (16, 28)
 # Units that follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb lbs oz t l ml s sec secs second seconds min mins minute minutes h hr hrs hour "
                   "hours day days week weeks month months year years meter meters metre metres kilometer kilometers mile miles "
@@ -202,22 +205,29 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text: str =
     return rows.mapInArrow(run, f"item_id {id_type}, n_windows int, n_templates int, {_COLUMNS}")
 
 
-def _bitmap(wins: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bits of the windows' hashes, at most 2^(BITMAP_BITS - 6) rows on the driver, and
-    the window sizes that occur (1 to WINDOW)."""
-    place = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
-    bits = wins.select(F.shiftrightunsigned(place, 6).alias("i"), F.expr("shiftleft(1L, int(shiftrightunsigned(h, 64 - %d) & 63))" % BITMAP_BITS).alias("b"))
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for r in bits.groupBy("i").agg(F.bit_or("b").alias("b")).collect():
-        bitmap[r["i"]] = r["b"]
-    sizes = [r["size"] for r in wins.select("size").distinct().collect()]
-    return bitmap.view(np.uint64), sorted(sizes)
+def bitmap_bits(n: int) -> int:
+    """Logarithm of the bitmap's size for so many windows."""
+    least, most = BITMAP_BITS
+    return min(max((n * BITS_A_WINDOW - 1).bit_length(), least), most)
+
+
+def _bitmap(wins: DataFrame) -> tuple[np.ndarray, int, list[int]]:
+    """Bits of the windows' hashes, their number's logarithm (at most 2^(BITMAP_BITS[1] - 6) words on the
+    driver), and the window sizes that occur (1 to WINDOW)."""
+    per_size = wins.groupBy("size").agg(F.count("*").alias("n")).collect()  # 1 to WINDOW rows
+    bits = bitmap_bits(sum(r["n"] for r in per_size))
+    place = F.shiftrightunsigned("h", 64 - bits)
+    words = wins.select(F.shiftrightunsigned(place, 6).alias("i"), F.expr(f"shiftleft(1L, int(shiftrightunsigned(h, {64 - bits}) & 63))").alias("b"))
+    found = words.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()  # the bitmap's words
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[found["i"].to_numpy()] = found["b"].to_numpy()
+    return bitmap.view(np.uint64), bits, sorted(r["size"] for r in per_size)
 
 
 def document_windows(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``_key``, ``_th`` (the row's key) and the windows of its text that pass the bitmap."""
     spark = docs.sparkSession
-    bitmap, sizes = _bitmap(wins)
+    bitmap, n_bits, sizes = _bitmap(wins)
     shared = spark.sparkContext.broadcast(bitmap)
     rows = docs.select(row_key(id_col).alias("_key"), text_hash(text).alias("_th"), F.col(text).cast("string").alias("text"))
 
@@ -230,7 +240,7 @@ def document_windows(docs: DataFrame, wins: DataFrame, id_col: str = "doc_id", t
             at, cols = [], [[] for _ in _ARROW]
             for size in sizes:
                 h, place, template = windows(c, size)
-                bit = h.view(np.uint64) >> _U(64 - BITMAP_BITS)
+                bit = h.view(np.uint64) >> _U(64 - n_bits)
                 there = (bits[bit >> _U(6)] >> (bit & _U(63))) & _U(1)
                 for x in np.flatnonzero(there).tolist():
                     r = int(c.row[place[x]])
@@ -258,13 +268,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
         F.first("n_windows").alias("n_windows"), F.first("n_templates").alias("n_templates"),
         F.size(F.collect_set("item_at")).alias("n_matched"),
         F.size(F.collect_set(F.when(F.col("template"), F.col("item_at")))).alias("n_matched_templates"),
+        F.size(F.collect_set(F.when(F.forall("pairs", lambda p: p["a"] == p["b"]), F.col("item_at")))).alias("n_literal"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs"))
                   & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == F.size("pairs")))
     enough = ((F.col("n_matched") >= F.least(F.lit(MIN_WINDOWS), F.col("n_windows")))
               | ((F.col("n_templates") > 0)
                  & (F.col("n_matched_templates") >= F.least(F.lit(MIN_WINDOWS), F.col("n_templates")))))
-    laid = laid.where(one_to_one & enough)
+    literal = F.col("n_literal") >= F.least(F.lit(MIN_WINDOWS), F.col("n_windows"))
+    laid = laid.where(literal | (one_to_one & enough))
     return laid.groupBy("_key", "_th", "item_id").agg(
         F.max("n_matched").alias("n_matched"), F.first("n_windows").alias("n_windows"),
         F.max(F.size("pairs")).alias("n_slots"), F.max(F.exists("pairs", lambda p: p["a"] != p["b"])).alias("changed"))
