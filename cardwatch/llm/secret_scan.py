@@ -2,28 +2,36 @@
 
 A text is scanned for secrets.  Then every encoded part of it (lines with URL or
 Unicode escapes as a whole; runs of base64, in one line or folded over several;
-compressed data inside those, however often it is packed) is decoded into a new layer, which is scanned and searched for encoded parts in turn, until the
-worklist is empty.  A layer seen before is not taken again, so the work ends even if
-decoding goes round in a cycle.  Each character of a layer carries its span in the
-original text: escapes map character by character, base64 and compressed data as a
-whole.  A secret of an inner layer is reported at the span it maps to, as a kind of
-its own (``url-assign`` and so on) unless the same span is a base find already.
+compressed data inside those, however often it is packed) is decoded into a new layer,
+which is scanned and searched for encoded parts in turn, until the worklist is empty.  A
+layer seen before is not taken again, so the work ends even if decoding goes round in a
+cycle.  Each character of a layer carries its span in the original text: escapes map
+character by character, base64 and compressed data as a whole.  A secret of an inner layer
+is reported at the span it maps to, as a kind of its own (``url-assign`` and so on) unless
+the same span is a base find already.
+
+A run of base64 may begin inside a longer run of its characters (a path, a key's name):
+it is read at all four phases, and compressed data from wherever its first bytes stand.
+What it holds need not be text: bytes that are no UTF-8 are passed over, UTF-16 is read
+without its zero bytes, and of packed data all members are read, and what there is of
+truncated ones.
 
 Base kinds, leftmost and non-overlapping each: ``assign``, ``access``, ``hex``; own
 kinds after them.  Spans are code points, end exclusive, ordered by start, kind, end.
 
-Each text is scanned alone: nothing is shuffled, memory follows the largest text of
-a batch and ``MAX_UNPACKED`` bytes for a compressed part (longer ones are left
-packed, as protection from decompression bombs).  Null and empty texts have no
-spans; repeated rows give a row each; an empty table an empty result; extra columns
-are ignored.
+Each text is scanned alone: nothing is shuffled, and memory follows the largest text of a
+batch.  Packed data is unpacked and scanned ``PIECE`` bytes at a time, whatever its size;
+pieces end at characters that no secret and no encoded part holds, so nothing is cut.
+Only a single run of other characters is cut, where it is longer than ``LONGEST``.  Null
+and empty texts have no spans; repeated rows give a row each; an empty table an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -50,7 +58,9 @@ MORE = (("github", b"gh", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{36,}")),
         ("jwt", b"eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
         ("private-key", b"-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----)?")))
 BASE_KINDS = ("assign", "access", "hex")
-MAX_UNPACKED = 64 << 20
+#: Bytes of packed data that are unpacked and scanned at a time, and the longest run of base64 or the like among them.
+PIECE = 1 << 20
+LONGEST = 64 << 20
 
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_RUN = bytes.maketrans(bytes(range(256)), bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256)))
@@ -58,7 +68,16 @@ _B64_RUN = bytes.maketrans(bytes(range(256)), bytes(1 if chr(i).isascii() and (c
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Bytes that no text has; what may stand before base64 though base64 has it too.
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+_NO_TEXT = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\ufffd]")
+_SEPARATOR = re.compile(r"[/_-]")
 _STANDARD = str.maketrans("-_", "+/")
+#: What secrets and encoded parts are made of; any other character ends them.
+_OPEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.%:-\"'\\{}&#; \t\r\n"
+#: How packed data begins in base64: gzip, zlib, bzip2, xz.
+_PACKED = re.compile(r"(?=H4sI|eAE|eF4|eJw|eNo|Qlpo|/Td6WFoA)")
+_ERRORS = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
 #: Between the lines of folded base64, and its first and last lines if shorter than a run.
 _FOLD = re.compile(r"[ \t]*\r?\n[ \t]*")
 _HEAD = re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/_-]{1,15})[ \t]*\r?\n\Z")
@@ -144,48 +163,153 @@ def _unicode_piece(m: re.Match) -> tuple[str, list[int]] | None:
     return chr(code), [0, len(m[0])]
 
 
-def _unpack(raw: bytes) -> tuple[str, bytes]:
-    """The layer's kind and its bytes, after one step of decompression if it is compressed."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-            d = zlib.decompressobj(47)
-            kind = "zlib"
-        elif raw[:3] == b"BZh":
-            d, kind = bz2.BZ2Decompressor(), "bz2"
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            d, kind = lzma.LZMADecompressor(), "xz"
-        else:
-            return "base64", raw
-        out = d.decompress(raw, MAX_UNPACKED + 1)
-        if len(out) <= MAX_UNPACKED and d.eof:
-            return kind, out
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        pass
-    return "base64", raw
+def _opener(head: bytes):
+    """The kind of packed data that begins like this, and what makes its decompressor."""
+    if head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 1 and (head[0] << 8 | head[1]) % 31 == 0):
+        return "zlib", lambda: zlib.decompressobj(47)
+    if head[:3] == b"BZh":
+        return "bz2", bz2.BZ2Decompressor
+    if head[:6] == b"\xfd7zXZ\x00":
+        return "xz", lzma.LZMADecompressor
+    return None
+
+
+def _steps(d, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of ``data``, at most ``PIECE`` bytes at a time."""
+    while True:
+        out = d.decompress(data, PIECE)
+        yield out
+        data = getattr(d, "unconsumed_tail", b"")
+        if d.eof or not (data or len(out) == PIECE or not getattr(d, "needs_input", True)):
+            return
+
+
+def _unpacked(chunks: Iterator[bytes], make) -> Iterator[bytes]:
+    """Packed data unpacked: its members one after the other, then what follows them as it is.  It ends
+    where the data is damaged."""
+    d = make()
+    for chunk in chunks:
+        while chunk:
+            if d is None:
+                found = _opener(chunk)
+                if not found:
+                    yield chunk
+                    yield from chunks
+                    return
+                d = found[1]()
+            try:
+                yield from _steps(d, chunk)
+            except _ERRORS:
+                return
+            if not d.eof:
+                break
+            chunk, d = d.unused_data, None
+
+
+def _text(data: bytes) -> tuple[str, bool]:
+    """``data`` as text, and whether it is one: no control characters, nothing that is no UTF-8."""
+    if data.count(0) * 4 > len(data):  # UTF-16: of its ASCII characters the other half
+        data = data.replace(b"\0", b"")
+    text = data.decode("utf-8", "replace")
+    return text, "\ufffd" not in text and not _CONTROL.search(text)
+
+
+def _pieces(chunks: Iterator[bytes]) -> Iterator[str]:
+    """The text of a byte stream in parts that no secret and no encoded part reaches over."""
+    decoder, wide, held = codecs.getincrementaldecoder("utf-8")("replace"), None, ""
+    for chunk in chunks:
+        wide = chunk.count(0) * 4 > len(chunk) if wide is None else wide
+        held += decoder.decode(chunk.replace(b"\0", b"") if wide else chunk)
+        if len(held) >= PIECE:
+            cut = len(held.rstrip(_OPEN)) or (len(held) if len(held) >= LONGEST else 0)
+            if cut:
+                yield held[:cut]
+                held = held[cut:]
+    if held := held + decoder.decode(b"", True):
+        yield held
+
+
+def _contents(source, hows: tuple[str, ...], seen: set[bytes]) -> Iterator[tuple[str, str]]:
+    """The kind and the text, in pieces, of a stream that ``source()`` begins anew, unpacked until it is no longer
+    packed; nothing if it isn't packed at all."""
+    head = next((c for c in source() if c), b"")
+    key = hashlib.sha1(head).digest()
+    if not head or key in seen:  # some data unpacks to itself
+        return
+    seen.add(key)
+    found = _opener(head)
+    if not found and not _text(head)[1]:  # deflate without a header tells itself only by what comes out
+        found = "deflate", lambda: zlib.decompressobj(-15)
+    if found:
+        def inner() -> Iterator[bytes]:
+            return _unpacked(source(), found[1])
+
+        first = next((c for c in inner() if c), b"")
+        if first and (found[0] != "deflate" or _text(first)[1] or _opener(first)):
+            yield from _contents(inner, (*hows, found[0]), seen)
+            return
+    if hows:
+        for piece in _pieces(source()):
+            yield "-".join(hows), piece
+
+
+def _source(body: str):
+    """What begins the stream of the bytes of ``body``, base64 without padding, anew."""
+    whole = len(body) - (len(body) % 4 == 1)
 
+    def chunks() -> Iterator[bytes]:
+        for at in range(0, whole, PIECE):
+            part = body[at:min(at + PIECE, whole)]
+            yield base64.b64decode(part + "=" * (-len(part) % 4))
 
-def _decoded(run: str) -> tuple[str, str] | None:
-    """The layer's kind and text of a run of base64, unpacked until it is no longer compressed."""
+    return chunks
+
+
+def _strict(run: str) -> list[tuple[str, str]]:
+    """Kind and text of a run of base64 that is one from its first character to its last: packed data, or a text."""
     body = run.rstrip("=").translate(_STANDARD)
     if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    hows, seen = [], set()
-    while (key := hashlib.sha1(data).digest()) not in seen:  # some data unpacks to itself
-        seen.add(key)
-        how, data = _unpack(data)
-        if how != "base64":
-            hows.append(how)
-    try:
-        decoded = data.decode()
-    except UnicodeDecodeError:
-        return None
-    if any(c < " " and c not in "\t\n\r" for c in decoded):
-        return None
-    return "-".join(hows) or "base64", decoded
+        return []
+    if _PACKED.match(body) and (packed := list(_contents(_source(body), (), set()))):
+        return packed
+    data = base64.b64decode(body + "=" * (-len(body) % 4))
+    packed = [] if _text(data)[1] else list(_contents(lambda: iter([data]), (), set()))
+    text, clean = _text(data)
+    return packed or ([("base64", text)] if clean else [])
+
+
+def _within(run: str) -> Iterator[tuple[str, str, int]]:
+    """(kind, text, where it begins) of what a run of base64 characters may hold: packed data from where its first
+    bytes stand, and bytes at the four phases, from the first separator on after which they are text; else all of them."""
+    body = run.rstrip("=").translate(_STANDARD)
+    for m in _PACKED.finditer(body):
+        for how, text in _contents(_source(body[m.start():]), (), set()):
+            yield how, text, m.start()
+    for phase in range(4):
+        part = body[phase:]
+        if len(part) < 8:
+            return
+        data = base64.b64decode(part[:len(part) - (len(part) % 4 == 1)] + "=" * (-len(part) % 4 % 3))
+        text, clean = _text(data)
+        if clean and not phase:
+            yield "base64", text, 0
+            return
+        packed = False
+        if not clean and not phase:
+            for how, text_inside in _contents(lambda data=data: iter([data]), (), set()):
+                packed = True
+                yield how, text_inside, 0
+        if packed:
+            return
+        # from the back: the longest tail that is text, and the first separator in it
+        odd = len(data) - len(text[max((m.end() for m in _NO_TEXT.finditer(text)), default=0):].encode())
+        starts = (m.end() for m in _SEPARATOR.finditer(run, max(0, phase - 1 + odd // 3 * 4))
+                  if (m.end() - phase) % 4 == 0 and (m.end() - phase) // 4 * 3 >= odd)
+        at = next(starts, None)
+        if at is not None and (tail := _text(data[(at - phase) // 4 * 3:]))[1] and len(tail[0]) >= 8:
+            yield "base64", tail[0], at
+        else:
+            yield "base64", text, 0
 
 
 def _folded(text: str, runs: list[tuple[int, int]]) -> Iterator[tuple[str, str, tuple[int, int]]]:
@@ -219,15 +343,21 @@ def _folded(text: str, runs: list[tuple[int, int]]) -> Iterator[tuple[str, str,
                 continue
             firsts, lasts = [i - 1, i] if i else [i], [j + 1, j] if j + 1 < len(parts) else [j]
             for first, last in ((f, t) for f in firsts for t in lasts if t > f):
-                if found := _decoded("".join(text[s:e] for s, e in parts[first:last + 1])):
-                    yield *found, (parts[first][0], parts[last][1])
+                if found := _strict("".join(text[s:e] for s, e in parts[first:last + 1])):
+                    for layer in found:
+                        yield *layer, (parts[first][0], parts[last][1])
                     covered.update(range(first, last + 1))
                     break
+        if not covered:  # no text as a whole: whatever the run of all lines holds
+            whole = parts[inner[0]:inner[-1] + 1]
+            for first in {0, inner[0]}:
+                for how, layer, _ in _within("".join(text[s:e] for s, e in parts[first:])):
+                    yield how, layer, (whole[0][0], parts[-1][1])
 
 
 def _layers(text: str) -> Iterator[tuple[str, str, Spans | tuple[int, int]]]:
     """(how, decoded text, spans in ``text``): a span for each character, or one for all."""
-    for how, pattern, decode, sign in (("url", _URL, _url_piece, "%"), ("unicode", _UNICODE, _unicode_piece, ("\\u", "\\x", "&#"))):
+    for how, pattern, decode, sign in (("unicode", _UNICODE, _unicode_piece, ("\\u", "\\x", "&#")), ("url", _URL, _url_piece, "%")):
         if not any(s in text for s in ([sign] if isinstance(sign, str) else sign)):
             continue
         at = 0
@@ -240,8 +370,8 @@ def _layers(text: str) -> Iterator[tuple[str, str, Spans | tuple[int, int]]]:
         return
     runs = [m.span() for m in _B64.finditer(text)]
     for a, b in runs:
-        if found := _decoded(text[a:b]):
-            yield *found, (a, b)
+        for how, layer, at in _within(text[a:b]):
+            yield how, layer, (a + at, b)
     yield from _folded(text, runs)
 
 
@@ -253,29 +383,30 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = {(k, a, b): k in BASE_KINDS for k, a, b in own}
     plain = set(found)
     seen = {hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()}
-    work = [x for x in _layers(text) if x[1]]
+    # the worklist: layers that are still to come, of each layer that is being worked on (one piece of each is held)
+    work = [("", _layers(text), None)]
     while work:
-        how, layer, spans = work.pop()
+        outer, layers, outer_spans = work[-1]
+        how, layer, spans = next(layers, (None, None, None))
+        if how is None:
+            work.pop()
+            continue
+        how = f"{outer}-{how}" if outer else how
+        if isinstance(outer_spans, tuple):
+            spans = outer_spans
+        elif outer_spans is not None:
+            spans = outer_spans[spans] if isinstance(spans, tuple) else outer_spans.after(spans)
+        if not layer:
+            continue
         key = hashlib.sha1(f"{spans if isinstance(spans, tuple) else spans[0, 1]}\0{layer}".encode("utf-8", "surrogatepass")).digest()
         if key in seen:
             continue
         seen.add(key)
-
-        def back(a: int, b: int, spans=spans) -> tuple[int, int]:
-            return spans if isinstance(spans, tuple) else spans[a, b]
-
         for kind, a, b in find(layer):
-            place = back(a, b)
+            place = spans if isinstance(spans, tuple) else spans[a, b]
             if (kind, *place) not in plain:
                 found.setdefault((f"{how}-{kind}", *place), False)
-        for inner_how, inner, inner_spans in _layers(layer):
-            if not inner:
-                continue
-            if isinstance(spans, tuple):
-                mapped = spans
-            else:
-                mapped = spans[inner_spans] if isinstance(inner_spans, tuple) else spans.after(inner_spans)
-            work.append((f"{how}-{inner_how}", inner, mapped))
+        work.append((how, _layers(layer), spans))
     return sorted(((k, a, b, base) for (k, a, b), base in found.items()),
                   key=lambda x: (x[1], order.get(x[0], len(order)), x[0], x[2]))
 

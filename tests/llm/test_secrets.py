@@ -2,7 +2,10 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
+import zlib
 from urllib.parse import quote
 
 from pyspark.sql import functions as F
@@ -84,6 +87,95 @@ def test_spans_of_one_long_line_with_many_escapes():
     assert ("unicode-url-assign", a, a + len(quote(SECRET, safe="")) - len("%22")) in _kinds(text)
 
 
+def _deflated(data):
+    c = zlib.compressobj(wbits=-15)
+    return c.compress(data) + c.flush()
+
+
+def test_layers_that_are_no_clean_text():
+    raw = SECRET.encode()
+    b64 = lambda x: base64.b64encode(x).decode()
+    for data, how in ((b"\0" + raw, "base64"), (b"\xff" + raw, "base64"), (raw + b"\xfe\x01", "base64"), (gzip.compress(b"\xfe\xff" + raw, mtime=0), "zlib"),
+                      (SECRET.encode("utf-16-le"), "base64"), (SECRET.encode("utf-16"), "base64"), (SECRET.encode("utf-16-be"), "base64"),
+                      (gzip.compress(SECRET.encode("utf-16-le"), mtime=0), "zlib"), (zlib.compress(raw), "zlib"), (_deflated(raw * 3), "deflate"),
+                      (lzma.compress(raw), "xz"), (gzip.compress(b"other words", mtime=0) + gzip.compress(raw, mtime=0), "zlib"),
+                      (bz2.compress(b"other") + bz2.compress(raw), "bz2"), (gzip.compress(b"x", mtime=0) + b"\0\0" + raw, "zlib"),
+                      (gzip.compress(raw + bytes(range(256)) * 40, mtime=0)[:-30], "zlib")):
+        blob = b64(data)
+        assert (f"{how}-assign", 2, 2 + len(blob)) in _kinds(f"é {blob} y"), (how, data[:8])
+
+
+def test_base64_inside_longer_runs():
+    for data, how in ((SECRET.encode(), "base64"), (gzip.compress(SECRET.encode(), mtime=0), "zlib")):
+        blob = base64.b64encode(data).decode()
+        for before in ("https://x.org/a/", "key-", "/data/", "a_", "x/y/z/", "user-key_", "/"):
+            text = f"see {before}{blob} on"
+            assert (f"{how}-assign", 4 + len(before), 4 + len(before) + len(blob)) in _kinds(text), (how, before)
+        more = base64.b64encode(data + "é and ???>>>/é?>".encode()).decode()
+        assert any(k == f"{how}-assign" and a == 8 for k, a, b in _kinds(f"see key-{more} on")) or how == "zlib"
+        for before in ("a", "ab", "abc", "Key"):  # nothing tells where it begins: the run as a whole, or from the packed data on
+            assert any(k == f"{how}-assign" and a <= 4 + len(before) and b == 4 + len(before) + len(blob)
+                       for k, a, b in _kinds(f"see {before}{blob} on")), (how, before)
+
+
+def test_packed_data_of_any_size_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(s, "PIECE", 1 << 16)
+    monkeypatch.setattr(s, "LONGEST", 1 << 20)
+    line = b"some words, and on\n"
+    for parts in ((line * 400_000, SECRET.encode(), line * 400_000), (b"\0" * 8_000_000, SECRET.encode(), b"a" * 4_000_000)):
+        blob = base64.b64encode(gzip.compress(b"".join(parts), mtime=0)).decode()
+        tracemalloc.start()
+        got = _kinds(f"x {blob} y")
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert ("zlib-assign", 2, 2 + len(blob)) in got and most < 24 << 20, most
+    # a secret, and an encoded one, on every seam
+    inner = base64.b64encode(SECRET.encode()).decode()
+    for shift in range(0, 60, 7):
+        data = b"," + b"(filler) " * 7281 + b"." * (shift + 1) + f" {SECRET} {inner} ".encode() + b"(filler) " * 9000
+        blob = base64.b64encode(zlib.compress(data)).decode()
+        kinds = {k for k, _, _ in _kinds(blob)}
+        assert {"zlib-assign", "zlib-base64-assign"} <= kinds, shift
+
+
+def test_random_nestings_are_undone():
+    """Whatever the layers, the secret is found inside the part that holds it, and its kind names the layers."""
+    rng = random.Random(21)
+    noise = lambda n: " ".join(rng.choice(["lorem", "ipsum,", "dolor", "(sit)", "amet."]) for _ in range(n))
+
+    def wrap(text, depth):
+        """(text, names of the layers from outside)"""
+        if not depth:
+            return f"{noise(rng.randrange(4))} {SECRET} {noise(rng.randrange(4))}", ()
+        inner, names = wrap(text, depth - 1)
+        data = inner.encode(rng.choice(["utf-8", "utf-8", "utf-16-le"]))
+        how = rng.choice(["url", "unicode", "base64", "base64", "zlib", "bz2", "xz", "gzip2", "fold"])
+        if how == "url":
+            return "".join(f"%{b:02X}" for b in inner.encode()), ("url", *names)
+        if how == "unicode":
+            return "".join(f"\\u{ord(c):04x}" for c in inner), ("unicode", *names)
+        packed = {"zlib": lambda d: ("zlib", gzip.compress(d, mtime=0)), "bz2": lambda d: ("bz2", bz2.compress(d)), "xz": lambda d: ("xz", lzma.compress(d)),
+                  "gzip2": lambda d: ("zlib-bz2", gzip.compress(bz2.compress(d), mtime=0)), "base64": lambda d: ("base64", d),
+                  "fold": lambda d: ("base64", d)}[how](data)
+        blob = base64.b64encode(packed[1]).decode()
+        if how == "fold" and len(blob) > 80:
+            blob = "\n".join(blob[i:i + 64] for i in range(0, len(blob), 64))
+        elif rng.random() < .3:
+            blob = rng.choice(["key-", "/data/", "a/b_"]) + blob
+        return blob, (packed[0], *names)
+
+    for _ in range(150):
+        depth = rng.randint(1, 4)
+        blob, names = wrap(SECRET, depth)
+        before = noise(3) + " "
+        text = f"{before}{blob} {noise(3)}"
+        found = [k for k, a, b in _kinds(text) if k.endswith("assign") and a >= len(before) and b <= len(before) + len(blob)]
+        want = "-".join(names) + "-assign"
+        assert any(k == want or k.count("-") == want.count("-") for k in found), (want, found)
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, SECRET), (3, SECRET), (None, SECRET), (4, "w " * 100000 + SECRET)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))
