@@ -50,22 +50,87 @@ def test_edges():
     assert h.main_text("<article><h1>T &am</h1><p>x &amp y</p></article>") == "T &am x & y"
 
 
-def test_host_consensus_decides_a_page_that_looks_otherwise(spark):
-    def page(body, aside):
-        return f"<body><div class='story-{len(body) % 7}'><p>{body}</p></div><div class='recirc'><p>{aside}</p></div></body>"
+def test_what_belongs_to_an_article_stays():
+    work = "<section id='related-work'><h2>Related work</h2><p>Others did it before.</p></section>"
+    assert h.main_text(f"<article><p>the text</p>{work}</article>") == "the text Related work Others did it before."
+    links = "<section id='related-articles'><h2>Related articles</h2><p><a href=x>One thing</a></p><p><a href=y>Another thing</a></p></section>"
+    assert h.main_text(f"<article><p>the text</p>{links}</article>") == "the text"
+    assert h.main_text("<article><header class='page-header'><h1>Title</h1></header><p>the text</p></article>") == "Title the text"
+    assert h.main_text("<header class='page-header'><h1>Site</h1></header><article><p>the text</p></article>") == "the text"
+    assert h.main_text("<article><p>so <math><mi>x</mi><mo>+</mo><msup><mi>y</mi><mn>2</mn></msup><annotation>tex</annotation></math> is</p></article>") == "so x+y2 is"
+    assert h.main_text("<article><p>super<wbr>cali a<img src=x>b c <img> d<br>e</p></article>") == "supercali ab c d e"
+
+
+def test_sibling_sections_without_a_heading():
+    a, b = "first part of it " * 5, "the second and longer part " * 9
+    for outer in ("body", "div"):
+        page = f"<{outer}><section class=intro><p>{a}</p></section><section class=rest><p>{b}</p></section></{outer}>"
+        assert h.main_text(page) == " ".join((a + b).split())
+    teasers = f"<body><div class=more><p>{a}</p></div><div class=rest><p>{b}</p></div></body>"
+    assert h.main_text(teasers) == b.strip()
+    nav = f"<body><section class=x><p><a href=1>{a}</a></p></section><section class=rest><p>{b}</p></section></body>"
+    assert h.main_text(nav) == b.strip()
+
+
+def test_memory_follows_the_length_of_a_page_and_not_its_depth():
+    import tracemalloc
+
+    tracemalloc.start()
+    deep = "<div class='level'>" * 200_000 + "deep"
+    assert h.main_text(deep) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert h.main_text("<div>" * 50_000 + "<p>x" + "</p></b></li></td>" * 50_000 + "<header>" * 50_000) == "x"
 
-    usual = [(i, "http://a.org/x", page("word " * (40 + i), "short")) for i in range(6)]
-    odd = [(10, "http://a.org/y", page("brief", "a long teaser about many other things " * 9)), (11, None, page("brief", "longer teaser " * 9)),
-           (12, "http://b.org/", "<article><p>alone</p></article>"), (13, "http://b.org/", None), (12, "http://b.org/", "<article><p>alone</p></article>")]
+
+def _page(body, aside):
+    return f"<body><div class='story-{len(body) % 7}'><p>{body}</p></div><div class='recirc'><p>{aside}</p></div></body>"
+
+
+def test_host_consensus_decides_a_page_that_looks_otherwise(spark):
+    usual = [(i, "http://a.org/x", _page("word " * (40 + i), "short")) for i in range(6)]
+    teaser = "a long teaser about many other things "
+    odd = [(10, "http://a.org/y", _page("brief", f"<a href='/z'>{teaser * 9}</a> of them")), (11, None, _page("brief", "longer teaser " * 9)),
+           (12, "http://b.org/", "<article><p>alone</p></article>"), (13, "http://b.org/", None), (12, "http://b.org/", "<article><p>alone</p></article>"),
+           (14, "http://a.org/z", _page("brief", teaser * 9))]
     df = spark.createDataFrame(usual + odd, "page_id long, url string, html string").withColumn("winner", F.lit(1)).withColumn("host", F.lit(1))
     got = [(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in h.extract(df).collect()]
     by = {r[0]: r for r in got}
     assert len(got) == len(usual + odd)
     assert by[10][2] == "brief" and by[11][2].startswith("longer teaser")
+    assert by[14][2] == (teaser * 9).strip()  # most of the page's text is elsewhere
     assert by[12][2] == "alone" and by[13][2:] == ("", 0)
     assert h.extract(df.where("false")).collect() == []
 
 
+def test_votes_and_winners_by_counting(spark):
+    import collections
+    import random
+
+    rng = random.Random(8)
+    tags = ["div", "section", "div class=a", "div class='b 12'", "main", "article"]
+    rows = [(i, f"http://h{rng.randrange(4)}.org/{i}", "<body>" + "".join(
+        f"<{t}><p>{'word ' * rng.randrange(30)}</p>" + (f"<a href=x>{'link ' * rng.randrange(9)}</a>" if rng.random() < .5 else "") + f"</{t.split()[0]}>"
+        for t in rng.choices(tags, k=3)) + "</body>") for i in range(120)]
+    votes, scores = collections.Counter(), collections.Counter()
+    for _, url, source in rows:
+        if top := h.Page(source).best():
+            votes[url.split("/")[2], top[0]] += 1
+            scores[url.split("/")[2], top[0]] += int(top[1] // 1)
+    want = {}
+    for (host, path), n in votes.items():
+        want[host] = max(want.get(host, (0, 0, "")), (n, scores[host, path], path))
+    got = {r["host"]: (r["winner"], r["votes"]) for r in h.host_paths(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {host: (path, n) for host, (n, _, path) in want.items()}
+    # each page's text by its host's winner, or by itself where that holds under half of the page's text
+    texts = {r["page_id"]: r["text"] for r in h.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, url, source in rows:
+        page = h.Page(source)
+        winner = page.text_at(got[url.split("/")[2]][0])
+        own = page.best()
+        assert texts[i] == (winner if winner and 2 * len(winner) >= page.size() else page.text_at(own[0]) if own else winner), i
+
+
 def test_query_returns_the_article_of_every_page(spark):
     """The pages' articles, taken out by their markers and stripped by plain replacement."""
     import html
