@@ -1,9 +1,11 @@
 """License scan: an exact set-similarity join of text blocks with license
 templates, in DataFrame functions only.
 
-A block is a line of a text, a template a short license statement, both as sets
-of words.  A block meets a template if it contains at least ``threshold`` of the
-template's words.  The join works as follows.
+A block is a line of a text, or what stands around the end of a line: up to twice
+as many words as the longest template has before and after it, so that a statement
+wrapped over several lines lies whole in such a block.  A template is a short license
+statement; both are sets of words.  A block meets a template if it contains at least
+``threshold`` of the template's words.  The join works as follows.
 
 * Words that no template has can't add to an overlap and are left out of blocks.
 * The remaining words are counted over all blocks of the corpus (a combinable
@@ -74,6 +76,26 @@ def _needed(n: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * n - 1e-9))
 
 
+#: Stands for the end of a line among the words of a text; two ends without a word between them are one.
+LINE_END = "\ue000"
+_LINE_ENDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
+
+
+def reach(templates=TEMPLATES) -> int:
+    """Places before and after a line's end that a block takes in: at least as many words as a template has,
+    as no two line ends stand together."""
+    return 2 * max(len(t.split()) for _, t in templates)
+
+
+def _joints(low: Column, templates, keys: Sequence[str]) -> Column:
+    """The words around each end of a line, where a join key is among them."""
+    r = reach(templates)
+    words = words_of(F.regexp_replace(low, _LINE_ENDS, f" {LINE_END} "))
+    known = F.array(*[F.lit(k) for k in keys])
+    windows = F.transform(words, lambda w, i: F.when(w == LINE_END, F.slice(words, F.greatest(i + 1 - r, F.lit(1)), F.least(i, F.lit(r)) + r + 1)))
+    return F.filter(windows, lambda w: w.isNotNull() & F.arrays_overlap(w, known))
+
+
 def _blocks(low: Column, vocabulary: Sequence[str]) -> Column:
     """Lines as arrays of distinct template words."""
     known = F.array(*[F.lit(w) for w in vocabulary])
@@ -142,7 +164,8 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
                       lambda x: x.isNotNull())
     # Template words of the blocks that have a join key, in the global order.
     lines = F.filter(F.split("low", "\n"), lambda b: b.rlike(some_key))
-    blocks = F.transform(lines, lambda b: F.array_intersect(ranked, words_of(b)))
+    blocks = F.transform(F.concat(F.transform(lines, words_of), _joints(F.col("low"), templates, keys)),
+                         lambda b: F.array_intersect(ranked, b))
     base = base.select("doc_id", "rid", F.size("words").cast("long").alias("n_words"),
                        F.size(at).cast("long").alias("n_base"),
                        F.array_min(at).cast("long").alias("first_word"), F.array_max(at).cast("long").alias("last_word"),

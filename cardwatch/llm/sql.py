@@ -12,7 +12,7 @@ def _text(s: str) -> str:
 
 
 def _license_scan() -> str:
-    """Every line against every template, without any filter."""
+    """Every line, and what stands around every end of a line, against every template, without any filter."""
     words = "list_filter(regexp_split_to_array(%s, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     places = []
@@ -20,13 +20,19 @@ def _license_scan() -> str:
         parts = phrase.split()
         here = " AND ".join(f"w[i + {k}] = {_text(p)}" for k, p in enumerate(parts, 1))
         places.append(f"SELECT rid, {_text(label)} AS label, unnest(list_filter(range(len(w)), lambda i: {here})) AS place FROM t")
+    r = license_scan.reach()
     templates = ", ".join(f"({k}, {_text(label)}, {sorted(set(t.split()))})" for k, (label, t) in enumerate(license_scan.TEMPLATES))
     return f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {low} AS low FROM documents),
 t AS MATERIALIZED (SELECT rid, doc_id, {words % 'low'} AS w FROM d),
 p AS ({' UNION ALL '.join(places)}),
 base AS (SELECT rid, count(*) AS n, min(place) AS f, max(place) AS l, list_sort(list(DISTINCT label)) AS labels FROM p GROUP BY rid),
-b AS (SELECT rid, list_distinct({words % 'line'}) AS s FROM (SELECT rid, unnest(string_split(low, chr(10))) AS line FROM d)),
+j AS MATERIALIZED (SELECT rid, {words % "regexp_replace(low, '[\x00-\x2F\x3A-\x60\x7B-\x7F]*\n[\x00-\x2F\x3A-\x60\x7B-\x7F]*', ' ' || chr(57344) || ' ', 'g')"} AS w
+      FROM d WHERE contains(low, chr(10))),
+b AS (SELECT rid, list_distinct({words % 'line'}) AS s FROM (SELECT rid, unnest(string_split(low, chr(10))) AS line FROM d)
+      UNION ALL
+      SELECT rid, list_distinct(w[greatest(i - {r}, 1):i + {r}]) AS s
+      FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM j) WHERE w[i] = chr(57344)),
 tpl(k, label, words) AS (VALUES {templates}),
 m AS (SELECT rid, label, len(list_intersect(s, words)) / len(words) AS share FROM b, tpl WHERE len(s) > 0),
 more AS (SELECT rid, list_sort(list(DISTINCT label)) AS labels, max(share) AS share FROM m

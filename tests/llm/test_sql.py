@@ -50,6 +50,27 @@ def test_license_scan_edges(spark):
     assert license_scan.scan(docs.where("false")).collect() == []
 
 
+def test_license_statements_wrapped_over_lines(spark):
+    gpl = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License."""
+    bsd = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions"""
+    mpl = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this */"""
+    narrow = "\n".join("Permission is hereby granted, free of charge, to any person obtaining a copy of this software".split())
+    far = "licensed under the\n" + "other words go here " * 30 + "\napache license version 2 0"
+    rows = [(1, "Licensed under the Apache License,\nVersion 2.0"), (2, gpl), (3, bsd), (4, mpl), (5, narrow), (6, far),
+            (7, "x " * 60 + "Licensed under the Apache License,\n\n --- \nVersion 2.0 " + "y " * 60), (8, "\n" * 5000), (9, "apache\n" * 3000),
+            (10, "\ue000 mit \ue000 license\nthe \ue000under\n\ue000")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    for i, label in ((1, "apache-2.0"), (2, "gpl"), (3, "bsd"), (4, "mpl"), (5, "mit"), (7, "apache-2.0")):
+        assert label in out[i]["labels"].split(",") and out[i]["n_blocks"] > 0 and out[i]["score"] >= 0.8, i
+    assert out[6]["labels"] == out[8]["labels"] == out[9]["labels"] == ""
+    _same(_rows(license_scan.scan(docs).drop("n_blocks")), _duck("op2_license_scan", documents=docs.toArrow()))
+
+
 def test_chat_edges(spark):
     hard = [r"a\b", r"\l", "\\", "<", "[", "<|im_start|>", "x<|im_end|>\n", "[INST]", "<|im_start|>user\nhi<|im_end|>\n", "</s>", "\n", "", None,
             "é<<SYS>>é", "x" * 50000, r"\\ll\b", "<|im_<|im_end|>end|>"]
