@@ -81,23 +81,14 @@ def _feed_days(tt) -> DataFrame:
     return tt.transactions().select(F.col("feed_dt").alias("d")).distinct()
 
 
-def feed_names(tt) -> DataFrame:
-    d = _feed_days(tt)
-    parts = [d.select(F.lit(src).alias("feed"),
-                      F.concat(F.lit(p), F.date_format("d", "ddMMyyyy"), F.lit(FEED_EXT[src]))
-                      .alias("name"))
-             for src, p in FEED_PREFIXES.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("name")
-
-
-def _raw_transactions_text(tt, day=None) -> DataFrame:
+def _raw_transactions_text(tt, day=None, keep=()) -> DataFrame:
     t = tt.transactions()
     if day is not None:  # the rows of one day's file
         t = t.where(F.col("feed_dt") == date_lit(day))
     return t.select(F.col("trans_id").alias("transaction_id"),
                     F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transaction_date"),
                     F.translate(F.col("amt").cast("string"), ".", ",").alias("amount"),
-                    "card_num", "oper_type", "oper_result", "terminal")
+                    "card_num", "oper_type", "oper_result", "terminal", *keep)
 
 
 def _write_feed(spark, df: DataFrame, prefix: str, ext: str) -> str:
@@ -123,9 +114,33 @@ def q_feed_terminals(spark, sf):
     return feeds.read_terminals(spark, _write_feed(spark, t, FEED_PREFIX_TERMINALS, ".csv"))
 
 
+def _write_entries(spark, tt) -> str:
+    """A feed folder as it is delivered: an entry per feed and day; the transactions of that day's
+    file, and the headers alone of the other feeds (their listing reads no content)."""
+    root = scratch_dir(spark, "feeds")
+    t = _raw_transactions_text(tt, keep=["feed_dt"])
+    name = lambda src: F.concat(F.lit(FEED_PREFIXES[src]), F.date_format("feed_dt", "ddMMyyyy"), F.lit(FEED_EXT[src]))
+    fields = [c for c in t.columns if c != "feed_dt"]
+    lines = t.select(name("transactions").alias("name"), F.concat_ws(";", *fields).alias("value"))
+    days = _feed_days(tt).withColumnRenamed("d", "feed_dt")
+    heads = {"transactions": ";".join(fields), "blacklist": "date;passport", "terminals": "terminal_id;terminal_type;terminal_city;terminal_address"}
+    for src, head in heads.items():
+        lines = lines.unionByName(days.select(name(src).alias("name"), F.lit(head).alias("value")))
+    feeds.write_text_entries(lines, root)
+    return root
+
+
 def q_feed_select(spark, sf, mode=feeds.INTENDED):
     tt = _tt(spark, sf)
-    return feeds.pick_feeds(feed_names(tt), meta_before(tt), FEED_PREFIXES, mode)
+    names = feeds.list_entries(spark, _write_entries(spark, tt))
+    return feeds.pick_feeds(names, meta_before(tt), FEED_PREFIXES, mode)
+
+
+def q_feed_entries(spark, sf):
+    """The listing itself: every entry's name and date, no content."""
+    spark.dataSource.register(feeds.FeedEntries)
+    listed = spark.read.format("feed_entries").load(_write_entries(spark, _tt(spark, sf)))
+    return listed.select("name", "file_dt", "folder")
 
 
 # ------------------------------------------------------------------ staging / sinks
@@ -194,8 +209,43 @@ def q_fact_blacklist_refresh(spark, sf):
     return warehouse.read_blacklist(spark, root, run_id="r1")
 
 
-def q_watermark_advance_snapshots(spark, sf, mode=watermark.INTENDED):
+def q_stage_refresh_rewrite(spark, sf):
+    """K1 onto filled staging: a committed run's copy, then a run whose snapshot lacks some cards.  Until
+    that run commits, the older copy is the current one; afterwards nothing of it is left in the current."""
+    root = scratch_dir(spark, "staging")
+    columns = ["card_num", "account_num", "create_dt", "update_dt"]
+
+    def stage(tt, run_id, previous):
+        st = staging.stage_snapshot("cards", tt.snapshot("cards"))
+        warehouse.write_staging(st.tagged, root, "cards", run_id)
+        current = warehouse.current_staging(spark, root, "cards")  # as readers see it meanwhile
+        warehouse.commit(spark, root, run_id, RUN_TS, dim_runs={"cards": run_id}, expect_previous=previous)
+        return current
+
+    stage(_all(spark, sf), "r1", None)
+    before = stage(_tt(spark, sf), "r2", "r1")
+    after = warehouse.current_staging(spark, root, "cards")
+    return (before.select(F.lit("before").alias("seen"), *columns)
+            .unionByName(after.select(F.lit("after").alias("seen"), *columns)))
+
+
+def q_blacklist_refresh_rewrite(spark, sf):
+    """K3 onto a filled blacklist: the later file names other passports; the earlier ones are gone
+    once its run commits, and not before."""
+    root = scratch_dir(spark, "blacklist")
     tt = _tt(spark, sf)
+    earlier = tt.snapshot("clients").select(date_lit(REPORT_DT).alias("enty_dt"), "passport_num")
+    warehouse.refresh_blacklist(earlier, root, "r1")
+    warehouse.commit(spark, root, "r1", RUN_TS, blacklist_run="r1", expect_previous=None)
+    warehouse.refresh_blacklist(tt.blacklist(), root, "r2")
+    before = warehouse.current_blacklist(spark, root)
+    warehouse.commit(spark, root, "r2", RUN_TS, blacklist_run="r2", expect_previous="r1")
+    after = warehouse.current_blacklist(spark, root)
+    return before.withColumn("seen", F.lit("before")).unionByName(after.withColumn("seen", F.lit("after")))
+
+
+def q_watermark_advance_snapshots(spark, sf, mode=watermark.INTENDED):
+    tt = _all(spark, sf)
     maxima = watermark.snapshot_maxima({n: staged(tt, n) for n in ("cards", "accounts", "clients")})
     return watermark.advance_snapshots(meta_before(tt), maxima, mode)
 
@@ -316,7 +366,7 @@ def q_join_existence(spark, sf):
 
 def q_join_multi_key(spark, sf):
     """Staged terminals matched to live open versions on (type, city, address)."""
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     s = tt.snapshot("terminals")
     o = scd2.open_rows(tt.dim_before("terminals")).where(F.col("deleted_flg") == "N")
     keys = ["terminal_type", "terminal_city", "terminal_address"]
@@ -331,7 +381,7 @@ def q_filter_success(spark, sf):
 
 
 def q_filter_null_safe_diff(spark, sf):
-    tt = _tt(spark, sf)
+    tt = _all(spark, sf)
     spec = DIMS["clients"]
     o = scd2.open_rows(tt.dim_before("clients")).where(F.col("deleted_flg") == "N")
     s = staged(tt, "clients")
@@ -432,6 +482,9 @@ def queries() -> dict[str, Query]:
         "fact_append_existing": q_fact_append_existing,
         "watermark_after_literal_run": q_watermark_after_literal_run,
         "fact_blacklist_refresh": q_fact_blacklist_refresh,
+        "feed_entries": q_feed_entries,
+        "stage_refresh_rewrite": q_stage_refresh_rewrite,
+        "blacklist_refresh_rewrite": q_blacklist_refresh_rewrite,
         "watermark_advance_feeds": lambda s, sf: watermark.advance_feeds(
             meta_before(_tt(s, sf)), {"transactions": FEED_DT, "blacklist": FEED_DT,
                                       "terminals": FEED_DT}),

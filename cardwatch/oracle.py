@@ -429,7 +429,8 @@ WHOLE = {"snapshot_cards", "snapshot_accounts", "snapshot_clients", "feed_termin
          "keys_cards", "keys_accounts", "keys_clients", "keys_terminals", "report_client_info", "report_trans_info",
          "report_passport", "report_passport_literal", "report_contract", "report_contract_literal", "report_hop_pairs",
          "report_hop_pairs_literal", "report_hop_base", "report_hop_pairs_stored", "report_append_mart", "join_inner", "join_trimmed_key", "join_left",
-         "join_existence", "agg_max_update", "sort_report"}
+         "join_existence", "join_multi_key", "filter_null_safe_diff", "agg_max_update", "sort_report", "watermark_advance_snapshots",
+         "watermark_advance_snapshots_literal", "watermark_after_literal_run"}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -458,6 +459,12 @@ FROM fact""",
         "stage_wide_values": _with() + "SELECT * REPLACE (last_name || repeat('x', 40) AS last_name, phone || ' extension 12345' AS phone) FROM stg_clients",
         "watermark_after_literal_run": f"SELECT schema_name, source_name, CASE WHEN source_name IN ('transactions', 'terminals') THEN {FEED} ELSE max_update_dt END AS max_update_dt FROM ({watermark_snapshots(False)})",
         "fact_blacklist_refresh": _with() + "SELECT * FROM blacklist_f",
+        "feed_entries": _with("days AS (SELECT DISTINCT feed_dt AS d FROM fact)") + """SELECT p || strftime(d, '%d%m%Y') || e AS name, d AS file_dt, true AS folder
+FROM days, (VALUES ('transactions_', '.txt'), ('passport_blacklist_', '.xlsx'), ('terminals_', '.xlsx')) f(p, e)""",
+        "stage_refresh_rewrite": _with() + "SELECT 'after' AS seen, * FROM stg_cards UNION ALL SELECT 'before', s.* FROM ("
+                                 + (_with() + "SELECT * FROM stg_cards").replace("WHERE k % 17 <> 0", "") + ") s",
+        "blacklist_refresh_rewrite": _with() + f"""SELECT 'after' AS seen, enty_dt, passport_num FROM blacklist_f
+UNION ALL SELECT 'before', {REPORT}, passport_num FROM stg_clients""",
         "watermark_advance_feeds": _with() + f"""SELECT schema_name, source_name,
   CASE WHEN source_name IN ('transactions', 'blacklist', 'terminals') THEN {FEED}
        ELSE max_update_dt END AS max_update_dt FROM meta_before""",

@@ -70,13 +70,13 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 def _stage_to(spark, root, run_id, name, st: staging.Staged) -> tuple[DataFrame, DataFrame]:
     """K1: write the staged rows with their reject reason in one pass over the
     source; read good rows and rejects back from that copy."""
-    st.tagged.write.mode("overwrite").parquet(f"{root}/stg_{name}/run={run_id}")
+    warehouse.write_staging(st.tagged, root, name, run_id)
     return _staged_by(spark, root, run_id, name, st.columns)
 
 
 def _staged_by(spark, root, run_id, name, columns) -> tuple[DataFrame, DataFrame]:
     """Good rows and rejects of a source as that run staged them."""
-    back = spark.read.parquet(f"{root}/stg_{name}/run={run_id}")
+    back = warehouse.read_staging(spark, root, name, run_id)
     return (back.where(F.col("reason").isNull()).select(*columns),
             back.where(F.col("reason").isNotNull()))
 

@@ -61,6 +61,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+# ------------------------------------------------------------------ staging
+def write_staging(tagged: DataFrame, root: str, name: str, run_id: str) -> None:
+    """K1: this run's staged rows with their reject reason, in a folder of its own: what an
+    earlier run staged stays readable until this run's commit makes the new copy current."""
+    tagged.write.mode("overwrite").parquet(_p(root, f"stg_{name}", f"run={run_id}"))
+
+
+def read_staging(spark: SparkSession, root: str, name: str, run_id: str) -> DataFrame:
+    return spark.read.parquet(_p(root, f"stg_{name}", f"run={run_id}"))
+
+
+def staging_run(spark: SparkSession, root: str, name: str) -> str | None:
+    """The committed run whose staged copy of ``name`` is current (one row of the log)."""
+    log = committed_runs(spark, root)
+    if name == "transactions":
+        log = log.where(F.col("transactions_dt").isNotNull()).select("run_id", F.col("run_id").alias("at"))
+    else:
+        log = log.select("run_id", F.col(f"{name}_run").alias("at"))
+    return log.agg(F.max_by("at", "run_id").alias("m")).collect()[0].m
+
+
+def current_staging(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The staged copy of the newest run that was committed with one; None before any."""
+    run_id = staging_run(spark, root, name)
+    return None if run_id is None else read_staging(spark, root, name, run_id)
+
+
 # ------------------------------------------------------------------ facts
 def append_transactions(rows: DataFrame, root: str, run_id: str, feed_dt: dt.date | None = None,
                         feed_dt_col: Column | None = None) -> None:
@@ -100,6 +127,12 @@ def read_blacklist(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     return spark.read.schema(STG_BLACKLIST).parquet(_p(root, "fact_blacklist", f"run={run_id}"))
 
 
+def current_blacklist(spark: SparkSession, root: str) -> DataFrame:
+    """The blacklist as the newest committed run has it."""
+    run_id = staging_run(spark, root, "blacklist")
+    return spark.createDataFrame([], STG_BLACKLIST) if run_id is None else read_blacklist(spark, root, run_id)
+
+
 # ------------------------------------------------------------------ dimensions
 def write_dimension(merged: DataFrame, root: str, name: str, run_id: str,
                     buckets: int = 0) -> None:
@@ -349,7 +382,10 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
                 if _fs_delete(spark, path):
                     removed.append(path)
     runs = [r.run_id for r in log]
+    in_use = {log[-1][f"{n}_run"] for n in (*DIMS, "blacklist")}  # a catch-up's runs share their staged copies
     for old in runs[:-keep] if keep > 0 else runs:
+        if old in in_use:
+            continue
         for src in ("cards", "accounts", "clients", "transactions", "blacklist", "terminals"):
             path = _p(root, f"stg_{src}", f"run={old}")
             if _fs_delete(spark, path):

@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from cardwatch.schemas import FEED_DATE_FORMAT, FEED_TERMINALS_RAW, FEED_TRANSACTIONS_RAW
 
@@ -26,9 +27,63 @@ def _re_escape(s: str) -> str:
     return "".join(out)
 
 
+class FeedEntries(DataSource):
+    """``spark.read.format("feed_entries").load(folder)``: (name, file_dt, folder, modified) of
+    each entry of a feed folder, without its contents.  Only the folder's top level is
+    listed, by one task; ``file_dt`` is the date after the last ``_`` of the name up to its
+    first dot, NULL where there is none.  An entry is a file, or a folder of part files;
+    names that begin with ``_`` or ``.`` are none."""
+
+    SCHEMES = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+
+    @classmethod
+    def name(cls) -> str:
+        return "feed_entries"
+
+    def schema(self) -> str:
+        return "name string, file_dt date, folder boolean, modified timestamp"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _FeedEntriesReader(self.options["path"])
+
+
+class _FeedEntriesReader(DataSourceReader):
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(self.path)]
+
+    def read(self, partition: InputPartition):
+        from pyarrow import fs
+
+        where = partition.value
+        if where.startswith("file:"):
+            where = "/" + where[len("file:"):].lstrip("/")
+        store, path = fs.FileSystem.from_uri(where)
+        for f in sorted(store.get_file_info(fs.FileSelector(path)), key=lambda f: f.base_name):
+            if f.base_name.startswith(("_", ".")):
+                continue
+            yield f.base_name, entry_date(f.base_name), f.type == fs.FileType.Directory, f.mtime
+
+
+def entry_date(name: str) -> dt.date | None:
+    """The date in an entry's name."""
+    text = name.split(".")[0].rsplit("_", 1)[-1]
+    try:
+        return dt.datetime.strptime(text, "%d%m%Y").date() if len(text) == 8 else None
+    except ValueError:
+        return None
+
+
 def list_entries(spark: SparkSession, root: str) -> DataFrame:
     """Names in a feed folder: one listing of its top level, so part files below an entry
-    aren't listed and no content is read.  One name per delivered entry: metadata."""
+    aren't listed and no content is read.  One name per delivered entry: metadata.  Stores that
+    only Spark's own file systems know are listed by the driver."""
+    scheme = root.split(":", 1)[0] if "://" in root or root.startswith("file:") else ""
+    if scheme in FeedEntries.SCHEMES:
+        spark.dataSource.register(FeedEntries)
+        return spark.read.format(FeedEntries.name()).load(root).select("name")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [(s.getPath().getName(),) for s in fs.listStatus(path)]
@@ -110,3 +165,17 @@ def write_text_feed(df: DataFrame, path: str, sep: str = ";") -> None:
     (df.write.mode("errorifexists").option("header", "true").option("sep", sep)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
+
+
+def write_text_entries(lines: DataFrame, root: str) -> None:
+    """Write a folder of text entries in one job: ``lines`` holds (name, value), a line each.  Every
+    entry is a folder of part files."""
+    spark = lines.sparkSession
+    part = f"{root}/_entries"
+    lines.select("name", "value").write.mode("errorifexists").partitionBy("name").text(part)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(part)):  # one folder per entry
+        folder = status.getPath().getName()
+        if folder.startswith("name="):
+            fs.rename(status.getPath(), path(f"{root}/{folder[len('name='):]}"))

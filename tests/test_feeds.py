@@ -154,3 +154,39 @@ def test_spark_written_feed_folder_is_one_entry(spark, tmp_path):
     assert got == [("terminals_05032021.csv",), ("transactions_05032021.txt",)]
     picked = _pick(spark, feeds.list_entries(spark, str(root)), "2021-03-01")
     assert rows(picked, "name", "file_dt") == [("transactions_05032021.txt", d("2021-03-05"))]
+
+
+def test_entries_are_a_data_source_that_reads_no_content(spark, tmp_path):
+    spark.dataSource.register(feeds.FeedEntries)
+    for name in ("transactions_01032021.txt", "notes.md", "terminals_31022021.csv", "_SUCCESS", ".hidden_01032021"):
+        (tmp_path / name).write_text("x\n")
+    part = tmp_path / "passport_blacklist_02032021.csv"
+    part.mkdir()
+    (part / "part-0").write_text("x\n")
+    os.chmod(part / "part-0", 0)
+    got = spark.read.format("feed_entries").load(str(tmp_path))
+    assert rows(got, "name", "file_dt", "folder") == [
+        ("notes.md", None, False), ("passport_blacklist_02032021.csv", d("2021-03-02"), True),
+        ("terminals_31022021.csv", None, False), ("transactions_01032021.txt", d("2021-03-01"), False)]
+    assert rows(spark.read.format("feed_entries").load(f"file://{tmp_path}"), "name") == rows(got, "name")
+    assert all(r.modified is not None for r in got.collect())
+
+
+def test_entries_written_in_one_job(spark, tmp_path):
+    lines = spark.createDataFrame([("a_01032021.txt", "x;y"), ("a_01032021.txt", "1;2"), ("b_02032021.csv", "z")], "name string, value string")
+    feeds.write_text_entries(lines, str(tmp_path))
+    assert rows(feeds.list_entries(spark, str(tmp_path))) == [("a_01032021.txt",), ("b_02032021.csv",)]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "a_01032021.txt")).collect()) == ["1;2", "x;y"]
+
+
+def test_vacuum_keeps_staged_copies_that_later_runs_share(spark, tmp_path):
+    from cardwatch.sinks import warehouse
+    root = str(tmp_path)
+    df = spark.createDataFrame([("C1",)], "card_num string")
+    for run, cards in (("r1", "r1"), ("r2", "r2"), ("r3", "r2"), ("r4", "r2"), ("r5", "r2")):
+        if cards == run:
+            warehouse.write_staging(df, root, "cards", run)
+        warehouse.commit(spark, root, run, dt.datetime(2024, 1, 1), dim_runs={"cards": cards})
+    warehouse.vacuum(spark, root)
+    assert not os.path.exists(f"{root}/stg_cards/run=r1") and os.path.exists(f"{root}/stg_cards/run=r2")
+    assert warehouse.current_staging(spark, root, "cards").count() == 1
