@@ -45,10 +45,10 @@ from .words import Texts, hashes, mix
 WINDOW = 8
 MIN_LITERALS = 5
 MIN_WINDOWS = 6
-#: Bits of the bitmap that tasks test windows against, for each benchmark window, and the logarithms of its least and
-#: largest size (8 kB; 32 MB, which 16 million windows fill to the same degree).
-BITS_A_WINDOW = 16
-BITMAP_BITS = (16, 28)
+#: Bits of the bitmap that tasks test windows against, for each benchmark window (one in 64 of other windows passes at
+#: most), and the logarithms of its least and largest size (1 MB; 32 MB, which 4 million windows fill to that degree).
+BITS_A_WINDOW = 64
+BITMAP_BITS = (23, 28)
 # Units that follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb lbs oz t l ml s sec secs second seconds min mins minute minutes h hr hrs hour "
                   "hours day days week weeks month months year years meter meters metre metres kilometer kilometers mile miles "

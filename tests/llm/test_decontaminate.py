@@ -134,7 +134,7 @@ def test_random_edits_against_brute_force(spark):
 
 
 def test_the_bitmap_grows_with_the_windows():
-    assert [dc.bitmap_bits(n) for n in (0, 1, 4096, 4097, 1 << 20, 1 << 24, 1 << 40)] == [16, 16, 16, 17, 24, 28, 28]
+    assert [dc.bitmap_bits(n) for n in (0, 1, 1 << 17, (1 << 17) + 1, 1 << 20, 1 << 22, 1 << 40)] == [23, 23, 23, 24, 26, 28, 28]
 
 
 def test_items_that_are_mostly_slots_match_the_same_values(spark):
