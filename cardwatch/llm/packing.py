@@ -1,24 +1,27 @@
 """Mixture-controlled packing of documents into token sequences.
 
-Each source is a queue of its documents' tokens, one after the other.  Every window of
-``SEQUENCE`` tokens credits each queue with its target share; what whole tokens can't
-serve is its deficit and is carried on to the next windows.  A window's free tokens go
-to the queues with the largest deficits, so that every window is full and no queue is
-ever a token or so away from its target.  When a queue runs dry, its share goes to the
-others in proportion.
-
-The served counts after any number of windows follow from the totals alone (``Mixture``),
-which is how deficits are carried from partition to partition: a task that holds a
-stretch of a queue knows the state at its first window without any other task's work.
+Each source is a queue of its documents' tokens, one after the other.  Deficit round-robin
+serves a queue a quantum of ``QUANTUM`` tokens at a time: the queue whose deficit (its
+target share of all that was served, less what it was served itself) is largest comes
+next, and what it wasn't served is carried on, over the ends of windows and partitions.
+So every run of windows holds the sources in their target shares, to a quantum each, and
+documents are cut only where a quantum or a window ends.  When a queue runs dry, its share
+goes to the others in proportion.
+
+What is served before any quantum follows from the totals alone (``Mixture.places``), so a
+task that holds a stretch of a queue knows where each of its quanta goes without any other
+task's work, in a time that doesn't depend on how much was served before.
 
 1. Tasks tokenise whole texts and number the tokens of each source within the
    partition; the token ids are written to the shared folder once.
-2. Token counts by source and partition are summed up; a running sum over that small
-   table gives each stretch its place in its queue.
-3. Tasks read the ids again and cut documents where the windows end.
+2. Token counts by source and partition are summed up; running sums over that small
+   table give each stretch its place in its queue.
+3. Tasks read the ids again and cut documents where quanta and windows end; pieces that
+   come to lie next to each other are one.
 
-All windows but the last are full.  The largest ``MAX_QUEUES - 1`` sources have a queue
-of their own, others share one, so the driver holds at most ``MAX_QUEUES`` totals.
+All windows but the last are full.  The largest ``MAX_QUEUES - 1`` sources and all that
+``targets`` names (at most ``MAX_TARGETS``, or it fails) have a queue of their own, others
+share one, so the driver holds a bounded number of totals.
 
 Null texts count as empty (one token, the end); null and empty sources are one source.
 Repeated rows are packed as often as they occur.  Ties between deficits go to the
@@ -28,12 +31,11 @@ columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import json
 import os
 import re
 import zlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,11 @@ from .common import if_small, slices, stored
 SEQUENCE = 2048
 END_ID = 1
 MAX_QUEUES = 256
+MAX_TARGETS = 4096
+#: Tokens that a queue is served at a time: a quarter of a window.
+QUANTUM = SEQUENCE // 4
+#: Buckets of the sources that share a queue; their places are summed bucket by bucket.
+_BUCKETS = 1024
 #: Chunks between white space, and pieces of them, that a task remembers before it starts anew.
 _REMEMBERED = 600_000
 
@@ -122,87 +129,35 @@ _RULES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 class Mixture:
-    """Which tokens of each queue lie in which window.
+    """Where the quanta of each queue lie among all tokens.
 
-    Token ``j`` of a queue with target share ``g`` falls due at ``(j + 0.5) / g``; tokens are
-    served in the order of that time, then queue, ``sequence`` of them per window.  That is
-    deficit round-robin with tokens as packets: at any time a queue's deficit is its share of
-    the time passed less the tokens it was served.
+    Quantum ``j`` of a queue with target share ``g`` falls due at ``(j + 0.5) * quantum / g``;
+    quanta are served in the order of that time, then queue, one after the other.  That is
+    deficit round-robin: at any time a queue's deficit is its share of the time passed less
+    the tokens it was served.
     """
 
-    def __init__(self, totals: list[int], shares: list[float] | None = None, sequence: int = SEQUENCE):
-        self.totals, self.sequence = totals, sequence
-        self.total = sum(totals)
-        self.shares = [float(s) for s in (shares or totals)]
-        dry = sorted({t / g for t, g in zip(totals, self.shares) if t})
-        self._breaks = [0.0, *dry]
-        self._served = [self._sum(v) for v in self._breaks]
-        self._cache: dict[int, list[int]] = {}
-
-    def _sum(self, v: float) -> float:
-        return sum(min(float(t), g * v) for t, g in zip(self.totals, self.shares))
-
-    def _time(self, served: int) -> float:
-        """About when ``served`` tokens were served."""
-        lo = 0
-        while lo + 2 < len(self._breaks) and self._served[lo + 1] < served:
-            lo += 1
-        a, b = self._served[lo], self._served[lo + 1]
-        return self._breaks[lo] + (self._breaks[lo + 1] - self._breaks[lo]) * ((served - a) / (b - a) if b > a else 0.0)
-
-    def after(self, windows: int) -> list[int]:
-        """Tokens of each queue served by the first ``windows`` windows; exact."""
-        done = self._cache.get(windows)
-        if done is not None:
-            return done
-        want = min(self.sequence * windows, self.total)
-        n = list(self.totals) if want == self.total else self._served_first(want)
-        if len(self._cache) > 100_000:
-            self._cache.clear()
-        self._cache[windows] = n
-        return n
-
-    def _due(self, k: int, j: int) -> float:
-        return (j + 0.5) / self.shares[k]
-
-    def _before(self, v: float) -> list[int]:
-        """Tokens of each queue that fall due before ``v``."""
-        n = []
-        for k, (t, g) in enumerate(zip(self.totals, self.shares)):
-            j = min(t, max(0, int(g * v + 0.5)))
-            while j and self._due(k, j - 1) >= v:
-                j -= 1
-            while j < t and self._due(k, j) < v:
-                j += 1
-            n.append(j)
-        return n
-
-    def _served_first(self, want: int) -> list[int]:
-        """The first ``want`` tokens by due time and queue: a cut in time a little early,
-        then one token after the other."""
-        early = len(self.totals) // 2 + 1
-        n = self._before(self._time(want - early))
-        while sum(n) > want:
-            early *= 2
-            n = self._before(self._time(max(0, want - early)))
-        waiting = [(self._due(k, j), k) for k, j in enumerate(n) if j < self.totals[k]]
-        heapq.heapify(waiting)
-        for _ in range(want - sum(n)):
-            k = waiting[0][1]
-            n[k] += 1
-            if n[k] < self.totals[k]:
-                heapq.heapreplace(waiting, (self._due(k, n[k]), k))
+    def __init__(self, totals: list[int], shares: list[float] | None = None, quantum: int = QUANTUM):
+        self.totals, self.quantum = np.array(totals, np.int64), quantum
+        self.rate = np.array(shares or totals, float) / quantum
+        self.quanta = -(-self.totals // quantum)
+
+    def places(self, queue: int, j: np.ndarray) -> np.ndarray:
+        """Tokens that are served before quantum ``j`` of ``queue``; exact, by counting the quanta of each
+        queue that come before it."""
+        out = np.zeros(len(j), np.int64)
+        due = (j + 0.5) / self.rate[queue]
+        for k, (rate, quanta, total) in enumerate(zip(self.rate, self.quanta, self.totals)):
+            if k == queue:
+                n = j
             else:
-                heapq.heappop(waiting)
-        return n
-
-    def window_of(self, queue: int, at: int) -> int:
-        """The window that holds token ``at`` of ``queue``."""
-        lo, hi = 0, -(-self.total // self.sequence)
-        while lo + 1 < hi:
-            mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if self.after(mid)[queue] <= at else (lo, mid)
-        return lo
+                before = (lambda i: (i + 0.5) / rate <= due) if k < queue else (lambda i: (i + 0.5) / rate < due)
+                n = np.clip(np.ceil(due * rate - 0.5), 0, quanta).astype(np.int64)
+                for _ in range(2):  # the estimate is one off at most, where times are all but equal
+                    n -= (n > 0) & ~before(n - 1)
+                    n += (n < quanta) & before(n)
+            out += np.minimum(n * self.quantum, total)
+        return out
 
 
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -229,35 +184,66 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "te
     return rows.mapInArrow(run, f"doc_id {id_type}, source string, part int, before long, n long, wide int, ids binary")
 
 
-def queue_totals(counts: DataFrame, most: int = MAX_QUEUES) -> tuple[list[str | None], list[int]]:
-    """Names and totals of the queues, largest first; sources beyond ``most`` - 1 share the last, named None.
-    Brings at most ``most`` rows to the driver."""
+def queue_totals(counts: DataFrame, most: int = MAX_QUEUES, named: Sequence[str] = ()) -> tuple[list[str | None], list[int]]:
+    """Names and totals of the queues, largest first: the ``named`` sources and the largest others up to ``most`` - 1;
+    the rest share the last, named None.  Brings at most ``most`` and ``named`` rows to the driver."""
     by = counts.groupBy("source").agg(F.sum("n").alias("n"))
-    top = by.orderBy(F.desc("n"), "source").limit(most - 1).collect()
+    given = F.col("source").isin(list(named))
+    top = by.orderBy(F.desc(given), F.desc("n"), "source").limit(max(most - 1, len(named))).collect()
+    top = sorted(top, key=lambda r: (-r["n"], r["source"]))
     names, totals = [r["source"] for r in top], [r["n"] for r in top]
-    if len(top) == most - 1:
-        rest = by.agg(F.sum("n").alias("n")).first()["n"] - sum(totals)
-        if rest:
-            names.append(None)
-            totals.append(rest)
+    rest = by.agg(F.sum("n").alias("n")).first()["n"]
+    rest = (rest or 0) - sum(totals)
+    if rest:
+        names.append(None)
+        totals.append(rest)
     return names, totals
 
 
-def pieces_of(start: int, n: int, queue: int, mixture: Mixture, window: int) -> list[tuple[int, int, int, int]]:
-    """(tokens of the document before it, length, window, offset) of each piece of a document
-    whose ``n`` tokens begin at ``start`` of the queue, at or after ``window``."""
-    out, at, end = [], start, start + n
-    while at < end:
-        upto = mixture.after(window + 1)
-        if upto[queue] <= at:
-            window += 1
-            continue
-        since = mixture.after(window)
-        stop = min(end, upto[queue])
-        offset = sum(upto[:queue]) - sum(since[:queue]) + at - since[queue]
-        out.append((at - start, stop - at, window, offset))
-        at = stop
-    return out
+def token_places(counts: DataFrame, names: list[str | None]) -> DataFrame:
+    """``source``, ``part``, ``place``: tokens of the queue before those that a partition has of a source.  Sums run over
+    the partitions of a source, and for the shared queue over the sources of a bucket and over the buckets."""
+    before = lambda by, *order: Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = counts.select("source", "part", F.coalesce(F.sum("n").over(before("source", "part")), F.lit(0)).alias("_own"))
+    shared = counts.where(~F.col("source").isin([x for x in names if x is not None])).groupBy("source").agg(F.sum("n").alias("n"))
+    shared = shared.withColumn("_b", F.pmod(F.xxhash64("source"), F.lit(_BUCKETS)))
+    buckets = shared.groupBy("_b").agg(F.sum("n").alias("n"))  # _BUCKETS rows at most
+    buckets = buckets.select("_b", F.coalesce(F.sum("n").over(before(F.lit(0), "_b")), F.lit(0)).alias("_to"))
+    shared = shared.select("source", "_b", F.coalesce(F.sum("n").over(before("_b", "source")), F.lit(0)).alias("_in")).join(F.broadcast(buckets), "_b")
+    return own.join(shared, "source", "left").select("source", "part", (
+        F.col("_own") + F.coalesce(F.col("_in") + F.col("_to"), F.lit(0))).alias("place"))
+
+
+def pieces_of(queue: np.ndarray, at: np.ndarray, n: np.ndarray, mixture: Mixture, sequence: int) -> tuple[np.ndarray, ...]:
+    """Row, tokens of the document before it, length, window and offset of each piece of documents
+    whose ``n`` tokens begin at ``at`` of their queues."""
+    q = mixture.quantum
+    first = at // q
+    many = (at + n - 1) // q - first + 1
+    row = np.repeat(np.arange(len(at)), many)
+    j = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + first[row]
+    since = np.maximum(at[row], j * q)
+    size = np.minimum((at + n)[row], (j + 1) * q) - since
+    place = np.zeros(len(row), np.int64)
+    for k in np.unique(queue):
+        mine = np.flatnonzero(queue[row] == k)
+        each, which = np.unique(j[mine], return_inverse=True)
+        place[mine] = mixture.places(int(k), each)[which]
+    place += since - j * q
+    # cut at the ends of windows
+    parts = (place + size - 1) // sequence - place // sequence + 1
+    cut = np.repeat(np.arange(len(row)), parts)
+    window = np.arange(len(cut)) - np.repeat(np.cumsum(parts) - parts, parts) + place[cut] // sequence
+    begin = np.maximum(place[cut], window * sequence)
+    end = np.minimum((place + size)[cut], (window + 1) * sequence)
+    start = (since - at[row])[cut] + begin - place[cut]
+    row = row[cut]
+    # pieces of a document that lie next to each other in a window are one
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1]) | (begin[1:] != end[:-1])
+    head = np.flatnonzero(new)
+    length = np.add.reduceat(end - begin, head) if len(head) else end
+    return row[head], start[head], length, window[head], begin[head] - window[head] * sequence
 
 
 def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence: int = SEQUENCE, path: str | None = None,
@@ -269,43 +255,34 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, sequence:
     path = path or tokenizer_path()
     table = stored(spark, tokenise(docs, path, id_col, text, source), "token-ids")
     counts = stored(spark, table.groupBy("source", "part").agg(F.sum("n").alias("n")), "token-counts")
-    names, totals = queue_totals(counts)
+    if targets and len(targets) > MAX_TARGETS:
+        raise ValueError(f"{len(targets)} targets; at most {MAX_TARGETS} sources can have a queue each")
+    names, totals = queue_totals(counts, named=tuple(targets or ()))
     number = {s: i for i, s in enumerate(names)}
     shared_queue = len(names) - 1
     shares = None
     if targets:
         least = min(targets.values()) / 1000
         shares = [float(least if s is None else targets.get(s, least)) for s in names]
-    in_queue = F.when(F.col("source").isin(names[:MAX_QUEUES - 1]), F.col("source"))  # else null, which no source is
-    w = Window.partitionBy(in_queue).orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    places = counts.select("source", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("place"))
-    rows = table.join(if_small(stored(spark, places, "token-places")), ["source", "part"])
+    rows = table.join(if_small(stored(spark, token_places(counts, names), "token-places")), ["source", "part"])
     rows = rows.select("doc_id", "source", (F.col("place") + F.col("before")).alias("at"), "n", "wide", "ids")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixture, guess = Mixture(totals, shares, sequence), {}
+        mixture = Mixture(totals, shares, min(QUANTUM, max(1, sequence // 4)))
         for b in slices(batches, "ids"):
-            take, cols, lists = [], [[] for _ in range(6)], []
-            for r, (s, at, n, wide, raw) in enumerate(zip(*(b.column(i).to_pylist() for i in (1, 2, 3, 4, 5)))):
-                queue = number.get(s, shared_queue)
-                ids = np.frombuffer(raw, f"<u{wide}").astype("<u4")
-                first, since = guess.get(queue, (0, None))
-                if since is None or at < since:
-                    first = mixture.window_of(queue, at)
-                for begin, length, window, offset in pieces_of(at, n, queue, mixture, first):
-                    piece = ids[begin:begin + length]
-                    take.append(r)
-                    if with_ids:
-                        lists.append(piece)
-                    for c, v in zip(cols, (begin, length, zlib.crc32(piece.tobytes()), n, window, offset)):
-                        c.append(v)
-                    guess[queue] = (window, at)
-            index = pa.array(take, pa.int64())
+            sources, at, n, wide, raw = (b.column(i) for i in (1, 2, 3, 4, 5))
+            queue = np.array([number.get(s, shared_queue) for s in sources.to_pylist()], np.int64)
+            at, n = (x.to_numpy(zero_copy_only=False) for x in (at, n))
+            take, start, length, window, offset = pieces_of(queue, at, n, mixture, sequence)
+            ids = [np.frombuffer(x, f"<u{w}").astype("<u4") for x, w in zip(raw.to_pylist(), wide.to_pylist())]
+            lists = [ids[r][a:a + k] for r, a, k in zip(take.tolist(), start.tolist(), length.tolist())]
+            crc = np.fromiter((zlib.crc32(x) for x in lists), np.int64, len(lists))
+            index, cols = pa.array(take, pa.int64()), (start, length, crc, n[take], window, offset)
             arrays = [b.column(0).take(index), b.column(1).take(index), *(pa.array(c, pa.int64()) for c in cols)]
             names = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if with_ids:
-                offsets = np.concatenate([[0], np.cumsum(cols[1])]).astype(np.int32)
+                offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 flat = np.concatenate(lists).astype(np.int32) if lists else np.zeros(0, np.int32)
                 arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
                 names.append("ids")

@@ -46,13 +46,14 @@ def test_query_packs_every_id_once_in_the_sources_shares(spark):
     of = collections.Counter()
     for r in rows:
         of[r["source"]] += r["length"]
-    for w, pieces in by_window.items():
-        if w == max(by_window):
-            continue
-        got = collections.Counter()
-        for p in pieces:
+    # after any number of windows each source is a quantum or so away from its share: deficits are carried on
+    got = collections.Counter()
+    for w in range(max(by_window)):
+        for p in by_window[w]:
             got[p["source"]] += p["length"]
-        assert all(abs(got[s] - 2048 * n / total) <= 2 for s, n in of.items())
+        assert all(abs(got[s] - 2048 * (w + 1) * n / total) <= 2 * packing.QUANTUM for s, n in of.items()), w
+    # documents are cut by windows and quanta alone
+    assert len(rows) <= len(docs) + total // 2048 + total // packing.QUANTUM + len(of)
 
 
 def test_targets_and_dry_queues(spark):
@@ -62,25 +63,81 @@ def test_targets_and_dry_queues(spark):
     got = packing.pack(docs, targets={"a": 3.0, "b": 1.0}, sequence=64).collect()
     by_window, _ = _whole(got, [(d, t) for d, _, t in rows], 64)
     assert all(brute.crc(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in got)
-    first = collections.Counter()
-    for p in by_window[0]:
-        first[p["source"]] += p["length"]
-    assert abs(first["a"] - 48) <= 1 and abs(first["b"] - 16) <= 1
+    got = collections.Counter()
+    for w in range(10):
+        for p in by_window[w]:
+            got[p["source"]] += p["length"]
+        assert abs(got["a"] - 48 * (w + 1)) <= 16 and abs(got["b"] - 16 * (w + 1)) <= 16
     assert {p["source"] for p in by_window[max(by_window)]} == {"b"}
 
 
 def test_mixture_is_the_order_of_due_times():
-    for totals, shares in (([50, 30, 7, 1], None), ([40, 40], [3.0, 1.0]), ([5], None), ([3, 0, 9], [1.0, 1.0, 2.0])):
-        m = packing.Mixture(totals, shares, 8)
-        g = shares or totals
-        order = sorted(((j + 0.5) / g[k], k) for k, t in enumerate(totals) for j in range(t))
-        for w in range(-(-sum(totals) // 8) + 1):
-            served = collections.Counter(k for _, k in order[:8 * w])
-            assert m.after(w) == [served[k] for k in range(len(totals))]
-        for k, t in enumerate(totals):
-            for at in range(t):
-                w = m.window_of(k, at)
-                assert m.after(w)[k] <= at < m.after(w + 1)[k]
+    for totals, shares in (([50, 30, 7, 1], None), ([40, 40], [3.0, 1.0]), ([5], None), ([3, 0, 9], [1.0, 1.0, 2.0]), ([40, 40, 40], None)):
+        for quantum in (1, 4, 7):
+            m = packing.Mixture(totals, shares, quantum)
+            g = shares or totals
+            order = sorted((((j + 0.5) * quantum / g[k], k, j) for k, t in enumerate(totals) for j in range(-(-t // quantum))),
+                           key=lambda x: (round(x[0], 9), x[1]))
+            at = 0
+            for _, k, j in order:
+                assert m.places(k, np.array([j])).tolist() == [at], (totals, quantum, k, j)
+                at += min(quantum, totals[k] - j * quantum)
+            assert at == sum(totals)
+
+
+def test_a_deficit_round_robin_serves_the_same():
+    """Step by step: the queue that is furthest behind its share at the middle of its next quantum."""
+    totals, quantum = [900, 500, 260, 41], 16
+    m, served, at = packing.Mixture(totals, None, quantum), [0] * 4, 0
+    while at < sum(totals):
+        k = min((k for k in range(4) if served[k] < totals[k]), key=lambda k: ((served[k] + quantum / 2) / totals[k], k))
+        assert m.places(k, np.array([served[k] // quantum])).tolist() == [at]
+        n = min(quantum, totals[k] - served[k])
+        served[k] += n
+        at += n
+
+
+def test_a_tiny_source_among_very_many_tokens_is_placed_at_once():
+    import time
+
+    m = packing.Mixture([10 ** 13, 10 ** 13 // 3, 2000])
+    t = time.time()
+    row, start, length, window, offset = packing.pieces_of(np.array([2, 0]), np.array([100, 10 ** 13 - 1000]), np.array([1900, 1000]), m, 2048)
+    assert time.time() - t < 1 and length[row == 0].sum() == 1900 and length[row == 1].sum() == 1000
+    assert len(row) < 16 and window[row == 1][-1] >= 10 ** 13 // 2048 and (offset + length <= 2048).all()
+
+
+def test_pieces_are_long():
+    rng = random.Random(3)
+    for shares in ([1] * 4, [1] * 20, [8, 4, 2, 1, 1]):
+        n = [max(1, int(rng.expovariate(1 / 600))) for _ in range(2000)]
+        queue = rng.choices(range(len(shares)), shares, k=2000)
+        ends, at = collections.Counter(), []
+        for k, x in zip(queue, n):
+            at.append(ends[k])
+            ends[k] += x
+        m = packing.Mixture([ends[k] for k in range(len(shares))])
+        row, _, length, window, offset = packing.pieces_of(np.array(queue), np.array(at), np.array(n), m, 2048)
+        assert np.bincount(row, length, minlength=2000).tolist() == n
+        assert np.bincount(window, length)[:-1].tolist() == [2048.0] * (sum(n) // 2048 - (sum(n) % 2048 == 0))
+        # with a share of every window each, a queue would be cut in every window: windows * sources pieces more than documents
+        assert len(row) < 2000 + sum(n) / 2048 * 5
+
+
+def test_every_source_with_a_target_has_its_queue(spark):
+    rows = [(i, f"s{i % 400:03d}", "w " * (40 if i % 400 < 300 else 3)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
+    targets = {f"s{i:03d}": 1.0 for i in range(100, 400)}  # those with few tokens too
+    got = packing.pack(docs, targets=targets, sequence=256).collect()
+    by_window, _ = _whole(got, [(d, t) for d, _, t in rows], 256)
+    small = max(p["sequence_id"] for p in got if p["source"] >= "s300")
+    others = min(p["sequence_id"] for p in got if p["source"] < "s100")
+    assert small <= max(by_window) // 2 and others > small / 2  # named ones by their target, the others after them
+    try:
+        packing.pack(docs, targets={f"s{i}": 1.0 for i in range(packing.MAX_TARGETS + 1)})
+        raise AssertionError
+    except ValueError as e:
+        assert "targets" in str(e)
 
 
 def test_chunkwise_ids_equal_the_tokenizers():
