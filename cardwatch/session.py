@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,9 +59,44 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Scratch folders of this process by application, in the order they were given out.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never reused folder under the shared scratch root."""
-    return f"{scratch_root(spark)}/cardwatch/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under the shared scratch root.  It stays until
+    ``release_scratch`` or the ``scratch_scope`` around it deletes it."""
+    path = f"{scratch_root(spark)}/cardwatch/{purpose}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system its path names; False if it isn't there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath) and fs.delete(hpath, True))
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> list[str]:
+    """Delete the scratch folders given out so far (from number ``since`` on); DataFrames that read
+    them must have been written or collected before."""
+    held = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = held[since:]
+    del held[since:]
+    for path in gone:
+        delete_folder(spark, path)
+    return gone
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes, at its end, the scratch folders given out inside."""
+    since = len(_SCRATCH.setdefault(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

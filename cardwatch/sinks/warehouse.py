@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from cardwatch.functions.expr import date_lit
 from cardwatch.schemas import DIMS, META, REP_FRAUD, STG_BLACKLIST, STG_TRANSACTIONS
+from cardwatch.session import delete_folder
 
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("run_ts", T.TimestampNTZType()),
@@ -351,13 +352,6 @@ def committed_run_ids(spark: SparkSession, root: str) -> list[str]:
     return [r.run_id for r in rows]
 
 
-def _fs_delete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath) and fs.delete(hpath, True))
-
-
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete copies no reader needs: open sets (and superseded literal
     histories) of a dimension older than the ``keep`` newest committed runs
@@ -379,7 +373,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
                 states.append("state=history")  # superseded by the newest literal history
             for state in states:
                 path = _p(root, f"dim_{name}", f"run={run_id}", state)
-                if _fs_delete(spark, path):
+                if delete_folder(spark, path):
                     removed.append(path)
     runs = [r.run_id for r in log]
     in_use = {log[-1][f"{n}_run"] for n in (*DIMS, "blacklist")}  # a catch-up's runs share their staged copies
@@ -388,6 +382,6 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
             continue
         for src in ("cards", "accounts", "clients", "transactions", "blacklist", "terminals"):
             path = _p(root, f"stg_{src}", f"run={old}")
-            if _fs_delete(spark, path):
+            if delete_folder(spark, path):
                 removed.append(path)
     return removed
