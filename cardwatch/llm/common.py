@@ -44,7 +44,10 @@ def stored(spark: SparkSession, df: DataFrame, purpose: str, codec: str = "snapp
     """Write ``df`` once to the shared folder and read it back (cuts lineage and
     survives the loss of executors)."""
     ensure_checkpoint_dir(spark)
-    path = scratch_dir(spark, f"llm-{purpose}")
+    return stored_at(spark, df, scratch_dir(spark, f"llm-{purpose}"), codec)
+
+
+def stored_at(spark: SparkSession, df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -49,6 +49,8 @@ from .words import LOWER, Texts, hashes, mix
 
 #: Counters of the rarity table (fixed: 8 MB for each task, 1 MB once ranked).
 SKETCH = 1 << 20
+#: Sets that a task remembers, each in the place that its hash names (fixed: 7 MB).
+SEEN = 1 << 17
 _CHUNK = 1 << 13
 #: Words that two similar lines of different sets share at least in their prefixes.
 SHARED = 2
@@ -166,12 +168,37 @@ def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.select(_doc_key(id_col).alias("d"), text_hash(text).alias("th"), F.col(text).cast("string").alias("text"))
 
 
+class _Seen:
+    """Sets that a task has met before, and the earliest line of each."""
+
+    def __init__(self):
+        self.c1, self.c2, self.d, self.line = (np.zeros(SEEN, np.int64) for _ in range(4))
+        self.there, self.often = np.zeros(SEEN, bool), np.zeros(SEEN, bool)
+        self.slices = 0
+
+    def earlier(self, c1: np.ndarray, c2: np.ndarray, d: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Which of some different sets' lines have an equal line before them, by document and number."""
+        at = (c1.view(np.uint64) % _U(SEEN)).astype(np.int64)
+        same = self.there[at] & (self.c1[at] == c1) & (self.c2[at] == c2)
+        after = same & ((self.d[at] < d) | ((self.d[at] == d) & (self.line[at] < line)))
+        self.slices += 1
+        if self.slices % 16 == 0:  # what was often met long ago makes room
+            self.often[:] = False
+        put = np.flatnonzero((same & ~after) | (~same & ~self.often[at]))
+        self.often[at[same]] = True
+        for held, new in ((self.c1, c1), (self.c2, c2), (self.d, d), (self.line, line)):
+            held[at[put]] = new[put]  # of several for one place, the last in all four
+        self.there[at[put]] = True
+        return after
+
+
 def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each line with words: document, line, hash of the set, its size, parity and
     prefix; ``n`` is -1 for a line that repeats an earlier one of the same slice."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for b in slices(batches, "text"):
             x = Words(b.column("text")).lines()
             if not len(x.row):
@@ -188,6 +215,8 @@ def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text:
             # a line at the very place of the first one is a repeated row, no later line
             here = (d[order] == d[first]) & (x.number[order] == x.number[first])
             keep, gone = order[~same], order[same & ~here]
+            known = seen.earlier(c1[keep], c2[keep], d[keep], x.number[keep])
+            keep, gone = keep[~known], np.r_[gone, keep[known]]
             size = n[keep]
             length = np.where(size < 4, 0, np.minimum(size, size - (4 * size + 4) // 5 + SHARED))
             prefix = (h[_spans(lo[keep], length)] >> _U(16)).astype(np.uint32).view(np.int32)
@@ -352,22 +381,27 @@ def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
 
 def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
     """``d``, ``f``, ``ed``, ``ef``: the members of set-aside groups that are still undecided, with all earlier
-    members that they may match.  A pair is met under each shared word of such a group and
-    kept under the least.  The words that the prefixes share, and those beyond the prefix
-    that ends first, bound the overlap."""
+    members that they may match.  As two prefixes share ``SHARED`` words, a group is split by each
+    further word of its members' prefixes before they meet; a pair is kept under the least of such
+    words, and the least next to it.  The words that the prefixes share, and those beyond the
+    prefix that ends first, bound the overlap."""
     spark = reps.sparkSession
     aside = aside.withColumn("key", F.shiftright("m", 32))
     keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
     some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"])
-    members = stored(spark, aside.join(some, ["d", "f"]), "line-members")
+    own = F.array(F.col("key").cast("int"))
+    members = aside.join(some, ["d", "f"]).withColumn("next", F.explode(F.array_except("prefix", own)))
+    members = stored(spark, members, "line-members")
     later = members.join(if_small(decided), ["d", "f"], "left_anti")
     earlier = members.select(*[F.col(c).alias(f"e{c}") for c in members.columns])
     order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
     both = F.size(F.array_intersect("prefix", "eprefix"))
     beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
-    met = later.join(earlier, (F.col("key") == F.col("ekey")) & order & _admits_column("m", "f", "em", "ef")
+    shared = F.array_intersect("prefix", "eprefix")
+    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & order & _admits_column("m", "f", "em", "ef")
                      & (both >= SHARED) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
-                     & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key")))
+                     & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key"))
+                     & (F.array_min(F.array_except(shared, own)) == F.col("next")))
     return met.select("d", "f", "ed", "ef")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import ensure_checkpoint_dir, if_small, packed, row_key, slices, text_hash, unpacked
+from .common import ensure_checkpoint_dir, if_small, packed, row_key, slices, stored, text_hash, unpacked
 from .components import components
 
 SHINGLE = 4
@@ -133,12 +133,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return stars.unionByName(cross.distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``th`` (hash of the text), ``fp`` (long), ``cluster`` (smallest linked
-    fingerprint) and ``component_id`` for each row."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    fp = fingerprints(docs, shingle, id_col, text).checkpoint()
+def _groups(fp: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, ``first`` (smallest ``doc_id`` with it), ``cluster`` and ``component_id`` for each fingerprint."""
     least = fp.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
     comp = components(links(least.select("fp"), max_bits), "a", "b")
     named = least.join(comp, least.fp == comp.node, "left").select(
@@ -149,20 +145,43 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     of = several.groupBy("component").agg(F.min("first").alias("component_id"))
     of = several.join(of, "component")
     of = of.select("fp", "component", "component_id")
-    whole = least.join(of, "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"),
-                                                F.coalesce("component_id", "first").alias("component_id"))
-    return fp.join(whole, "fp", "left").select("doc_id", "th", "fp", "cluster", "component_id")
+    return least.join(of, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("cluster"),
+                                               F.coalesce("component_id", "first").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``th`` (hash of the text), ``fp`` (long), ``cluster`` (smallest linked
+    fingerprint) and ``component_id`` for each row."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    fp = fingerprints(docs, shingle, id_col, text).checkpoint()
+    groups = _groups(fp, max_bits).drop("first")
+    return fp.join(groups, "fp", "left").select("doc_id", "th", "fp", "cluster", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document names its group, one of each group, with all
     their columns.  Repeated rows of that document are one; a group without any
-    ``doc_id`` keeps one row of it."""
-    found = near_duplicates(docs, shingle, max_bits, id_col, text)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("cluster").agg(
-        F.first("doc_id").alias("doc_id"), F.min("th").alias("_th"))
-    keep = keep.select(row_key("doc_id").alias("_key"), "_th").distinct()
+    ``doc_id`` keeps one row of it.
+
+    Which documents stay is told by the groups' smallest ids, so rows of a fingerprint that
+    many share don't meet in a join on it; whole rows are joined once, with the keys of those
+    that stay, and only rows that repeat a key are brought together."""
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    fp = fingerprints(docs, shingle, id_col, text).checkpoint()
+    names = _groups(fp, max_bits).where(F.col("first").eqNullSafe(F.col("component_id"))).select(
+        F.col("fp").alias("of"), F.col("first").alias("name"), "cluster")
+    found = fp.join(names, (fp.fp == F.col("of")) & fp.doc_id.eqNullSafe(F.col("name")))
+    found = found.groupBy("cluster", "doc_id", "th").agg(F.count("*").alias("n"))
+    keep = found.groupBy("cluster").agg(F.min_by(F.struct("doc_id", "n"), "th").alias("one"), F.min("th").alias("_th"))
+    keep = keep.select(row_key("one.doc_id").alias("_key"), "_th", (F.col("one.n") > 1).alias("many"))
+    keep = stored(spark, keep.groupBy("_key", "_th").agg(F.max("many").alias("many")), "kept-documents")
     rows = packed(docs, _key=row_key(id_col), _th=text_hash(text))
-    kept = rows.join(keep, ["_key", "_th"], "left_semi")
-    return unpacked(kept.groupBy("_key", "_th").agg(F.first("_row").alias("_row")))
+    out = unpacked(rows.join(if_small(keep.where("not many")), ["_key", "_th"], "left_semi"))
+    many = keep.where("many")
+    if many.limit(1).count():
+        repeated = rows.join(if_small(many), ["_key", "_th"], "left_semi")
+        out = out.unionByName(unpacked(repeated.groupBy("_key", "_th").agg(F.first("_row").alias("_row"))))
+    return out

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,38 @@ def test_words_of_touching_texts():
     assert list(zip(w.row.tolist(), w.number.tolist())) == [(0, 0), (1, 0), (4, 0), (4, 1), (4, 3), (6, 0)]
     assert w.line.tolist() == [0, 1, 2, 3, 4, 4, 5]
     assert w.h[0] == w.h[4] and w.h[1] == w.h[5] and len(set(w.h.tolist())) == 5
+
+
+def test_a_line_of_every_slice_is_told_by_the_task_that_knows_it(spark, monkeypatch):
+    """Rows of small slices: the often repeated line goes on once a task, and results stay the same."""
+    from cardwatch.llm import common
+
+    rng = random.Random(5)
+    rows = [(i, "\n".join(rng.sample([f"the same line {k} in every text" for k in range(4)], 3) + [f"own words {i} of a {rng.randrange(9999)} text"])) for i in range(300)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    table = docs.toArrow().to_batches()
+    seen = ld._Seen()
+    hot = 0
+    for batch in table:
+        for b in common.slices(iter([batch]), "text", 256):
+            x = ld.Words(b.column("text")).lines()
+            h, begin = x.sets(np.zeros(len(x.h), np.uint8))
+            c = np.add.reduceat(ld.mix(h), begin[:-1]).view(np.int64)
+            first = np.unique(c, return_index=True)[1]
+            d = np.asarray(b.column(0))[x.row]
+            known = seen.earlier(c[first], c[first], d[first], x.number[first].astype(np.int64))
+            hot += int((~known).sum())
+    assert hot < 300 + 4 * 40  # the 300 lines of their own, and the four each time an earlier document comes
+    _check(spark, docs, rows)
+
+
+def test_set_aside_groups_meet_under_two_words(spark):
+    """Lines of frequent words: under one word of two hundred some thousand pairs meet, under two few."""
+    rng = random.Random(11)
+    words = [f"f{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.sample(words, 12))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 400, 7)]
+    want = brute.removed_lines(rows)
+    got = {(r["d"], r["line"]) for r in _decide(spark, rows, (4, 10**6))}
+    assert got == {(d, i) for (d, _), lines in want.items() for i in lines} and len(want) >= 57

@@ -38,6 +38,22 @@ def test_stages_return_documents_and_take_extra_columns(spark):
         assert stage(spark, docs.where("false"), SF0001).collect() == []
 
 
+def test_the_pipeline_leaves_the_last_stages_folders_alone(spark):
+    import os
+
+    from cardwatch import session
+
+    session.release_scratch(spark)
+    out = corpus_pipeline.run(spark, SF0001)
+    n = out.count()
+    held = session._SCRATCH[spark.sparkContext.applicationId]
+    there = [p for p in held if os.path.exists(p)]
+    assert {os.path.basename(p).rsplit("-", 1)[0] for p in there} <= {"stage-decontaminate", "llm-token-ids", "llm-token-counts", "llm-token-places"}
+    assert n == out.count() > 0
+    session.release_scratch(spark)
+    assert not any(os.path.exists(p) for p in there)
+
+
 def docs_extra():
     from pyspark.sql import functions as F
 
