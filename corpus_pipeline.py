@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cardwatch.llm import decontaminate, line_dedup, packing, quality_rules, simhash
-from cardwatch.llm.common import stored
+from cardwatch.llm.common import stored_at
+from cardwatch.session import delete_folder, scratch_dir, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +42,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(spark, docs, f"stage-{name}", "zstd")
-    return docs
+    """The last stage's rows.  What a stage kept for itself is deleted when its documents are written, and
+    those of the stage before with it; the last stage's scratch stays for the rows returned
+    (``cardwatch.session.release_scratch`` deletes it)."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch_dir(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            docs = stored_at(spark, stage(spark, docs, sf_dir), path, "zstd")
+        if last:
+            delete_folder(spark, last)
+        last = path
+    return STAGES[-1][1](spark, docs, sf_dir)
