@@ -51,7 +51,7 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return url_filter.judge(_table(spark, sf, "pages")).drop("n_strict", "n_soft")
+    return url_filter.judge(_table(spark, sf, "pages")).drop("n_strict", "n_soft", "soft_weight")
 
 
 def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -74,16 +74,22 @@ def _url_filter() -> str:
             for h, p, v in ordered]
     rule = " ".join(f"WHEN {c} THEN {_text(r)}" for c, r, _ in fits)
     verdict = " ".join(f"WHEN {c} THEN {_text(v)}" for c, _, v in fits)
-    strict = " + ".join(map(term, url_filter.STRICT))
-    soft = " + ".join(map(term, url_filter.SOFT))
+    strict = " OR ".join(f"{term(t)} = 1" for t, w in url_filter.VOCABULARY if w >= url_filter.STRICT)
+    soft = [(t, w) for t, w in url_filter.VOCABULARY if w < url_filter.STRICT]
+    number, weight = " + ".join(term(t) for t, _ in soft), " + ".join(f"{w} * {term(t)}" for t, w in soft)
+    low = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for escape, char in url_filter.ESCAPES:
+        low = f"replace({low}, '{escape}', '{char}')"
+    low = f"regexp_replace({low}, '%[0-9a-f]{{2}}', ' ', 'g')"
     return f"""
-WITH u AS (SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+WITH u AS (SELECT page_id, {low} AS low,
                   CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, low, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+w AS (SELECT *, {strict} AS strict, {number} AS n_soft, {weight} AS weight FROM h)
 SELECT page_id, host, path, CASE {rule} END AS rule,
-       CASE {verdict} WHEN {strict} >= 1 OR {soft} >= {url_filter.MIN_SOFT} THEN 'block' ELSE 'allow' END AS verdict
-FROM h"""
+       CASE {verdict} WHEN strict OR (n_soft >= {url_filter.MIN_SOFT} AND weight >= {url_filter.STRICT}) THEN 'block' ELSE 'allow' END AS verdict
+FROM w"""
 
 
 def _filter_audit() -> str:

@@ -12,6 +12,7 @@ ALLOWED = {
     "importance.py": ["at most BUCKETS rows", "a row per group of keys", "at most FEW keys", "a row per partition"],
     "license_scan.py": ["counts.collect()"],             # a row per template word
     "line_dedup.py": ["added.toArrow()", "groupBy(\"i\")"],  # SKETCH counters; a bitmap of at most _BITS
+    "url_filter.py": ["limit(MAX_TERMS + 1)"],
     "packing.py": ["limit(max(most - 1, len(named)))", "alias(\"n\")).first()"],  # MAX_QUEUES totals; one row
 }
 

@@ -97,13 +97,22 @@ def test_url_edges(spark):
     urls = [None, "", "http://", "no scheme/porn", "https://a.b://c/d", "HTTP://WWW.Example.COM/en/x?q", "http://example.com/en/", "http://x.example.com/en",
             "http://com/", "http://com", "http://a.net/es/x", "http://a.net/fr", "http://a.org/casino", "http://a.org/casinos", "http://a.org/x-casino-y",
             "http://a.org/free/cheap", "http://a.org/free-free", "http://a.org/free", "http://anet/es/", "http://a.net:80/es/", "http://net/fr/#x",
-            "http://a.org#http://b.com/", "http://a.org/ü\nporn", "http://adult-x.net/", "http://M\u00dcNCHEN.\u03a3X.Example.com/en/", "x" * 100000 + "://a.com/"]
+            "http://a.org#http://b.com/", "http://a.org/ü\nporn", "http://adult-x.net/", "http://M\u00dcNCHEN.\u03a3X.Example.com/en/", "x" * 100000 + "://a.com/",
+            "http://a.org/track/free-shipping", "http://a.org/win-free-tickets", "http://a.org/sex-discrimination-law/adult-education",
+            "http://a.org/%70orn/", "http://a.org/%50O%52n", "http://a.org/x%2Dporn%2dy", "http://a.org/%E4porn", "http://a.org/%3%337porn", "http://a.org/%zz%",
+            "http://ads-track.a.org/", "http://a.org/poker/betting", "http://a.org/keygen", "http://a.org/free-free-win-win-sex"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(3, urls[3]), (None, None)], "page_id long, url string")
-    got = _rows(url_filter.judge(df.withColumn("host", F.lit(1)).withColumn("n_soft", F.lit(1))).drop("n_strict", "n_soft"))
+    got = _rows(url_filter.judge(df.withColumn("host", F.lit(1)).withColumn("n_soft", F.lit(1))).drop("n_strict", "n_soft", "soft_weight"))
     _same(got, _duck("op7_url_filter", pages=df.toArrow()))
     assert url_filter.judge(df.where("false")).collect() == []
     by = {r["page_id"]: r for r in got}
     assert by[5]["rule"] == "www.example.com/en/" and by[5]["verdict"] == "allow"
     assert by[6]["verdict"] == "block" and by[12]["verdict"] == "block" and by[13]["verdict"] == "allow"
     assert by[15]["verdict"] == "block" and by[16]["verdict"] == "allow"
+    verdicts = [by[i]["verdict"] for i in range(26, len(urls))]
+    assert verdicts == ["allow", "allow", "allow", "block", "block", "block", "block", "allow", "allow", "block", "block", "allow", "allow"]
+    own = spark.createDataFrame([("Zebra", 100), ("lion", 60), ("lion", 10), ("cat", 40), (None, 5), ("dog", None), ("", 100)], "term string, weight long")
+    pages = spark.createDataFrame([(1, "http://a.org/zebra"), (2, "http://a.org/lion/cat"), (3, "http://a.org/lion/dog"), (4, "http://a.org/casino")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, vocabulary=own).collect()} == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+    assert {r["verdict"] for r in url_filter.judge(pages, vocabulary=[]).collect()} == {"allow"}
     assert by[24]["host"] == "m\u00dcnchen.\u03a3x.example.com" and by[24]["rule"] == "example.com/en/"  # A-Z alone
