@@ -20,7 +20,7 @@ from cardwatch.plans import reports, watermark
 from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINALS,
                                FEED_PREFIX_TRANSACTIONS, META_SCHEMA)
 from cardwatch.session import scratch_dir
-from cardwatch.sinks import warehouse
+from cardwatch.sinks import buckets, warehouse
 from cardwatch.sources import adapters, feeds
 from cardwatch.sources.adapters import FEED_DT, REPORT_DT, RUN_TS
 
@@ -451,6 +451,28 @@ def _scd2_query(name: str, step: str | None) -> Query:
     return q
 
 
+def _bucketed(spark, sf, name) -> tuple[str, adapters.TestTables]:
+    root, tt = scratch_dir(spark, "buckets"), _tt(spark, sf)
+    buckets.bootstrap(tt.dim_before(name), root, name, "r1")
+    return root, tt
+
+
+def _scd2_buckets_query(name: str) -> Query:
+    """The dimension stored by key bucket, refreshed (changed buckets alone) and read back."""
+    def q(spark, sf):
+        root, tt = _bucketed(spark, sf, name)
+        buckets.refresh(staged(tt, name), root, name, "r2", "r1", _clock())
+        return buckets.history(spark, root, name, "r2")
+    q.__name__ = f"scd2_merge_{name}_buckets"
+    return q
+
+
+def q_scd2_classes_digest(spark, sf):
+    """What happens to each client, told by the stored digests."""
+    root, tt = _bucketed(spark, sf, "clients")
+    return buckets.classes(buckets.open_versions(spark, root, "clients", "r1"), staged(tt, "clients"), DIMS["clients"])
+
+
 def _scd2_literal_query(name: str) -> Query:
     def q(spark, sf):
         tt = _tt(spark, sf)
@@ -497,6 +519,9 @@ def queries() -> dict[str, Query]:
             q[f"scd2_{step}_{name}"] = _scd2_query(name, step)
         q[f"scd2_merge_{name}"] = _scd2_query(name, None)
         q[f"scd2_merge_{name}_literal"] = _scd2_literal_query(name)
+    for name in ("clients", "terminals"):
+        q[f"scd2_merge_{name}_buckets"] = _scd2_buckets_query(name)
+    q["scd2_classes_digest"] = q_scd2_classes_digest
     q.update({
         "report_client_info": q_report_client_info,
         "report_trans_info": q_report_trans_info,

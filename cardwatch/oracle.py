@@ -476,6 +476,14 @@ UNION ALL SELECT 'before', {REPORT}, passport_num FROM stg_clients""",
             q[f"scd2_{step}_{name}"] = scd2_step(name, step)
         q[f"scd2_merge_{name}"] = scd2_merge(name)
         q[f"scd2_merge_{name}_literal"] = scd2_literal(name)
+    for name in ("clients", "terminals"):
+        q[f"scd2_merge_{name}_buckets"] = scd2_merge(name)
+    key, attrs, _ = DIMS["clients"]
+    differs = " OR ".join(f"s.{a} IS DISTINCT FROM o.{a}" for a in attrs)
+    q["scd2_classes_digest"] = _with() + f"""SELECT coalesce(s.{key}, o.{key}) AS {key},
+  CASE WHEN o.{key} IS NULL THEN 'NEW' WHEN s.{key} IS NULL AND o.deleted_flg = 'N' THEN 'DELETED' WHEN s.{key} IS NULL THEN 'STILL_DELETED'
+       WHEN o.deleted_flg <> 'N' THEN 'RETURNED' WHEN {differs} THEN 'CHANGED' ELSE 'SAME' END AS class
+FROM (SELECT * FROM hist_clients WHERE end_dt = {INF}) o FULL OUTER JOIN stg_clients s ON o.{key} = s.{key}"""
     q.update({
         "report_client_info": _with(CLIENT_INFO) + "SELECT * FROM client_info",
         "report_trans_info": _with(_trans_info(DELIVERED)) + "SELECT * FROM trans_info",
