@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, null_safe_differs
@@ -21,7 +21,7 @@ from cardwatch.schemas import (DIMS, FEED_PREFIX_BLACKLIST, FEED_PREFIX_TERMINAL
                                FEED_PREFIX_TRANSACTIONS, META_SCHEMA)
 from cardwatch.session import scratch_dir
 from cardwatch.sinks import buckets, warehouse
-from cardwatch.sources import adapters, feeds
+from cardwatch.sources import adapters, feeds, snapshots
 from cardwatch.sources.adapters import FEED_DT, REPORT_DT, RUN_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,25 @@ def _write_feed(spark, df: DataFrame, prefix: str, ext: str) -> str:
     return path
 
 
+RANGES = 8
+
+
+def snapshot_ranges(spark, sf) -> DataFrame:
+    """The ranges in which a snapshot is read in parallel, with the rows of each: of equal depth over values
+    that are far from even (equal widths would put half of the rows into the first of eight)."""
+    rows = _tt(spark, sf).table("customer").selectExpr("c_custkey * c_custkey * c_custkey AS split")
+    bounds = snapshots.depth_bounds(rows, "split", RANGES)
+    return (rows.groupBy(snapshots.range_of("split", bounds).cast("int").alias("range_no"))
+            .agg(F.min("split").alias("low"), F.max("split").alias("high"), F.count(F.lit(1)).alias("n")))
+
+
+def q_snapshot_ranges(spark, sf):
+    """S1-S3: each range, whether it holds at most twice the mean, and the rows of all (the bounds come
+    from a sketch, so that numbers may differ by its error)."""
+    every = F.sum("n").over(Window.partitionBy(F.lit(0)))  # RANGES rows
+    return snapshot_ranges(spark, sf).select("range_no", (F.col("n") * RANGES <= 2 * every).alias("even"), every.alias("n_rows"))
+
+
 def q_feed_transactions(spark, sf):
     path = _write_feed(spark, _raw_transactions_text(_tt(spark, sf)), FEED_PREFIX_TRANSACTIONS, ".txt")
     return feeds.read_transactions(spark, path)
@@ -272,6 +291,12 @@ def q_report_passport(spark, sf, mode=reports.INTENDED):
                                    report_dt=REPORT_DT, mode=mode)
 
 
+def q_report_passport_prefilter(spark, sf):
+    """R1 with the transactions told by a bitmap of the cards that can matter."""
+    tt = _all(spark, sf)
+    return reports.passport_report(**_report_inputs(tt), blacklist=tt.blacklist(), report_dt=REPORT_DT, prefilter=True)
+
+
 def q_report_contract(spark, sf, mode=reports.INTENDED):
     return reports.contract_report(**_report_inputs(_all(spark, sf)), report_dt=REPORT_DT, mode=mode)
 
@@ -486,6 +511,7 @@ def queries() -> dict[str, Query]:
         "snapshot_cards": lambda s, sf: staged(_all(s, sf), "cards"),
         "snapshot_accounts": lambda s, sf: staged(_all(s, sf), "accounts"),
         "snapshot_clients": lambda s, sf: staged(_all(s, sf), "clients"),
+        "snapshot_ranges": q_snapshot_ranges,
         "feed_transactions": q_feed_transactions,
         "feed_blacklist": q_feed_blacklist,
         "feed_terminals": q_feed_terminals,
@@ -534,6 +560,7 @@ def queries() -> dict[str, Query]:
         "report_append_mart": q_report_append_mart,
         "report_city_hop": q_report_city_hop,
         "report_fraud_all": q_report_fraud_all,
+        "report_passport_prefilter": q_report_passport_prefilter,
         "report_passport_literal": lambda s, sf: q_report_passport(s, sf, reports.LITERAL),
         "report_contract_literal": lambda s, sf: q_report_contract(s, sf, reports.LITERAL),
         "report_hop_pairs_literal": lambda s, sf: q_report_hop_pairs(s, sf, reports.LITERAL),

@@ -427,7 +427,7 @@ FROM led LEFT JOIN after_cards k ON led.card_num = trim(k.card_num) AND {at.form
 #: Keys whose queries read snapshots of every key (the others need some keys gone).
 WHOLE = {"snapshot_cards", "snapshot_accounts", "snapshot_clients", "feed_terminals", "stage_terminals", "stage_wide_values",
          "keys_cards", "keys_accounts", "keys_clients", "keys_terminals", "report_client_info", "report_trans_info",
-         "report_passport", "report_passport_literal", "report_contract", "report_contract_literal", "report_hop_pairs",
+         "report_passport", "report_passport_prefilter", "report_passport_literal", "report_contract", "report_contract_literal", "report_hop_pairs",
          "report_hop_pairs_literal", "report_hop_base", "report_hop_pairs_stored", "report_append_mart", "join_inner", "join_trimmed_key", "join_left",
          "join_existence", "join_multi_key", "filter_null_safe_diff", "agg_max_update", "sort_report", "watermark_advance_snapshots",
          "watermark_advance_snapshots_literal", "watermark_after_literal_run"}
@@ -438,6 +438,12 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_cards": _with() + "SELECT * FROM stg_cards",
         "snapshot_accounts": _with() + "SELECT * FROM stg_accounts",
         "snapshot_clients": _with() + "SELECT * FROM stg_clients",
+        "snapshot_ranges": """WITH v AS (SELECT c_custkey * c_custkey * c_custkey AS split FROM customer),
+o AS (SELECT split, row_number() OVER (ORDER BY split) AS rn, count(*) OVER () AS total FROM v),
+b AS (SELECT i, (SELECT min(split) FROM o WHERE rn >= total * i / 8.0) AS bound FROM range(1, 8) r(i)),
+x AS (SELECT split, (SELECT count(*) FROM b WHERE bound < split) AS range_no FROM v)
+SELECT CAST(range_no AS INTEGER) AS range_no, count(*) * 8 <= 2 * sum(count(*)) OVER () AS even, CAST(sum(count(*)) OVER () AS BIGINT) AS n_rows
+FROM x GROUP BY range_no""",
         "feed_transactions": _with() + """SELECT trans_id AS transaction_id,
   strftime(trans_date, '%Y-%m-%d %H:%M:%S.%f') AS transaction_date,
   replace(CAST(amt AS VARCHAR), '.', ',') AS amount, card_num, oper_type, oper_result, terminal
@@ -492,6 +498,7 @@ FROM (SELECT * FROM hist_clients WHERE end_dt = {INF}) o FULL OUTER JOIN stg_cli
         "report_hop_pairs": hop_pairs(True),
         "report_city_hop": city_hop(True),
         "report_fraud_all": fraud_all(True),
+        "report_passport_prefilter": report_passport(),
         "report_passport_literal": report_passport(R1_LITERAL_BOUND),
         "report_contract_literal": report_contract(""),
         "report_hop_pairs_literal": hop_pairs(False),

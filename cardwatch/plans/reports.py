@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.expr import date_lit, fio, ntz, ntz_lit, trimmed
+from cardwatch.operators.bloom import may_meet
 from cardwatch.operators.interval import as_of
 from cardwatch.operators.lookup import attach_owners
 from cardwatch.operators.sequence import with_next, with_previous_within_hour
@@ -98,8 +99,20 @@ def _contract_bad() -> Column:
 
 # ---------------------------------------------------------------------- R1
 def passport_report(fact, cards, accounts, clients, blacklist, report_dt: dt.date,
-                    mode: str = INTENDED) -> DataFrame:
-    b = _base(fact, cards, accounts, clients, report_dt, mode, "passport", blacklist)
+                    mode: str = INTENDED, prefilter: bool = False) -> DataFrame:
+    """R1.  With ``prefilter`` the transactions are first told by a bitmap of the cards whose owner
+    is listed, or has a passport that ends before the last of them: worth while where few
+    cards are such and the scope's rows would be shuffled to meet all cards."""
+    if not prefilter:
+        b = _base(fact, cards, accounts, clients, report_dt, mode, "passport", blacklist)
+    else:
+        t = scoped_transactions(fact, report_dt, mode, "passport").select(
+            "trans_date", trimmed(F.col("card_num")).alias("card_key"))
+        last = t.agg(F.max("trans_date")).scalar()
+        keys = cards.select(trimmed(F.col("card_num")).alias("card_key"))
+        bad = attach_owners(keys, cards, accounts, clients, outer=False, blacklist=blacklist).where(
+            F.col("listed") | (ntz(F.col("passport_valid_to")) < last))
+        b = attach_owners(may_meet(t, "card_key", bad, "card_key"), cards, accounts, clients, outer=False, blacklist=blacklist)
     return (b.where(_passport_bad())
             .select(*_rep(F.col("trans_date"), EVENT_PASSPORT, report_dt)).distinct())
 
