@@ -390,15 +390,23 @@ def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFra
     keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
     some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"])
     own = F.array(F.col("key").cast("int"))
-    members = aside.join(some, ["d", "f"]).withColumn("next", F.explode(F.array_except("prefix", own)))
+    further = F.array_except("prefix", own)
+    members = aside.join(some, ["d", "f"]).select("*", F.array_min("keys").alias("k0"), F.array_min(further).alias("n0"),
+                                                  F.explode(further).alias("next"))
+    # under a further word that is set aside too and comes before this one, no pair would be kept
+    members = members.where(~(F.array_contains("keys", F.col("next").cast("long")) & (F.col("next") < F.col("key"))))
     members = stored(spark, members, "line-members")
     later = members.join(if_small(decided), ["d", "f"], "left_anti")
     earlier = members.select(*[F.col(c).alias(f"e{c}") for c in members.columns])
     order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
-    both = F.size(F.array_intersect("prefix", "eprefix"))
-    beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
+    # two of one least word share that one: told without looking at all words
+    elsewhere = (((F.col("k0") == F.col("ek0")) & (F.col("k0") != F.col("key")))
+                 | ((F.col("n0") == F.col("en0")) & (F.col("n0") != F.col("next"))))
     shared = F.array_intersect("prefix", "eprefix")
-    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & order & _admits_column("m", "f", "em", "ef")
+    both = F.size(shared)
+    beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
+    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & order & ~elsewhere
+                     & _admits_column("m", "f", "em", "ef")
                      & (both >= SHARED) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
                      & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key"))
                      & (F.array_min(F.array_except(shared, own)) == F.col("next")))
