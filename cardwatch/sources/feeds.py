@@ -34,7 +34,8 @@ class FeedEntries(DataSource):
     first dot, NULL where there is none.  An entry is a file, or a folder of part files;
     names that begin with ``_`` or ``.`` are none."""
 
-    SCHEMES = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+    #: Stores that a task can list without Spark's file systems.
+    SCHEMES = ("file", "s3", "gs")
 
     @classmethod
     def name(cls) -> str:
@@ -80,12 +81,12 @@ def list_entries(spark: SparkSession, root: str) -> DataFrame:
     """Names in a feed folder: one listing of its top level, so part files below an entry
     aren't listed and no content is read.  One name per delivered entry: metadata.  Stores that
     only Spark's own file systems know are listed by the driver."""
-    scheme = root.split(":", 1)[0] if "://" in root or root.startswith("file:") else ""
-    if scheme in FeedEntries.SCHEMES:
-        spark.dataSource.register(FeedEntries)
-        return spark.read.format(FeedEntries.name()).load(root).select("name")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = fs.makeQualified(path)  # with the scheme of the default file system if ``root`` has none
+    if whole.toUri().getScheme() in FeedEntries.SCHEMES:
+        spark.dataSource.register(FeedEntries)
+        return spark.read.format(FeedEntries.name()).load(whole.toString()).select("name")
     names = [(s.getPath().getName(),) for s in fs.listStatus(path)]
     return spark.createDataFrame(names, "name string")
 
