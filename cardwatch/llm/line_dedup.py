@@ -11,7 +11,7 @@ without words stay.
    one gives few candidates.
 2. Lines.  Each line becomes a 128-bit hash of its set and its prefix in that order.
    Similarity 0.8 needs a shared word among the first ``n - ceil(0.8 n) + 1``; with one
-   more, lines of different sets share two.  Equal lines of one slice of text are reduced
+   more, lines of different sets share two, with three more four.  Equal lines of one slice of text are reduced
    to the first there, then Spark finds the first of each set, so that a set copied a
    million times meets in few rows.  Later ones are removed, the first ones
    (representatives) go on.
@@ -22,12 +22,13 @@ without words stay.
    under two words go on.  A group of more than ``GROUP`` members, or with more than
    ``PAIRS`` pairs for each, is not paired at once: its members meet its ``STARS``
    earliest, and are set aside.
-4. Verify.  The words of the paired lines alone are read again (found through a bitmap)
-   and Jaccard is computed on them.
+4. Verify.  The words of the paired lines alone are read again (found through a bitmap
+   or, if there are too many for one, by document) and Jaccard is computed on them.
 5. Set-aside groups: those members that are still undecided are joined with all of
-   their group under the same filters, and verified.  In a large group of near copies
-   most are decided by then, so that its pairs are never written out; no pair that could
-   decide a line is left out.
+   their group under the same filters, and verified.  A group is split by a second word of
+   its members' prefixes first, and while it is too large by a third and a fourth.  In a
+   large group of near copies most are decided by then, so that its pairs are never
+   written out; no pair that could decide a line is left out.
 
 Null texts count as empty; repeated rows (same id and text) are one document and lose
 the same lines; of rows that share an id but not the text, lines are ordered by number,
@@ -54,6 +55,13 @@ SEEN = 1 << 17
 _CHUNK = 1 << 13
 #: Words that two similar lines of different sets share at least in their prefixes.
 SHARED = 2
+#: Words of the prefixes kept: similar lines of different sets share as many (at most 4: the smallest such sets
+#: have 4 and 5 words).  Groups that are set aside are split by up to so many words.
+DEPTH = 4
+#: A group under two or three words is split by one more beyond so many members, if it would have at least so many
+#: pairs for each row of the split.
+FULL = 32
+SPLIT = 8
 #: A word's group is set aside beyond so many members, or so many pairs for each of them.
 GROUP = 4096
 PAIRS = 16
@@ -218,7 +226,7 @@ def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text:
             known = seen.earlier(c1[keep], c2[keep], d[keep], x.number[keep])
             keep, gone = keep[~known], np.r_[gone, keep[known]]
             size = n[keep]
-            length = np.where(size < 4, 0, np.minimum(size, size - (4 * size + 4) // 5 + SHARED))
+            length = np.where(size < 4, 0, size - (4 * size + 4) // 5 + DEPTH)
             prefix = (h[_spans(lo[keep], length)] >> _U(16)).astype(np.uint32).view(np.int32)
             prefixes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(prefix))
             both = np.r_[keep, gone]
@@ -349,10 +357,15 @@ def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from closed(held)
 
 
+def _met_under(prefix: str) -> Column:
+    """The words of a prefix under which lines meet: any two similar ones share ``SHARED`` of them."""
+    return F.slice(prefix, 1, F.greatest(F.size(prefix) - (DEPTH - SHARED), F.lit(0)))
+
+
 def keyed(reps: DataFrame) -> DataFrame:
     """``m`` (prefix word, size, place and part of the parity in one number), ``d``, ``f``: a row for each
     prefix word of each representative, dealt by the word and sorted by ``m``."""
-    rows = reps.select("d", _line_id().alias("f"), "n", "parity", F.posexplode("prefix").alias("p", "key"))
+    rows = reps.select("d", _line_id().alias("f"), "n", "parity", F.posexplode(_met_under("prefix")).alias("p", "key"))
     m = F.shiftleft(F.col("key").cast("long"), 32)
     m = m.bitwiseOR(F.shiftleft(F.least(F.col("n"), F.lit(_SIZE_MAX)).cast("long"), 20))
     m = m.bitwiseOR(F.shiftleft(F.least(F.col("p"), F.lit(_PLACE_MAX)).cast("long"), 10))
@@ -379,37 +392,69 @@ def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
     return (5 * least >= 4 * most) & ((differ <= total - 2 * need) | (most == _SIZE_MAX))
 
 
-def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
-    """``d``, ``f``, ``ed``, ``ef``: the members of set-aside groups that are still undecided, with all earlier
-    members that they may match.  As two prefixes share ``SHARED`` words, a group is split by each
-    further word of its members' prefixes before they meet; a pair is kept under the least of such
-    words, and the least next to it.  The words that the prefixes share, and those beyond the
-    prefix that ends first, bound the overlap."""
+def _one_more(level: int) -> Column:
+    """The words by which a line of a group under ``level - 1`` words goes on: of those that two similar lines share
+    beside the group's ``key`` and ``next``, the least ones in order, with enough left after them."""
+    rest = F.array_sort(F.array_except("prefix", F.array(F.col("key").cast("int"), "next")))
+    rest = F.slice(rest, 1, F.greatest(F.size(rest) - (DEPTH - level), F.lit(0)))
+    return rest if level == SHARED + 1 else F.filter(rest, lambda w: w > F.element_at("more", -1))
+
+
+def groups(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
+    """A row for each member of set-aside groups (word ``key``) and each further word ``next`` of its prefix.  Groups
+    under both that are too large are split by a third word, and by a fourth, in ``more``; ``open`` is
+    false for lines that are decided."""
     spark = reps.sparkSession
     aside = aside.withColumn("key", F.shiftright("m", 32))
     keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
-    some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"])
-    own = F.array(F.col("key").cast("int"))
-    further = F.array_except("prefix", own)
+    done = if_small(decided.select("d", "f", F.lit(True).alias("done")))
+    some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"]).join(done, ["d", "f"], "left")
+    some = some.select("d", "f", "n", "prefix", "keys", F.col("done").isNull().alias("open"))
+    further = F.array_except(_met_under("prefix"), F.array(F.col("key").cast("int")))
     members = aside.join(some, ["d", "f"]).select("*", F.array_min("keys").alias("k0"), F.array_min(further).alias("n0"),
-                                                  F.explode(further).alias("next"))
+                                                  F.explode(further).alias("next"), F.array().cast("array<int>").alias("more"))
     # under a further word that is set aside too and comes before this one, no pair would be kept
     members = members.where(~(F.array_contains("keys", F.col("next").cast("long")) & (F.col("next") < F.col("key"))))
     members = stored(spark, members, "line-members")
-    later = members.join(if_small(decided), ["d", "f"], "left_anti")
+    name = ["key", "next", "more"]
+    for level in range(SHARED + 1, DEPTH + 1):
+        full = (members.where(F.size("more") == level - SHARED - 1).groupBy(*name)
+                .agg(F.count("*").alias("c"), F.count_if("open").alias("u"), F.sum(F.size(_one_more(level))).alias("rows"))
+                .where((F.col("c") > FULL) & (F.col("u") * F.col("c") > SPLIT * F.col("rows"))).select(*name))
+        full = stored(spark, full, "line-full-groups")
+        if not full.limit(1).count():
+            break
+        full = if_small(full)
+        split = members.join(full, name, "left_semi").withColumn("w", F.explode(_one_more(level)))
+        split = split.withColumn("more", F.concat("more", F.array("w"))).select(*members.columns)
+        members = stored(spark, members.join(full, name, "left_anti").select(*members.columns).unionByName(split), "line-members")
+    return members
+
+
+def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
+    """``d``, ``f``, ``ed``, ``ef``: the members of set-aside groups that are still undecided, with all earlier
+    members that they may match.  As two prefixes share ``SHARED`` words, a group is split by each
+    further word of its members' prefixes before they meet, and again while it is too large, as whole prefixes share
+    ``DEPTH``; a pair is kept under the least of such words, and the least ones next to it.  The words
+    that the prefixes share, and those beyond the prefix that ends first, bound the overlap."""
+    members = groups(aside, reps, decided)
+    later = members.where("open")
     earlier = members.select(*[F.col(c).alias(f"e{c}") for c in members.columns])
     order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
     # two of one least word share that one: told without looking at all words
     elsewhere = (((F.col("k0") == F.col("ek0")) & (F.col("k0") != F.col("key")))
                  | ((F.col("n0") == F.col("en0")) & (F.col("n0") != F.col("next"))))
+    own = F.col("key").cast("int")
     shared = F.array_intersect("prefix", "eprefix")
     both = F.size(shared)
     beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
-    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & order & ~elsewhere
-                     & _admits_column("m", "f", "em", "ef")
-                     & (both >= SHARED) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
+    first = F.array_min(F.array_except(F.array_intersect(_met_under("prefix"), _met_under("eprefix")), F.array(own)))
+    others = F.slice(F.array_sort(F.array_except(shared, F.array(own, "next"))), 1, F.size("more"))
+    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & (F.col("more") == F.col("emore"))
+                     & order & ~elsewhere & _admits_column("m", "f", "em", "ef")
+                     & (both >= DEPTH) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
                      & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key"))
-                     & (F.array_min(F.array_except(shared, own)) == F.col("next")))
+                     & (first == F.col("next")) & ((F.size("more") == 0) | (others == F.col("more"))))
     return met.select("d", "f", "ed", "ef")
 
 
@@ -443,8 +488,11 @@ def _there(bits: np.ndarray, shift: int, d: np.ndarray, f: np.ndarray) -> np.nda
 
 
 def words_of(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``d``, ``f``, ``words`` (hashes) of the lines ``ids``, and of a few others."""
+    """``d``, ``f``, ``words`` (hashes) of the lines ``ids``, and of a few others.  Found through a bitmap, or, where
+    that would be full, by documents dealt with the list of their own lines asked for."""
     spark = docs.sparkSession
+    if 16 * ids.count() > _BITS[1]:
+        return _words_by_document(docs, ids, id_col, text)
     bitmap, shift = _bitmap(ids)
     shared = spark.sparkContext.broadcast(bitmap)
     of = stored(spark, ids.select("d").distinct(), "line-documents")
@@ -457,19 +505,61 @@ def words_of(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFra
         for b in slices(batches, "text"):
             d = np.asarray(b.column(0))
             b = b.filter(pa.array(_there(bits, shift, d, np.full_like(d, -1))))
-            x = Words(b.column("text")).lines() if b.num_rows else None
-            if x is None or not len(x.row):
-                continue
-            h, begin = x.sets(np.zeros(len(x.h), np.uint8))
-            d = np.asarray(b.column(0))[x.row]
-            f = x.number << 32 | _parity(h, begin) & 0xFFFFFFFF
-            wanted = np.flatnonzero(_there(bits, shift, d, f))
-            n = np.diff(begin)[wanted]
-            words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)),
-                                             pa.array(h[_spans(begin[wanted], n)].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(d[wanted]), pa.array(f[wanted]), words], names=["d", "f", "words"])
-
-    return rows.mapInArrow(run, "d long, f long, words array<long>")
+            yield from _wanted_lines(b, lambda row, d, f: _there(bits, shift, d, f))
+
+    return rows.mapInArrow(run, _WORDS)
+
+
+_WORDS = "d long, f long, words array<long>"
+
+
+def _wanted_lines(b: pa.RecordBatch, wanted) -> Iterator[pa.RecordBatch]:
+    """``d``, ``f`` and the words of a batch's lines that ``wanted`` (of row, d and f) picks."""
+    x = Words(b.column("text")).lines() if b.num_rows else None
+    if x is None or not len(x.row):
+        return
+    h, begin = x.sets(np.zeros(len(x.h), np.uint8))
+    d = np.asarray(b.column("d"))[x.row]
+    f = x.number << 32 | _parity(h, begin) & 0xFFFFFFFF
+    take = np.flatnonzero(wanted(x.row, d, f))
+    n = np.diff(begin)[take]
+    words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)),
+                                     pa.array(h[_spans(begin[take], n)].view(np.int64)))
+    yield pa.RecordBatch.from_arrays([pa.array(d[take]), pa.array(f[take]), words], names=["d", "f", "words"])
+
+
+def _words_by_document(docs: DataFrame, ids: DataFrame, id_col: str, text: str) -> DataFrame:
+    """As ``words_of``, for any number of lines.  Rows that share an id share a list as well, so rows without an id,
+    of which there may be many, are told through a bitmap of their lines instead."""
+    none = -(1 << 63)
+    asked = ids.where(F.col("d") != none).groupBy("d").agg(F.collect_list("f").alias("asked"))
+    rows = _rows(docs, id_col, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            lists = b.column("asked")
+            value, row = np.asarray(lists.flatten()), np.repeat(np.arange(b.num_rows), np.asarray(lists.value_lengths()))
+            known, at = np.unique(value, return_inverse=True)
+            pairs = row * len(known) + at
+
+            def told(row, d, f):
+                at = np.minimum(np.searchsorted(known, f), len(known) - 1)
+                return (known[at] == f) & np.isin(row * len(known) + at, pairs)
+
+            yield from _wanted_lines(b, told)
+
+    found = rows.join(asked, "d").select("d", "text", "asked").mapInArrow(run, _WORDS)
+    nameless = ids.where(F.col("d") == none)
+    if not nameless.limit(1).count():
+        return found
+    bitmap, shift = _bitmap(nameless)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def through_bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            yield from _wanted_lines(b, lambda row, d, f: _there(shared.value, shift, d, f))
+
+    return found.unionByName(rows.where(F.col("d") == none).select("d", "text").mapInArrow(through_bitmap, _WORDS))
 
 
 def matched(docs: DataFrame, pairs: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -181,3 +181,48 @@ def test_set_aside_groups_meet_under_two_words(spark):
     want = brute.removed_lines(rows)
     got = {(r["d"], r["line"]) for r in _decide(spark, rows, (4, 10**6))}
     assert got == {(d, i) for (d, _), lines in want.items() for i in lines} and len(want) >= 57
+
+
+@pytest.mark.parametrize("limits", [(0, 0), (3, 1)])
+def test_groups_under_two_words_are_split_by_a_third_and_a_fourth(spark, monkeypatch, limits):
+    monkeypatch.setattr(ld, "FULL", limits[0])
+    monkeypatch.setattr(ld, "SPLIT", limits[1])
+    rng = random.Random(13)
+    words = [f"f{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.sample(words, rng.choice((4, 5, 8, 12, 16))))) for i in range(260)]
+    for i in range(0, 260, 4):  # a word more, a word less, a word changed
+        w = rows[i][1].split()
+        rows.append((1000 + i, " ".join(rng.choice((w + ["more"], w[1:], w[:-1] + ["other"])))))
+    rng.shuffle(rows)
+    want = brute.removed_lines(rows)
+    got = {(r["d"], r["line"]) for r in _decide(spark, rows, (4, 10**6))}
+    assert got == {(d, i) for (d, _), lines in want.items() for i in lines} and len(want) >= 40
+
+
+def _met(spark, n):
+    """Lines of twelve of 50 equally frequent words, all set aside: pairs that meet, and the words they meet under."""
+    rng = random.Random(17)
+    words = [f"f{i}" for i in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, 12))) for i in range(n)], "doc_id long, text string")
+    reps = ld.line_sets(docs, ld.word_levels(docs)).where("n > 0")
+    aside = ld.keyed(reps)
+    found = ld.groups(aside, reps, spark.createDataFrame([], "d long, f long"))
+    sizes = found.groupBy("key", "next", "more").agg(F.count("*").alias("c"))
+    r = sizes.agg(F.sum(F.expr("c * (c - 1) div 2")).alias("pairs"), F.max(F.size("more")).alias("deep"), F.sum("c").alias("rows")).collect()[0]
+    return r["pairs"], r["deep"], r["rows"]
+
+
+def test_pairs_met_grow_slower_than_the_square(spark, monkeypatch):
+    """Four times the lines: sixteen times the pairs under two words alone, about seven with groups split."""
+    few, _, _ = _met(spark, 3000)
+    many, deep, _ = _met(spark, 12000)
+    assert deep == 2 and many < 8 * few, (few, many)
+    monkeypatch.setattr(ld, "FULL", 10**9)
+    assert _met(spark, 3000)[0] > 2 * few
+
+
+def test_lines_are_found_by_document_where_a_bitmap_would_be_full(spark, monkeypatch):
+    monkeypatch.setattr(ld, "_BITS", (64, 64))
+    rows = _texts(19, 120, [f"w{i}" for i in range(30)])
+    rows += [(None, rows[5][1]), (None, rows[9][1] + "\nno id here at all"), (3, rows[7][1]), (4, "")]
+    _check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
