@@ -26,8 +26,8 @@ without words stay.
    or, if there are too many for one, by document) and Jaccard is computed on them.
 5. Set-aside groups: those members that are still undecided are joined with all of
    their group under the same filters, and verified.  A group is split by a second word of
-   its members' prefixes first, and while it is too large by a third and a fourth.  In a
-   large group of near copies most are decided by then, so that its pairs are never
+   its members' prefixes first, and, in the task that holds it, by a third and a fourth while
+   it is too large; its pairs are compared there in numpy.  In a large group of near copies most are decided by then, so that its pairs are never
    written out; no pair that could decide a line is left out.
 
 Null texts count as empty; repeated rows (same id and text) are one document and lose
@@ -66,6 +66,10 @@ SPLIT = 8
 GROUP = 4096
 PAIRS = 16
 STARS = 4
+#: A set-aside group under two words is dealt in pieces of about so many members if it has more.
+SPREAD = 1 << 14
+#: Pairs, or words, that a task looks at in one go.
+_MEET = 1 << 18
 _GATHER = 1 << 17
 PARITY_BITS = 42
 #: Bits of the bitmaps through which lines are found again: 16 for a line, within these bounds.
@@ -316,8 +320,10 @@ def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     alive = alive[~put_off[group[alive]]]
         if left:
             i, j = np.concatenate(left), np.concatenate(right)
-            fine = ~put_off[group[i]]
-            yield pairs(d[i[fine]], f[i[fine]], d[j[fine]], f[j[fine]])
+            fine = np.flatnonzero(~put_off[group[i]])
+            for at in range(0, len(fine), _CHUNK * 8):  # small batches, for this worker's and the executor's memory
+                a, b = i[fine[at:at + _CHUNK * 8]], j[fine[at:at + _CHUNK * 8]]
+                yield pairs(d[a], f[a], d[b], f[b])
         for g in np.flatnonzero(put_off).tolist():
             rows = [c[start[g]:start[g] + count[g]] for c in cols]
             yield from aside(rows, earliest(rows))
@@ -380,30 +386,176 @@ def candidates(reps: DataFrame) -> DataFrame:
     return keyed(reps).mapInArrow(_pair_groups, "m long, d long, f long, ed long, ef long")
 
 
-def _admits_column(a: str, fa: str, b: str, fb: str) -> Column:
-    """Length and parity filter of ``_admits`` as a join condition; the positional one holds for the first ``SHARED``
-    shared words alone."""
-    size = lambda c: F.shiftright(c, 20).bitwiseAND(F.lit(_SIZE_MAX))
-    total = size(a) + size(b)
-    need = F.floor((4 * total + 8) / 9)
-    differ = (F.bit_count(F.col(a).bitwiseXOR(F.col(b)).bitwiseAND(F.lit(0x3FF)))
-              + F.bit_count(F.col(fa).bitwiseXOR(F.col(fb)).bitwiseAND(F.lit(0xFFFFFFFF))))
-    most, least = F.greatest(size(a), size(b)), F.least(size(a), size(b))
-    return (5 * least >= 4 * most) & ((differ <= total - 2 * need) | (most == _SIZE_MAX))
-
-
-def _one_more(level: int) -> Column:
-    """The words by which a line of a group under ``level - 1`` words goes on: of those that two similar lines share
-    beside the group's ``key`` and ``next``, the least ones in order, with enough left after them."""
-    rest = F.array_sort(F.array_except("prefix", F.array(F.col("key").cast("int"), "next")))
-    rest = F.slice(rest, 1, F.greatest(F.size(rest) - (DEPTH - level), F.lit(0)))
-    return rest if level == SHARED + 1 else F.filter(rest, lambda w: w > F.element_at("more", -1))
-
-
-def groups(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
-    """A row for each member of set-aside groups (word ``key``) and each further word ``next`` of its prefix.  Groups
-    under both that are too large are split by a third word, and by a fourth, in ``more``; ``open`` is
-    false for lines that are decided."""
+def _runs(count: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of neighbours whose counts add up to about ``most``."""
+    run = (np.cumsum(count) - count) // most
+    bounds = np.flatnonzero(np.r_[True, run[1:] != run[:-1], True]) if len(run) else []
+    yield from map(slice, bounds[:-1], bounds[1:])
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+
+
+_MEMBER = ("key", "next", "tile", "piece", "alone", "d", "f", "m", "n", "open")
+
+
+class _Members:
+    """Members of some whole groups, a row each, with the different words of their prefixes in one array by row and
+    word: ``rw`` (both), ``word``, ``met`` (lines meet under it) and ``aside`` (its group is set aside), from ``begin``
+    to ``end`` for a row."""
+
+    def __init__(self, t: pa.Table):
+        t = t.combine_chunks()
+        one = {c: t.column(c).chunk(0) for c in t.column_names}
+        for c in _MEMBER:
+            v = one[c].to_numpy(zero_copy_only=False)
+            setattr(self, c, v if v.dtype == bool else v.astype(np.int64))
+        rows = np.arange(t.num_rows)
+        self.parity = ((self.m & 0x3FF) << 32 | self.f & 0xFFFFFFFF).view(np.uint64)
+
+        def flat(column):
+            length = np.asarray(one[column].value_lengths()).astype(np.int64)
+            return length, np.repeat(rows, length) << 32 | np.asarray(one[column].flatten()).astype(np.int64) + (1 << 31)
+
+        self.length, rw = flat("prefix")
+        met = _spans(np.zeros_like(self.length), self.length) < np.repeat(self.length - (DEPTH - SHARED), self.length)
+        order = np.argsort(rw, kind="stable")
+        order = order[_starts(rw[order])]
+        self.rw, self.met = rw[order], met[order]
+        self.word = (self.rw & 0xFFFFFFFF) - (1 << 31)
+        self.aside = np.zeros(len(self.rw), bool)
+        self.aside[np.searchsorted(self.rw, flat("keys")[1])] = True
+        bounds = np.searchsorted(self.rw, np.r_[rows, len(rows)] << 32)
+        self.begin, self.end = bounds[:-1], bounds[1:]
+        owner = self.rw >> 32
+        self.k0, self.n0 = (np.minimum.reduceat(np.where(x, self.word, 1 << 40), self.begin)
+                            for x in (self.aside, self.met & (self.word != self.key[owner])))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Members]:
+    parts, n, size = [], 0, 0
+    for b in batches:
+        parts, n, size = [*parts, b], n + b.num_rows, size + b.nbytes
+        if n >= _GATHER // 2 or size >= 128 * _GATHER:
+            t = pa.Table.from_batches(parts)
+            last = int(_starts(*(t.column(c).to_numpy() for c in ("key", "next", "tile")))[-1])
+            if last:
+                yield _Members(t.slice(0, last))
+                parts = t.slice(last).to_batches()
+                n, size = t.num_rows - last, sum(p.nbytes for p in parts)
+    if n:
+        yield _Members(pa.Table.from_batches(parts))
+
+
+def _split(g: _Members, rows: np.ndarray, group: np.ndarray, more: list[np.ndarray], pos: np.ndarray,
+           limits: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Members (``rows``, by group and size), the starts of their groups and the words beside the group's ``key`` and
+    ``next``.  A group that is too large goes on by one more of the words that two similar lines share: the least ones
+    in order (after the place ``pos``), with enough left after them."""
+    level = SHARED + 1 + len(more)
+    start = _starts(group)
+    count = np.diff(np.r_[start, len(rows)])
+    if level > DEPTH:
+        yield rows, start, more
+        return
+    least = more[-1] if more else np.full(len(rows), -1 << 40)
+    gone = (g.key[rows] > least).astype(np.int64) + (g.next[rows] > least) + DEPTH - level
+    further = np.maximum(g.end[rows] - 1 - pos - gone, 0)
+    undecided = np.add.reduceat(g.open[rows].astype(np.int64), start)
+    longer = np.add.reduceat(further, start)
+    full = (count > limits[0]) & (undecided * count > limits[1] * longer)
+    stay = ~np.repeat(full, count)
+    if stay.any():
+        yield rows[stay], _starts(group[stay]), [w[stay] for w in more]
+    full = np.flatnonzero(full)
+    for some in _runs(longer[full], _MEET):
+        of = _spans(start[full[some]], count[full[some]])
+        r = rows[of]
+        span = g.end[r] - g.begin[r]
+        at, own = _spans(g.begin[r], span), np.repeat(np.arange(len(of)), span)
+        rest = (g.word[at] != g.key[r[own]]) & (g.word[at] != g.next[r[own]])
+        at, own = at[rest], own[rest]
+        left = np.cumsum(np.bincount(own, minlength=len(of)))[own] - np.arange(len(own)) - 1
+        on = np.flatnonzero((left >= DEPTH - level) & (g.word[at] > least[of][own]))
+        at, own = at[on], own[on]
+        # members lie by size already, and a stable order keeps them so
+        order = np.argsort(g.word[at], kind="stable")
+        order = order[np.argsort(group[of][own[order]], kind="stable")]
+        at, own = at[order], own[order]
+        if len(at):
+            word, before = g.word[at], group[of][own]
+            new = np.zeros(len(at), np.int64)
+            new[_starts(before, word)] = 1
+            yield from _split(g, r[own], np.cumsum(new), [*(w[of][own] for w in more), word], at, limits)
+
+
+def _member_rows(g: _Members, rows: np.ndarray, start: np.ndarray, more: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    words = np.stack(more, 1).ravel() if more else np.zeros(0, np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(more)), pa.array(words.astype(np.int32)))
+    yield pa.RecordBatch.from_arrays([pa.array(g.key[rows]), pa.array(g.next[rows].astype(np.int32)), lists, pa.array(g.d[rows]),
+                                      pa.array(g.f[rows])], names=["key", "next", "more", "d", "f"])
+
+
+def _meet(g: _Members, rows: np.ndarray, start: np.ndarray, more: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the open members of groups with earlier members under the length and parity filter (the positional one
+    holds for the first ``SHARED`` shared words alone) and the bound by shared words, where they are kept."""
+    n, parity = g.n[rows], g.parity[rows]
+    count = np.diff(np.r_[start, len(rows)])
+    group = np.repeat(np.arange(len(start)), count)
+    at = np.flatnonzero(g.open[rows] & (count[group] > 1))
+    sizes = group << 32 | n  # members lie by size: those from 4/5 to 5/4 of a member's are neighbours
+    low = np.searchsorted(sizes, group[at] << 32 | (4 * n[at] + 4) // 5)
+    near = np.searchsorted(sizes, group[at] << 32 | 5 * n[at] // 4, "right") - low
+    most = np.minimum((n[at] + 5 * n[at] // 4) // 9, PARITY_BITS).astype(np.uint8)  # bits that may differ
+    found = []
+    for some in _runs(near, _MEET):
+        j = _spans(low[some], near[some])
+        differ = np.bitwise_count(np.repeat(parity[at[some]], near[some]) ^ parity[j])
+        ok = np.flatnonzero(differ <= np.repeat(most[some], near[some]))
+        first = np.repeat(at[some], near[some])[ok]
+        a, b = rows[first], rows[j[ok]]
+        total = g.n[a] + g.n[b]
+        keep = differ[ok] <= total - 2 * ((4 * total + 8) // 9)
+        keep &= (g.d[b] < g.d[a]) | ((g.d[b] == g.d[a]) & (g.f[b] < g.f[a]))
+        keep &= g.alone[a] | (g.piece[a] != g.piece[b])
+        # two of one least word share that one: told without looking at all words
+        keep &= ((g.k0[a] != g.k0[b]) | (g.k0[a] == g.key[a])) & ((g.n0[a] != g.n0[b]) | (g.n0[a] == g.next[a]))
+        found.append((a[keep] << 32 | b[keep], first[keep]))
+    if not found:
+        return
+    pairs, of = (np.concatenate(c) for c in zip(*found))
+    pairs, first = np.unique(pairs, return_index=True)
+    more = [w[of[first]] for w in more]
+    words = (g.end - g.begin)[pairs >> 32]
+    for some in _runs(words, _MEET):
+        a, b = pairs[some] >> 32, pairs[some] & 0xFFFFFFFF
+        p, i = np.repeat(np.arange(len(a)), words[some]), _spans(g.begin[a], words[some])
+        asked = b[p] << 32 | g.rw[i] & 0xFFFFFFFF
+        j = np.minimum(np.searchsorted(g.rw, asked), len(g.rw) - 1)
+        hit = g.rw[j] == asked
+        p, i, j = p[hit], i[hit], j[hit]
+        both, word, key = np.bincount(p, minlength=len(a)), g.word[i], g.key[a[p]]
+        # a pair is kept under the least set-aside word that it shares, and the least next to it
+        less = (g.aside[i] & g.aside[j] & (word < key)) | (g.met[i] & g.met[j] & (word != key) & (word < g.next[a[p]]))
+        if more:  # and under the least ones beside both
+            other = (word != key) & (word != g.next[a[p]]) & (word < more[-1][some][p])
+            for w in more[:-1]:
+                other &= word != w[some][p]
+            less |= other
+        beyond = np.maximum(g.n[a] - g.length[a], g.n[b] - g.length[b])
+        keep = (both >= DEPTH) & (9 * (both + beyond) >= 4 * (g.n[a] + g.n[b])) & (np.bincount(p[less], minlength=len(a)) == 0)
+        a, b = a[keep], b[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (g.d[a], g.f[a], g.d[b], g.f[b])], names=["d", "f", "ed", "ef"])
+
+
+def groups(aside: DataFrame, reps: DataFrame, decided: DataFrame, meet=_member_rows,
+           schema: str = "key long, next int, more array<int>, d long, f long") -> DataFrame:
+    """A row for each member of set-aside groups (word ``key``) and each further word ``next`` of its prefix, or what
+    ``meet`` makes of them.  Groups under both that are too large are split by a third word, and by a fourth, in
+    ``more``, in the task that holds them; groups that are too large for a task are dealt in tiles, one for any two
+    of their pieces."""
     spark = reps.sparkSession
     aside = aside.withColumn("key", F.shiftright("m", 32))
     keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
@@ -411,24 +563,34 @@ def groups(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
     some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"]).join(done, ["d", "f"], "left")
     some = some.select("d", "f", "n", "prefix", "keys", F.col("done").isNull().alias("open"))
     further = F.array_except(_met_under("prefix"), F.array(F.col("key").cast("int")))
-    members = aside.join(some, ["d", "f"]).select("*", F.array_min("keys").alias("k0"), F.array_min(further).alias("n0"),
-                                                  F.explode(further).alias("next"), F.array().cast("array<int>").alias("more"))
+    members = aside.join(some, ["d", "f"]).select("*", F.explode(further).alias("next"))
     # under a further word that is set aside too and comes before this one, no pair would be kept
     members = members.where(~(F.array_contains("keys", F.col("next").cast("long")) & (F.col("next") < F.col("key"))))
-    members = stored(spark, members, "line-members")
-    name = ["key", "next", "more"]
-    for level in range(SHARED + 1, DEPTH + 1):
-        full = (members.where(F.size("more") == level - SHARED - 1).groupBy(*name)
-                .agg(F.count("*").alias("c"), F.count_if("open").alias("u"), F.sum(F.size(_one_more(level))).alias("rows"))
-                .where((F.col("c") > FULL) & (F.col("u") * F.col("c") > SPLIT * F.col("rows"))).select(*name))
-        full = stored(spark, full, "line-full-groups")
-        if not full.limit(1).count():
-            break
-        full = if_small(full)
-        split = members.join(full, name, "left_semi").withColumn("w", F.explode(_one_more(level)))
-        split = split.withColumn("more", F.concat("more", F.array("w"))).select(*members.columns)
-        members = stored(spark, members.join(full, name, "left_anti").select(*members.columns).unionByName(split), "line-members")
-    return members
+    large = F.col("c") > SPREAD
+    crowded = aside.groupBy("key").agg(F.count("*").alias("c")).where(large).select("key")
+    crowded = stored(spark, crowded, "line-crowded")
+    k, piece = F.lit(1), F.lit(0)
+    if crowded.limit(1).count():
+        sizes = members.join(if_small(crowded), "key", "left_semi").groupBy("key", "next").agg(F.count("*").alias("c")).where(large)
+        members = members.join(if_small(stored(spark, sizes, "line-full-groups")), ["key", "next"], "left")
+        k = F.coalesce(F.ceil(F.col("c") / SPREAD), F.lit(1)).cast("int")
+        piece = F.pmod(F.xxhash64("d", "f"), k).cast("int")
+    members = members.withColumns({"k": k, "piece": piece}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    tile = F.least("piece", "other") * F.col("k") + F.greatest("piece", "other")
+    members = members.withColumns({"tile": tile, "alone": F.col("piece") == F.col("other")}).select(*_MEMBER, "prefix", "keys")
+    limits = FULL, SPLIT
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _whole_groups(batches):
+            new = np.zeros(len(g.d), np.int64)
+            new[_starts(g.key, g.next, g.tile)] = 1
+            group = np.cumsum(new)
+            rows = np.lexsort((g.n, group))
+            for part in _split(g, rows, group[rows], [], g.begin[rows] - 1, limits):
+                yield from meet(g, *part)
+
+    name = ["key", "next", "tile"]
+    return members.repartition(*name).sortWithinPartitions(*name).mapInArrow(run, schema)
 
 
 def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFrame:
@@ -437,25 +599,7 @@ def open_pairs(aside: DataFrame, reps: DataFrame, decided: DataFrame) -> DataFra
     further word of its members' prefixes before they meet, and again while it is too large, as whole prefixes share
     ``DEPTH``; a pair is kept under the least of such words, and the least ones next to it.  The words
     that the prefixes share, and those beyond the prefix that ends first, bound the overlap."""
-    members = groups(aside, reps, decided)
-    later = members.where("open")
-    earlier = members.select(*[F.col(c).alias(f"e{c}") for c in members.columns])
-    order = (F.col("ed") < F.col("d")) | ((F.col("ed") == F.col("d")) & (F.col("ef") < F.col("f")))
-    # two of one least word share that one: told without looking at all words
-    elsewhere = (((F.col("k0") == F.col("ek0")) & (F.col("k0") != F.col("key")))
-                 | ((F.col("n0") == F.col("en0")) & (F.col("n0") != F.col("next"))))
-    own = F.col("key").cast("int")
-    shared = F.array_intersect("prefix", "eprefix")
-    both = F.size(shared)
-    beyond = F.greatest(F.col("n") - F.size("prefix"), F.col("en") - F.size("eprefix"))
-    first = F.array_min(F.array_except(F.array_intersect(_met_under("prefix"), _met_under("eprefix")), F.array(own)))
-    others = F.slice(F.array_sort(F.array_except(shared, F.array(own, "next"))), 1, F.size("more"))
-    met = later.join(earlier, (F.col("key") == F.col("ekey")) & (F.col("next") == F.col("enext")) & (F.col("more") == F.col("emore"))
-                     & order & ~elsewhere & _admits_column("m", "f", "em", "ef")
-                     & (both >= DEPTH) & (9 * (both + beyond) >= 4 * (F.col("n") + F.col("en")))
-                     & (F.array_min(F.array_intersect("keys", "ekeys")) == F.col("key"))
-                     & (first == F.col("next")) & ((F.size("more") == 0) | (others == F.col("more"))))
-    return met.select("d", "f", "ed", "ef")
+    return groups(aside, reps, decided, _meet, "d long, f long, ed long, ef long")
 
 
 # ------------------------------------------------------------------ verification

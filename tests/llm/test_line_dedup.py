@@ -226,3 +226,37 @@ def test_lines_are_found_by_document_where_a_bitmap_would_be_full(spark, monkeyp
     rows = _texts(19, 120, [f"w{i}" for i in range(30)])
     rows += [(None, rows[5][1]), (None, rows[9][1] + "\nno id here at all"), (3, rows[7][1]), (4, "")]
     _check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+
+
+def test_groups_too_large_for_a_task_are_dealt_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ld, "SPREAD", 5)
+    rng = random.Random(23)
+    words = [f"f{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.sample(words, rng.choice((4, 8, 12))))) for i in range(220)]
+    for i in range(0, 220, 4):
+        w = rows[i][1].split()
+        rows.append((1000 + i, " ".join(rng.choice((w + ["more"], w[1:], w[:-1] + ["other"])))))
+    rng.shuffle(rows)
+    want = brute.removed_lines(rows)
+    got = {(r["d"], r["line"]) for r in _decide(spark, rows, (4, 10**6))}
+    assert got == {(d, i) for (d, _), lines in want.items() for i in lines} and len(want) >= 30
+
+
+def test_members_of_set_aside_groups_are_not_written_and_their_pairs_are_few(spark, monkeypatch):
+    """Six rows and more a line under two words, many times that under four: they meet in the tasks that split them,
+    and each pair goes on once."""
+    rng = random.Random(29)
+    words = [f"f{i}" for i in range(50)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, 12))) for i in range(3000)], "doc_id long, text string")
+    reps = ld.line_sets(docs, ld.word_levels(docs)).where("n > 0")
+    written, stored = [], ld.stored
+
+    def counted(spark, df, purpose, codec="snappy"):
+        out = stored(spark, df, purpose, codec)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(ld, "stored", counted)
+    pairs = ld.open_pairs(ld.keyed(reps), reps, spark.createDataFrame([], "d long, f long"))
+    assert pairs.count() == pairs.distinct().count() > 0
+    assert sum(written) <= 2 * 3000, written
