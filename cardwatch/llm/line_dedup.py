@@ -26,9 +26,10 @@ without words stay.
    or, if there are too many for one, by document) and Jaccard is computed on them.
 5. Set-aside groups: those members that are still undecided are joined with all of
    their group under the same filters, and verified.  A group is split by a second word of
-   its members' prefixes first, and, in the task that holds it, by a third and a fourth while
-   it is too large; its pairs are compared there in numpy.  In a large group of near copies most are decided by then, so that its pairs are never
-   written out; no pair that could decide a line is left out.
+   its members' prefixes first, and, in the task that holds it, by a third and a fourth
+   while it is too large; its pairs are compared there in numpy.  In a large group of near
+   copies most are decided by then, so that its pairs are never written out; no pair that
+   could decide a line is left out.
 
 Null texts count as empty; repeated rows (same id and text) are one document and lose
 the same lines; of rows that share an id but not the text, lines are ordered by number,
