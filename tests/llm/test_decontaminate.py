@@ -187,3 +187,24 @@ def test_query_against_a_search_for_whole_items(spark):
     for r in docs:
         text = " ".join(r["text"].split())
         assert got[r["doc_id"]] == ",".join(str(i) for i in sorted(flat) if flat[i] in text), r["doc_id"]
+
+
+def test_a_task_works_on_little_text_at_once():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [f"Row {i} says: " + ("some plain words stand in this text, 12 of them or so. " * 40 if i % 50 else ITEM) for i in range(2000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(map(str, range(2000))), pa.array(range(2000), pa.int64()), pa.array(texts)], names=["_key", "_th", "text"])
+    assert rows.column("text").nbytes > 4_000_000
+    bits = np.zeros(1 << 17, np.uint64)
+    h, _, _ = dc.windows(dc.Canonical(pa.array([ITEM])), dc.WINDOW)
+    bits[h.view(np.uint64) >> np.uint64(47)] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    tracemalloc.start()
+    found = [r for b in dc._passing(iter([rows]), bits, 23, [dc.WINDOW]) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6
+    alone = [r for i in range(2000) for b in dc._passing(iter([rows.slice(i, 1)]), bits, 23, [dc.WINDOW]) for r in b.to_pylist()]
+    assert sorted(map(str, found)) == sorted(map(str, alone)) and {r["_key"] for r in found} >= {str(i) for i in range(0, 2000, 50)}
