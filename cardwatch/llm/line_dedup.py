@@ -16,10 +16,11 @@ without words stay.
    million times meets in few rows.  Later ones are removed, the first ones
    (representatives) go on.
 3. Join.  Representatives are dealt by prefix word and sorted by it and by size; tasks
-   stream over the words' groups and pair their members in numpy under the length
-   filter, the positional filter (words left after the shared one) and a parity filter
-   (bits of a 42-bit parity that differ can't exceed the words that differ).  Pairs met
-   under two words go on.  A group of more than ``GROUP`` members, or with more than
+   stream over the words' groups and compare their members in numpy, a block of rows with a
+   block of columns at a time, under the length filter, a parity filter (bits of a parity
+   that differ can't exceed the words that differ; 64 bits of ``sign``, with ``wide`` 128
+   for lines of ``WIDE`` words and more, and 42 others) and the positional filter (words
+   left after the shared one).  Pairs met under two words go on.  A group of more than ``GROUP`` members, or with more than
    ``PAIRS`` pairs for each, is not paired at once: its members meet its ``STARS``
    earliest, and are set aside.
 4. Verify.  The words of the paired lines alone are read again (found through a bitmap
@@ -64,7 +65,7 @@ DEPTH = 4
 FULL = 32
 SPLIT = 8
 #: A word's group is set aside beyond so many members, or so many pairs for each of them.
-GROUP = 4096
+GROUP = 1 << 15
 PAIRS = 16
 STARS = 4
 #: A set-aside group under two words is dealt in pieces of about so many members if it has more.
@@ -72,7 +73,12 @@ SPREAD = 1 << 14
 #: Pairs, or words, that a task looks at in one go.
 _MEET = 1 << 18
 _GATHER = 1 << 17
+#: Groups of more members are compared in blocks of so many rows and columns.
+FEW = 32
+_BLOCK = (64, 1 << 10)
 PARITY_BITS = 42
+#: Lines of so many words have 128 bits of ``sign`` and ``wide``, shorter ones the 64 of ``sign``.
+WIDE = 64
 #: Bits of the bitmaps through which lines are found again: 16 for a line, within these bounds.
 _BITS = (1 << 16, 1 << 28)
 #: Sizes and places are packed into 12 and 10 bits; the largest values stand for "that or more".
@@ -120,6 +126,13 @@ def _parity(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(_U(1) << bit, begin[:-1]).view(np.int64)
 
 
+def _signs(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``sign`` (a 64-bit parity) and, for long lines, ``wide``: half of a 128-bit one, whose halves make ``sign``."""
+    bit, half = _U(1) << (h >> _U(24) & _U(63)), h >> _U(30) & _U(1)
+    sign, wide = (np.bitwise_xor.reduceat(x, begin[:-1]) for x in (bit, bit * half))
+    return sign.view(np.int64), np.where(np.diff(begin) < WIDE, 0, wide.view(np.int64))
+
+
 def _spans(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Indices begin[i], ..., begin[i] + count[i] - 1 for all i."""
     return np.repeat(begin - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
@@ -170,7 +183,7 @@ def _chunks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 # ------------------------------------------------------------------ sets and representatives
-_LINE = "d long, th long, line int, c1 long, c2 long, n int, parity long, prefix array<int>"
+_LINE = "d long, th long, line int, c1 long, c2 long, n int, parity long, sign long, wide long, prefix array<int>"
 
 
 def _doc_key(id_col: str) -> Column:
@@ -220,7 +233,7 @@ def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text:
             lo, n = begin[:-1], np.diff(begin)
             c1 = np.add.reduceat(mix(h), lo).view(np.int64)
             c2 = np.add.reduceat(mix(h ^ _U(0xA5A5A5A5A5A5A5A5)), lo).view(np.int64)
-            parity = _parity(h, begin)
+            parity, (sign, wide) = _parity(h, begin), _signs(h, begin)
             d, th = (np.asarray(b.column(i))[x.row] for i in (0, 1))
             order = np.lexsort((th, x.number, d, c2, c1))
             same = np.r_[False, (c1[order][1:] == c1[order][:-1]) & (c2[order][1:] == c2[order][:-1])]
@@ -234,15 +247,15 @@ def line_sets(docs: DataFrame, levels: np.ndarray, id_col: str = "doc_id", text:
             length = np.where(size < 4, 0, size - (4 * size + 4) // 5 + DEPTH)
             prefix = (h[_spans(lo[keep], length)] >> _U(16)).astype(np.uint32).view(np.int32)
             prefixes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(prefix))
-            both = np.r_[keep, gone]
+            both, none = np.r_[keep, gone], np.zeros(len(gone), np.int64)
             alone = _place(d[gone], th[gone] + x.number[gone]).view(np.int64)  # spreads them over the tasks
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d[both]), pa.array(th[both]), pa.array(x.number[both].astype(np.int32)),
                  pa.array(np.r_[c1[keep], alone]), pa.array(np.r_[c2[keep], alone]),
                  pa.array(np.r_[size, np.full(len(gone), -1)].astype(np.int32)),
-                 pa.array(np.r_[parity[keep], np.zeros(len(gone), np.int64)]),
+                 *(pa.array(np.r_[x[keep], none]) for x in (parity, sign, wide)),
                  pa.concat_arrays([prefixes, pa.nulls(len(gone), pa.list_(pa.int32()))])],
-                names=["d", "th", "line", "c1", "c2", "n", "parity", "prefix"])
+                names=["d", "th", "line", "c1", "c2", "n", "parity", "sign", "wide", "prefix"])
 
     return _rows(docs, id_col, text).mapInArrow(run, _LINE)
 
@@ -253,20 +266,53 @@ def _line_id() -> Column:
 
 
 # ------------------------------------------------------------------ candidates
-def _admits(ma: np.ndarray, fa: np.ndarray, mb: np.ndarray, fb: np.ndarray) -> np.ndarray:
-    """Length, positional and parity filter on packed (key, size, place, parity) and line ids."""
+def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits differ, of numbers that are not negative."""
+    return np.bitwise_count(a ^ b).astype(np.int64)
+
+
+def _wide_bits(s: np.ndarray, w: np.ndarray, s2: np.ndarray, w2: np.ndarray) -> np.ndarray:
+    return _bits(w, w2) + _bits(s ^ w, s2 ^ w2)
+
+
+def _admits(a: tuple, b: tuple) -> np.ndarray:
+    """Length, positional and parity filter on rows: packed (key, size, place, parity), line id, sign and wide."""
+    (ma, fa, ga, wa), (mb, fb, gb, wb) = a, b
     sa, sb = ma >> 20 & _SIZE_MAX, mb >> 20 & _SIZE_MAX
     pa_, pb = ma >> 10 & _PLACE_MAX, mb >> 10 & _PLACE_MAX
     large = (sa == _SIZE_MAX) | (sb == _SIZE_MAX)
     left = np.minimum(np.where(sa == _SIZE_MAX, 1 << 40, sa - pa_), np.where(sb == _SIZE_MAX, 1 << 40, sb - pb))
     total = sa + sb
     need = (4 * total + 8) // 9
-    differ = (np.bitwise_count((ma ^ mb) & 0x3FF).astype(np.int64) + np.bitwise_count((fa ^ fb) & 0xFFFFFFFF))
+    differ = np.maximum(_bits(ma & 0x3FF, mb & 0x3FF) + _bits(fa & 0xFFFFFFFF, fb & 0xFFFFFFFF),
+                        np.where(np.minimum(sa, sb) >= WIDE, _wide_bits(ga, wa, gb, wb), _bits(ga, gb)))
     # sizes beyond the packed range only bound the other one from below
     return ((5 * np.minimum(sa, sb) >= 4 * np.maximum(sa, sb)) & (left + SHARED - 1 >= need)
             & ((differ <= total - 2 * need) | large))
 
 
+def _blocks(size: np.ndarray, until: np.ndarray, sign: np.ndarray, wide: np.ndarray,
+            first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of a group's rows, i one of ``first``, j after i and before ``until[i]``, whose signs may be those of
+    similar lines.  As the rows lie by size, the sizes at the end of a block's rows and columns bound the bits that may
+    differ."""
+    for at in range(0, len(first), _BLOCK[0]):
+        rows = first[at:at + _BLOCK[0]]
+        stop, long = int(until[rows[-1]]), size[rows[0]] >= WIDE
+        for begin in range(int(rows[0]) + 1, stop, _BLOCK[1]):
+            cols = slice(begin, min(begin + _BLOCK[1], stop))
+            if long:
+                differ = np.bitwise_count(wide[rows, None] ^ wide[cols])
+                differ += np.bitwise_count((sign[rows] ^ wide[rows])[:, None] ^ (sign[cols] ^ wide[cols]))
+            else:
+                differ = np.bitwise_count(sign[rows, None] ^ sign[cols])
+            most = (size[rows[-1]] + size[cols.stop - 1]) // 9 if size[cols.stop - 1] < _SIZE_MAX else 128
+            i, j = np.divmod(np.flatnonzero(differ <= min(most, 128)), cols.stop - begin)
+            i, j = rows[i], j + begin
+            keep = (i < j) & (j < until[i])
+            yield i[keep], j[keep]
+
+
 def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by packed (key, size, ...) -> pairs (later, earlier), and the rows of groups that
     are set aside (with ``m``, without an earlier line)."""
@@ -279,46 +325,66 @@ def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [np.where(swap, a, b)[other] for a, b in ((d2, d), (f2, f), (d, d2), (f, f2))]
         return pa.RecordBatch.from_arrays([pa.nulls(len(cols[0]), pa.int64()), *map(pa.array, cols)], names=["m", "d", "f", "ed", "ef"])
 
+    def admitted(cols, i, j):
+        return _admits(*(tuple(cols[c][at] for c in (0, 2, 3, 4)) for at in (i, j)))
+
     def earliest(cols):
         order = np.lexsort((cols[2], cols[1]))[:STARS]
         return [c[order] for c in cols]
 
     def aside(cols, stars):
-        m, d, f = cols
+        m, d, f, sign, wide = cols
         none = pa.nulls(len(m), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(d), pa.array(f), none, none], names=["m", "d", "f", "ed", "ef"])
-        for sm, sd, sf in zip(*stars):
-            at = np.flatnonzero(_admits(np.full(len(m), sm), np.full(len(m), sf), m, f))
+        for sm, sd, sf, *signs in zip(*stars):
+            at = np.flatnonzero(_admits((sm, sf, *signs), (m, f, sign, wide)))
             if len(at):
                 yield pairs(d[at], f[at], np.full(len(at), sd), np.full(len(at), sf))
 
     def closed(cols):
         """Groups that are complete."""
-        m, d, f = cols
+        m, d, f, sign, wide = cols
         key, size = m >> 32, m >> 20 & _SIZE_MAX
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         count = np.diff(np.r_[start, len(key)])
         group = np.repeat(np.arange(len(start)), count)
-        end = np.repeat(start + count, count)
         put_off = count > GROUP
         met = np.zeros(len(start), np.int64)
         left, right = [], []
-        alive = np.flatnonzero(~put_off[group])
-        step = 0
-        while len(alive):
-            step += 1
-            alive = alive[alive + step < end[alive]]
-            # sorted by size: once the other line is too long, so are all after it
-            alive = alive[5 * size[alive] >= 4 * size[alive + step]]
-            at = alive[_admits(m[alive], f[alive], m[alive + step], f[alive + step])]
-            if len(at):
-                left.append(at)
-                right.append(at + step)
-                met += np.bincount(group[at], minlength=len(start))
-                over = met > PAIRS * count
-                if (over & ~put_off).any():
-                    put_off |= over
-                    alive = alive[~put_off[group[alive]]]
+        # sorted by size: those that are not too long for a member lie next to each other; it may match one of them
+        # if the positional filter lets it match one of its own size
+        until = np.searchsorted(group << 12 | size, group << 12 | np.minimum(5 * size // 4, _SIZE_MAX), "right")
+
+        def add(i, j):
+            ok = np.flatnonzero(admitted(cols, i, j))
+            left.append(i[ok])
+            right.append(j[ok])
+            np.add(met, np.bincount(group[i[ok]], minlength=len(start)), out=met)
+
+        early = (size - (m >> 10 & _PLACE_MAX) + SHARED - 1 >= (8 * size + 8) // 9) | (size == _SIZE_MAX)
+        early = np.flatnonzero(early & ~put_off[group] & (until > np.arange(len(key)) + 1))
+        few = (count <= FEW)[group[early]]
+        at = early[few]
+        near = until[at] - at - 1
+        for some in _runs(near, _MEET):
+            add(np.repeat(at[some], near[some]), _spans(at[some] + 1, near[some]))
+        some, held_pairs, many = [], 0, early[~few]
+        of = _starts(group[many]).tolist() if len(many) else []
+        for begin, end in zip(of, [*of[1:], len(many)]):
+            g = int(group[many[begin]])
+            most = own = PAIRS * int(count[g])
+            for i, j in _blocks(size, until, sign, wide, many[begin:end]):
+                if len(i):
+                    some.append((i, j))
+                    held_pairs, own = held_pairs + len(i), own - len(i)
+                if own < 0 or held_pairs > _MEET:
+                    add(*map(np.concatenate, zip(*some)))
+                    some, held_pairs, own = [], 0, most
+                    if met[g] > most:
+                        break
+        if some:
+            add(*map(np.concatenate, zip(*some)))
+        put_off |= met > PAIRS * count
         if left:
             i, j = np.concatenate(left), np.concatenate(right)
             fine = np.flatnonzero(~put_off[group[i]])
@@ -333,7 +399,8 @@ def _pair_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches of some size, so that numpy works on many groups at once."""
         parts, n = [], 0
         for b in batches:
-            parts.append([np.asarray(b.column(i)) for i in range(3)])
+            columns = [np.asarray(b.column(i)) for i in range(5)]
+            parts.append([*columns[:3], *(c.view(np.uint64) for c in columns[3:])])
             n += b.num_rows
             if n >= _GATHER:
                 yield [np.concatenate(c) for c in zip(*parts)]
@@ -371,13 +438,13 @@ def _met_under(prefix: str) -> Column:
 
 def keyed(reps: DataFrame) -> DataFrame:
     """``m`` (prefix word, size, place and part of the parity in one number), ``d``, ``f``: a row for each
-    prefix word of each representative, dealt by the word and sorted by ``m``."""
-    rows = reps.select("d", _line_id().alias("f"), "n", "parity", F.posexplode(_met_under("prefix")).alias("p", "key"))
+    prefix word of each representative, dealt by the word and sorted by ``m``, with its ``sign`` and ``wide``."""
+    rows = reps.select("d", _line_id().alias("f"), "n", "parity", "sign", "wide", F.posexplode(_met_under("prefix")).alias("p", "key"))
     m = F.shiftleft(F.col("key").cast("long"), 32)
     m = m.bitwiseOR(F.shiftleft(F.least(F.col("n"), F.lit(_SIZE_MAX)).cast("long"), 20))
     m = m.bitwiseOR(F.shiftleft(F.least(F.col("p"), F.lit(_PLACE_MAX)).cast("long"), 10))
     m = m.bitwiseOR(F.shiftright("parity", 32))
-    rows = rows.select(m.alias("m"), "d", "f")
+    rows = rows.select(m.alias("m"), "d", "f", "sign", "wide")
     return rows.repartition(F.shiftright("m", 32)).sortWithinPartitions("m")
 
 
@@ -399,7 +466,7 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
 
 
-_MEMBER = ("key", "next", "tile", "piece", "alone", "d", "f", "m", "n", "open")
+_MEMBER = ("key", "next", "tile", "piece", "alone", "d", "f", "m", "n", "sign", "wide", "open")
 
 
 class _Members:
@@ -415,6 +482,7 @@ class _Members:
             setattr(self, c, v if v.dtype == bool else v.astype(np.int64))
         rows = np.arange(t.num_rows)
         self.parity = ((self.m & 0x3FF) << 32 | self.f & 0xFFFFFFFF).view(np.uint64)
+        self.sign, self.wide = self.sign.view(np.uint64), self.wide.view(np.uint64)
 
         def flat(column):
             length = np.asarray(one[column].value_lengths()).astype(np.int64)
@@ -454,7 +522,8 @@ def _split(g: _Members, rows: np.ndarray, group: np.ndarray, more: list[np.ndarr
            limits: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Members (``rows``, by group and size), the starts of their groups and the words beside the group's ``key`` and
     ``next``.  A group that is too large goes on by one more of the words that two similar lines share: the least ones
-    in order (after the place ``pos``), with enough left after them."""
+    in order (after the place ``pos``), with enough left after them, if fewer pairs meet so: near copies share most of
+    their words, and would meet again under each."""
     level = SHARED + 1 + len(more)
     start = _starts(group)
     count = np.diff(np.r_[start, len(rows)])
@@ -485,6 +554,18 @@ def _split(g: _Members, rows: np.ndarray, group: np.ndarray, more: list[np.ndarr
         order = np.argsort(g.word[at], kind="stable")
         order = order[np.argsort(group[of][own[order]], kind="stable")]
         at, own = at[order], own[order]
+        parent = np.repeat(np.arange(len(full[some])), count[full[some]])
+        after = np.zeros(len(full[some]), np.int64)
+        if len(at):
+            sub = _starts(group[of][own], g.word[at])
+            meet = np.add.reduceat(g.open[r[own]].astype(np.int64), sub) * np.diff(np.r_[sub, len(at)])
+            np.add.at(after, parent[own[sub]], meet)
+        fewer = after < (undecided * count)[full[some]]
+        if not fewer.all():
+            stay = of[~fewer[parent]]
+            yield rows[stay], _starts(group[stay]), [w[stay] for w in more]
+            on = fewer[parent[own]]
+            at, own = at[on], own[on]
         if len(at):
             word, before = g.word[at], group[of][own]
             new = np.zeros(len(at), np.int64)
@@ -518,7 +599,9 @@ def _meet(g: _Members, rows: np.ndarray, start: np.ndarray, more: list[np.ndarra
         first = np.repeat(at[some], near[some])[ok]
         a, b = rows[first], rows[j[ok]]
         total = g.n[a] + g.n[b]
-        keep = differ[ok] <= total - 2 * ((4 * total + 8) // 9)
+        most_bits, long = total - 2 * ((4 * total + 8) // 9), np.minimum(g.n[a], g.n[b]) >= WIDE
+        keep = differ[ok] <= most_bits
+        keep[long] &= (_wide_bits(g.sign[a], g.wide[a], g.sign[b], g.wide[b]) <= most_bits)[long]
         keep &= (g.d[b] < g.d[a]) | ((g.d[b] == g.d[a]) & (g.f[b] < g.f[a]))
         keep &= g.alone[a] | (g.piece[a] != g.piece[b])
         # two of one least word share that one: told without looking at all words
@@ -558,11 +641,11 @@ def groups(aside: DataFrame, reps: DataFrame, decided: DataFrame, meet=_member_r
     ``more``, in the task that holds them; groups that are too large for a task are dealt in tiles, one for any two
     of their pieces."""
     spark = reps.sparkSession
-    aside = aside.withColumn("key", F.shiftright("m", 32))
+    aside = aside.select("m", "d", "f", F.shiftright("m", 32).alias("key"))
     keys = stored(spark, aside.groupBy("d", "f").agg(F.collect_set("key").alias("keys")), "line-groups")
     done = if_small(decided.select("d", "f", F.lit(True).alias("done")))
-    some = reps.select("d", _line_id().alias("f"), "n", "prefix").join(if_small(keys), ["d", "f"]).join(done, ["d", "f"], "left")
-    some = some.select("d", "f", "n", "prefix", "keys", F.col("done").isNull().alias("open"))
+    some = reps.select("d", _line_id().alias("f"), "n", "sign", "wide", "prefix").join(if_small(keys), ["d", "f"]).join(done, ["d", "f"], "left")
+    some = some.select("d", "f", "n", "sign", "wide", "prefix", "keys", F.col("done").isNull().alias("open"))
     further = F.array_except(_met_under("prefix"), F.array(F.col("key").cast("int")))
     members = aside.join(some, ["d", "f"]).select("*", F.explode(further).alias("next"))
     # under a further word that is set aside too and comes before this one, no pair would be kept
@@ -730,7 +813,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     lines = lines.withColumns({"row": F.row_number().over(w), "fd": F.first("d").over(w), "fl": F.first("line").over(w)})
     gone = (F.col("n") < 0) | (F.col("d") != F.col("fd")) | (F.col("line") != F.col("fl"))
     # rows of one place and set (texts that share an id) stand or fall with the first of them
-    lines = lines.select("d", "th", "line", "n", "parity", F.when(~gone & (F.col("row") == 1), F.col("prefix")).alias("prefix"),
+    lines = lines.select("d", "th", "line", "n", "parity", "sign", "wide", F.when(~gone & (F.col("row") == 1), F.col("prefix")).alias("prefix"),
                          gone.alias("gone"))
     lines = stored(spark, lines, "line-sets")
     reps = lines.where("prefix is not null")

@@ -260,3 +260,68 @@ def test_members_of_set_aside_groups_are_not_written_and_their_pairs_are_few(spa
     pairs = ld.open_pairs(ld.keyed(reps), reps, spark.createDataFrame([], "d long, f long"))
     assert pairs.count() == pairs.distinct().count() > 0
     assert sum(written) <= 2 * 3000, written
+
+
+def _long_lines(seed, n):
+    """Lines of 50 to 140 words, and copies of some with words changed, left out or added, about as many as 0.8 allows."""
+    rng, words = random.Random(seed), [f"v{i}" for i in range(700)]
+    rows = [(i, " ".join(rng.sample(words, rng.randint(50, 140)))) for i in range(n)]
+    for i in range(0, n, 2):
+        w = rows[i][1].split()
+        for k in range(rng.randint(0, len(w) // 4)):
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice(([f"new{k}"], [], [w[at], f"more{k}"]))
+        rows.append((1000 + i, " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("group", [(10**6, 10**6), (10**6, 0)])
+def test_long_lines_compared_in_blocks_against_all_pairs(spark, monkeypatch, group):
+    whole = _shrunk(group)
+
+    def run(batches):
+        from cardwatch.llm import line_dedup
+
+        old = line_dedup.FEW, line_dedup._BLOCK
+        line_dedup.FEW, line_dedup._BLOCK = 2, (3, 5)
+        try:
+            yield from whole(batches)
+        finally:
+            line_dedup.FEW, line_dedup._BLOCK = old
+
+    rows = _long_lines(31, 120)
+    want = brute.removed_lines(rows)
+    monkeypatch.setattr(ld, "_pair_groups", run)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["d"], r["line"]) for r in ld.removed_lines(docs).select("d", F.explode("lines").alias("line")).collect()}
+    assert got == {(d, i) for (d, _), lines in want.items() for i in lines} and 20 <= len(want) < 60
+
+
+def test_long_lines_that_share_a_word_alone_are_no_candidates(spark):
+    """The 42-bit parity alone told none of them apart: 80 words and more change about half of its bits, and may."""
+    rng, words = random.Random(37), [f"v{i}" for i in range(2000)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, rng.randint(90, 150)))) for i in range(400)], "doc_id long, text string")
+    reps = ld.line_sets(docs, ld.word_levels(docs)).where("n > 0")
+    assert ld.candidates(reps).where("ed is not null").count() < 100
+
+
+def test_near_copies_are_not_split_by_further_words(spark, monkeypatch):
+    """Near copies share most words of their prefixes: under a third and a fourth word each would meet again and again."""
+    rng = random.Random(41)
+    rows = []
+    for i in range(300):
+        w = [f"b{k}" for k in range(40)]
+        w[rng.randrange(40)] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = ld.line_sets(docs, ld.word_levels(docs)).where("n > 0")
+    none = spark.createDataFrame([], "d long, f long")
+
+    def met():
+        sizes = ld.groups(ld.keyed(reps), reps, none).groupBy("key", "next", "more").agg(F.count("*").alias("c"))
+        return sizes.agg(F.sum(F.expr("c * (c - 1) div 2"))).collect()[0][0]
+
+    split = met()
+    monkeypatch.setattr(ld, "FULL", 10**9)
+    assert split <= met()
